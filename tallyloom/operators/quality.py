@@ -1,39 +1,12 @@
-"""Parsing with quarantine, deduplication."""
+"""Quarantine of bad records, and deduplication."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyloom.functions.events import with_defaults
-from tallyloom.sources.schemas import CORRUPT, STREAM_EVENT, with_corrupt_column
-
-
-def parse_lines(
-    lines: DataFrame, line: str = "value", schema: T.StructType = STREAM_EVENT
-) -> DataFrame:
-    """JSON text to event columns plus ``_corrupt_record``, for batch or stream.
-
-    Blank lines are left out. A line that is no JSON object, or has a field of
-    the wrong type, keeps its whole text in ``_corrupt_record``.
-    """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    text = F.trim(F.regexp_replace(line, r"^\s+|\s+$", ""))
-    parsed = F.from_json("line", with_corrupt_column(schema), options)
-    return (
-        lines.select(text.alias("line"))
-        .filter(F.col("line") != "")
-        .withColumn("event", parsed)
-        .select(
-            *[F.col(f"event.{name}").alias(name) for name in schema.fieldNames()],
-            F.when(_is_object(), F.col(f"event.{CORRUPT}")).otherwise(F.col("line")).alias(CORRUPT),
-        )
-    )
-
-
-def _is_object() -> Column:
-    return F.col("line").startswith("{")
+from tallyloom.sources.schemas import CORRUPT
 
 
 def is_bad() -> Column:

@@ -11,6 +11,7 @@ from tallyloom.functions.events import with_defaults
 from tallyloom.operators import features, fingerprint, latency, quality, windows
 from tallyloom.plans import feature_run
 from tallyloom.sources import readers, writers
+from tallyloom.sources.lines import parse_lines
 from tallyloom.sources.schemas import BATCH_EVENT, STREAM_EVENT, WINDOW_RESULT
 from tallyloom.sources.shop import arrived_events, shop_events, synthetic_columns
 from tallyloom.streaming import streams
@@ -93,6 +94,7 @@ def _lines(events: DataFrame) -> DataFrame:
         .when(_every(50, 25), "[1]")
         .when(_every(50, 29), no_time)
         .when(_every(50, 37), "   ")
+        .when(_every(50, 33), F.concat(whole, whole))
         .when(_every(50, 43), sparse)
         .when(_every(50, 47), F.regexp_replace(whole, '"price":[^,]*', '"price":"abc"'))
         .otherwise(whole)
@@ -290,15 +292,15 @@ def all_queries() -> dict[str, Query]:
         "load_level_summary": over_arrived(lambda e: latency.load_level_summary(_load_levels(e))),
         # quality
         "parse_events": over_arrived(
-            lambda e: quality.good_events(quality.parse_lines(_lines(e)))
+            lambda e: quality.good_events(parse_lines(_lines(e)))
         ),
         "quarantine": over_arrived(
-            lambda e: quality.quarantine(quality.parse_lines(_lines(e))).select(
+            lambda e: quality.quarantine(parse_lines(_lines(e))).select(
                 "event_id", "_corrupt_record"
             )
         ),
         "parse_error_count": over_arrived(
-            lambda e: quality.parse_totals(quality.parse_lines(_lines(e)))
+            lambda e: quality.parse_totals(parse_lines(_lines(e)))
         ),
         "dedup_events": over_arrived(
             lambda e: quality.dedup_events(_with_copies(e), first_by="arrival")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tallyloom.sources.schemas import CORRUPT, STREAM_EVENT, with_corrupt_column
+from tallyloom.sources.lines import parse_lines
+from tallyloom.sources.schemas import STREAM_EVENT
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -22,13 +23,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def read_json_lines(
     spark: SparkSession, path: str, schema: T.StructType = STREAM_EVENT
 ) -> DataFrame:
-    """One JSON object per line; lines that do not parse keep their text in ``_corrupt_record``."""
-    return (
-        spark.read.schema(with_corrupt_column(schema))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
+    """One JSON object per line, see ``parse_lines``."""
+    return parse_lines(spark.read.text(path), schema=schema)
 
 
 def stream_json_lines(
@@ -42,14 +38,10 @@ def stream_json_lines(
     Files must appear whole (written elsewhere and moved in, or committed by a
     writer); a file that is still growing is read once, as it then is.
     """
-    reader = (
-        spark.readStream.schema(with_corrupt_column(schema))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-    )
+    reader = spark.readStream
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path)
+    return parse_lines(reader.text(path), schema=schema)
 
 
 def stream_parquet(
