@@ -40,6 +40,15 @@ def event_time(seconds: str = "timestamp") -> Column:
     return F.timestamp_seconds(seconds)
 
 
+def with_arrival(events: DataFrame) -> DataFrame:
+    """Events with the present second as ``arrival``; in a stream, the start of the batch.
+
+    A source that records when it received an event gives a better arrival.
+    """
+    now = F.unix_micros(F.current_timestamp()) / F.lit(1e6)
+    return events.withColumn("arrival", now)
+
+
 def age_seconds(event: str = "timestamp", arrival: str = "arrival") -> Column:
     return F.col(arrival) - F.col(event)
 

@@ -18,11 +18,15 @@ _LOG = """
 """
 
 
+_NO_EVENTS = "no application start in the event log; was spark.eventLog.compress=false set?"
+
+
 def run_metrics(spark: SparkSession, event_log: str, label: str = "run") -> DataFrame:
     """One row: runtime, tasks, shuffle and spill of the application behind a log.
 
-    Needs an application run with ``spark.eventLog.enabled``; ``event_log`` is
-    its file or folder. ``peak_spill_mb`` is the largest spill of one task.
+    Needs an application run with ``spark.eventLog.enabled=true`` and
+    ``spark.eventLog.compress=false``; ``event_log`` is its file or folder.
+    ``peak_spill_mb`` is the largest spill of one task.
     """
     log = (
         spark.read.schema(_LOG)
@@ -41,7 +45,9 @@ def run_metrics(spark: SparkSession, event_log: str, label: str = "run") -> Data
     ends = F.when(F.col("Event") == "SparkListenerApplicationEnd", F.col("Timestamp"))
     megabyte = 1e6
     return log.agg(
-        ((F.max(ends) - F.min(starts)) / 1000).alias("runtime_seconds"),
+        F.when(F.count(starts) > 0, (F.max(ends) - F.min(starts)) / 1000)
+        .otherwise(F.raise_error(F.lit(_NO_EVENTS)).cast("double"))
+        .alias("runtime_seconds"),
         F.count_if(F.col("Event") == "SparkListenerTaskEnd").alias("tasks"),
         (
             F.coalesce(F.sum(read["Remote Bytes Read"] + read["Local Bytes Read"]), F.lit(0))

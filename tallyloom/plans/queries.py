@@ -210,8 +210,8 @@ def _stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = readers.stream_json_lines(spark, f"{folder}/lines")
     streams.start_parsed(parsed, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return readers.read_parquet(spark, f"{folder}/out").agg(
-        F.count_if(~F.col("quarantined")).alias("processed"),
-        F.count_if("quarantined").alias("errors"),
+        F.count_if(F.col("record") == "good").alias("processed"),
+        F.count_if(F.col("record") == "bad").alias("errors"),
     )
 
 

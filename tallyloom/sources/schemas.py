@@ -39,6 +39,16 @@ ARRIVED_EVENT = T.StructType(
     STREAM_EVENT.fields + [T.StructField("arrival", T.DoubleType())]
 )
 
+# The same, tagged with the load level of its run.
+TAGGED_EVENT = T.StructType(
+    ARRIVED_EVENT.fields
+    + [
+        T.StructField("label", T.StringType()),
+        T.StructField("rate", T.LongType()),
+        T.StructField("burst", T.BooleanType()),
+    ]
+)
+
 WINDOW_RESULT = T.StructType(
     [
         T.StructField("window_start", T.DoubleType()),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom.operators.quality import dedup_stream, is_bad
@@ -60,9 +61,9 @@ def window_result_stream(
 
 
 def start_parsed(parsed: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Parsed records to Parquet, good and bad ones in folders of their own, read once."""
-    split = parsed.withColumn("quarantined", is_bad())
-    return start(split, path, checkpoint, every=every, partition_by=["quarantined"])
+    """Parsed records to Parquet, read once: folders ``record=good`` and ``record=bad``."""
+    split = parsed.withColumn("record", F.when(is_bad(), "bad").otherwise("good"))
+    return start(split, path, checkpoint, every=every, partition_by=["record"])
 
 
 def start_dedup(
