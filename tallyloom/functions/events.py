@@ -60,3 +60,9 @@ def is_late(width_seconds: int, event: str = "timestamp", arrival: str = "arriva
 
 def latency_ms(event: str = "timestamp", arrival: str = "arrival") -> Column:
     return age_seconds(event, arrival) * 1000
+
+
+def rounded(table: DataFrame, digits: int = 2) -> DataFrame:
+    """For display: every double column rounded. Stored results stay as they are."""
+    doubles = [name for name, kind in table.dtypes if kind == "double"]
+    return table.withColumns({name: F.round(name, digits) for name in doubles})

@@ -207,6 +207,8 @@ FROM activity a LEFT JOIN revenue r ON a.category = r.category""",
         "late_split": f"""{ARRIVED} SELECT *, arrival - timestamp AS age_s,
   arrival - timestamp > 20 AS late FROM arrived""",
         "window_totals": f"{TIMED} {_window_totals('timed')}",
+        "window_totals_rounded": f"""{TIMED}, totals AS ({_window_totals('timed')})
+SELECT * REPLACE (round(total_revenue, 2) AS total_revenue) FROM totals""",
         "window_category_revenue": f"{TIMED} {_window_category_revenue('timed')}",
         "window_type_counts": f"{TIMED} {_window_type_counts('timed')}",
         "window_result_entries": f"{TIMED} {_window_entries('timed')}",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.events import with_defaults
+from tallyloom.functions.events import rounded, with_defaults
 from tallyloom.operators import features, fingerprint, latency, quality, windows
 from tallyloom.plans import feature_run
 from tallyloom.sources import readers, writers
@@ -275,6 +275,7 @@ def all_queries() -> dict[str, Query]:
         # windows
         "late_split": over_arrived(windows.late_split),
         "window_totals": over_cells(windows.window_totals),
+        "window_totals_rounded": over_cells(lambda cells: rounded(windows.window_totals(cells))),
         "window_category_revenue": over_cells(windows.window_category_revenue),
         "window_type_counts": over_cells(windows.window_type_counts),
         "window_result_nested": over_cells(windows.window_results),

@@ -38,15 +38,20 @@ def start(
     return writer.trigger(**trigger).start()
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str, **options) -> int:
-    """Process what the source holds now; the number of input rows read."""
-    query = start(stream, path, checkpoint, **options)
+def run_available(
+    stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
+) -> StreamingQuery:
+    """Process what the source holds now; the finished query."""
+    query = start(stream, path, checkpoint, fmt)
     query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+    return query
 
 
 def window_cell_stream(
-    events: DataFrame, width_seconds: int = DEFAULT_WIDTH, watermark_seconds: int | None = None, **options
+    events: DataFrame,
+    width_seconds: int = DEFAULT_WIDTH,
+    watermark_seconds: int | None = None,
+    **options,
 ) -> DataFrame:
     """Cells of closed windows. The state is kept for two more windows unless told otherwise."""
     delay = 2 * width_seconds if watermark_seconds is None else watermark_seconds
@@ -54,13 +59,18 @@ def window_cell_stream(
 
 
 def window_result_stream(
-    events: DataFrame, width_seconds: int = DEFAULT_WIDTH, watermark_seconds: int | None = None, **options
+    events: DataFrame,
+    width_seconds: int = DEFAULT_WIDTH,
+    watermark_seconds: int | None = None,
+    **options,
 ) -> DataFrame:
     """One nested row per closed window, ready for a JSON lines sink."""
     return window_results(window_cell_stream(events, width_seconds, watermark_seconds, **options))
 
 
-def start_parsed(parsed: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def start_parsed(
+    parsed: DataFrame, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Parsed records to Parquet, read once: folders ``record=good`` and ``record=bad``."""
     split = parsed.withColumn("record", F.when(is_bad(), "bad").otherwise("good"))
     return start(split, path, checkpoint, every=every, partition_by=["record"])

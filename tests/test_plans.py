@@ -1,0 +1,76 @@
+"""What the plans must and must not contain, whatever the size of the data."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as contract
+
+SF_DIR = "/root/testdata/sf0.001"
+QUERIES = contract.queries()
+LAZY = sorted(n for n in QUERIES if not n.startswith(("stream_", "sink_", "feature_run", "event_date")))
+
+
+def plan(spark, name):
+    df = QUERIES[name](spark, SF_DIR)
+    return df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_no_cross_join_no_python_no_sets(spark, name):
+    text = plan(spark, name)
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEval",
+                 "MapInPandas", "FlatMapGroups", "collect_set", "CollectLimit"):
+        assert word not in text, word
+
+
+@pytest.mark.parametrize("name", sorted(set(LAZY) - {"window_result_nested", "window_result_entries"}))
+def test_nothing_collects_lists(spark, name):
+    assert "collect_list" not in plan(spark, name)
+
+
+@pytest.mark.parametrize(
+    "name", ["user_activity", "user_features", "product_features", "category_features"]
+)
+def test_distinct_values_are_spread_by_key_and_value(spark, name):
+    """The pairs of a distinct count are partitioned by the value too, so no group is one task."""
+    text = plan(spark, name)
+    keys = {"u": 1, "p": 2, "c": 1}[name[0]]
+    pairs = re.findall(r"hashpartitioning\(([^)]*counted[^)]*)\)", text)
+    assert pairs
+    for pair in pairs:
+        assert len(pair.split(",")) == keys + 2  # keys, value, number of partitions
+
+
+@pytest.mark.parametrize("name", ["purchases_spend", "user_spend", "product_revenue", "category_revenue"])
+def test_purchase_filter_reaches_the_scan(spark, name):
+    assert re.search(r"PushedFilters: \[.*EqualTo\(event_type,purchase\)", plan(spark, name))
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("user_spend", {"event_id", "user_id", "event_type", "value"}),
+        ("product_revenue", {"event_id", "props", "event_type", "value"}),
+        ("category_revenue", {"event_id", "event_type", "value"}),
+        ("latency_percentiles", {"event_id", "ts"}),
+        ("window_totals", {"event_id", "ts", "event_type", "value"}),
+    ],
+)
+def test_scan_reads_only_needed_columns(spark, name, columns):
+    for schema in re.findall(r"ReadSchema: struct<([^\n]*)>", plan(spark, name)):
+        assert set(re.findall(r"(\w+):", schema)) == columns
+
+
+def test_one_shuffle_brings_partial_results_together(spark):
+    """Three pair shuffles and one per branch by user; the union itself shuffles nothing."""
+    text = plan(spark, "user_features")
+    assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) <= 7
+
+
+def test_histogram_is_built_once(spark):
+    df = QUERIES["latency_percentiles"](spark, SF_DIR)
+    df.collect()
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
