@@ -7,52 +7,68 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _text(field: T.StructField) -> Column:
+def _plain(field: T.StructField) -> Column:
+    """The column as a plain value; nested ones as JSON, maps in order of their keys."""
     column = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, T.BinaryType):
-        return F.hex(column)
-    if isinstance(field.dataType, T.TimestampType):
-        return F.unix_micros(column).cast("string")
     if isinstance(field.dataType, T.MapType):
         return F.to_json(F.array_sort(F.map_entries(column)))
     if isinstance(field.dataType, (T.ArrayType, T.StructType)):
         return F.to_json(column)
+    return column
+
+
+def _text(field: T.StructField) -> Column:
+    column = _plain(field)
+    if isinstance(field.dataType, T.BinaryType):
+        return F.hex(column)
+    if isinstance(field.dataType, T.TimestampType):
+        return F.unix_micros(column).cast("string")
     return column.cast("string")
 
 
-def _row_digest(table: DataFrame) -> Column:
+def _fields(table: DataFrame) -> list[T.StructField]:
+    return sorted(table.schema.fields, key=lambda field: field.name)
+
+
+def _fast_numbers(table: DataFrame) -> list[Column]:
+    # xxhash64 passes over NULL, so every value comes with a mark for it.
+    marked = [c for f in _fields(table) for c in (_plain(f), _plain(f).isNull())]
+    return [F.xxhash64(F.lit(seed), *marked).cast("decimal(20,0)") for seed in (1, 2)]
+
+
+def _sha256_numbers(table: DataFrame) -> list[Column]:
     # Every value carries its length and NULL its own mark, so that no two
     # different rows give the same text.
     parts = []
-    for field in sorted(table.schema.fields, key=lambda f: f.name):
+    for field in _fields(table):
         text = _text(field)
         parts.append(
             F.when(text.isNull(), "n;").otherwise(
                 F.concat(F.lit("v"), F.length(text).cast("string"), F.lit(":"), text)
             )
         )
-    return F.sha2(F.concat(*parts), 256)
+    digest = F.sha2(F.concat(*parts), 256)
+    return [
+        F.conv(F.substring(digest, first, 15), 16, 10).cast("decimal(20,0)") for first in (1, 16)
+    ]
 
 
-def _hex_number(first: int) -> Column:
-    digits = F.conv(F.substring("digest", first, 15), 16, 10)
-    return digits.cast("decimal(20,0)")
+METHODS = {"xxhash64": _fast_numbers, "sha256": _sha256_numbers}
 
 
-def content_hash(table: DataFrame) -> DataFrame:
-    """One row: number of rows and two sums over the SHA-256 of the rows.
+def content_hash(table: DataFrame, method: str = "xxhash64") -> DataFrame:
+    """One row: number of rows and two sums over hashes of the rows.
 
     The sums do not depend on the order of rows or columns, on partitions or on
     file names, and count duplicates. Each task adds up its own rows, so only
-    one row per task is shuffled.
+    one row per task is shuffled. ``xxhash64`` stays in generated code;
+    ``sha256`` costs several times as much and gives a result that other
+    engines can recompute from the columns' text.
     """
+    a, b = METHODS[method](table)
     return (
-        table.select(_row_digest(table).alias("digest"))
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.sum(_hex_number(1)).alias("a"),
-            F.sum(_hex_number(16)).alias("b"),
-        )
+        table.select(a.alias("a"), b.alias("b"))
+        .agg(F.count(F.lit(1)).alias("row_count"), F.sum("a").alias("a"), F.sum("b").alias("b"))
         .select(
             "row_count",
             F.coalesce(F.col("a").cast("string"), F.lit("0")).alias("hash_a"),
@@ -69,13 +85,13 @@ def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     names = left.columns
     if sorted(names) != sorted(right.columns):
         raise ValueError(f"columns differ: {sorted(names)} and {sorted(right.columns)}")
-    flat = [
-        (F.to_json(F.array_sort(F.map_entries(f.name))) if isinstance(f.dataType, T.MapType) else F.col(f.name)).alias(f.name)
-        for f in left.schema.fields
+    sides = [
+        table.select(*[_plain(f).alias(f.name) for f in table.schema.fields], F.lit(n).alias("side"))
+        for table, n in ((left, 1), (right, -1))
     ]
     surplus = (
-        left.select(*flat, F.lit(1).alias("side"))
-        .unionByName(right.select(*flat, F.lit(-1).alias("side")))
+        sides[0]
+        .unionByName(sides[1])
         .groupBy(*names)
         .agg(F.sum("side").alias("surplus"))
     )

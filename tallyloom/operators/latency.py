@@ -12,11 +12,12 @@ from tallyloom.functions.events import event_time, is_late, latency_ms
 # The reported ranks.
 RANKS = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 
-# Buckets per factor e of the value. A bucket spans 0.006 % of its value, so
-# milliseconds read off a microsecond clock give a group some 300,000 buckets
-# at most (1 microsecond to 1 day), and a bucket holds at most 225,000
-# different values at one hour. Neither grows with the number of events.
-BUCKETS_PER_E = 16_384
+# Buckets per factor e of the value; a bucket spans 0.1 % of its value. Latencies
+# in milliseconds between 1 microsecond and 1 day fill some 20,000 buckets at
+# most. Two clocks read as epoch seconds in doubles differ by multiples of
+# 0.24 microseconds, so a bucket around 1 minute has at most 250,000 different
+# values and one around 1 hour 15 million. None of this grows with the events.
+BUCKETS_PER_E = 1024
 
 
 def _bucket(value: Column) -> Column:

@@ -40,12 +40,12 @@ def dedup_events(events: DataFrame, key: str = "event_id", first_by: str | None
     so a key with a third of all rows leaves one row per task.
     """
     keyed = events.filter(F.col(key).isNotNull())
+    others = [name for name in events.columns if name not in (key, first_by)]
     if first_by is None:
-        unique = keyed.dropDuplicates([key])
+        one = F.any_value(F.struct(*others))
     else:
-        others = [name for name in events.columns if name not in (key, first_by)]
-        first = F.min(F.struct(first_by, *others)).alias("first")
-        unique = keyed.groupBy(key).agg(first).select(key, "first.*").select(events.columns)
+        one = F.min(F.struct(first_by, *others))
+    unique = keyed.groupBy(key).agg(one.alias("one")).select(key, "one.*").select(events.columns)
     return unique.unionByName(events.filter(F.col(key).isNull()))
 
 

@@ -237,7 +237,7 @@ FROM arrived WHERE NOT ({BAD_LINES}) AND NOT ({BLANK_LINES})""",
   {_count(f"NOT ({BAD_LINES}) AND NOT ({BLANK_LINES})")} AS processed,
   {_count(BAD_LINES)} AS errors FROM events""",
         "dedup_events": f"{ARRIVED} SELECT * FROM arrived",
-        "content_hash": f"""{SHOP}, digests AS (SELECT sha256({_ROW_TEXT}) AS digest FROM shop)
+        "content_hash_sha256": f"""{SHOP}, digests AS (SELECT sha256({_ROW_TEXT}) AS digest FROM shop)
 SELECT count(*) AS row_count,
   CAST(sum(CAST(CAST('0x' || substr(digest, 1, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS hash_a,
   CAST(sum(CAST(CAST('0x' || substr(digest, 16, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS hash_b

@@ -307,6 +307,7 @@ def all_queries() -> dict[str, Query]:
             lambda e: quality.dedup_events(_with_copies(e), first_by="arrival")
         ),
         "content_hash": over_shop(fingerprint.content_hash),
+        "content_hash_sha256": over_shop(lambda e: fingerprint.content_hash(e, "sha256")),
         "table_diff": _table_diff,
         "reproducible_user_features": _reproducible,
         # sinks

@@ -6,17 +6,18 @@ from tallyloom.operators.fingerprint import content_hash, fingerprints, table_di
 from tallyloom.sources.shop import synthetic_events
 
 
-def digest(df):
-    return content_hash(df).first()
+@pytest.fixture(params=["xxhash64", "sha256"])
+def digest(request):
+    return lambda df: content_hash(df, request.param).first()
 
 
-def test_order_partitions_and_column_order_do_not_matter(spark):
+def test_order_partitions_and_column_order_do_not_matter(spark, digest):
     events = synthetic_events(spark, 500, partitions=3)
     again = events.repartition(7, "price").orderBy(F.desc("price")).select(*sorted(events.columns))
     assert digest(events) == digest(again)
 
 
-def test_one_changed_cell_or_one_copy_matters(spark):
+def test_one_changed_cell_or_one_copy_matters(spark, digest):
     events = synthetic_events(spark, 500)
     base = digest(events)
     changed = events.withColumn(
@@ -26,7 +27,7 @@ def test_one_changed_cell_or_one_copy_matters(spark):
     assert digest(events.unionByName(events.filter("event_id = 7"))) != base
 
 
-def test_null_and_boundaries_between_columns_matter(spark):
+def test_null_and_boundaries_between_columns_matter(spark, digest):
     def table(*rows):
         return spark.createDataFrame(rows, "a string, b string")
 
@@ -35,11 +36,11 @@ def test_null_and_boundaries_between_columns_matter(spark):
     assert digest(table(("ab", "c"))) != digest(table(("a", "bc")))
 
 
-def test_empty_table(spark):
+def test_empty_table(spark, digest):
     assert tuple(digest(batch_events(spark))) == (0, "0", "0")
 
 
-def test_maps_hash_by_content(spark):
+def test_maps_hash_by_content(spark, digest):
     one = spark.sql("SELECT map('a', 1, 'b', 2) AS m")
     other = spark.sql("SELECT map('b', 2, 'a', 1) AS m")
     assert digest(one) == digest(other)
