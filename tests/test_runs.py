@@ -6,6 +6,7 @@ import sys
 import pytest
 from helpers import by
 
+from tallyloom.jobs import cli
 from tallyloom.operators.fingerprint import table_diff
 from tallyloom.operators.runs import run_metrics, speedup
 from tallyloom.plans import feature_run
@@ -14,31 +15,42 @@ from tallyloom.sources.shop import synthetic_events
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
-def submit(tmp_path, *args, log=None):
-    """Run a job as a command of its own."""
-    settings = ["--master local[4]", "--conf spark.ui.enabled=false", "--conf spark.sql.shuffle.partitions=4"]
-    if log:
-        os.makedirs(log)
-        settings += [
-            "--conf spark.eventLog.enabled=true",
-            "--conf spark.eventLog.compress=false",
-            f"--conf spark.eventLog.dir=file://{log}",
-        ]
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+@pytest.fixture
+def job(spark):
+    """Runs a job in the tests' session."""
+    before = spark.conf.get(STATE_STORE)
+    yield lambda *args: cli.main(list(args))
+    spark.conf.set(STATE_STORE, before)
+
+
+def submit(tmp_path, log, *args):
+    """Runs a job as a command of its own, with an event log."""
+    os.makedirs(log)
+    settings = [
+        "--master local[4]",
+        "--conf spark.ui.enabled=false",
+        "--conf spark.sql.shuffle.partitions=4",
+        "--conf spark.eventLog.enabled=true",
+        "--conf spark.eventLog.compress=false",
+        f"--conf spark.eventLog.dir=file://{log}",
+    ]
     env = {**os.environ, "PYSPARK_SUBMIT_ARGS": " ".join(settings) + " pyspark-shell"}
     done = subprocess.run(
         [sys.executable, os.path.join(ROOT, "tallyloom", "jobs", "cli.py"), *args],
         env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300,
     )
     assert done.returncode == 0, done.stderr[-3000:]
-    return done.stdout
 
 
-def test_jobs_end_to_end(spark, tmp_path):
+def test_jobs_end_to_end(spark, job, tmp_path, capsys):
     data, one, two = (str(tmp_path / n) for n in ("data", "one", "two"))
     log = str(tmp_path / "log")
-    submit(tmp_path, "generate", "--rows", "3000", "--output", data)
+    job("generate", "--rows", "3000", "--output", data)
     assert spark.read.parquet(data).count() == 3000
-    submit(tmp_path, "features", "--input", data, "--output", one, log=log)
+    submit(tmp_path, log, "features", "--input", data, "--output", one)
 
     metrics = spark.read.json(f"{one}/metrics_run").first()
     assert metrics.rows_processed == 3000
@@ -70,6 +82,12 @@ def test_jobs_end_to_end(spark, tmp_path):
     left, right = feature_run.read_features(spark, one), feature_run.read_features(spark, two)
     for name in feature_run.FEATURE_TABLES:
         assert tuple(table_diff(left[name], right[name]).first()) == (0, 0)
+    job("compare", "--left", one, "--right", two)
+    application = os.path.join(log, application)
+    job("metrics", "--baseline", application, "--candidate", application)
+    printed = capsys.readouterr().out
+    assert "|user_features    |0        |0         |" in printed
+    assert "speedup" in printed
 
 
 def test_a_log_without_events_is_an_error(spark, tmp_path):
@@ -87,7 +105,7 @@ def test_speedup_picks_runs_by_label(spark):
     assert speedup(runs, "a", "missing").first().speedup is None
 
 
-def test_stream_job_and_load_summary(spark, tmp_path):
+def test_stream_job_and_load_summary(spark, job, tmp_path):
     lines = [
         json.dumps({"event_id": i, "timestamp": 1.7e9 + i, "event_type": "view", "arrival": 1.7e9 + i + 1,
                     "label": "low", "rate": 100, "burst": False})
@@ -95,12 +113,12 @@ def test_stream_job_and_load_summary(spark, tmp_path):
     ] + ["{bad"]
     os.makedirs(tmp_path / "in")
     (tmp_path / "in" / "a.json").write_text("\n".join(lines))
-    submit(tmp_path, "stream", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "out"),
-           "--checkpoint", str(tmp_path / "ck"))
+    job("stream", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "out"),
+        "--checkpoint", str(tmp_path / "ck"))
     windows = by(spark.read.json(str(tmp_path / "out" / "windows")), "window_start")
     # read long after they happened, so all are late
     assert windows and all(r["late_dropped"] == 10 for r in windows.values())
     assert spark.read.parquet(str(tmp_path / "out" / "events")).filter("record = 'bad'").count() == 1
-    submit(tmp_path, "load-summary", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "load"))
+    job("load-summary", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "load"))
     row = spark.read.json(str(tmp_path / "load")).first()
     assert (row.label, row["count"], row.windows, row.p50) == ("low", 100, 10, 1000.0)
