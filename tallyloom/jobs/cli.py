@@ -9,6 +9,7 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+import time
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from tallyloom.sources.readers import (  # noqa: E402
     stream_json_lines,
 )
 from tallyloom.sources.schemas import BATCH_EVENT, TAGGED_EVENT  # noqa: E402
-from tallyloom.sources.shop import synthetic_events  # noqa: E402
+from tallyloom.sources.shop import synthetic_events, synthetic_stream_events  # noqa: E402
 from tallyloom.sources.writers import write_events, write_json  # noqa: E402
 from tallyloom.streaming import streams  # noqa: E402
 
@@ -39,6 +40,12 @@ def generate(spark: SparkSession, args: argparse.Namespace) -> None:
     write_events(synthetic_events(spark, args.rows, args.seed), args.output, args.format)
 
 
+def generate_stream(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Seeded stream events as JSON lines, from the present second on."""
+    events = synthetic_stream_events(spark, args.rate, args.duration, args.seed, time.time())
+    write_json(events, args.output)
+
+
 def features(spark: SparkSession, args: argparse.Namespace) -> None:
     """User, product and category features of a folder of events."""
     events = read_parquet(spark, args.input, BATCH_EVENT)
@@ -106,6 +113,13 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--format", choices=["parquet", "csv", "json"], default="parquet")
     job.set_defaults(run=generate)
 
+    job = jobs.add_parser("generate-stream", help=generate_stream.__doc__)
+    job.add_argument("--rate", type=int, default=200)
+    job.add_argument("--duration", type=int, default=60)
+    job.add_argument("--output", required=True)
+    job.add_argument("--seed", type=int, default=42)
+    job.set_defaults(run=generate_stream)
+
     job = jobs.add_parser("features", help=features.__doc__)
     job.add_argument("--input", required=True)
     job.add_argument("--output", required=True)

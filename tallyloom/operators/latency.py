@@ -112,6 +112,11 @@ def latency_by_window(
     return latency_percentiles(events.withColumn("window_start", start), ["window_start"])
 
 
+def latency_alerts(percentiles: DataFrame, threshold_ms: float = 500.0) -> DataFrame:
+    """Groups whose 99th percentile is above ``threshold_ms``."""
+    return percentiles.filter(F.col("p99") > threshold_ms)
+
+
 def approx_latency_by_window(
     events: DataFrame,
     width_seconds: int = 10,

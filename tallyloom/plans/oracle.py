@@ -218,6 +218,8 @@ FROM totals
 WHERE CAST(late_dropped AS DOUBLE) / (late_dropped + events_processed) > CAST(0.01 AS DOUBLE)""",
         "latency_percentiles": f"{TIMED} {_percentiles('')}",
         "latency_percentiles_by_window": f"{TIMED} {_percentiles('window_start')}",
+        "latency_alerts": f"""{TIMED}, latency AS ({_percentiles('window_start')})
+SELECT * FROM latency WHERE p99 > 500""",
         "load_level_summary": f"""{TIMED}, levels AS (
   SELECT *, CASE event_id % 3 WHEN 0 THEN 'low' WHEN 1 THEN 'medium' ELSE 'high' END AS label
   FROM timed),

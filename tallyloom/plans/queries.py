@@ -290,6 +290,9 @@ def all_queries() -> dict[str, Query]:
         "latency_percentiles_by_window": over_arrived(
             lambda e: latency.latency_by_window(e, HOUR)
         ),
+        "latency_alerts": over_arrived(
+            lambda e: latency.latency_alerts(latency.latency_by_window(e, HOUR))
+        ),
         "load_level_summary": over_arrived(lambda e: latency.load_level_summary(_load_levels(e))),
         # quality
         "parse_events": over_arrived(

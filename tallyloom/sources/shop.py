@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.sources.schemas import STREAM_EVENT
+
 # The vocabulary of shop events and the weights of the types.
 CATEGORIES = ["electronics", "clothing", "books", "home", "sports", "beauty"]
 EVENT_TYPE_WEIGHTS = {
@@ -98,34 +100,37 @@ def arrived_events(events: DataFrame) -> DataFrame:
     )
 
 
-def synthetic_columns(ids: DataFrame, seed: int = 42, id_column: str = "id") -> DataFrame:
-    """A generated shop event for every id.
+def _draw(seed: int, column: str, key: Column, size: int) -> Column:
+    # A hash of (seed, column, id): a row does not depend on the partitioning,
+    # on other rows or on the number of rows.
+    return F.pmod(F.xxhash64(F.lit(seed), F.lit(column), key), F.lit(size))
 
-    Each value is a hash of (seed, column, id), so a row does not depend on the
-    partitioning, on other rows or on the number of rows.
-    """
+
+def _weighted(percent: Column, weights: dict) -> Column:
+    upper, picked = 0, F
+    for value, weight in weights.items():
+        upper += round(weight * 100)
+        picked = picked.when(percent < upper, F.lit(value))
+    return picked
+
+
+def synthetic_columns(ids: DataFrame, seed: int = 42, id_column: str = "id") -> DataFrame:
+    """A generated batch event for every id."""
     key = F.col(id_column)
 
     def draw(column: str, size: int) -> Column:
-        return F.pmod(F.xxhash64(F.lit(seed), F.lit(column), key), F.lit(size))
-
-    def weighted(column: str, weights: dict) -> Column:
-        percent, upper, picked = draw(column, 100), 0, F
-        for value, weight in weights.items():
-            upper += round(weight * 100)
-            picked = picked.when(percent < upper, F.lit(value))
-        return picked
+        return _draw(seed, column, key, size)
 
     return ids.select(
         key.cast("bigint").alias("event_id"),
         (draw("user_id", USERS) + 1).alias("user_id"),
         (draw("product_id", PRODUCTS) + 1).alias("product_id"),
         _category(draw("category", len(CATEGORIES))).alias("category"),
-        weighted("event_type", EVENT_TYPE_WEIGHTS).alias("event_type"),
+        _weighted(draw("event_type", 100), EVENT_TYPE_WEIGHTS).alias("event_type"),
         ((draw("price", 99_900) + 100) / 100).alias("price"),
         (draw("quantity", 10) + 1).alias("quantity"),
         (draw("session_id", SESSIONS) + 1).alias("session_id"),
-        weighted("rating", RATING_WEIGHTS).cast("double").alias("rating"),
+        _weighted(draw("rating", 100), RATING_WEIGHTS).cast("double").alias("rating"),
         (draw("timestamp", SPAN_SECONDS) + FIRST_SECOND).alias("timestamp"),
     )
 
@@ -133,5 +138,21 @@ def synthetic_columns(ids: DataFrame, seed: int = 42, id_column: str = "id") ->
 def synthetic_events(
     spark: SparkSession, rows: int, seed: int = 42, partitions: int | None = None
 ) -> DataFrame:
-    """Exactly ``rows`` generated shop events with ids 0 .. rows - 1."""
+    """Exactly ``rows`` generated batch events with ids 0 .. rows - 1."""
     return synthetic_columns(spark.range(0, rows, 1, partitions), seed)
+
+
+def synthetic_stream_events(
+    spark: SparkSession, rate: int, seconds: int, seed: int = 42, start: float = FIRST_SECOND
+) -> DataFrame:
+    """Generated stream events, ``rate`` per second for ``seconds`` from ``start`` on."""
+    events = synthetic_events(spark, rate * seconds, seed)
+    event_type = _weighted(
+        _draw(seed, "event_type", F.col("event_id"), 100), STREAM_EVENT_TYPE_WEIGHTS
+    )
+    return events.withColumns(
+        {
+            "event_type": event_type,
+            "timestamp": F.lit(float(start)) + F.col("event_id") / F.lit(rate),
+        }
+    ).select(STREAM_EVENT.fieldNames())

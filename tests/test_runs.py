@@ -10,6 +10,7 @@ from tallyloom.jobs import cli
 from tallyloom.operators.fingerprint import table_diff
 from tallyloom.operators.runs import run_metrics, speedup
 from tallyloom.plans import feature_run
+from tallyloom.sources.schemas import WINDOW_RESULT
 from tallyloom.sources.shop import synthetic_events
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -105,6 +106,17 @@ def test_speedup_picks_runs_by_label(spark):
     assert speedup(runs, "a", "missing").first().speedup is None
 
 
+def test_generated_stream_is_read_on_time(spark, job, tmp_path):
+    """Events from now on are not late, and reach the windows."""
+    lines, out = str(tmp_path / "lines"), str(tmp_path / "out")
+    job("generate-stream", "--rate", "50", "--duration", "60", "--output", lines)
+    job("stream", "--input", lines, "--output", out, "--checkpoint", str(tmp_path / "ck"))
+    windows = spark.read.schema(WINDOW_RESULT).json(f"{out}/windows").collect()
+    assert 2 <= len(windows) <= 4
+    assert all(w.late_dropped == 0 and sum(w.counts_by_type.values()) == w.events_processed for w in windows)
+    assert spark.read.parquet(f"{out}/events").count() == 3000
+
+
 def test_stream_job_and_load_summary(spark, job, tmp_path):
     lines = [
         json.dumps({"event_id": i, "timestamp": 1.7e9 + i, "event_type": "view", "arrival": 1.7e9 + i + 1,

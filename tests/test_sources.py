@@ -5,12 +5,14 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.fingerprint import content_hash
 from tallyloom.sources.readers import read_csv, read_parquet
-from tallyloom.sources.schemas import BATCH_EVENT
+from tallyloom.sources.schemas import BATCH_EVENT, STREAM_EVENT
 from tallyloom.sources.shop import (
     CATEGORIES,
     EVENT_TYPE_WEIGHTS,
     RATING_WEIGHTS,
+    STREAM_EVENT_TYPE_WEIGHTS,
     synthetic_events,
+    synthetic_stream_events,
 )
 from tallyloom.sources.writers import write_by_date, write_csv, write_events, write_parquet
 from tallyloom.workspace import new_folder
@@ -51,6 +53,20 @@ def test_schema_domains_and_weights(spark):
     assert {r.category for r in events.select("category").distinct().collect()} == set(CATEGORIES)
 
 
+def test_stream_events_come_at_the_rate(spark):
+    events = synthetic_stream_events(spark, rate=500, seconds=20)
+    assert [(f.name, f.dataType) for f in events.schema] == [
+        (f.name, f.dataType) for f in STREAM_EVENT
+    ]
+    assert events.count() == 10_000
+    per_second = events.groupBy(F.floor("timestamp").alias("s")).count().collect()
+    assert len(per_second) == 20 and {r["count"] for r in per_second} == {500}
+    types = {r.event_type: r["count"] for r in events.groupBy("event_type").count().collect()}
+    for name, weight in STREAM_EVENT_TYPE_WEIGHTS.items():
+        assert abs(types.pop(name) / 10_000 - weight) < 0.02
+    assert not types
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_round_trip(spark, tmp_path, fmt):
     events = synthetic_events(spark, 1000)
