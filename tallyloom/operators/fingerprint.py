@@ -86,7 +86,9 @@ def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     if sorted(names) != sorted(right.columns):
         raise ValueError(f"columns differ: {sorted(names)} and {sorted(right.columns)}")
     sides = [
-        table.select(*[_plain(f).alias(f.name) for f in table.schema.fields], F.lit(n).alias("side"))
+        table.select(
+            *[_plain(f).alias(f.name) for f in table.schema.fields], F.lit(n).alias("side")
+        )
         for table, n in ((left, 1), (right, -1))
     ]
     surplus = (

@@ -66,7 +66,7 @@ def rank_percentiles(
             F.least(F.floor(F.col("count") * F.col("wanted.q")), F.col("count") - 1)
             - (F.col("upto") - F.col("n")),
         )
-        .filter((F.col("position") >= 0) & (F.col("position") < F.col("n")))
+        .filter(F.col("position").between(0, F.col("n") - 1))
         .select(*groups, "bucket", "count", "position", F.col("wanted.rank").alias("rank"))
     )
     if not by:
@@ -85,7 +85,7 @@ def rank_percentiles(
         left.join(right, same)
         .select(*[f"h.{name}" for name in groups], "h.value", "h.n", "count", "position", "rank")
         .withColumn("upto", F.sum("n").over(within))
-        .filter((F.col("position") >= F.col("upto") - F.col("n")) & (F.col("position") < F.col("upto")))
+        .filter(F.col("position").between(F.col("upto") - F.col("n"), F.col("upto") - 1))
     )
     columns = [F.max(F.when(F.col("rank") == name, F.col("value"))).alias(name) for name in ranks]
     count = F.max("count").alias("count")

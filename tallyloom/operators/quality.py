@@ -31,7 +31,9 @@ def parse_totals(parsed: DataFrame) -> DataFrame:
     )
 
 
-def dedup_events(events: DataFrame, key: str = "event_id", first_by: str | None = None) -> DataFrame:
+def dedup_events(
+    events: DataFrame, key: str = "event_id", first_by: str | None = None
+) -> DataFrame:
     """One row per ``key``; rows without a key are all kept, as none is a known copy.
 
     Copies are equal when a sender repeats itself, and then any will do. Where

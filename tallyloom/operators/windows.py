@@ -48,7 +48,8 @@ def window_cells(
     if watermark_seconds is not None:
         timed = timed.withWatermark("event_time", f"{watermark_seconds} seconds")
     on_time = ~F.coalesce("late", F.lit(False))
-    revenue = money_sums("revenue", F.col("price"), F.col("quantity"), on_time & is_type("purchase"))
+    sold = on_time & is_type("purchase")
+    revenue = money_sums("revenue", F.col("price"), F.col("quantity"), sold)
     return timed.groupBy(
         F.window("event_time", f"{width_seconds} seconds").alias("window"),
         "category",

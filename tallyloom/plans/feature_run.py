@@ -55,9 +55,8 @@ def run(spark: SparkSession, events: DataFrame, output: str, label: str = "run")
     started = time.monotonic()
     write_features(events, output)
     tables = read_features(spark, output)
-    counted = row_counts(
-        {"rows_processed": events, **{f"{name.removesuffix("s")}_rows": t for name, t in tables.items()}}
-    ).first()
+    written = {f"{name.removesuffix('s')}_rows": table for name, table in tables.items()}
+    counted = row_counts({"rows_processed": events, **written}).first()
     metrics = spark.range(1).select(
         F.lit(label).alias("label"),
         F.lit(spark.sparkContext.master).alias("master"),

@@ -117,7 +117,8 @@ def _percentiles(by: str, source: str = "timed") -> str:
     part = f"PARTITION BY {by}" if by else ""
     keys = f"{by}, " if by else ""
     at = ",\n  ".join(
-        f"max(CASE WHEN i = CAST(floor(n * CAST({q} AS DOUBLE)) AS BIGINT) THEN latency_ms END) AS p{p}"
+        f"max(CASE WHEN i = CAST(floor(n * CAST({q} AS DOUBLE)) AS BIGINT) "
+        f"THEN latency_ms END) AS p{p}"
         for p, q in ((50, "0.5"), (95, "0.95"), (99, "0.99"))
     )
     group = f"GROUP BY {by}" if by else ""
@@ -245,7 +246,8 @@ SELECT count(*) AS row_count,
   CAST(sum(CAST(CAST('0x' || substr(digest, 16, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS hash_b
 FROM digests""",
         "table_diff": f"""{SHOP}, changed AS (
-  SELECT * REPLACE (CASE WHEN event_id % 97 = 0 THEN price + 1 ELSE price END AS price) FROM shop
+  SELECT * REPLACE (CASE WHEN event_id % 97 = 0 THEN price + 1 ELSE price END AS price)
+  FROM shop
   UNION ALL SELECT * FROM shop WHERE event_id % 89 = 0)
 SELECT (SELECT count(*) FROM (SELECT * FROM shop EXCEPT ALL SELECT * FROM changed)) AS only_left,
   (SELECT count(*) FROM (SELECT * FROM changed EXCEPT ALL SELECT * FROM shop)) AS only_right""",

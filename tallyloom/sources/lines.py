@@ -38,6 +38,8 @@ def parse_lines(
         .filter(F.col("event").isNotNull())
         .select(
             *[F.col(f"event.{name}").alias(name) for name in schema.fieldNames()],
-            F.coalesce(f"event.{CORRUPT}", F.when(_more_than_one_object(text), text)).alias(CORRUPT),
+            F.coalesce(f"event.{CORRUPT}", F.when(_more_than_one_object(text), text)).alias(
+                CORRUPT
+            ),
         )
     )

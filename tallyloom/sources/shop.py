@@ -51,8 +51,8 @@ def _epoch_micros(ts: str = "ts") -> Column:
     # its daylight saving play no role.
     days = F.unix_date(F.col(ts).cast("date")).cast("bigint")
     minutes = (days * 24 + F.hour(ts)) * 60 + F.minute(ts)
-    second = F.date_part(F.lit("SECOND"), F.col(ts))
-    return minutes * 60_000_000 + (second * 1_000_000).cast("bigint")
+    second = F.date_part(F.lit("SECOND"), F.col(ts)).cast("double")
+    return minutes * 60_000_000 + F.rint(second * 1e6).cast("bigint")
 
 
 def _shared_columns() -> list[Column]:

@@ -34,7 +34,8 @@ def _ordered(rows):
 def differences(df, con, sql):
     """What differs, as text; empty when both results are the same."""
     relation = con.sql(sql)
-    want_types = {n: SAME_TYPES.get(str(t), str(t)) for n, t in zip(relation.columns, relation.types)}
+    kinds = zip(relation.columns, map(str, relation.types))
+    want_types = {name: SAME_TYPES.get(kind, kind) for name, kind in kinds}
     got_types = dict(df.dtypes)
     if want_types != got_types:
         return f"types: SQL {want_types}, Spark {got_types}"

@@ -164,7 +164,8 @@ def test_hot_groups_against_brute_force(spark):
     for key, group in groups:
         assert products[key]["unique_buyers"] == group.user_id.nunique()
         assert math.isclose(products[key]["avg_price"], group.price.mean(), rel_tol=1e-12)
-        assert math.isclose(products[key]["total_revenue"], revenue[key[0]], rel_tol=1e-12, abs_tol=1e-12)
+        got = products[key]["total_revenue"]
+        assert math.isclose(got, revenue[key[0]], rel_tol=1e-12, abs_tol=1e-12)
     categories = by(category_features(events), "category")
     for category, group in pdf.groupby("category"):
         assert categories[category]["unique_users"] == group.user_id.nunique()

@@ -31,7 +31,8 @@ def test_null_and_boundaries_between_columns_matter(spark, digest):
     def table(*rows):
         return spark.createDataFrame(rows, "a string, b string")
 
-    seen = [digest(table(r)) for r in [(None, "1"), ("1", None), ("", "1"), ("1", ""), ("n;", None)]]
+    rows = [(None, "1"), ("1", None), ("", "1"), ("1", ""), ("n;", None)]
+    seen = [digest(table(row)) for row in rows]
     assert len(set(seen)) == len(seen)
     assert digest(table(("ab", "c"))) != digest(table(("a", "bc")))
 

@@ -4,6 +4,7 @@ import pytest
 from helpers import arrived, by
 
 from tallyloom.operators.latency import (
+    RANKS,
     latency_percentiles,
     load_level_summary,
     rank_percentiles,
@@ -13,7 +14,7 @@ from tallyloom.operators.latency import (
 def brute(values):
     values = sorted(values)
     n = len(values)
-    at = {name: values[min(int(n * q), n - 1)] for name, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))}
+    at = {name: values[min(int(n * q), n - 1)] for name, q in RANKS.items()}
     return {**at, "count": n}
 
 
@@ -75,7 +76,9 @@ def test_load_level_with_only_late_events_has_no_window(spark):
         {"user_id": 1, "timestamp": t, "arrival": t + 50},
         {"user_id": 2, "timestamp": t, "arrival": t + 1},
         {"user_id": 2, "timestamp": t + 10, "arrival": t + 12},
-    ).withColumns({"label": F.col("user_id").cast("string"), "rate": F.lit(5), "burst": F.lit(False)})
+    ).withColumns(
+        {"label": F.col("user_id").cast("string"), "rate": F.lit(5), "burst": F.lit(False)}
+    )
     rows = by(load_level_summary(events), "label")
     assert (rows["1"]["windows"], rows["1"]["count"]) == (0, 1)
     assert (rows["2"]["windows"], rows["2"]["p50"]) == (2, 2000.0)

@@ -8,7 +8,9 @@ import __spark_entry__ as contract
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = contract.queries()
-LAZY = sorted(n for n in QUERIES if not n.startswith(("stream_", "sink_", "feature_run", "event_date")))
+WRITING = ("stream_", "sink_", "feature_run", "event_date")
+LAZY = sorted(name for name in QUERIES if not name.startswith(WRITING))
+NESTED = {"window_result_nested", "window_result_entries"}
 
 
 def plan(spark, name):
@@ -26,7 +28,7 @@ def test_no_cross_join_no_python_no_sets(spark, name):
         assert word not in text, word
 
 
-@pytest.mark.parametrize("name", sorted(set(LAZY) - {"window_result_nested", "window_result_entries"}))
+@pytest.mark.parametrize("name", sorted(set(LAZY) - NESTED))
 def test_nothing_collects_lists(spark, name):
     assert "collect_list" not in plan(spark, name)
 
@@ -44,7 +46,9 @@ def test_distinct_values_are_spread_by_key_and_value(spark, name):
         assert len(pair.split(",")) == keys + 2  # keys, value, number of partitions
 
 
-@pytest.mark.parametrize("name", ["purchases_spend", "user_spend", "product_revenue", "category_revenue"])
+@pytest.mark.parametrize(
+    "name", ["purchases_spend", "user_spend", "product_revenue", "category_revenue"]
+)
 def test_purchase_filter_reaches_the_scan(spark, name):
     assert re.search(r"PushedFilters: \[.*EqualTo\(event_type,purchase\)", plan(spark, name))
 
@@ -74,3 +78,15 @@ def test_histogram_is_built_once(spark):
     df = QUERIES["latency_percentiles"](spark, SF_DIR)
     df.collect()
     assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("order", [None, "arrival"])
+def test_copies_are_dropped_before_the_shuffle(spark, order):
+    from helpers import arrived
+
+    from tallyloom.operators.quality import dedup_events
+
+    df = dedup_events(arrived(spark, {}, {}), first_by=order)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    below = text[text.index("Exchange hashpartitioning(event_id") :]
+    assert re.search(r"partial_(min|any_value|first)\(", below)

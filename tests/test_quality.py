@@ -6,7 +6,8 @@ from tallyloom.sources.readers import read_json_lines
 from tallyloom.sources.schemas import CORRUPT
 
 GOOD = [
-    '{"event_id":1,"category":"books","event_type":"view","price":2.5,"quantity":3,"timestamp":10.5}',
+    '{"event_id":1,"category":"books","event_type":"view","price":2.5,"quantity":3,'
+    '"timestamp":10.5}',
     '  {"event_id":2,"timestamp":11}  ',
     '{"event_id":3,"timestamp":12,"extra":{"a":{"b":1}}}',
     '{"event_id":4,"timestamp":13,"category":"a}{b"}',
@@ -51,7 +52,8 @@ def test_read_json_lines(spark, tmp_path):
 
 
 def test_totals_of_nothing(spark):
-    assert parse_totals(parse_lines(text(spark, []))).first().asDict() == {"processed": 0, "errors": 0}
+    totals = parse_totals(parse_lines(text(spark, [])))
+    assert totals.first().asDict() == {"processed": 0, "errors": 0}
 
 
 def test_one_row_per_event_id(spark):
