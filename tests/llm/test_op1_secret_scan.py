@@ -1,0 +1,90 @@
+import base64
+import hashlib
+import json
+import re
+import struct
+
+from tallyloom.llm import secret_scan as s
+from tallyloom.llm.queries import QUERIES
+
+
+def der(tag, *parts):
+    body = b"".join(parts)
+    size = bytes([len(body)]) if len(body) < 128 else bytes([0x82]) + len(body).to_bytes(2, "big")
+    return bytes([tag]) + size + body
+
+
+def rsa_key():
+    return der(s.SEQUENCE, der(2, b"\x00"), *[der(2, bytes([i + 1]) * 64) for i in range(8)])
+
+
+def openssh_key():
+    field = lambda x: struct.pack(">I", len(x)) + x
+    return s.OPENSSH_MAGIC + field(b"none") * 2 + field(b"") + struct.pack(">I", 1) + field(b"p" * 40) + field(b"k" * 90)
+
+
+def token(header, size):
+    part = lambda x: base64.urlsafe_b64encode(x).rstrip(b"=").decode()
+    return ".".join([part(json.dumps(header).encode()), part(b'{"sub": "me"}'), part(b"\x07" * size)])
+
+
+def kinds(text):
+    return [k for k, _, _ in s.confirmed_spans(text)]
+
+
+def test_base_matches_are_dropped_after_matching():
+    text = "secret: passwd: hunter2hunter2 TOKEN='abcdefgh' api_key=short paſsword=abcdefghij"
+    assert s.base_spans(text) == [("assign", text.index("TOKEN"), text.index("abcdefgh") + 8)]
+    assert s.base_spans("AKIA" + "A" * 11) == []
+    assert s.base_spans("x" + "AKIA" + "A" * 12) == [("access", 1, 17)]
+    assert s.base_spans("0" * 31 + " " + "a" * 32) == [("hex", 32, 64)]
+
+
+def test_keys_are_parsed_before_they_are_reported():
+    key = base64.b64encode(rsa_key()).decode()
+    lines = "\n".join(re.findall(".{1,64}", key))
+    assert kinds(f"a -----BEGIN RSA PRIVATE KEY-----\n{lines}\n-----END RSA PRIVATE KEY----- b") == ["pem"]
+    assert kinds(f"key {key} end") == ["key64"]
+    assert kinds(f"key {rsa_key().hex()} end") == ["keyhex"]
+    assert kinds(f"key {base64.b64encode(openssh_key()).decode()} end") == ["key64"]
+    broken = bytearray(rsa_key())
+    broken[5] += 1  # a nested length that no longer ends where its parent does
+    assert kinds(f"key {base64.b64encode(bytes(broken)).decode()} end") == []
+    assert kinds(f"key {base64.b64encode(rsa_key()[:-1]).decode()} end") == []
+    assert kinds("M" + "a" * 80) == []
+
+
+def test_private_key_forms():
+    algorithm = der(s.SEQUENCE, der(s.OID, b"\x2a\x86\x48\x86"), der(5))
+    assert s.is_der_key(der(s.SEQUENCE, der(2, b"\x00"), algorithm, der(4, rsa_key())))
+    assert s.is_der_key(der(s.SEQUENCE, algorithm, der(4, b"e" * 32)))
+    assert s.is_der_key(der(s.SEQUENCE, der(2, b"\x01"), der(4, b"k" * 32), der(0xA0, der(s.OID, b"\x2a\x86\x48"))))
+    assert not s.is_der_key(der(s.SEQUENCE, algorithm, der(3, b"public" * 8)))
+
+
+def test_signed_tokens():
+    good = token({"alg": "HS256"}, 32)
+    assert s.confirmed_spans(f"x {good} y") == [("jwt", 2, 2 + len(good))]
+    assert kinds(token({"alg": "HS256"}, 31)) == kinds(token({"alg": "none"}, 32)) == kinds(token({"a": 1}, 32)) == []
+
+
+def test_redaction_joins_overlaps():
+    assert s.redacted("abcdefghij", [("hex", 2, 5), ("key64", 3, 6), ("jwt", 8, 9)], "#") == "ab#gh#j"
+
+
+def test_query_edges(spark, documents, as_tables):
+    long = "é " * 200_000 + "password=" + "s" * 40
+    docs = documents(None, "", long, long, "TOKEN=abcdefgh", (None, "token=12345678", None), extra="spans string, id string")
+    rows = QUERIES["op1_secret_scans"](spark, as_tables(documents=docs)).collect()
+    by_id = {r.doc_id: r for r in rows}
+    assert len(rows) == 6 and by_id[0].spans == by_id[1].spans == ""
+    assert by_id[0].base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert by_id[2].spans == by_id[3].spans == "assign:400000:400049"
+    assert by_id[None].n_assign == 1
+    empty = as_tables(documents=docs.where("false"))
+    assert QUERIES["op1_secret_scans"](spark, empty).count() == 0
+
+
+def test_redacted_rows_keep_other_columns(spark, documents):
+    rows = s.redact_secrets(documents("a token=abcdefgh b", None, "clean", extra="spans string")).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == ["a [secret] b", None, "clean"] and rows[0].spans == "x"
