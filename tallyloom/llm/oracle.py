@@ -49,6 +49,85 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM failures LEFT JOIN rejected ON failures.source IS NOT DISTINCT FROM rejected.source
 """
 
+
+
+def crc32_table() -> list[int]:
+    """CRC-32 of each byte: eight steps of the reversed polynomial."""
+    out = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ 0xEDB88320 * (value & 1)
+        out.append(value)
+    return out
+
+
+def _winner(nodes: str, name: str, weight: str) -> str:
+    """The number of the child with the smallest draw, by row."""
+    draw = f"-ln((('0x' || md5(key || '/' || {name})[1:13])::BIGINT + 0.5) / 4503599627370496.0) / {weight}"
+    return f"(SELECT arg_min(c, {draw}) FROM (SELECT unnest({nodes}) AS c))"
+
+
+def _place(regions: int, into: str) -> str:
+    """40 shards of weight 1 in racks of 4 and regions of 2 racks; a sixth region is one shard."""
+    return f"""
+    {into}_region AS (
+        SELECT *, {_winner(f"range({regions})", "c", "CASE WHEN c < 5 THEN 8 ELSE 1 END")} AS g FROM {into}_input
+    ), {into}_rack AS (
+        SELECT *, {_winner("range(CASE WHEN g < 5 THEN 2 ELSE 1 END)", "g || '.' || c", "CASE WHEN g < 5 THEN 4 ELSE 1 END")} AS k
+        FROM {into}_region
+    ), {into}_placed AS (
+        SELECT * EXCLUDE (g, k),
+               {_winner("range(8 * g + 4 * k, 8 * g + 4 * k + CASE WHEN g < 5 THEN 4 ELSE 1 END)", "g || '.' || k || '.' || c", "1")}::INTEGER AS {into}
+        FROM {into}_rack
+    )"""
+
+
+SHARDING = f"""
+WITH documents_bytes AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits, row_number() OVER () AS r FROM documents
+), steps AS (
+    SELECT *, list_transform(range(len(digits) // 2),
+                             lambda i: ('0x' || digits[2 * i + 1:2 * i + 2])::BIGINT) AS bytes
+    FROM documents_bytes
+), sums AS (
+    SELECT doc_id, coalesce(doc_id::VARCHAR, 'null') AS key, len(bytes) + 16 AS size,
+           xor(list_reduce(list_concat([4294967295], bytes),
+               lambda crc, b: xor(crc >> 8, ({crc32_table()})[(xor(crc, b) & 255) + 1])), 4294967295) AS text_crc32
+    FROM steps
+), shard_input AS (SELECT * FROM sums), {_place(5, "shard")},
+grown_shard_input AS (SELECT * FROM shard_placed), {_place(6, "grown_shard")}
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (
+           PARTITION BY shard ORDER BY md5(key || '/' || size || '/' || text_crc32)[1:2], doc_id, size, text_crc32
+       ) - 1 AS slot, grown_shard
+FROM grown_shard_placed
+"""
+
+URL_FILTERS = r"""
+WITH rules(action, host, path) AS (
+    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+           ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), parts AS (
+    SELECT page_id, row_number() OVER () AS r,
+           CASE WHEN position('://' IN url) > 0 THEN substring(url, position('://' IN url) + 3) ELSE '' END AS rest
+    FROM pages
+), urls AS (
+    SELECT page_id, r,
+           translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM parts
+), best AS (
+    SELECT r, arg_max(rules.host || rules.path, length(rules.host || rules.path)) AS rule,
+           arg_max(action, length(rules.host || rules.path)) AS action
+    FROM urls JOIN rules
+      ON (urls.host = rules.host OR ends_with(urls.host, '.' || rules.host)) AND starts_with(urls.path, rules.path)
+    GROUP BY r
+)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM urls LEFT JOIN best USING (r)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_quality_rules": QUALITY_RULES,
+    "op4_sharding": SHARDING,
+    "op5_url_filters": URL_FILTERS,
 }

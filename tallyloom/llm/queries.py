@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.byte_bpe import encode_texts
+from tallyloom.llm.fingerprints import as_hex, fingerprinted, likeness, packed, with_following
+from tallyloom.llm.hash_tree import even_tree, grown, with_shard, with_slot
 from tallyloom.llm.quality_rules import COUNTS, base_failed, quality_verdicts, with_counts
 from tallyloom.llm.secret_scan import scan_secrets
-from tallyloom.llm.tables import table, written
+from tallyloom.llm.tables import table, text_or_empty, written
+from tallyloom.llm.url_filter import RULES, judge_urls
 
 
 def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +29,58 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, base_failed(F.col("counts")).alias("base_failed"), "kept")
 
 
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", text_or_empty("text").alias("text"))
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    carried = {"text": "next_text", "fingerprint": "next_fingerprint"}
+    paired = with_following(fingerprinted(documents), "doc_id", "text", carried, buckets)
+    n = F.char_length("text")
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
+    paired = paired.withColumn("edited", edited).withColumn("edited_fingerprint", packed(F.col("edited")))
+    own = F.col("fingerprint")
+    return paired.select(
+        "doc_id",
+        n.cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        as_hex(own).alias("fingerprint"),
+        as_hex(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        likeness(own, F.col("edited_fingerprint")).alias("near_edited"),
+        likeness(own, F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = even_tree(40)
+    text = text_or_empty("text")
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(F.encode(text, "utf-8")).alias("text_crc32"),
+        F.lit("key").alias("law"),
+    )
+    placed = with_shard(with_shard(documents, "doc_id", tree, "shard"), "doc_id", grown(tree), "grown_shard")
+    order = ["doc_id", "size", "text_crc32"]
+    return with_slot(written(placed, "shards"), "shard", order, "slot").select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
+    )
+
+
+#: The rules to apply.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_urls(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     documents = table(spark, sf_dir, "documents")
@@ -42,5 +97,8 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": secret_scans,
     "op2_quality_rules": quality_rules,
+    "op3_document_fingerprints": document_fingerprints,
+    "op4_sharding": sharding,
+    "op5_url_filters": url_filters,
     "op10_byte_bpe": byte_bpe,
 }

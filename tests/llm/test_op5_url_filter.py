@@ -1,0 +1,52 @@
+import random
+import re
+
+import pytest
+
+from tallyloom.llm import url_filter as u
+from tallyloom.llm.queries import QUERIES, URL_RULES
+
+
+def brute(url, rules):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = [(len(h + p), len(h), a == "block", h + p) for a, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fits, default=None)
+    return host, path, best and best[3], "block" if best and best[2] else "allow"
+
+
+URLS = [
+    None, "", "no scheme", "://", "http://", "https://EXAMPLE.ORG/es/1", "https://example.org", "https://example.org?x=/es/",
+    "http://a.b.example.org/en/10#f", "http://notexample.org/en/1", "http://x.com/de/", "http://x.com/fr/1?q=://y.org/es/",
+    "http://com/de/1", "http://É.com/DE/", "a://b://c/d", "http://x.com:80/de/1", "http://..org/", "http://h\n.org/a\nb",
+    "http://" + "a." * 3000 + "org/" + "p/" * 30_000, "http://x.org/é/ü?#",
+]
+
+
+@pytest.mark.parametrize("limit", [u.BROADCAST_RULES, 0])
+def test_against_brute_force(spark, limit):
+    rnd = random.Random(8)
+    words = ["a", "b", "org", "com"]
+    urls = URLS + ["s://" + ".".join(rnd.choices(words, k=rnd.randint(1, 4))) + "/" + "/".join(rnd.choices(words, k=rnd.randint(0, 3))) for _ in range(200)]
+    rules = URL_RULES + [(rnd.choice(["allow", "block"]), ".".join(rnd.choices(words, k=rnd.randint(1, 3))), "/" + "/".join(rnd.choices(words, k=rnd.randint(0, 2)))) for _ in range(30)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = u.judge_urls(pages, spark.createDataFrame(rules, u.RULES), broadcast_rules=limit).collect()
+    assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got} == {i: brute(x, rules) for i, x in enumerate(urls)}
+
+
+def test_query_edges(spark, as_tables):
+    rows = [(1, "http://x.com/de/", "<p>")] * 300 + [(None, None, None), (2, None, ""), (None, "http://x.com/de/", "")]
+    pages = spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, host string, rule string")
+    got = QUERIES["op5_url_filters"](spark, as_tables(pages=pages)).collect()
+    assert sorted((str(r.page_id), str(r.rule), r.verdict) for r in got) == sorted(
+        [("1", "com/de/", "block")] * 300 + [("None", "None", "allow"), ("2", "None", "allow"), ("None", "com/de/", "block")]
+    )
+    assert QUERIES["op5_url_filters"](spark, as_tables(pages=pages.where("false"))).count() == 0
+
+
+def test_no_rules(spark):
+    pages = spark.createDataFrame([(1, "http://x.com/")], "page_id long, url string")
+    none = spark.createDataFrame([], u.RULES)
+    assert [(r.rule, r.verdict) for r in u.judge_urls(pages, none).collect()] == [(None, "allow")]
