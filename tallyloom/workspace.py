@@ -1,7 +1,9 @@
-"""Folders for data a job writes and reads back."""
+"""Folders for data a job writes and reads back, and this package for Python workers."""
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -24,3 +26,18 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="tallyloom-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives this package to the session's Python workers, which needn't have it installed."""
+    context = spark.sparkContext
+    package = os.path.dirname(os.path.abspath(__file__))
+    if context.applicationId in _shipped or not os.path.isdir(package):
+        return
+    parent, name = os.path.split(package)
+    archive = os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), name)
+    context.addPyFile(shutil.make_archive(archive, "zip", parent, name))
+    _shipped.add(context.applicationId)
