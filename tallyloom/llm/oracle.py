@@ -126,8 +126,51 @@ WITH rules(action, host, path) AS (
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM urls LEFT JOIN best USING (r)
 """
 
+SOURCE_MIXING = r"""
+WITH sizes AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           row_number() OVER () AS r
+    FROM documents
+), placed AS (
+    SELECT *, sum(size) OVER (
+               PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, 'null') || '/' || size), size, r
+               ROWS UNBOUNDED PRECEDING
+           ) AS until
+    FROM sizes
+), sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS turn
+    FROM sizes GROUP BY source
+), weighed AS (
+    SELECT *, ([5, 2, 1])[(turn - 1) % 3 + 1] AS weight, 3 * source_size AS most FROM sources
+), rising AS (
+    SELECT *, sum(source_size) OVER () - coalesce(sum(most) OVER earlier, 0) AS rest,
+           sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0) AS rest_weight
+    FROM weighed
+    WINDOW earlier AS (ORDER BY most / weight, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), held AS (
+    SELECT *, most::HUGEINT * rest_weight < rest::HUGEINT * weight AS held FROM rising
+), targets AS (
+    SELECT source, source_size, turn,
+           CASE WHEN held THEN most::DOUBLE
+                ELSE weight::DOUBLE * (first(rest) OVER w)::DOUBLE / (first(rest_weight) OVER w)::DOUBLE END AS target
+    FROM held WINDOW w AS (PARTITION BY held ORDER BY most / weight, turn)
+), copies AS (
+    SELECT r, size, turn, until + e * source_size AS until, (until + e * source_size)::DOUBLE / target AS finish
+    FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source, range(3) AS t(e)
+    WHERE size > 0 AND target > 0
+), taken AS (
+    SELECT r, greatest(0, least(size, (SELECT sum(size) FROM sizes)
+               - (sum(size) OVER (ORDER BY finish, turn, until ROWS UNBOUNDED PRECEDING) - size))) AS taken
+    FROM copies
+)
+SELECT doc_id, size, source_size, target, coalesce(sum(taken), 0)::BIGINT AS taken
+FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source LEFT JOIN taken USING (r)
+GROUP BY r, doc_id, size, source_size, target
+"""
+
 ORACLES: dict[str, str] = {
     "op2_quality_rules": QUALITY_RULES,
     "op4_sharding": SHARDING,
     "op5_url_filters": URL_FILTERS,
+    "op6_source_mixing": SOURCE_MIXING,
 }

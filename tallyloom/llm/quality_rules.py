@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.llm.tables import text_buffers, unused
+from tallyloom.llm.tables import arrow_rows, text_buffers, unused
 from tallyloom.llm.words import text_words, windows
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -98,7 +98,7 @@ def with_counts(df: DataFrame, text_column: str, into: str) -> DataFrame:
             columns = [*batch.columns, text_counts(batch.column(at))]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, into])
 
-    return df.mapInArrow(run, schema)
+    return arrow_rows(df, run, schema)
 
 
 def base_failed(counts: Column, limits: Limits = Limits()) -> Column:

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from tallyloom.llm.byte_bpe import encode_texts
 from tallyloom.llm.fingerprints import as_hex, fingerprinted, likeness, packed, with_following
 from tallyloom.llm.hash_tree import even_tree, grown, with_shard, with_slot
+from tallyloom.llm.mixing import mix, word_count
 from tallyloom.llm.quality_rules import COUNTS, base_failed, quality_verdicts, with_counts
 from tallyloom.llm.secret_scan import scan_secrets
 from tallyloom.llm.tables import table, text_or_empty, written
+from tallyloom.llm.token_files import WordIds, encode_files, read_files
 from tallyloom.llm.url_filter import RULES, judge_urls
 
 
@@ -81,6 +83,25 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    documents = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    mixed = mix(documents, "source", F.col("size"), [F.col("doc_id"), F.col("size")])
+    return mixed.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+#: Fixed value: the id that ends each document.
+END_ID = 2
+
+
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = encode_files(table(spark, sf_dir, "documents"), lambda: WordIds.load(path).encode, END_ID, parts)
+    read = read_files(written(files, "token-files"))
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     documents = table(spark, sf_dir, "documents")
@@ -100,5 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_document_fingerprints": document_fingerprints,
     "op4_sharding": sharding,
     "op5_url_filters": url_filters,
+    "op6_source_mixing": source_mixing,
+    "op9_token_files": token_files,
     "op10_byte_bpe": byte_bpe,
 }

@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tallyloom.workspace import new_folder
+from tallyloom.workspace import new_folder, ship_package
 
 #: What separates words, as a class of both regex dialects and as bytes.
 SPACES = r"\x20\x09-\x0D"
@@ -29,8 +30,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def arrow_rows(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
+) -> DataFrame:
+    """``run`` on the Arrow batches of each partition."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def map_arrow(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType
 ) -> DataFrame:
     """``work`` on each Arrow batch of ``df``."""
 
@@ -39,7 +48,7 @@ def map_arrow(
             if batch.num_rows and (out := work(batch)) is not None:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return arrow_rows(df, run, schema)
 
 
 def unused(df: DataFrame, name: str) -> str:
