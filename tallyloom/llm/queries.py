@@ -12,6 +12,7 @@ from tallyloom.llm.byte_bpe import encode_texts
 from tallyloom.llm.fingerprints import as_hex, fingerprinted, likeness, packed, with_following
 from tallyloom.llm.hash_tree import even_tree, grown, with_shard, with_slot
 from tallyloom.llm.mixing import mix, word_count
+from tallyloom.llm.page_text import extract_text
 from tallyloom.llm.quality_rules import COUNTS, base_failed, quality_verdicts, with_counts
 from tallyloom.llm.secret_scan import scan_secrets
 from tallyloom.llm.tables import table, text_or_empty, written
@@ -90,6 +91,10 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 #: Fixed value: the id that ends each document.
 END_ID = 2
 
@@ -122,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": sharding,
     "op5_url_filters": url_filters,
     "op6_source_mixing": source_mixing,
+    "op7_html_extraction": html_extraction,
     "op9_token_files": token_files,
     "op10_byte_bpe": byte_bpe,
 }
