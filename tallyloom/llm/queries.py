@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.byte_bpe import encode_texts
 from tallyloom.llm.fingerprints import as_hex, fingerprinted, likeness, packed, with_following
 from tallyloom.llm.hash_tree import even_tree, grown, with_shard, with_slot
+from tallyloom.llm.jaccard_join import linked_documents
 from tallyloom.llm.mixing import mix, word_count
 from tallyloom.llm.page_text import extract_text
 from tallyloom.llm.quality_rules import COUNTS, base_failed, quality_verdicts, with_counts
@@ -95,6 +96,10 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_documents(table(spark, sf_dir, "documents"))
+
+
 #: Fixed value: the id that ends each document.
 END_ID = 2
 
@@ -128,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filters": url_filters,
     "op6_source_mixing": source_mixing,
     "op7_html_extraction": html_extraction,
+    "op8_ngram_jaccard_join": ngram_jaccard_join,
     "op9_token_files": token_files,
     "op10_byte_bpe": byte_bpe,
 }
