@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
-from tallyloom.llm.tables import arrow_rows, map_arrow, text_buffers, written
+from tallyloom.llm.tables import arrow_rows, map_arrow, text_buffers, unused, written
 from tallyloom.llm.words import shingle_set, text_words
 
 WIDTH, PERCENT = 5, 80
@@ -74,20 +74,21 @@ def bands_of(windows: np.ndarray) -> list[int]:
 
 
 def described(docs: DataFrame, width: int) -> DataFrame:
-    """Per row of (id, text): id, n, class, bands."""
+    """Per row: its columns except ``text``, and n, class, bands."""
+    at = docs.columns.index("text")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         n, classes, bands = [], [], []
-        for windows in sets_of(batch.column(1), width):
+        for windows in sets_of(batch.column(at), width):
             n.append(len(windows))
             classes.append(class_of(windows) if len(windows) else None)
             bands.append(bands_of(windows) if len(windows) else [])
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(classes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            ["id", "n", "class", "bands"],
-        )
+        found = [pa.array(n, pa.int64()), pa.array(classes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+        keys = [(name, column) for name, column in zip(batch.schema.names, batch.columns) if name != "text"]
+        return pa.RecordBatch.from_arrays([c for _, c in keys] + found, [x for x, _ in keys] + ["n", "class", "bands"])
 
-    return map_arrow(docs, work, f"id {dict(docs.dtypes)['id']}, n long, class binary, bands array<long>")
+    keys = [f"{name} {kind}" for name, kind in docs.dtypes if name != "text"]
+    return map_arrow(docs, work, ", ".join([*keys, "n long, class binary, bands array<long>"]))
 
 
 def frequent_windows(docs: DataFrame, width: int, entries: int = ORDERED) -> tuple[np.ndarray, np.ndarray]:
@@ -304,15 +305,13 @@ def matched_pairs(matches: DataFrame, percent: int) -> DataFrame:
     return counted.where("matches >= wanted").select("a", "b")
 
 
-def linked_documents(
-    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, percent: int = PERCENT
-) -> DataFrame:
-    """Per row: id, ``n_shingles``, ``component_id`` (the smallest id reachable by links, its own included)."""
-    docs = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+def groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """For (id, text, ...): written rows of all columns but ``text`` with n and class, and (class, group).
+
+    A group is the smallest class of a component. Rows without windows have a null class and no group.
+    """
     rows = written(described(docs, width), "sets")
-    classes = rows.where("n > 0").groupBy("class").agg(
-        F.min("id").alias("first_id"), F.first("n").alias("n"), F.first("bands").alias("bands")
-    )
+    classes = rows.where("n > 0").groupBy("class").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = written(classes, "classes")
 
     windows = prefixes(docs, width, percent, frequent_windows(docs, width))
@@ -327,21 +326,49 @@ def linked_documents(
     links = written(verified(matched_pairs(named, percent), sets, percent), "late-links")
 
     # Late links between components: the components are the nodes of a smaller graph.
-    over = lambda side: F.coalesce(F.col(f"component_{side}"), F.col(side)).alias(side)
     for side in ("a", "b"):
         of = first.select(F.col("node").alias(side), F.col("component").alias(f"component_{side}"))
         links = links.join(of, side, "left")
-    second = components(links.select(over("a"), over("b"))).withColumnRenamed("component", "whole")
-    of_class = (
-        classes.select("class", "first_id")
-        .join(first.withColumnRenamed("node", "class"), "class", "left")
-        .withColumn("component", F.coalesce("component", "class"))
-        .join(second.withColumnRenamed("node", "component"), "component", "left")
-        .withColumn("whole", F.coalesce("whole", "component"))
-    )
-    of_class = written(of_class.select("class", "first_id", "whole"), "class-components")
-    ids = of_class.groupBy("whole").agg(F.min("first_id").alias("component_id"))
-    of_class = of_class.join(ids, "whole").select("class", "component_id")
-    out = rows.join(of_class, "class", "left")
+    over = [F.coalesce(F.col(f"component_{side}"), F.col(side)).alias(side) for side in ("a", "b")]
+    second = components(links.select(over)).withColumnRenamed("component", "group")
+    of_class = classes.select("class").join(first.withColumnRenamed("node", "class"), "class", "left")
+    of_class = of_class.withColumn("component", F.coalesce("component", "class"))
+    of_class = of_class.join(second.withColumnRenamed("node", "component"), "component", "left")
+    of_class = of_class.select("class", F.coalesce("group", "component").alias("group"))
+    return rows.drop("bands"), written(of_class, "groups")
+
+
+def linked_documents(
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, percent: int = PERCENT
+) -> DataFrame:
+    """Per row: id, ``n_shingles``, ``component_id`` (the smallest id reachable by links, its own included)."""
+    docs = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    rows, of_class = groups(docs, width, percent)
+    least = rows.where("n > 0").groupBy("class").agg(F.min("id").alias("least")).join(of_class, "class")
+    ids = least.groupBy("group").agg(F.min("least").alias("component_id"))
+    out = rows.join(of_class.join(ids, "group").drop("group"), "class", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def one_of_each_group(
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, percent: int = PERCENT
+) -> DataFrame:
+    """All columns of the rows that stay: of each component the one with the smallest id (then by a hash).
+
+    Rows without words are linked with nothing and all stay.
+    """
+    key = unused(df, "row_key")
+    parts = [F.coalesce(F.col(id_column).cast("string"), F.lit("null")), F.coalesce(F.col(text_column), F.lit(""))]
+    keyed = df.withColumn(key, F.md5(F.concat_ws("/", *parts)))
+    docs = keyed.select(F.col(id_column).alias("id"), F.col(key).alias("key"), F.col(text_column).alias("text"))
+    rows, of_class = groups(docs, width, percent)
+    copies = rows.groupBy("key", "id", "class").agg(F.count(F.lit(1)).alias("copies"))
+    order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "key", "copies")
+    chosen = copies.join(of_class, "class").groupBy("group").agg(F.min(order).alias("first"))
+    chosen = chosen.select(F.col("first.key").alias(key), F.col("first.copies").alias("copies"))
+    alone = copies.where(F.col("class").isNull()).select(F.col("key").alias(key), F.lit(1).cast("long").alias("copies"))
+    stay = written(chosen.union(alone), "staying").withColumnRenamed("copies", f"{key}_copies")
+    kept = keyed.join(stay, key)
+    once = kept.where(F.col(f"{key}_copies") == 1)
+    return once.unionByName(kept.where(F.col(f"{key}_copies") > 1).dropDuplicates([key])).select(*df.columns)
