@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.byte_bpe import encode_texts
+from tallyloom.llm.jaccard_join import one_of_each_group
+from tallyloom.llm.mixing import mix, word_count
 from tallyloom.llm.quality_rules import quality_verdicts, with_counts
 from tallyloom.llm.secret_scan import redact_secrets
 from tallyloom.llm.tables import table, unused, written
@@ -23,11 +25,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where(kept).select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return one_of_each_group(docs)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each secret in their texts replaced by a mark."""
     return redact_secrets(docs).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it; what it doesn't take goes.
+
+    The copy at which the mix's budget ends stays whole.
+    """
+    size = word_count(F.col("text"))
+    mixed = mix(docs, "source", size, [F.col("doc_id"), size]).where("taken > 0")
+    copies = F.ceil(F.col("taken") / F.col("size"))
+    return mixed.select("row", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select("row.*")
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each document."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -44,7 +62,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality),
+    ("n-gram Jaccard join", near_duplicates),
     ("secret scans", secrets),
+    ("source mixing", mixture),
     ("byte-level BPE", tokens),
 ]
 
