@@ -2,10 +2,9 @@
 
 Each match of the pattern is merged on its own. Its bytes stand in a linked list of parts; every two
 neighbours that together are a token wait in the bucket of that token's rank. A bitmap of bitmaps
-marks the buckets that hold something, so the lowest rank is found by three find-first-set steps
-whatever the length of the match: a match of n bytes takes O(n) steps, without a heap. Entries that
-an earlier merge has outdated are recognised when taken and skipped; within a bucket, positions are
-taken from the left, as the merge order asks.
+marks the buckets that hold something, so the lowest rank is found by two find-first-set steps
+whatever the length of the match. Entries that an earlier merge has outdated are recognised when
+taken and skipped; within a bucket, positions are taken from the left, as the merge order asks.
 
 - Null text: like an empty one, no ids.
 - Repeated rows and ids are encoded one by one; no row is dropped.
@@ -27,97 +26,86 @@ from pyspark.sql import functions as F
 from tallyloom.llm.tables import map_arrow
 
 #: Entries of a worker's cache, and the longest match in characters that it keeps.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 800_000
 KEPT_PIECE = 64
 
 
 class RankQueue:
     """Positions by rank; the lowest rank comes first, within a rank the leftmost position.
 
-    Three levels of 64-bit words say which ranks hold positions, enough for 262,144 ranks.
+    One word of 64 bits for 64 ranks says which of their buckets hold positions; ``top`` says which words
+    aren't zero. An emptied queue is as new, so one serves all matches.
     """
 
-    __slots__ = ("buckets", "low", "middle", "top")
+    __slots__ = ("buckets", "words", "top")
 
-    def __init__(self) -> None:
-        self.buckets: dict[int, list[int]] = {}
-        self.low: dict[int, int] = {}
-        self.middle: dict[int, int] = {}
+    def __init__(self, ranks: int) -> None:
+        self.buckets: list[list[int]] = [[] for _ in range(ranks)]
+        self.words = [0] * ((ranks >> 6) + 1)
         self.top = 0
 
     def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
+        bucket = self.buckets[rank]
         if bucket:
             heappush(bucket, position)
             return
-        self.buckets[rank] = [position]
-        i, j = rank >> 6, rank >> 12
-        self.low[i] = self.low.get(i, 0) | 1 << (rank & 63)
-        self.middle[j] = self.middle.get(j, 0) | 1 << (i & 63)
-        self.top |= 1 << j
-
-    def first(self) -> int:
-        """The lowest rank that holds positions, or -1."""
+        bucket.append(position)
+        word = rank >> 6
+        self.words[word] |= 1 << (rank & 63)
+        self.top |= 1 << word
+
+    def take(self) -> tuple[int, int]:
+        """Removes and returns the first rank and position; the queue must hold some."""
         top = self.top
-        if not top:
-            return -1
-        j = (top & -top).bit_length() - 1
-        word = self.middle[j]
-        i = j << 6 | (word & -word).bit_length() - 1
-        word = self.low[i]
-        return i << 6 | (word & -word).bit_length() - 1
-
-    def pop(self, rank: int) -> int:
+        word = (top & -top).bit_length() - 1
+        bits = self.words[word]
+        low = bits & -bits
+        rank = (word << 6) + low.bit_length() - 1
         bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            i, j = rank >> 6, rank >> 12
-            self.low[i] &= ~(1 << (rank & 63))
-            if not self.low[i]:
-                self.middle[j] &= ~(1 << (i & 63))
-                if not self.middle[j]:
-                    self.top &= ~(1 << j)
-        return position
-
-
-def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of one match of the pattern."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
+        if len(bucket) > 1:
+            return rank, heappop(bucket)
+        self.words[word] = bits ^ low
+        if bits == low:
+            self.top = top ^ 1 << word
+        return rank, bucket.pop()
+
+
+def merged(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
+    """The ids of one match of the pattern; ``queue`` is empty before and after."""
+    rank_of, push, take = ranks.get, queue.push, queue.take
+    rank = rank_of(piece)
+    if rank is not None:
+        return [rank]
     n = len(piece)
     after = list(range(1, n + 1))
-    before = list(range(-1, n - 1))
-    queue = RankQueue()
+    before = list(range(-1, n))
     expected = [-1] * n  # the rank at which a part and the next one may merge now
     for i in range(n - 1):
-        rank = ranks.get(piece[i : i + 2])
+        rank = rank_of(piece[i : i + 2])
         if rank is not None:
             expected[i] = rank
-            queue.push(rank, i)
-    while (rank := queue.first()) >= 0:
-        i = queue.pop(rank)
+            push(rank, i)
+    while queue.top:
+        rank, i = take()
         if expected[i] != rank:
             continue
         gone = after[i]
-        end = after[gone]
-        expected[gone] = -1
-        after[i] = end
+        end = after[i] = after[gone]
+        expected[i] = expected[gone] = -1
+        before[end] = i
         if end < n:
-            before[end] = i
-            new = ranks.get(piece[i : after[end]], -1)
-            expected[i] = new
-            if new >= 0:
-                queue.push(new, i)
-        else:
-            expected[i] = -1
+            rank = rank_of(piece[i : after[end]])
+            if rank is not None:
+                expected[i] = rank
+                push(rank, i)
         j = before[i]
         if j >= 0:
-            new = ranks.get(piece[j:end], -1)
-            if new != expected[j]:
-                expected[j] = new
-                if new >= 0:
-                    queue.push(new, j)
+            rank = rank_of(piece[j:end])
+            if rank is None:
+                expected[j] = -1
+            else:
+                expected[j] = rank
+                push(rank, j)
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i : after[i]]])
@@ -134,11 +122,12 @@ class PieceCache(dict):
     def __init__(self, ranks: dict[bytes, int], entries: int) -> None:
         super().__init__()
         self.ranks, self.half, self.old = ranks, max(1, entries // 2), {}
+        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            ids = np.array(merged(piece.encode(), self.ranks), np.uint32).tobytes()
+            ids = np.array(merged(piece.encode(), self.ranks, self.queue), np.uint32).tobytes()
             if len(piece) > KEPT_PIECE:
                 return ids
         if len(self) >= self.half:

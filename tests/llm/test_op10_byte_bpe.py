@@ -31,14 +31,14 @@ def test_very_long_matches(text):
 
 
 def test_queue_gives_lowest_rank_then_leftmost():
-    rnd, queue = random.Random(3), b.RankQueue()
+    rnd, queue = random.Random(3), b.RankQueue(262_144)
     entries = [(rnd.choice([0, 63, 64, 4095, 4096, 50_000, 262_143]), rnd.randrange(99)) for _ in range(400)]
     for entry in entries:
         queue.push(*entry)
     got = []
-    while (rank := queue.first()) >= 0:
-        got.append((rank, queue.pop(rank)))
-    assert got == sorted(entries)
+    while queue.top:
+        got.append(queue.take())
+    assert got == sorted(entries) and not any(queue.words) and not any(queue.buckets)
 
 
 def test_small_cache_changes_nothing():
