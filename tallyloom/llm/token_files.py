@@ -17,7 +17,9 @@ A null text counts as empty. Every document ends with ``end_id``. Repeated rows
 
 from __future__ import annotations
 
+import re
 import struct
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -35,8 +37,12 @@ MAGIC = b"IDPLANE1"
 BYTE_PLANES, BIT_PLANES = 0, 1
 BLOCK_IDS, FILE_IDS = 1 << 16, 1 << 22
 LEVEL = 3
-#: Words that a worker remembers before it starts anew.
-CACHE_WORDS = 400_000
+#: Words that a worker remembers.
+CACHE_WORDS = 1_000_000
+#: Up to here letters are composed, and lowered one by one whatever stands beside them.
+LAST_LATIN = "\u024f"
+#: A run of letters and then ASCII marks, without the apostrophe that may begin an ending.
+LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 HEAD, BLOCK = struct.Struct("<8sBI"), struct.Struct("<QI")
 
 
@@ -116,14 +122,30 @@ class TokenFile:
         return ids[start - first * self.block_ids : stop - first * self.block_ids]
 
 
+def byte_letters() -> dict[int, str]:
+    """The byte-level letter of each byte: itself if it can be printed, else the next from 256 on."""
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [x for x in range(256) if x not in printed]
+    return {x: chr(x) for x in printed} | {x: chr(256 + i) for i, x in enumerate(others)}
+
+
 class WordIds(dict):
-    """The ids of words as bytes. The tokenizer drops white space and looks at nothing beyond it, so a
-    text's ids are those of its words in a row."""
+    """The ids of words as bytes, those lately seen: two halves, the older dropped when the newer is full.
+
+    The tokenizer drops white space and looks at nothing beyond it, so a text's ids are those of its words
+    in a row. A word of Latin letters goes straight to the tokenizer's merges, lowered and as byte-level
+    letters, as its own normalizer and splitter would pass it on; ASCII marks after it are a piece of their
+    own. All other words go through the whole tokenizer.
+    """
+
+    LETTERS = byte_letters()
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, entries: int = CACHE_WORDS) -> None:
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merges = self.tokenizer.model.tokenize
+        self.half, self.old = max(1, entries // 2), {}
 
     @staticmethod
     @lru_cache(2)
@@ -131,15 +153,34 @@ class WordIds(dict):
         return WordIds(path)
 
     def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        new = list(set(words).difference(self))
-        if new:
-            if len(self) + len(new) > CACHE_WORDS:
-                self.clear()
-                new = list(set(words))
-            for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self[word] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, words))
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self._ids(word)
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+    def _ids(self, word: str) -> bytes:
+        match = LETTERS_AND_MARKS(word)
+        run = match[1].lower() if match else ""
+        if not run.isalpha() or max(run) > LAST_LATIN:
+            return self._whole(word)
+        if match[2]:
+            marks = match[2]
+            return (self.get(run) or self.old.get(run) or self._run(run)) + (self.get(marks) or self._whole(marks))
+        return self._run(run)
+
+    def _run(self, run: str) -> bytes:
+        letters = run if run.isascii() else run.encode().decode("latin-1").translate(self.LETTERS)
+        return array("I", [token.id for token in self.merges(letters)]).tobytes()
+
+    def _whole(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
 
 def encode_files(

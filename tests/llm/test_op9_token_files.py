@@ -46,10 +46,13 @@ def test_cut_off_file_is_refused():
 def test_words_as_the_library_does_whole_texts():
     words = t.WordIds(PATH)
     rnd = random.Random(3)
-    parts = ["ab", "İ", "ΑΣ", "é", "́x", " ", "  ", "\n", "\t", " ", "　", "'s", "12", "!?", "<|endoftext|>", "가", "ᄀ", "ᅡ", "ﬁ"]
-    for _ in range(500):
-        text = "".join(rnd.choices(parts, k=rnd.randint(0, 12)))
-        assert np.frombuffer(words.encode(text), "<u4").tolist() == library(text), repr(text)
+    parts = ["ab", "İ", "ΑΣ", "é", "́x", " ", "  ", "\n", "\t", " ", "　", "'s", "12", "!?", "<|endoftext|>", "가", "ᄀ", "ᅡ", "ﬁ", "Ab", "²", "_", ".", ",$"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 12))) for _ in range(1500)]
+    texts += [chr(c) + mark for c in range(33, 0x260) for mark in ("", "x", ".", "X'")]
+    for half in (words.half, 3):
+        words.half = half
+        for text in texts:
+            assert np.frombuffer(words.encode(text), "<u4").tolist() == library(text), repr(text)
 
 
 def test_query_edges(spark, documents, as_tables):
