@@ -207,36 +207,50 @@ class Reader:
         return self.page
 
 
-def parsed(df: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """Per row: id, url, host, ``content`` (a hash), ``blocks`` (text, owners), ``marks`` (all owners)."""
+def _content_hash(page: list[tuple[str, list[int]]]) -> int:
+    return _signed(xxhash.xxh3_64_intdigest("\x00".join(f"{t}\x01{o}" for t, o in page)))
+
+
+def contents(df: DataFrame, url_column: str, html_column: str) -> DataFrame:
+    """Per row: host, ``content`` (a hash of the page's content), ``marks`` (hashes of what may be template)."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        contents, blocks, marks = [], [], []
-        for source in batch.column(2):
-            page = Reader().read(source.as_py() or "").content()
-            contents.append(_signed(xxhash.xxh3_64_intdigest("\x00".join(f"{t}\x01{o}" for t, o in page))))
-            blocks.append([{"text": t, "owners": o} for t, o in page])
-            marks.append(sorted({x for _, o in page for x in o}))
+        pages = [Reader().read(x.as_py() or "").content() for x in batch.column(1)]
+        marks = [sorted({x for _, owners in page for x in owners}) for page in pages]
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(map(_content_hash, pages), pa.int64()), pa.array(marks, pa.list_(pa.int64()))],
+            ["host", "content", "marks"],
+        )
+
+    narrow = df.select(url_host(F.col(url_column)).alias("host"), F.col(html_column).alias("html"))
+    return map_arrow(narrow, work, "host string, content long, marks array<long>")
+
+
+def blocks(df: DataFrame, id_column: str, url_column: str, html_column: str) -> DataFrame:
+    """Per row: id, url, host, ``content``, ``blocks`` (text and the hashes of what may be template over it)."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        pages = [Reader().read(x.as_py() or "").content() for x in batch.column(2)]
+        found = [[{"text": t, "owners": o} for t, o in page] for page in pages]
         kind = pa.list_(pa.struct([("text", pa.string()), ("owners", pa.list_(pa.int64()))]))
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(contents, pa.int64()), pa.array(blocks, kind), pa.array(marks, pa.list_(pa.int64()))],
-            ["id", "url", "content", "blocks", "marks"],
+            [batch.column(0), batch.column(1), pa.array(map(_content_hash, pages), pa.int64()), pa.array(found, kind)],
+            ["id", "url", "content", "blocks"],
         )
 
     narrow = df.select(F.col(id_column).alias("id"), F.col(url_column).alias("url"), F.col(html_column).alias("html"))
     schema = (
-        f"id {dict(narrow.dtypes)['id']}, url string, content long, "
-        "blocks array<struct<text:string,owners:array<long>>>, marks array<long>"
+        f"id {dict(narrow.dtypes)['id']}, url string, content long, blocks array<struct<text:string,owners:array<long>>>"
     )
     return map_arrow(narrow, work, schema).withColumn("host", url_host(F.col("url")))
 
 
 def templates(pages: DataFrame, least_pages: int, least_share: float) -> DataFrame:
     """(host, mark) of the subtrees on at least so many, and such a share, of the host's different contents."""
-    contents = pages.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("contents"))
+    sizes = pages.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("contents"))
     marks = pages.select("host", "content", F.explode("marks").alias("mark")).distinct()
     counted = marks.groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
-    return counted.join(contents, "host").where(F.col("n") >= least_share * F.col("contents")).select("host", "mark")
+    return counted.join(sizes, "host").where(F.col("n") >= least_share * F.col("contents")).select("host", "mark")
 
 
 def extract_text(
@@ -247,18 +261,24 @@ def extract_text(
     least_pages: int = 4,
     least_share: float = 0.25,
 ) -> DataFrame:
-    """Per row: id, url, ``text``, ``n_chars``, ``n_deleted`` (blocks that went with the site's template)."""
-    pages = written(parsed(df, id_column, url_column, html_column), "pages")
-    marks = pages.select("host", "content", F.explode("marks").alias("mark")).distinct()
+    """Per row: id, url, ``text``, ``n_chars``, ``n_deleted`` (blocks that went with the site's template).
+
+    Pages are read twice, once for the counts and once for the text, so that no text is written between.
+    What is deleted is a written table, so Spark knows its size when it picks the join.
+    """
+    found = written(contents(df, url_column, html_column), "page-marks")
+    marks = found.select("host", "content", F.explode("marks").alias("mark")).distinct()
     deleted = (
-        marks.join(templates(pages, least_pages, least_share), ["host", "mark"])
+        marks.join(templates(found, least_pages, least_share), ["host", "mark"])
         .groupBy("host", "content")
         .agg(F.collect_set("mark").alias("deleted"))
     )
+    deleted = written(deleted, "page-templates")
+    pages = blocks(df, id_column, url_column, html_column).join(deleted, ["host", "content"], "left")
     kept = F.filter("blocks", lambda b: F.col("deleted").isNull() | ~F.arrays_overlap(b["owners"], F.col("deleted")))
-    joined = pages.join(deleted, ["host", "content"], "left").withColumn("kept", kept)
+    pages = pages.withColumn("kept", kept)
     text = F.array_join(F.col("kept.text"), "\n\n")
-    return joined.select(
+    return pages.select(
         F.col("id").alias(id_column),
         F.col("url").alias(url_column),
         text.alias("text"),
