@@ -176,3 +176,29 @@ def test_spend_adds_up_across_tables(spark):
     of_users = user_features(events).agg(F.sum("total_spend")).first()[0]
     of_categories = category_features(events).agg(F.sum("total_revenue")).first()[0]
     assert math.isclose(of_users, of_categories, rel_tol=1e-12)
+
+
+def test_amounts_of_any_size_and_fractions_of_a_piece(spark):
+    from pyspark.sql import functions as F
+
+    def spent(rows, kind="bigint"):
+        df = spark.createDataFrame(
+            [("purchase", 1, p, q) for p, q in rows],
+            f"event_type string, user_id long, price double, quantity {kind}",
+        )
+        return [user_spend(df.repartition(n)).first() for n in (1, 3)]
+
+    for row in spent([(1e20, 0)]):
+        assert row.total_spend == 0
+    for row in spent([(9e12, 1)] * 20_000):
+        assert row.total_spend == 1.8e17
+    for row in spent([(10.0, 2.5)], "double"):
+        assert row.total_spend == 25.0
+    for row in spent([(0.1, 3), (0.2, 7)] * 50):
+        assert row.total_spend == 85.0
+    for row in spent([(1e300, 10), (5.0, 1)]):
+        assert row.total_spend == 1e301
+    one, three = spent([(0.07 * i, 1.5) for i in range(500)], "double")
+    assert one.total_spend == three.total_spend
+    events = spark.createDataFrame([(float("nan"), 1)], "price double, quantity long")
+    assert user_spend(events.withColumns({"event_type": F.lit("purchase"), "user_id": F.lit(1)})).count() == 1
