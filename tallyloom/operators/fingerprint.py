@@ -7,22 +7,54 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(field.dataType) for field in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, T.MapType)
+
+
+def _ordered(value: Column, kind: T.DataType) -> Column:
+    """The value with every map in it, at any depth, as an array in order of its keys."""
+    if not _has_map(kind):
+        return value
+    if isinstance(kind, T.StructType):
+        parts = [_ordered(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _ordered(x, kind.elementType))
+    entries = F.transform(
+        F.map_entries(value),
+        lambda x: F.struct(
+            F.to_json(F.struct(_ordered(x["key"], kind.keyType).alias("k"))).alias("key"),
+            _ordered(x["value"], kind.valueType).alias("value"),
+        ),
+    )
+    # Keys are unique, so their order alone decides; values needn't be comparable.
+    keys = F.array_sort(F.transform(entries, lambda x: x["key"]))
+    return F.transform(keys, lambda k: F.filter(entries, lambda x: x["key"] == k)[0])
+
+
 def _plain(field: T.StructField) -> Column:
-    """The column as a plain value; nested ones as JSON, maps in order of their keys."""
+    """The column as a plain value; nested ones as JSON, maps at any depth in order of their keys."""
     column = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, T.MapType):
-        return F.to_json(F.array_sort(F.map_entries(column)))
-    if isinstance(field.dataType, (T.ArrayType, T.StructType)):
-        return F.to_json(column)
+    if isinstance(field.dataType, (T.MapType, T.ArrayType, T.StructType)):
+        return F.to_json(_ordered(column, field.dataType))
     return column
 
 
 def _text(field: T.StructField) -> Column:
+    """A text that another engine can make from the same value; doubles by their bits."""
     column = _plain(field)
     if isinstance(field.dataType, T.BinaryType):
         return F.hex(column)
     if isinstance(field.dataType, T.TimestampType):
         return F.unix_micros(column).cast("string")
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        number = F.when(column == 0, 0.0).otherwise(column.cast("double"))  # -0.0 equals 0.0
+        bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), number)
+        return F.when(number.isNotNull(), bits)
     return column.cast("string")
 
 

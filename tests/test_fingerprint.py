@@ -68,3 +68,34 @@ def test_fingerprints_name_their_table(spark):
     events = batch_events(spark, {}, {})
     rows = fingerprints({"a": events, "b": events.limit(1)}).collect()
     assert {(r.table_name, r.row_count) for r in rows} == {("a", 2), ("b", 1)}
+
+
+def test_maps_at_any_depth_have_no_order(spark, digest):
+    def table(first, second):
+        return spark.range(1).selectExpr(
+            f"struct(map('{first}', 1, '{second}', 2) AS m, 1 AS n) AS s",
+            f"array(map('{first}', map('{first}', 1, '{second}', 1))) AS a",
+        ).selectExpr("s", "a", "map('k', s) AS deep")
+
+    one, other = table("a", "b"), table("b", "a")
+    assert digest(one) != digest(other)  # the values belong to other keys
+    swapped = "struct(map('b', 2, 'a', 1) AS m, 1 AS n)"
+    same = spark.range(1).selectExpr(
+        f"{swapped} AS s", "array(map('a', map('b', 1, 'a', 1))) AS a"
+    ).selectExpr("s", "a", "map('k', s) AS deep")
+    one = spark.range(1).selectExpr(
+        "struct(map('a', 1, 'b', 2) AS m, 1 AS n) AS s", "array(map('a', map('a', 1, 'b', 1))) AS a"
+    ).selectExpr("s", "a", "map('k', s) AS deep")
+    assert digest(one) == digest(same)
+    assert tuple(table_diff(one, same).first()) == (0, 0)
+    nothing = one.selectExpr("CAST(NULL AS struct<m:map<string,int>>) AS s", "a")
+    assert digest(nothing) != digest(one.select("s", "a"))
+
+
+def test_doubles_are_told_apart_to_the_last_bit(spark, digest):
+    def table(x):
+        return spark.createDataFrame([(x,)], "x double")
+
+    values = [0.1, 0.1 + 2**-56, 1e300, 5e-324, 1e7, 1e-4, float("inf"), -float("inf"), float("nan"), None]
+    assert len({digest(table(x)) for x in values}) == len(values)
+    assert digest(table(0.0)) == digest(table(-0.0))
