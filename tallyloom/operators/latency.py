@@ -14,16 +14,23 @@ RANKS = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 
 # Buckets per factor e of the value; a bucket spans 0.1 % of its value. Latencies
 # in milliseconds between 1 microsecond and 1 day fill some 20,000 buckets at
-# most. Two clocks read as epoch seconds in doubles differ by multiples of
-# 0.24 microseconds, so a bucket around 1 minute has at most 250,000 different
-# values and one around 1 hour 15 million. None of this grows with the events.
+# most, doubles of any size some 1,500,000. A bucket that holds a rank is cut
+# again, linearly from its smallest to its largest value.
 BUCKETS_PER_E = 1024
+SLICES = 4096
 
 
 def _bucket(value: Column) -> Column:
     return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * BUCKETS_PER_E)).cast("bigint")
 
 
+def _equal(left: str, right: str, names: Sequence[str]) -> Column:
+    same = F.lit(True)
+    for name in names:
+        same = same & F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}"))
+    return same
+
+
 def rank_percentiles(
     samples: DataFrame,
     value: str,
@@ -35,63 +42,79 @@ def rank_percentiles(
     One row per group with a column per rank and ``count``; without groups one
     row, zeros when there are no samples. NULL and NaN are not samples.
 
-    Samples become a histogram (value, number), which repeated values and map
-    side sums keep small. Its coarse buckets are few, so a running sum over
-    them finds the bucket of each rank; only the values of those buckets are
-    then put in order.
+    Samples are counted by coarse bucket, which partial sums keep to some
+    thousand rows per group; a running sum over them finds the bucket of each
+    rank. Samples of those buckets alone are counted again by slice of their
+    bucket, and those of the slice with the rank by value. Only the different
+    values of one slice are put in order in one task.
     """
     groups = list(by) or ["everything"]
     if not by:
         samples = samples.withColumn("everything", F.lit(0))
-    sample = F.col(value).cast("double")
-    histogram = (
-        samples.select(*groups, sample.alias("value"))
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy(*groups, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", _bucket(F.col("value")))
-    )
+    at = F.col(value).cast("double")
+    samples = samples.select(*groups, at.alias("value"))
+    samples = samples.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    samples = samples.withColumn("bucket", _bucket(F.col("value")))
 
-    buckets = histogram.groupBy(*groups, "bucket").agg(F.sum("n").alias("n"))
+    buckets = samples.groupBy(*groups, "bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
     group = Window.partitionBy(*groups)
     ordered = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     wanted = F.array(
         *[F.struct(F.lit(name).alias("rank"), F.lit(q).alias("q")) for name, q in ranks.items()]
     )
-    targets = (
+    found = (
         buckets.withColumns({"upto": F.sum("n").over(ordered), "count": F.sum("n").over(group)})
         .withColumn("wanted", F.explode(wanted))
+        .withColumn("rank", F.col("wanted.rank"))
         .withColumn(
             "position",
             F.least(F.floor(F.col("count") * F.col("wanted.q")), F.col("count") - 1)
             - (F.col("upto") - F.col("n")),
         )
         .filter(F.col("position").between(0, F.col("n") - 1))
-        .select(*groups, "bucket", "count", "position", F.col("wanted.rank").alias("rank"))
+        .select(*groups, "rank", "bucket", "low", "high", "count", "position")
     )
     if not by:
-        targets = F.broadcast(targets)  # one row per rank
-
-    left, right = histogram.alias("h"), targets.alias("t")
-    same = F.lit(True)
-    for name in (*groups, "bucket"):
-        same = same & F.col(f"h.{name}").eqNullSafe(F.col(f"t.{name}"))
-    within = (
-        Window.partitionBy(*groups, "rank")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, 0)
+        found = F.broadcast(found)  # one row per rank
+    inside = samples.alias("s").join(found.alias("f"), _equal("s", "f", [*groups, "bucket"]))
+    span = F.col("high") - F.col("low")
+    slice_of = F.when(span > 0, F.floor((F.col("value") - F.col("low")) / span * SLICES)).otherwise(0)
+    inside = inside.select(
+        *[f"s.{name}" for name in groups], "rank", "value", slice_of.alias("slice"), "count", "position"
     )
-    found = (
-        left.join(right, same)
-        .select(*[f"h.{name}" for name in groups], "h.value", "h.n", "count", "position", "rank")
-        .withColumn("upto", F.sum("n").over(within))
-        .filter(F.col("position").between(F.col("upto") - F.col("n"), F.col("upto") - 1))
+
+    keys = [*groups, "rank"]
+    slices = inside.groupBy(*keys, "slice", "count", "position").agg(F.count(F.lit(1)).alias("n"))
+    found = _containing(slices, keys, "slice").select(*keys, "slice", "position")
+    if not by:
+        found = F.broadcast(found)
+    values = (
+        inside.drop("position").alias("s")
+        .join(found.alias("f"), _equal("s", "f", [*keys, "slice"]))
+        .groupBy(*[f"s.{name}" for name in keys], "value", "count", "position")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    last = _containing(values, keys, "value")
     columns = [F.max(F.when(F.col("rank") == name, F.col("value"))).alias(name) for name in ranks]
     count = F.max("count").alias("count")
     if by:
-        return found.groupBy(*by).agg(*columns, count)
-    return found.agg(*columns, count).fillna(0)
+        return last.groupBy(*by).agg(*columns, count)
+    return last.agg(*columns, count).fillna(0)
+
+
+def _containing(counts: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The rows that hold the wanted position, which from there on counts from their start."""
+    upto = F.sum("n").over(
+        Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    start = F.col("upto") - F.col("n")
+    return (
+        counts.withColumn("upto", upto)
+        .filter(F.col("position").between(start, F.col("upto") - 1))
+        .withColumn("position", F.col("position") - start)
+    )
 
 
 def with_latency(events: DataFrame) -> DataFrame:
@@ -122,12 +145,16 @@ def approx_latency_by_window(
     width_seconds: int = 10,
     watermark_seconds: int = 60,
     accuracy: int = 10_000,
+    clock: str = "arrival",
 ) -> DataFrame:
-    """The streaming form: sketches of bounded size in place of exact positions."""
-    timed = with_latency(events).withColumn("event_time", event_time())
+    """The streaming form: sketches of bounded size in place of exact positions.
+
+    Windows and watermark go by arrival, so the slowest events are in.
+    """
+    timed = with_latency(events).withColumn("at_time", event_time(clock))
     windows = (
-        timed.withWatermark("event_time", f"{watermark_seconds} seconds")
-        .groupBy(F.window("event_time", f"{width_seconds} seconds").alias("window"))
+        timed.withWatermark("at_time", f"{watermark_seconds} seconds")
+        .groupBy(F.window("at_time", f"{width_seconds} seconds").alias("window"))
         .agg(
             F.percentile_approx("latency_ms", list(RANKS.values()), accuracy).alias("at"),
             F.count("latency_ms").alias("count"),
@@ -140,6 +167,31 @@ def approx_latency_by_window(
     )
 
 
+def sketch_errors(
+    sketched: DataFrame,
+    events: DataFrame,
+    width_seconds: int = 10,
+    accuracy: int = 10_000,
+    clock: str = "arrival",
+) -> DataFrame:
+    """Per sketched window its ``count`` and whether each rank is right to within 1 / accuracy."""
+    start = F.unix_seconds(F.window(event_time(clock), f"{width_seconds} seconds")["start"])
+    samples = with_latency(events).select(start.alias("window_start"), "latency_ms")
+    both = samples.join(sketched, "window_start").groupBy("window_start")
+    below = [F.count_if(F.col("latency_ms") < F.col(name)).alias(f"{name}_below") for name in RANKS]
+    upto = [F.count_if(F.col("latency_ms") <= F.col(name)).alias(f"{name}_upto") for name in RANKS]
+    ranked = both.agg(F.max("count").alias("count"), F.count("latency_ms").alias("n"), *below, *upto)
+    # A rank is a whole number of samples, so one sample is allowed for.
+    right = [
+        (
+            (F.col(f"{name}_below") <= F.col("n") * (q + 1 / accuracy) + 1)
+            & (F.col(f"{name}_upto") >= F.col("n") * (q - 1 / accuracy) - 1)
+        ).alias(f"{name}_right")
+        for name, q in RANKS.items()
+    ]
+    return ranked.select("window_start", "count", *right)
+
+
 def load_level_summary(
     runs: DataFrame, width_seconds: int = 10, levels: Sequence[str] = ("label", "rate", "burst")
 ) -> DataFrame:
