@@ -49,7 +49,7 @@ def generate_stream(spark: SparkSession, args: argparse.Namespace) -> None:
 def features(spark: SparkSession, args: argparse.Namespace) -> None:
     """User, product and category features of a folder of events."""
     events = read_parquet(spark, args.input, BATCH_EVENT)
-    feature_run.run(spark, events, args.output, args.label).show(truncate=False)
+    feature_run.run(spark, events, args.output, args.mode).show(truncate=False)
 
 
 def compare(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -78,27 +78,32 @@ def metrics(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Window results and bad records of a folder of JSON lines, until stopped.
+    """Parsed events, window results, latency per window and run totals of a folder of JSON lines.
 
-    Without ``--every`` the run ends once all present files are read.
+    Lines are parsed once, into ``events``, with their arrival and the load level
+    of the run; windows and latency read that table. Without ``--every`` the run
+    ends once all present files are read and reported.
     """
     parsed = stream_json_lines(spark, args.input, max_files_per_trigger=args.max_files)
-    results = streams.window_result_stream(with_arrival(good_events(parsed)), args.window)
-    queries = [
-        streams.start(
-            results, f"{args.output}/windows", f"{args.checkpoint}/windows", "json", args.every
-        ),
-        streams.start_parsed(
-            parsed, f"{args.output}/events", f"{args.checkpoint}/events", args.every
-        ),
-    ]
-    for query in queries:
-        query.awaitTermination()
+    level = {"label": args.label, "rate": args.rate, "burst": args.burst}
+    streams.run_events_job(
+        with_arrival(parsed).withColumns({name: F.lit(value) for name, value in level.items()}),
+        args.output,
+        args.checkpoint,
+        args.window,
+        args.every,
+    )
 
 
 def load_summary(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Latency and windows per load level of events tagged with label, rate and burst."""
-    tagged = good_events(read_json_lines(spark, args.input, TAGGED_EVENT))
+    """Latency and windows per load level of events tagged with label, rate and burst.
+
+    The events are JSON lines, or the ``events`` of stream jobs with ``--format parquet``.
+    """
+    if args.format == "parquet":
+        tagged = streams.parsed_events(read_parquet(spark, args.input))
+    else:
+        tagged = good_events(read_json_lines(spark, args.input, TAGGED_EVENT))
     write_json(load_level_summary(tagged, args.window), args.output)
 
 
@@ -123,7 +128,7 @@ def parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("features", help=features.__doc__)
     job.add_argument("--input", required=True)
     job.add_argument("--output", required=True)
-    job.add_argument("--label", default="run")
+    job.add_argument("--mode", default="run", help="name of the run, part of the metrics' path")
     job.set_defaults(run=features)
 
     job = jobs.add_parser("compare", help=compare.__doc__)
@@ -144,11 +149,15 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--window", type=int, default=10)
     job.add_argument("--every", help="trigger interval, such as '5 seconds'")
     job.add_argument("--max-files", type=int)
+    job.add_argument("--label", default="run", help="name of the load level")
+    job.add_argument("--rate", type=int, default=0, help="events a second of the load level")
+    job.add_argument("--burst", action="store_true")
     job.set_defaults(run=stream)
 
     job = jobs.add_parser("load-summary", help=load_summary.__doc__)
     job.add_argument("--input", required=True)
     job.add_argument("--output", required=True)
+    job.add_argument("--format", choices=["json", "parquet"], default="json")
     job.add_argument("--window", type=int, default=10)
     job.set_defaults(run=load_summary)
     return top

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.events import with_defaults
+from tallyloom.functions.events import event_time, with_defaults
 from tallyloom.sources.schemas import CORRUPT
 
 
@@ -24,6 +24,13 @@ def quarantine(parsed: DataFrame) -> DataFrame:
     return parsed.filter(is_bad())
 
 
+def quarantine_reasons(parsed: DataFrame) -> DataFrame:
+    """Number of bad records by what is wrong with them."""
+    reason = F.when(F.col(CORRUPT).isNotNull(), "not one well-typed object").otherwise("no time")
+    bad = quarantine(parsed).groupBy(reason.alias("reason"))
+    return bad.agg(F.count(F.lit(1)).alias("records"))
+
+
 def parse_totals(parsed: DataFrame) -> DataFrame:
     """One row: events processed and errors."""
     return parsed.agg(
@@ -38,7 +45,7 @@ def dedup_events(
 
     Copies are equal when a sender repeats itself, and then any will do. Where
     they may differ, ``first_by`` names the column whose smallest value wins,
-    ties going to the smallest row. Both forms drop copies before the shuffle,
+    NULL last, ties going to the smallest row. Both forms drop copies before the shuffle,
     so a key with a third of all rows leaves one row per task.
     """
     keyed = events.filter(F.col(key).isNotNull())
@@ -46,18 +53,23 @@ def dedup_events(
     if first_by is None:
         one = F.any_value(F.struct(*others))
     else:
-        one = F.min(F.struct(first_by, *others))
+        one = F.min(F.struct(F.col(first_by).isNull().alias("unknown"), first_by, *others))
     unique = keyed.groupBy(key).agg(one.alias("one")).select(key, "one.*").select(events.columns)
     return unique.unionByName(events.filter(F.col(key).isNull()))
 
 
 def dedup_stream(
-    events: DataFrame, key: str = "event_id", time: str = "event_time", within_seconds: int = 60
+    events: DataFrame, key: str = "event_id", arrival: str = "arrival", within_seconds: int = 60
 ) -> DataFrame:
     """The streaming form: copies that arrive within ``within_seconds`` of each other.
 
-    The watermark lets old keys leave the state, so it does not grow for ever.
+    The watermark is on arrival (epoch seconds), so an event is kept however old
+    it is, and old keys leave the state. Rows without a key go past the state
+    and are all kept. In a replay, ``within_seconds`` must also cover how far
+    recorded arrivals are out of order.
     """
-    return events.withWatermark(time, f"{within_seconds} seconds").dropDuplicatesWithinWatermark(
-        [key]
-    )
+    clock = "arrival_clock"
+    timed = events.withColumn(clock, event_time(arrival))
+    timed = timed.withWatermark(clock, f"{within_seconds} seconds")
+    unique = timed.filter(F.col(key).isNotNull()).dropDuplicatesWithinWatermark([key])
+    return unique.unionByName(timed.filter(F.col(key).isNull())).drop(clock)

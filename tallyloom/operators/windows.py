@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.events import age_seconds, event_time, is_late, is_type, with_defaults
-from tallyloom.functions.money import money_sums, money_total, or_zero
+from tallyloom.functions.money import ALL_CENTS, money_sums, money_total, or_zero
 
 DEFAULT_WIDTH = 10
+REVENUE_KINDS = {"revenue_cents": ALL_CENTS, "revenue_rest": "double"}
 
 
 def late_split(events: DataFrame, width_seconds: int = DEFAULT_WIDTH) -> DataFrame:
@@ -34,9 +35,10 @@ def window_cells(
 
     ``clock`` names the epoch seconds that place an event in a window: its own
     time or its arrival. An event is late by more than ``late_after_seconds``,
-    by default two windows. ``watermark_seconds`` bounds the state of a stream
-    and must cover the lateness of what should still be counted; a batch needs
-    none. The partial sums before the shuffle keep a hot window or category
+    by default two windows. ``watermark_seconds`` bounds the state of a stream,
+    which should go by arrival: by event time, whatever is older than the
+    watermark would vanish uncounted, and one event from the future would close
+    the windows of all others. A batch needs no watermark. The partial sums before the shuffle keep a hot window or category
     from reaching one task row by row.
     """
     late = (
@@ -109,31 +111,41 @@ def window_type_counts(cells: DataFrame) -> DataFrame:
 def window_results(cells: DataFrame) -> DataFrame:
     """One nested row per window, with revenue by category and counts by type as maps.
 
-    A row holds one cell per category and type of its window. Where these are
-    free text, with many values per window, use the flat tables above.
+    Cells are first summed up to one entry per category and one per type of a
+    window, so a row gathers as many entries as its two maps have. Where these
+    are free text, with many values per window, use the flat tables above.
     """
-    windows = cells.groupBy("window").agg(
-        F.sum("on_time").alias("events_processed"),
+    of_type = F.struct(
+        F.lit("type").alias("kind"),
+        F.col("event_type").alias("name"),
+        F.col("on_time").alias("events"),
+        F.col("late").alias("late"),
+        F.lit(0).cast("bigint").alias("sales"),
+        *[F.lit(0).cast(kind).alias(name) for name, kind in REVENUE_KINDS.items()],
+    )
+    of_category = F.struct(
+        F.lit("category").alias("kind"),
+        F.col("category").alias("name"),
+        F.lit(0).cast("bigint").alias("events"),
+        F.lit(0).cast("bigint").alias("late"),
+        F.when(is_type("purchase"), F.col("on_time")).otherwise(0).alias("sales"),
+        *[F.coalesce(name, F.lit(0)).cast(kind).alias(name) for name, kind in REVENUE_KINDS.items()],
+    )
+    entries = (
+        cells.select("window", F.explode(F.array(of_type, of_category)).alias("entry"))
+        .groupBy("window", "entry.kind", "entry.name")
+        .agg(*[F.sum(f"entry.{n}").alias(n) for n in ("events", "late", "sales", *REVENUE_KINDS)])
+    )
+    counted = (F.col("kind") == "type") & (F.col("events") > 0)
+    sold = (F.col("kind") == "category") & (F.col("sales") > 0)
+    amount = or_zero(money_total("revenue"))
+    windows = entries.groupBy("window").agg(
+        F.sum("events").alias("events_processed"),
         F.sum("late").alias("late_dropped"),
         *_revenue_sums(),
-        F.array_sort(
-            F.collect_list(
-                F.when(
-                    is_type("purchase") & (F.col("on_time") > 0),
-                    F.struct("category", or_zero(money_total("revenue")).alias("revenue")),
-                )
-            )
-        ).alias("sold"),
-        F.array_sort(
-            F.collect_list(F.when(F.col("on_time") > 0, F.struct("event_type", "on_time")))
-        ).alias("seen"),
+        F.collect_list(F.when(sold, F.struct("name", amount.alias("value")))).alias("sold"),
+        F.collect_list(F.when(counted, F.struct("name", "events"))).alias("seen"),
     )
-
-    def count_of(event_type: Column) -> Column:
-        of_type = F.filter("seen", lambda cell: cell["event_type"] == event_type)
-        return F.aggregate(of_type, F.lit(0).cast("bigint"), lambda n, cell: n + cell["on_time"])
-
-    types = F.array_distinct(F.transform("seen", lambda cell: cell["event_type"]))
     start = F.unix_seconds("window.start").cast("double")
     end = F.unix_seconds("window.end").cast("double")
     return windows.select(
@@ -142,12 +154,26 @@ def window_results(cells: DataFrame) -> DataFrame:
         (end - start).alias("duration_s"),
         "events_processed",
         "late_dropped",
-        F.map_from_entries("sold").alias("revenue_by_category"),
-        F.map_from_arrays(types, F.transform(types, count_of)).alias("counts_by_type"),
+        F.map_from_entries(F.array_sort("sold")).alias("revenue_by_category"),
+        F.map_from_entries(F.array_sort("seen")).alias("counts_by_type"),
         or_zero(money_total("revenue")).alias("total_revenue"),
     )
 
 
+def window_result_scalars(results: DataFrame) -> DataFrame:
+    """Window results with the sizes of their maps in place of the maps."""
+    return results.select(
+        "window_start",
+        "window_end",
+        "duration_s",
+        "events_processed",
+        "late_dropped",
+        F.size("revenue_by_category").cast("bigint").alias("categories"),
+        F.size("counts_by_type").cast("bigint").alias("types"),
+        "total_revenue",
+    )
+
+
 def window_result_entries(results: DataFrame) -> DataFrame:
     """The maps of window results as rows: window, kind of entry, name, value."""
     revenue = results.select(

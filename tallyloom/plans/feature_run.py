@@ -7,7 +7,12 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators.features import category_features, product_features, user_features
+from tallyloom.operators.features import (
+    PRODUCT_KEYS,
+    category_features,
+    product_features,
+    user_features,
+)
 from tallyloom.operators.fingerprint import fingerprints
 from tallyloom.sources.readers import read_parquet
 from tallyloom.sources.writers import write_json, write_parquet
@@ -18,6 +23,13 @@ FEATURE_TABLES = {
     "category_features": category_features,
 }
 
+# The columns that tell the rows of each table apart.
+FEATURE_KEYS = {
+    "user_features": ["user_id"],
+    "product_features": PRODUCT_KEYS,
+    "category_features": ["category"],
+}
+
 
 def write_features(events: DataFrame, output: str) -> None:
     """Write the three tables below ``output``.
@@ -47,26 +59,40 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def run(spark: SparkSession, events: DataFrame, output: str, label: str = "run") -> DataFrame:
+def feature_row_counts(events: DataFrame) -> DataFrame:
+    """Rows of the events and of the tables that they would give, from the tables' keys alone."""
+    keys = {f"{name}_rows": events.select(k).distinct() for name, k in FEATURE_KEYS.items()}
+    return row_counts({"rows_processed": events, **keys})
+
+
+def run(spark: SparkSession, events: DataFrame, output: str, mode: str = "run") -> DataFrame:
     """Write the tables, their metrics and their fingerprints; the metrics row.
 
-    Shuffle and spill come from the event log, see ``operators.runs``.
+    ``mode`` is a name for the run. Shuffle and spill come from the event log,
+    see ``operators.runs``.
     """
     started = time.monotonic()
     write_features(events, output)
     tables = read_features(spark, output)
     written = {f"{name.removesuffix('s')}_rows": table for name, table in tables.items()}
     counted = row_counts({"rows_processed": events, **written}).first()
+    workers = F.lit(spark.sparkContext.defaultParallelism).cast("bigint").alias("workers")
+    runtime = F.lit(time.monotonic() - started).alias("runtime_seconds")
     metrics = spark.range(1).select(
-        F.lit(label).alias("label"),
+        F.lit(mode).alias("mode"),
         F.lit(spark.sparkContext.master).alias("master"),
-        F.lit(spark.sparkContext.defaultParallelism).cast("bigint").alias("workers"),
+        workers,
         F.lit(int(spark.conf.get("spark.sql.shuffle.partitions")))
         .cast("bigint")
         .alias("shuffle_partitions"),
         *[F.lit(n).cast("bigint").alias(name) for name, n in counted.asDict().items()],
-        F.lit(time.monotonic() - started).alias("runtime_seconds"),
+        runtime,
     )
-    write_json(metrics, f"{output}/metrics_{label}")
-    write_json(fingerprints(tables), f"{output}/output_hashes")
+    write_json(metrics, metrics_path(output, mode))
+    hashes = fingerprints(tables).select(F.lit(mode).alias("mode"), workers, runtime, "*")
+    write_json(hashes, f"{output}/output_hashes")
     return metrics
+
+
+def metrics_path(output: str, mode: str = "run") -> str:
+    return f"{output}/metrics_{mode}"

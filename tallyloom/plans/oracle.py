@@ -5,6 +5,7 @@ from __future__ import annotations
 HOUR = 3600
 LATE_AFTER = 20
 WATERMARK = 60
+SLICES = 4
 
 SHOP = """
 shop AS (
@@ -34,18 +35,34 @@ arrived AS (
   FROM shop s JOIN events e ON s.event_id = e.event_id)
 """
 
-TIMED = ARRIVED.rstrip() + f""",
+
+
+def _timed(rows: str) -> str:
+    """Windows by event time, and those by arrival that a stream over all rows has closed."""
+    return f""",
 timed AS (
   SELECT *, CAST(floor(timestamp / {HOUR}) AS BIGINT) * {HOUR} AS window_start,
     arrival - timestamp > {LATE_AFTER} AS late, (arrival - timestamp) * 1000 AS latency_ms,
     CASE WHEN event_type = 'purchase' THEN CAST(price AS DECIMAL(12, 2)) * quantity END AS amount
-  FROM arrived),
+  FROM {rows}),
+arriving AS (
+  SELECT * REPLACE (CAST(floor(arrival / {HOUR}) AS BIGINT) * {HOUR} AS window_start) FROM timed),
 closed AS (
-  SELECT * FROM timed
-  WHERE window_start + {HOUR} <= (SELECT max(timestamp) FROM timed) - {WATERMARK})
+  SELECT * FROM arriving
+  WHERE window_start + {HOUR} <= (SELECT max(arrival) FROM arriving) - {WATERMARK})
+"""
+
+
+STRAYED = ARRIVED.rstrip() + """,
+strayed AS (
+  SELECT * REPLACE (CASE WHEN event_id % 19 = 5 THEN timestamp - 155
+    WHEN event_id % 23 = 7 THEN timestamp + 1000000 ELSE timestamp END AS timestamp) FROM arrived)
 """
+TIMED = ARRIVED.rstrip() + _timed("arrived")
+TIMED_STRAYS = STRAYED.rstrip() + _timed("strayed")
 
-SHOP, ARRIVED, TIMED = f"WITH {SHOP}", f"WITH {ARRIVED}", f"WITH {TIMED}"
+SHOP, ARRIVED, STRAYED = f"WITH {SHOP}", f"WITH {ARRIVED}", f"WITH {STRAYED}"
+TIMED, TIMED_STRAYS = f"WITH {TIMED}", f"WITH {TIMED_STRAYS}"
 
 TOTAL = "CAST(sum({}) AS DOUBLE)"
 SPENT = TOTAL.format("amount")
@@ -93,6 +110,16 @@ def _window_totals(rows: str) -> str:
 FROM {rows} GROUP BY window_start"""
 
 
+def _window_scalars(rows: str) -> str:
+    return f"""SELECT CAST(window_start AS DOUBLE) AS window_start,
+  CAST(window_start + {HOUR} AS DOUBLE) AS window_end, CAST({HOUR} AS DOUBLE) AS duration_s,
+  {_count("NOT late")} AS events_processed, {_count("late")} AS late_dropped,
+  count(DISTINCT category) FILTER (NOT late AND event_type = 'purchase') AS categories,
+  count(DISTINCT event_type) FILTER (NOT late) AS types,
+  coalesce(CAST(sum(amount) FILTER (NOT late) AS DOUBLE), 0) AS total_revenue
+FROM {rows} GROUP BY window_start"""
+
+
 def _window_category_revenue(rows: str) -> str:
     return f"""SELECT {BOUNDS}, category, {SPENT} AS revenue FROM {rows}
 WHERE NOT late AND event_type = 'purchase' GROUP BY window_start, category"""
@@ -127,16 +154,44 @@ def _percentiles(by: str, source: str = "timed") -> str:
   FROM {source}) {group}"""
 
 
+LOAD_LEVELS = f"""{TIMED}, levels AS (
+  SELECT *, CASE event_id % 3 WHEN 0 THEN 'low' WHEN 1 THEN 'medium' ELSE 'high' END AS label
+  FROM timed),
+latency AS ({_percentiles('label', 'levels')}),
+windows AS (
+  SELECT label, count(DISTINCT CAST(floor(timestamp / 10) AS BIGINT)) AS windows
+  FROM levels WHERE NOT late GROUP BY label)
+SELECT l.*, coalesce(windows, 0) AS windows,
+  CAST(CASE l.label WHEN 'low' THEN 100 WHEN 'medium' THEN 1000 ELSE 5000 END AS BIGINT) AS rate,
+  l.label = 'high' AS burst
+FROM latency l LEFT JOIN windows w ON l.label = w.label"""
+
 BAD_LINES = "event_id % 50 IN (7, 13, 21, 25, 29, 33, 47)"
 BLANK_LINES = "event_id % 50 = 37"
 
 _HASHED = ["category", "event_id", "event_type", "price", "product_id", "quantity", "rating",
            "session_id", "timestamp", "user_id"]
-_ROW_TEXT = " || ".join(
-    f"CASE WHEN {c} IS NULL THEN 'n;' ELSE 'v' || length(CAST({c} AS VARCHAR)) || ':' "
-    f"|| CAST({c} AS VARCHAR) END"
-    for c in _HASHED
-)
+_DOUBLES = {"price", "rating", "large", "small"}
+
+
+def _sha256_sums(table: str, columns: list[str]) -> str:
+    """Row hashes over lengths and texts of the sorted columns; a double's text is that of its bits."""
+    texts = {
+        c: f"CAST(CAST(CAST(CASE WHEN {c} = 0 THEN 0 ELSE {c} END AS DOUBLE) AS BIT) AS BIGINT)"
+        if c in _DOUBLES
+        else c
+        for c in columns
+    }
+    row = " || ".join(
+        f"CASE WHEN {c} IS NULL THEN 'n;' ELSE 'v' || length(CAST({text} AS VARCHAR)) || ':' "
+        f"|| CAST({text} AS VARCHAR) END"
+        for c, text in texts.items()
+    )
+    return f"""digests AS (SELECT sha256({row}) AS digest FROM {table})
+SELECT count(*) AS row_count,
+  CAST(sum(CAST(CAST('0x' || substr(digest, 1, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS hash_a,
+  CAST(sum(CAST(CAST('0x' || substr(digest, 16, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS hash_b
+FROM digests"""
 
 
 def all_oracles() -> dict[str, str]:
@@ -205,6 +260,22 @@ FROM activity a LEFT JOIN revenue r ON a.category = r.category""",
             product="product_feature_rows",
             category="category_feature_rows",
         ),
+        "user_spend_of_fractions": f"""{SHOP}, scaled AS (
+  SELECT user_id, CAST(price AS DECIMAL(12, 2)) * 1000000 * (quantity * 4 + 1) / 4 AS amount
+  FROM shop WHERE event_type = 'purchase')
+SELECT user_id, CAST(sum(amount) AS DOUBLE) AS total_spend,
+  CAST(sum(amount) AS DOUBLE) / count(amount) AS avg_order_value FROM scaled GROUP BY user_id""",
+        "run_metrics_json": f"""WITH counts AS ({ROW_COUNTS.format(
+            user="user_feature_rows",
+            product="product_feature_rows",
+            category="category_feature_rows",
+        )}) SELECT 'check' AS mode, true AS workers, true AS shuffle_partitions,
+  true AS runtime_seconds, * FROM counts""",
+        "output_hashes_json": f"""{SHOP}, counts AS (
+  SELECT unnest(['user_features', 'product_features', 'category_features']) AS table_name,
+    unnest([count(DISTINCT user_id), count(DISTINCT (product_id, category)),
+      count(DISTINCT category)]) AS row_count FROM shop)
+SELECT 'check' AS mode, true AS workers, true AS runtime_seconds, *, true AS same FROM counts""",
         "late_split": f"""{ARRIVED} SELECT *, arrival - timestamp AS age_s,
   arrival - timestamp > 20 AS late FROM arrived""",
         "window_totals": f"{TIMED} {_window_totals('timed')}",
@@ -213,6 +284,7 @@ SELECT * REPLACE (round(total_revenue, 2) AS total_revenue) FROM totals""",
         "window_category_revenue": f"{TIMED} {_window_category_revenue('timed')}",
         "window_type_counts": f"{TIMED} {_window_type_counts('timed')}",
         "window_result_entries": f"{TIMED} {_window_entries('timed')}",
+        "window_result_nested": f"{TIMED} {_window_scalars('timed')}",
         "late_rate_alerts": f"""{TIMED}, totals AS ({_window_totals('timed')})
 SELECT *, CAST(late_dropped AS DOUBLE) / (late_dropped + events_processed) AS late_rate
 FROM totals
@@ -221,17 +293,11 @@ WHERE CAST(late_dropped AS DOUBLE) / (late_dropped + events_processed) > CAST(0.
         "latency_percentiles_by_window": f"{TIMED} {_percentiles('window_start')}",
         "latency_alerts": f"""{TIMED}, latency AS ({_percentiles('window_start')})
 SELECT * FROM latency WHERE p99 > 500""",
-        "load_level_summary": f"""{TIMED}, levels AS (
-  SELECT *, CASE event_id % 3 WHEN 0 THEN 'low' WHEN 1 THEN 'medium' ELSE 'high' END AS label
-  FROM timed),
-latency AS ({_percentiles('label', 'levels')}),
-windows AS (
-  SELECT label, count(DISTINCT CAST(floor(timestamp / 10) AS BIGINT)) AS windows
-  FROM levels WHERE NOT late GROUP BY label)
-SELECT l.*, coalesce(windows, 0) AS windows,
-  CAST(CASE l.label WHEN 'low' THEN 100 WHEN 'medium' THEN 1000 ELSE 5000 END AS BIGINT) AS rate,
-  l.label = 'high' AS burst
-FROM latency l LEFT JOIN windows w ON l.label = w.label""",
+        "load_level_summary": LOAD_LEVELS,
+        "load_summary_json": LOAD_LEVELS,
+        "quarantine": f"""SELECT CASE WHEN event_id % 50 = 29 THEN 'no time'
+    ELSE 'not one well-typed object' END AS reason, count(*) AS records
+FROM events WHERE {BAD_LINES} GROUP BY 1""",
         "parse_events": f"""{ARRIVED} SELECT event_id, user_id, product_id,
   CASE WHEN event_id % 50 = 43 THEN 'unknown' ELSE category END AS category, event_type, price,
   CASE WHEN event_id % 50 = 43 THEN 1 ELSE quantity END AS quantity, timestamp
@@ -240,11 +306,13 @@ FROM arrived WHERE NOT ({BAD_LINES}) AND NOT ({BLANK_LINES})""",
   {_count(f"NOT ({BAD_LINES}) AND NOT ({BLANK_LINES})")} AS processed,
   {_count(BAD_LINES)} AS errors FROM events""",
         "dedup_events": f"{ARRIVED} SELECT * FROM arrived",
-        "content_hash_sha256": f"""{SHOP}, digests AS (SELECT sha256({_ROW_TEXT}) AS digest FROM shop)
-SELECT count(*) AS row_count,
-  CAST(sum(CAST(CAST('0x' || substr(digest, 1, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS hash_a,
-  CAST(sum(CAST(CAST('0x' || substr(digest, 16, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS hash_b
-FROM digests""",
+        "content_hash": """SELECT count(*) AS row_count, true AS same_when_moved,
+  count(*) FILTER (event_id % 1009 = 0) > 0 AS differs_when_changed,
+  count(*) FILTER (event_id % 1009 = 0) > 0 AS differs_with_copies FROM events""",
+        "content_hash_sha256": f"{SHOP}, {_sha256_sums('shop', _HASHED)}",
+        "content_hash_sha256_wide": f"""{SHOP}, wide AS (
+  SELECT event_id, price * CAST(1e9 AS DOUBLE) AS large, price / CAST(1e6 AS DOUBLE) AS small
+  FROM shop), {_sha256_sums('wide', ['event_id', 'large', 'small'])}""",
         "table_diff": f"""{SHOP}, changed AS (
   SELECT * REPLACE (CASE WHEN event_id % 97 = 0 THEN price + 1 ELSE price END AS price)
   FROM shop
@@ -268,8 +336,24 @@ FROM shop GROUP BY 1""",
         "stream_parse_events": f"""SELECT
   {_count(f"NOT ({BAD_LINES}) AND NOT ({BLANK_LINES})")} AS processed,
   {_count(BAD_LINES)} AS errors FROM events""",
-        "stream_dedup_events": f"{SHOP} SELECT event_id, event_type, price FROM shop",
-        "stream_resume": f"""{TIMED}
-SELECT count(DISTINCT window_start) AS windows_after_first_run,
-  count(DISTINCT window_start) AS windows_after_second_run FROM closed""",
+        "stream_late_totals": f"{TIMED_STRAYS} {_window_totals('closed')}",
+        "stream_window_results": f"{TIMED} {_window_scalars('closed')}",
+        "stream_latency_by_window": f"""{TIMED_STRAYS}
+SELECT window_start, count(*) AS count, true AS p50_right, true AS p95_right, true AS p99_right
+FROM closed GROUP BY window_start""",
+        "stream_dedup_events": f"""{SHOP}
+SELECT CASE WHEN event_id % 29 <> 3 THEN event_id END AS event_id, event_type, price FROM shop
+UNION ALL SELECT NULL, event_type, price FROM shop WHERE event_id % 29 = 3 AND event_id % 3 = 0""",
+        "stream_resume": f"""{TIMED}, sliced AS (
+  SELECT *, least(floor((arrival - min(arrival) OVER ())
+    / (max(arrival) OVER () - min(arrival) OVER ()) * {SLICES}), {SLICES - 1}) AS slice
+  FROM arriving),
+cells AS (
+  SELECT DISTINCT window_start, category, event_type,
+    window_start + {HOUR} <= (SELECT max(arrival) FROM sliced WHERE slice < {SLICES // 2})
+      - {WATERMARK} AS early
+  FROM sliced
+  WHERE window_start + {HOUR} <= (SELECT max(arrival) FROM sliced) - {WATERMARK})
+SELECT {_count("early")} AS cells_after_half, {_count("early")} AS cells_after_idle_run,
+  count(*) AS cells_after_rest FROM cells""",
     }

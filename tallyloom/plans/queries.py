@@ -13,13 +13,14 @@ from tallyloom.plans import feature_run
 from tallyloom.sources import readers, writers
 from tallyloom.sources.lines import parse_lines
 from tallyloom.sources.schemas import BATCH_EVENT, STREAM_EVENT, WINDOW_RESULT
-from tallyloom.sources.shop import arrived_events, shop_events, synthetic_columns
+from tallyloom.sources.shop import arrived_events, shop_events
 from tallyloom.streaming import streams
 from tallyloom.workspace import new_folder
 
 HOUR = 3600
 LATE_AFTER = 20
 WATERMARK = 60
+SLICES = 4
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,13 +41,6 @@ def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.window_cells(_arrived(spark, sf_dir), HOUR, LATE_AFTER)
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = _events(spark, sf_dir).schema
-    # A pattern, as a stream wants a folder where the table may be one file.
-    path = f"{sf_dir}/events.parque[t]"
-    return arrived_events(readers.stream_parquet(spark, path, schema))
-
-
 def over_shop(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(_shop(spark, sf_dir))
 
@@ -110,6 +104,24 @@ def _with_copies(events: DataFrame) -> DataFrame:
     return events.unionByName(copies)
 
 
+def _with_strays(events: DataFrame) -> DataFrame:
+    """Some events far older than their arrival, and some with a time in the far future."""
+    time = (
+        F.when(_every(19, 5), F.col("timestamp") - 155)
+        .when(_every(23, 7), F.col("timestamp") + 1_000_000)
+        .otherwise(F.col("timestamp"))
+    )
+    return events.withColumn("timestamp", time)
+
+
+def _with_copies_and_gaps(events: DataFrame) -> DataFrame:
+    """Strays, a third of all events a second time five seconds later, some ids missing."""
+    strays = _with_strays(events)
+    later = strays.filter(_every(3, 0)).withColumn("arrival", F.col("arrival") + 5)
+    unnamed = F.when(~_every(29, 3), F.col("event_id"))
+    return strays.unionByName(later).withColumn("event_id", unnamed)
+
+
 def _load_levels(events: DataFrame) -> DataFrame:
     level = F.col("event_id") % 3
     return events.withColumns(
@@ -125,9 +137,7 @@ def _load_levels(events: DataFrame) -> DataFrame:
 
 
 def _row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _shop(spark, sf_dir)
-    tables = {f"{name}_rows": build(events) for name, build in feature_run.FEATURE_TABLES.items()}
-    return feature_run.row_counts({"rows_processed": events, **tables})
+    return feature_run.feature_row_counts(_shop(spark, sf_dir))
 
 
 def _feature_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +148,54 @@ def _feature_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+METRICS = (
+    "mode string, workers long, shuffle_partitions long, rows_processed long, user_feature_rows long, "
+    "product_feature_rows long, category_feature_rows long, runtime_seconds double"
+)
+HASHES = (
+    "mode string, workers long, runtime_seconds double, table_name string, row_count long, "
+    "hash_a string, hash_b string"
+)
+SUMMARY = (
+    "label string, rate long, burst boolean, p50 double, p95 double, p99 double, count long, "
+    "windows long"
+)
+
+
+def _metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics as read back; measured values as whether they are there."""
+    output = new_folder(spark, "features")
+    feature_run.run(spark, _shop(spark, sf_dir), output, "check")
+    row = spark.read.schema(METRICS).json(feature_run.metrics_path(output, "check"))
+    measured = ("workers", "shuffle_partitions", "runtime_seconds")
+    return row.withColumns({name: F.col(name) > 0 for name in measured})
+
+
+def _hashes_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprints as read back, and whether they are those of the written tables."""
+    output = new_folder(spark, "features")
+    feature_run.run(spark, _shop(spark, sf_dir), output, "check")
+    rows = spark.read.schema(HASHES).json(f"{output}/output_hashes")
+    again = fingerprint.fingerprints(feature_run.read_features(spark, output)).select(
+        "table_name", F.struct("row_count", "hash_a", "hash_b").alias("again")
+    )
+    same = F.col("again") == F.struct("row_count", "hash_a", "hash_b")
+    return rows.join(again, "table_name").select(
+        "mode",
+        (F.col("workers") > 0).alias("workers"),
+        (F.col("runtime_seconds") > 0).alias("runtime_seconds"),
+        "table_name",
+        "row_count",
+        same.alias("same"),
+    )
+
+
+def _load_summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "load-summary")
+    writers.write_json(latency.load_level_summary(_load_levels(_arrived(spark, sf_dir))), path)
+    return spark.read.schema(SUMMARY).json(path)
+
+
 def _round_trip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "parquet")
     writers.write_events(_shop(spark, sf_dir), path, "parquet")
@@ -169,46 +227,82 @@ def _by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _slices(events: DataFrame) -> list[DataFrame]:
+    """The events in the order of their arrival, cut into slices of time of equal length."""
+    low, high = events.agg(F.min("arrival"), F.max("arrival")).first()
+    if low is None or low == high:
+        return [events]
+    place = F.least(F.floor((F.col("arrival") - low) / (high - low) * SLICES), F.lit(SLICES - 1))
+    return [events.filter(place == k) for k in range(SLICES)]
+
+
+def _replay(
+    spark: SparkSession, events: DataFrame, folder: str, operator: Callable, fmt: str = "parquet"
+) -> None:
+    """Adds slice after slice to the source, and takes the stream up again after each.
+
+    Every slice meets the state, the watermark and the checkpoint that the ones
+    before it left.
+    """
+    for events_of_slice in _slices(events):
+        events_of_slice.write.mode("append").parquet(f"{folder}/in")
+        stream = readers.stream_parquet(spark, f"{folder}/in", events.schema)
+        streams.run_available(operator(stream), f"{folder}/out", f"{folder}/checkpoint", fmt)
+
+
+def _cell_stream(stream: DataFrame) -> DataFrame:
+    return streams.window_cell_stream(stream, HOUR, WATERMARK, late_after_seconds=LATE_AFTER)
+
+
 def _stream_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "stream-windows")
-    cells = streams.window_cell_stream(
-        _event_stream(spark, sf_dir), HOUR, WATERMARK, late_after_seconds=LATE_AFTER
-    )
-    streams.run_available(cells, f"{folder}/out", f"{folder}/checkpoint")
+    _replay(spark, _arrived(spark, sf_dir), folder, _cell_stream)
     return readers.read_parquet(spark, f"{folder}/out")
 
 
+def _stream_late_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "stream-late")
+    _replay(spark, _with_strays(_arrived(spark, sf_dir)), folder, _cell_stream)
+    return windows.window_totals(readers.read_parquet(spark, f"{folder}/out"))
+
+
 def _stream_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "stream-results")
-    results = streams.window_result_stream(
-        _event_stream(spark, sf_dir), HOUR, WATERMARK, late_after_seconds=LATE_AFTER
+    _replay(
+        spark,
+        _arrived(spark, sf_dir),
+        folder,
+        lambda stream: windows.window_results(_cell_stream(stream)),
+        "json",
     )
-    streams.run_available(results, f"{folder}/out", f"{folder}/checkpoint", fmt="json")
     return spark.read.schema(WINDOW_RESULT).json(f"{folder}/out")
 
 
 def _stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in the sink after half of the input, after a run without input, and at the end."""
     folder = new_folder(spark, "stream-resume")
-    cells = streams.window_cell_stream(
-        _event_stream(spark, sf_dir), HOUR, WATERMARK, late_after_seconds=LATE_AFTER
-    )
-    after = []
-    for _ in range(2):
-        streams.run_available(cells, f"{folder}/out", f"{folder}/checkpoint")
-        closed = readers.read_parquet(spark, f"{folder}/out").select("window")
-        after.append(closed.distinct().count())
-    first, second = after
+    events = _arrived(spark, sf_dir)
+    slices = _slices(events)
+    half = len(slices) // 2
+    written = []
+    for some in (slices[:half], [], slices[half:]):
+        for events_of_slice in some:
+            events_of_slice.write.mode("append").parquet(f"{folder}/in")
+        stream = readers.stream_parquet(spark, f"{folder}/in", events.schema)
+        streams.run_available(_cell_stream(stream), f"{folder}/out", f"{folder}/checkpoint")
+        written.append(readers.read_parquet(spark, f"{folder}/out").count())
+    names = ("cells_after_half", "cells_after_idle_run", "cells_after_rest")
     return spark.range(1).select(
-        F.lit(first).cast("bigint").alias("windows_after_first_run"),
-        F.lit(second).cast("bigint").alias("windows_after_second_run"),
+        *[F.lit(n).cast("bigint").alias(name) for name, n in zip(names, written)]
     )
 
 
 def _stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "stream-parse")
-    _lines(_arrived(spark, sf_dir)).write.text(f"{folder}/lines")
-    parsed = readers.stream_json_lines(spark, f"{folder}/lines")
-    streams.start_parsed(parsed, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    for events_of_slice in _slices(_arrived(spark, sf_dir)):
+        _lines(events_of_slice).write.mode("append").text(f"{folder}/lines")
+        parsed = readers.stream_json_lines(spark, f"{folder}/lines")
+        streams.start_parsed(parsed, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return readers.read_parquet(spark, f"{folder}/out").agg(
         F.count_if(F.col("record") == "good").alias("processed"),
         F.count_if(F.col("record") == "bad").alias("errors"),
@@ -217,17 +311,19 @@ def _stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "stream-dedup")
-    stream = _event_stream(spark, sf_dir).withColumn("event_time", F.timestamp_seconds("timestamp"))
-    twice = stream.unionByName(stream)
-    streams.start_dedup(twice, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    _replay(
+        spark, _with_copies_and_gaps(_arrived(spark, sf_dir)), folder, quality.dedup_stream
+    )
     return readers.read_parquet(spark, f"{folder}/out").select("event_id", "event_type", "price")
 
 
 def _stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "stream-latency")
-    percentiles = latency.approx_latency_by_window(_event_stream(spark, sf_dir), HOUR, WATERMARK)
-    streams.run_available(percentiles, f"{folder}/out", f"{folder}/checkpoint")
-    return readers.read_parquet(spark, f"{folder}/out")
+    events = _with_strays(_arrived(spark, sf_dir))
+    _replay(
+        spark, events, folder, lambda s: latency.approx_latency_by_window(s, HOUR, WATERMARK)
+    )
+    return latency.sketch_errors(readers.read_parquet(spark, f"{folder}/out"), events, HOUR)
 
 
 # -- comparisons -------------------------------------------------------------------
@@ -248,8 +344,43 @@ def _reproducible(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.table_diff(features.user_features(events), features.user_features(again))
 
 
-def _synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return synthetic_columns(_events(spark, sf_dir).select("event_id"), id_column="event_id")
+def _content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the hash passes over order and sees a change; its numbers belong to one engine."""
+    events = _shop(spark, sf_dir)
+    changed = F.when(_every(1009, 0), F.col("price") + 1).otherwise(F.col("price"))
+    tables = {
+        "first": events,
+        "moved": events.repartition(7, "product_id").select(*sorted(events.columns)),
+        "changed": events.withColumn("price", changed),
+        "copied": events.unionByName(events.filter(_every(1009, 0))),
+    }
+    row = fingerprint.fingerprints(tables).agg(
+        *[
+            F.max(F.when(F.col("table_name") == name, F.struct("row_count", "hash_a", "hash_b")))
+            .alias(name)
+            for name in tables
+        ]
+    )
+    return row.select(
+        "first.row_count",
+        (F.col("first") == F.col("moved")).alias("same_when_moved"),
+        (F.col("first") != F.col("changed")).alias("differs_when_changed"),
+        (F.col("first") != F.col("copied")).alias("differs_with_copies"),
+    )
+
+
+def _wide_numbers(events: DataFrame) -> DataFrame:
+    """Doubles of sizes that engines write differently."""
+    return events.select(
+        "event_id", (F.col("price") * 1e9).alias("large"), (F.col("price") / 1e6).alias("small")
+    )
+
+
+def _scaled(events: DataFrame) -> DataFrame:
+    """Prices ten thousand times as high, and fractions of a piece."""
+    return events.withColumns(
+        {"price": F.rint(F.col("price") * 100) * 1e4, "quantity": F.col("quantity") + 0.25}
+    )
 
 
 def all_queries() -> dict[str, Query]:
@@ -258,7 +389,6 @@ def all_queries() -> dict[str, Query]:
         "scan_events": over_shop(lambda events: events),
         "purchases_spend": over_purchases(features.purchases_with_spend),
         "defaults_applied": over_arrived(lambda e: with_defaults(_with_gaps(e))),
-        "synthetic_events": _synthetic,
         # feature tables
         "user_activity": over_shop(features.user_activity),
         "user_spend": over_purchases(features.user_spend),
@@ -270,15 +400,20 @@ def all_queries() -> dict[str, Query]:
         "category_activity": over_shop(features.category_activity),
         "category_revenue": over_purchases(features.category_revenue),
         "category_features": over_shop(features.category_features),
+        "user_spend_of_fractions": over_purchases(lambda e: features.user_spend(_scaled(e))),
         "row_counts": _row_counts,
         "feature_run": _feature_run,
+        "run_metrics_json": _metrics_json,
+        "output_hashes_json": _hashes_json,
         # windows
         "late_split": over_arrived(windows.late_split),
         "window_totals": over_cells(windows.window_totals),
         "window_totals_rounded": over_cells(lambda cells: rounded(windows.window_totals(cells))),
         "window_category_revenue": over_cells(windows.window_category_revenue),
         "window_type_counts": over_cells(windows.window_type_counts),
-        "window_result_nested": over_cells(windows.window_results),
+        "window_result_nested": over_cells(
+            lambda cells: windows.window_result_scalars(windows.window_results(cells))
+        ),
         "window_result_entries": over_cells(
             lambda cells: windows.window_result_entries(windows.window_results(cells))
         ),
@@ -294,14 +429,13 @@ def all_queries() -> dict[str, Query]:
             lambda e: latency.latency_alerts(latency.latency_by_window(e, HOUR))
         ),
         "load_level_summary": over_arrived(lambda e: latency.load_level_summary(_load_levels(e))),
+        "load_summary_json": _load_summary_json,
         # quality
         "parse_events": over_arrived(
             lambda e: quality.good_events(parse_lines(_lines(e)))
         ),
         "quarantine": over_arrived(
-            lambda e: quality.quarantine(parse_lines(_lines(e))).select(
-                "event_id", "_corrupt_record"
-            )
+            lambda e: quality.quarantine_reasons(parse_lines(_lines(e)))
         ),
         "parse_error_count": over_arrived(
             lambda e: quality.parse_totals(parse_lines(_lines(e)))
@@ -309,8 +443,11 @@ def all_queries() -> dict[str, Query]:
         "dedup_events": over_arrived(
             lambda e: quality.dedup_events(_with_copies(e), first_by="arrival")
         ),
-        "content_hash": over_shop(fingerprint.content_hash),
+        "content_hash": _content_hash,
         "content_hash_sha256": over_shop(lambda e: fingerprint.content_hash(e, "sha256")),
+        "content_hash_sha256_wide": over_shop(
+            lambda e: fingerprint.content_hash(_wide_numbers(e), "sha256")
+        ),
         "table_diff": _table_diff,
         "reproducible_user_features": _reproducible,
         # sinks
@@ -326,7 +463,10 @@ def all_queries() -> dict[str, Query]:
         "stream_window_type_counts": lambda spark, d: windows.window_type_counts(
             _stream_cells(spark, d)
         ),
-        "stream_window_results": _stream_results,
+        "stream_late_totals": _stream_late_totals,
+        "stream_window_results": lambda spark, d: windows.window_result_scalars(
+            _stream_results(spark, d)
+        ),
         "stream_window_result_entries": lambda spark, d: windows.window_result_entries(
             _stream_results(spark, d)
         ),

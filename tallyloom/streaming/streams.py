@@ -11,10 +11,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyloom.operators.quality import dedup_stream, is_bad
+from tallyloom.operators.latency import (
+    RANKS,
+    approx_latency_by_window,
+    latency_by_window,
+    latency_percentiles,
+)
+from tallyloom.operators.quality import dedup_stream, good_events, is_bad, parse_totals
 from tallyloom.operators.windows import DEFAULT_WIDTH, window_cells, window_results
+from tallyloom.sources.readers import stream_parquet
+from tallyloom.sources.writers import write_json
 
 
 def start(
@@ -51,11 +60,18 @@ def window_cell_stream(
     events: DataFrame,
     width_seconds: int = DEFAULT_WIDTH,
     watermark_seconds: int | None = None,
+    clock: str = "arrival",
     **options,
 ) -> DataFrame:
-    """Cells of closed windows. The state is kept for two more windows unless told otherwise."""
+    """Cells of closed windows, events counted in the window in which they arrive.
+
+    Late events and those with a time in the future arrive like all others, so
+    they are counted, and close nobody's window. The state is kept for two more
+    windows unless told otherwise; in a replay that must cover how far recorded
+    arrivals are out of order.
+    """
     delay = 2 * width_seconds if watermark_seconds is None else watermark_seconds
-    return window_cells(events, width_seconds, watermark_seconds=delay, **options)
+    return window_cells(events, width_seconds, clock=clock, watermark_seconds=delay, **options)
 
 
 def window_result_stream(
@@ -76,6 +92,55 @@ def start_parsed(
     return start(split, path, checkpoint, every=every, partition_by=["record"])
 
 
+def parsed_events(records: DataFrame) -> DataFrame:
+    """The good events of a table that ``start_parsed`` wrote."""
+    return good_events(records.filter(F.col("record") == "good").drop("record"))
+
+
+def run_totals(records: DataFrame) -> DataFrame:
+    """One row: records processed, errors, and the latency of the events that could be read."""
+    latencies = latency_percentiles(parsed_events(records))
+    counts = parse_totals(records)
+    both = counts.withColumn("one", F.lit(1)).join(latencies.withColumn("one", F.lit(1)), "one")
+    return both.select("processed", "errors", *RANKS, F.col("count").alias("latencies"))
+
+
+def run_events_job(
+    arrived: DataFrame, output: str, checkpoint: str, width_seconds: int, every: str | None
+) -> None:
+    """Parsed records with their arrival to ``events``; from there window results and latencies.
+
+    With ``every`` all three are streams until stopped: the second and third read
+    the committed files of the first, so lines are parsed once, and report the
+    windows that are closed. Without it the first one takes up what is there, and
+    ``windows``, ``latency`` (exact) and ``totals`` report all of ``events``, open
+    windows too; another run adds to ``events`` and reports anew.
+    """
+    spark = arrived.sparkSession
+    events = f"{output}/events"
+    first = start_parsed(arrived, events, f"{checkpoint}/events", every)
+    kept = T.StructType([*arrived.schema.fields, T.StructField("record", T.StringType())])
+    if every is None:
+        first.awaitTermination()
+        records = spark.read.schema(kept).parquet(events)
+        stored = parsed_events(records)
+        cells = window_cells(stored, width_seconds, clock="arrival")
+        write_json(window_results(cells), f"{output}/windows")
+        write_json(latency_by_window(stored, width_seconds, "arrival"), f"{output}/latency")
+        write_json(run_totals(records), f"{output}/totals")
+        return
+    first.processAllAvailable()  # so that the folder is there
+    stored = parsed_events(stream_parquet(spark, events, kept))
+    results = window_result_stream(stored, width_seconds)
+    latencies = approx_latency_by_window(stored, width_seconds, 2 * width_seconds)
+    queries = [
+        start(results, f"{output}/windows", f"{checkpoint}/windows", "json", every),
+        start(latencies, f"{output}/latency", f"{checkpoint}/latency", "json", every),
+    ]
+    for query in [*queries, first]:
+        query.awaitTermination()
+
+
 def start_dedup(
     events: DataFrame, path: str, checkpoint: str, every: str | None = None, **options
 ) -> StreamingQuery:

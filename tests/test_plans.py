@@ -4,11 +4,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
+from tallyloom.plans.queries import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-WRITING = ("stream_", "sink_", "feature_run", "event_date")
+QUERIES = all_queries()
+WRITING = ("stream_", "sink_", "feature_run", "run_metrics_json", "output_hashes_json",
+           "load_summary_json", "event_date")
 LAZY = sorted(name for name in QUERIES if not name.startswith(WRITING))
 NESTED = {"window_result_nested", "window_result_entries"}
 
@@ -74,10 +75,24 @@ def test_one_shuffle_brings_partial_results_together(spark):
     assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) <= 7
 
 
-def test_histogram_is_built_once(spark):
-    df = QUERIES["latency_percentiles"](spark, SF_DIR)
-    df.collect()
-    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+LATENCY = ["latency_percentiles", "latency_percentiles_by_window", "latency_alerts",
+           "load_level_summary"]
+
+
+@pytest.mark.parametrize("name", LATENCY)
+def test_samples_are_not_shuffled_by_value(spark, name):
+    """Only values of the slice that holds a rank are grouped by value, below two joins."""
+    text = plan(spark, name)
+    by_value = [x for x in re.findall(r"hashpartitioning\(([^)]*)\)", text) if "value" in x]
+    assert all("rank" in x for x in by_value) and by_value
+    first = re.findall(r"^\(\d+\) Exchange\n.*?Arguments: hashpartitioning\(([^)]*)\)", text, re.M | re.S)
+    assert "bucket" in first[0]
+
+
+def test_row_counts_come_from_the_keys(spark):
+    text = plan(spark, "row_counts")
+    assert len(re.findall(r"^\(\d+\) Scan parquet", text, re.M)) <= 4
+    assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) <= 8
 
 
 @pytest.mark.parametrize("order", [None, "arrival"])

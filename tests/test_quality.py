@@ -1,6 +1,12 @@
 from helpers import arrived, by
 
-from tallyloom.operators.quality import dedup_events, good_events, parse_totals, quarantine
+from tallyloom.operators.quality import (
+    dedup_events,
+    good_events,
+    parse_totals,
+    quarantine,
+    quarantine_reasons,
+)
 from tallyloom.sources.lines import parse_lines
 from tallyloom.sources.readers import read_json_lines
 from tallyloom.sources.schemas import CORRUPT
@@ -78,3 +84,14 @@ def test_rows_without_an_id_are_all_kept(spark):
     events = arrived(spark, {"event_id": None}, {"event_id": None}, {"event_id": 1})
     assert dedup_events(events).count() == 3
     assert dedup_events(events, first_by="arrival").count() == 3
+
+
+def test_an_unknown_arrival_comes_last(spark):
+    events = arrived(spark, {"event_id": 1, "arrival": None}, {"event_id": 1, "arrival": 9.0})
+    assert dedup_events(events, first_by="arrival").first().arrival == 9.0
+
+
+def test_reasons_of_bad_records(spark):
+    reasons = quarantine_reasons(parse_lines(text(spark, GOOD + BLANK + BAD)))
+    got = {r.reason: r.records for r in reasons.collect()}
+    assert got == {"no time": 2, "not one well-typed object": len(BAD) - 2}

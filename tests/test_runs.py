@@ -112,7 +112,7 @@ def test_generated_stream_is_read_on_time(spark, job, tmp_path):
     job("generate-stream", "--rate", "50", "--duration", "60", "--output", lines)
     job("stream", "--input", lines, "--output", out, "--checkpoint", str(tmp_path / "ck"))
     windows = spark.read.schema(WINDOW_RESULT).json(f"{out}/windows").collect()
-    assert 2 <= len(windows) <= 4
+    assert sum(w.events_processed for w in windows) == 3000
     for window in windows:
         assert window.late_dropped == 0
         assert sum(window.counts_by_type.values()) == window.events_processed
@@ -129,12 +129,67 @@ def test_stream_job_and_load_summary(spark, job, tmp_path):
     ] + ["{bad"]
     os.makedirs(tmp_path / "in")
     (tmp_path / "in" / "a.json").write_text("\n".join(lines))
-    job("stream", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "out"),
-        "--checkpoint", str(tmp_path / "ck"))
-    windows = by(spark.read.json(str(tmp_path / "out" / "windows")), "window_start")
-    # read long after they happened, so all are late
-    assert windows and all(r["late_dropped"] == 10 for r in windows.values())
-    assert spark.read.parquet(str(tmp_path / "out" / "events")).filter("record = 'bad'").count() == 1
+    out = str(tmp_path / "out")
+    job("stream", "--input", str(tmp_path / "in"), "--output", out, "--checkpoint", str(tmp_path / "ck"))
+    windows = spark.read.json(f"{out}/windows").collect()
+    # read long after they happened, so all are late, and counted
+    assert sum(w.late_dropped for w in windows) == 100
+    assert sum(w.events_processed for w in windows) == 0
+    assert spark.read.parquet(f"{out}/events").filter("record = 'bad'").count() == 1
+    totals = spark.read.json(f"{out}/totals").first()
+    assert (totals.processed, totals.errors, totals.latencies) == (100, 1, 100)
+    assert totals.p50 > 1e9
+    assert spark.read.json(f"{out}/latency").agg({"count": "sum"}).first()[0] == 100
     job("load-summary", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "load"))
     row = spark.read.json(str(tmp_path / "load")).first()
     assert (row.label, row["count"], row.windows, row.p50) == ("low", 100, 10, 1000.0)
+
+
+def test_generate_stream_summarise(spark, job, tmp_path):
+    """What one job writes the next one reads, and a second run adds to the first."""
+    out, load = str(tmp_path / "out"), str(tmp_path / "load")
+    for k in range(2):
+        job("generate-stream", "--rate", "20", "--duration", "30", "--seed", str(k),
+            "--output", str(tmp_path / "lines" / str(k)))
+        job("stream", "--input", str(tmp_path / "lines" / "*"), "--output", out,
+            "--checkpoint", str(tmp_path / "ck"), "--label", "low", "--rate", "20")
+    assert spark.read.json(f"{out}/totals").first().processed == 1200
+    job("load-summary", "--input", f"{out}/events", "--format", "parquet", "--output", load)
+    row = spark.read.json(load).first()
+    assert (row.label, row.rate, row.burst, row["count"]) == ("low", 20, False, 1200)
+
+
+def test_continuous_job_reports_closed_windows(spark, tmp_path):
+    """Streams over parsed records that arrive over two minutes."""
+    from pyspark.sql import functions as F
+
+    from tallyloom.streaming import streams
+
+    lines = spark.range(600).select(
+        F.to_json(F.struct("id", (F.col("id") / 5).alias("timestamp"))).alias("value")
+    )
+    lines.write.text(str(tmp_path / "in"))
+    from tallyloom.sources.readers import stream_json_lines
+
+    parsed = stream_json_lines(spark, str(tmp_path / "in"))
+    arrived = parsed.withColumn("arrival", F.col("timestamp") + 1.0)
+    out = str(tmp_path / "out")
+    try:
+        import threading
+
+        args = (arrived, out, str(tmp_path / "ck"), 10, "1 second")
+        worker = threading.Thread(target=streams.run_events_job, args=args, daemon=True)
+        worker.start()
+        import time
+
+        for _ in range(120):
+            time.sleep(0.5)
+            done = [os.path.isdir(f"{out}/{name}") for name in ("windows", "latency")]
+            if all(done) and spark.read.schema(WINDOW_RESULT).json(f"{out}/windows").count() >= 9:
+                break
+    finally:
+        for query in spark.streams.active:
+            query.stop()
+    windows = by(spark.read.schema(WINDOW_RESULT).json(f"{out}/windows"), "window_start")
+    assert len(windows) >= 9
+    assert all(w["events_processed"] == 50 for start, w in windows.items() if 0 < start)
