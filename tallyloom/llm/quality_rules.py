@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.llm.tables import arrow_rows, text_buffers, unused
+from tallyloom.llm.tables import arrow_rows, text_buffers, unused, written
 from tallyloom.llm.words import text_words, windows
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -123,29 +123,28 @@ def host_rates(counted: DataFrame, host_column: str, counts: str, limits: Limits
     Method of moments: with mean ``m`` and variance ``v`` of the hosts' rates, and ``e`` the mean of
     m (1 - m) / n over hosts, the rates spread by v - e, so the prior weighs m (1 - m) / (v - e) - 1
     documents. Hosts that differ no more than chance explains share the overall rate: the prior then
-    weighs as much as all documents.
+    weighs as much as all documents. The driver holds the prior, a few numbers.
     """
     rules = rule_failures(F.col(counts), limits)
     hosts = counted.groupBy(F.col(host_column).alias("host")).agg(
         F.count(F.lit(1)).alias("documents"),
         *[F.sum(F.when(failed, 1).otherwise(0)).alias(name) for name, failed in rules.items()],
     )
+    hosts = written(hosts, "host-failures")
     n = F.col("documents")
     prior = hosts.agg(
-        F.sum(n).alias("all_documents"),
+        F.sum(n).alias("documents"),
         F.avg(1 / n).alias("inverse"),
         *[F.avg(F.col(r) / n).alias(f"mean_{r}") for r in rules],
         *[F.var_pop(F.col(r) / n).alias(f"variance_{r}") for r in rules],
-    )
-    shrunk = {}
+    ).first()
+    shrunk = []
     for r in rules:
-        m, v = F.col(f"mean_{r}"), F.col(f"variance_{r}")
-        chance = m * (1 - m) * F.col("inverse")
-        weight = F.when(v > chance, F.greatest(m * (1 - m) / (v - chance) - 1, F.lit(0.0))).otherwise(
-            F.col("all_documents").cast("double")
-        )
-        shrunk[r] = (F.col(r) + weight * m) / (n + weight)
-    rates = hosts.crossJoin(F.broadcast(prior)).select("host", "documents", *[x.alias(f"{r}_rate") for r, x in shrunk.items()])
+        m, v = prior[f"mean_{r}"] or 0.0, prior[f"variance_{r}"] or 0.0
+        chance = m * (1 - m) * (prior["inverse"] or 0.0)
+        weight = max(m * (1 - m) / (v - chance) - 1, 0.0) if v > chance else float(prior["documents"] or 0)
+        shrunk.append(((F.col(r) + weight * m) / (n + weight)).alias(f"{r}_rate"))
+    rates = hosts.select("host", "documents", *shrunk)
     worst = F.greatest(*[F.col(f"{r}_rate") for r in rules])
     return rates.withColumn("rejected", worst > limits.host_rate)
 
