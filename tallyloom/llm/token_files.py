@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyloom.llm.tables import arrow_rows, map_arrow
+from tallyloom.llm.tables import arrow_rows, map_arrow, written
 
 MAGIC = b"IDPLANE1"
 BYTE_PLANES, BIT_PLANES = 0, 1
@@ -242,10 +242,12 @@ def encode_files(
 def read_files(files: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """Per document: id, ``start`` (ids of all documents before it), ``n_tokens``, ``ids`` (little-endian bytes).
 
-    Where a file starts is a running sum over the table of files, one narrow row each.
+    Where a file starts is a running sum over the table of files, one narrow row each; written, so that
+    Spark knows its size when it picks the join.
     """
     earlier = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select("part", "number", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("file_start"))
+    starts = written(starts, "file-starts")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[tuple] = []
