@@ -9,10 +9,11 @@ WITH words AS (
            row_number() OVER () AS r
     FROM documents
 ), eights AS (
-    SELECT r, i, count(*) OVER (PARTITION BY r, list_slice(w, i, i + 7)) AS n
-    FROM words, unnest(range(1, len(w) - 6)) AS t(i)
+    SELECT r, list(i) AS places FROM words, unnest(range(1, len(w) - 6)) AS t(i)
+    GROUP BY r, array_to_string(list_slice(w, i, i + 7), ' ') HAVING count(*) > 1
 ), covered AS (
-    SELECT r, count(DISTINCT i + k) AS n FROM eights, unnest(range(0, 8)) AS t(k) WHERE n > 1 GROUP BY r
+    SELECT r, count(DISTINCT i + k) AS n
+    FROM (SELECT r, unnest(places) AS i FROM eights), unnest(range(0, 8)) AS t(k) GROUP BY r
 ), lines AS (
     SELECT r, count(*) - count(DISTINCT line) AS n
     FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM words)
@@ -52,10 +53,10 @@ FROM failures LEFT JOIN rejected ON failures.source IS NOT DISTINCT FROM rejecte
 
 
 def crc32_table() -> list[int]:
-    """CRC-32 of each byte: eight steps of the reversed polynomial."""
+    """CRC-32 of each half byte: four steps of the reversed polynomial."""
     out = []
-    for value in range(256):
-        for _ in range(8):
+    for value in range(16):
+        for _ in range(4):
             value = value >> 1 ^ 0xEDB88320 * (value & 1)
         out.append(value)
     return out
@@ -84,15 +85,17 @@ def _place(regions: int, into: str) -> str:
 
 SHARDING = f"""
 WITH documents_bytes AS (
-    SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits, row_number() OVER () AS r FROM documents
+    SELECT doc_id, string_split(hex(encode(coalesce(text, ''))), '') AS digits, coalesce(text, '') = '' AS none
+    FROM documents
 ), steps AS (
-    SELECT *, list_transform(range(len(digits) // 2),
-                             lambda i: ('0x' || digits[2 * i + 1:2 * i + 2])::BIGINT) AS bytes
+    SELECT doc_id, CASE WHEN none THEN []::BIGINT[] ELSE
+           list_transform(range(len(digits)),  -- the lower half of each byte comes first
+                          lambda i: (instr('0123456789ABCDEF', digits[xor(i, 1) + 1]) - 1)::BIGINT) END AS halves
     FROM documents_bytes
 ), sums AS (
-    SELECT doc_id, coalesce(doc_id::VARCHAR, 'null') AS key, len(bytes) + 16 AS size,
-           xor(list_reduce(list_concat([4294967295], bytes),
-               lambda crc, b: xor(crc >> 8, ({crc32_table()})[(xor(crc, b) & 255) + 1])), 4294967295) AS text_crc32
+    SELECT doc_id, coalesce(doc_id::VARCHAR, 'null') AS key, len(halves) // 2 + 16 AS size,
+           xor(list_reduce(list_concat([4294967295], halves),
+               lambda crc, h: xor(crc >> 4, ({crc32_table()})[(xor(crc, h) & 15) + 1])), 4294967295) AS text_crc32
     FROM steps
 ), shard_input AS (SELECT * FROM sums), {_place(5, "shard")},
 grown_shard_input AS (SELECT * FROM shard_placed), {_place(6, "grown_shard")}
