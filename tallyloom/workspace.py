@@ -13,7 +13,7 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A path nobody else uses, below the folder the cluster shares.
+    """A path nobody else uses, below the folder the cluster shares; gone when the driver's JVM ends.
 
     The shared folder is the session's ``spark.checkpoint.dir``. Only a local
     session, whose executors are threads of this machine, may fall back to a
@@ -25,7 +25,12 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
         if not master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="tallyloom-")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{folder}/data"
 
 
 _shipped: set[str] = set()
