@@ -30,6 +30,17 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return others.union(least.select("a", F.col("least").alias("b"))).distinct()
 
 
+def _edges(links: DataFrame) -> DataFrame:
+    return links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def _named(edges: DataFrame) -> DataFrame:
+    """(node, component) of edges that point to hubs; a node with two hubs goes by the smaller one."""
+    nodes = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
+    hubs = edges.select(F.col("b").alias("node")).distinct().join(nodes.select("node"), "node", "left_anti")
+    return nodes.union(hubs.withColumn("component", F.col("node")))
+
+
 def components(links: DataFrame) -> DataFrame:
     """From links (a, b): (node, component), where a component is named by its smallest node.
 
@@ -37,11 +48,9 @@ def components(links: DataFrame) -> DataFrame:
     shared folder; rounds grow with the logarithm of a component's width. A node of many links is summed
     up before it is shuffled, and only its links are joined to its one sum.
     """
-    edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = written(edges, "links")
+    edges = written(_edges(links), "links")
     before, now = None, _mark(edges)
     while now != before:
         edges = written(_small_star(_large_star(edges)), "stars")
         before, now = now, _mark(edges)
-    hubs = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(hubs)
+    return _named(edges)

@@ -11,12 +11,12 @@ sets' Jaccard similarity reaches the threshold; the result gives each document i
    n - o + l windows; two linked classes share at least l windows of their prefixes at level l, for any
    l. Each class picks the level with the lowest estimated cost: frequent windows in the prefix mean
    many candidates, a longer prefix demands more matches. A pair must match min(l, l') times.
-4. Windows in one class's prefix only lead nowhere. The others' classes get their sets gathered once.
-5. Min-hash bands propose links to one leader per band; those that hold give first components. Pairs
-   inside one component need no look any more, so a group of thousands of near copies costs a few stars,
-   not all its pairs.
-6. Pairs from different components with enough matches are verified on the whole sets; their links join
-   the components.
+4. Windows in one class's prefix only lead nowhere.
+5. Min-hash bands propose links between neighbours in a random order of each band, in rounds; those that
+   hold give first components. Pairs inside one component need no look any more, so a group of thousands
+   of near copies costs a few chains, not all its pairs.
+6. Pairs from different components with enough matches for their sizes, and sketches that leave room for
+   the overlap, are verified on the whole sets; their links join the components.
 
 No step keeps fewer rows than the definition asks; steps 2 and 5 only save work.
 
@@ -29,12 +29,13 @@ No step keeps fewer rows than the definition asks; steps 2 and 5 only save work.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
@@ -46,7 +47,8 @@ WIDTH, PERCENT = 5, 80
 ORDERED, COUNTED, LEVELS, MOST_BITS = 1 << 20, 1 << 22, 6, 1 << 27
 #: How many window matches a verification costs.
 VERIFY_COST = 8
-BANDS, ROWS = 4, 2
+#: Min-hash bands, min-hashes of a band, rounds over the bands, neighbours looked at; bits of a class's sketch.
+BANDS, ROWS, ROUNDS, NEIGHBOURS, SKETCH = 6, 2, 2, 8, 1024
 #: Random odd factors from a fixed seed, one min-hash each.
 _FACTORS = np.random.default_rng(4711).integers(1, 1 << 63, (BANDS * ROWS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
 #: Classes that a task remembers having emitted.
@@ -73,22 +75,36 @@ def bands_of(windows: np.ndarray) -> list[int]:
     return [xxhash.xxh3_64_intdigest(least[i : i + ROWS].tobytes(), seed=i) >> 1 for i in range(0, BANDS * ROWS, ROWS)]
 
 
+def sketch_of(windows: np.ndarray) -> np.ndarray:
+    """For each of ``SKETCH`` parts of all windows whether an odd number of the set's is in it.
+
+    A window that only one of two sets has changes one bit, so the sketches of two sets differ in no more
+    bits than the sets differ in windows.
+    """
+    parts = (windows >> np.uint64(40)).astype(np.int64) % SKETCH
+    return np.packbits(np.bincount(parts, minlength=SKETCH) & 1, bitorder="little").view(np.int64)
+
+
 def described(docs: DataFrame, width: int) -> DataFrame:
-    """Per row: its columns except ``text``, and n, class, bands."""
+    """Per row: its columns except ``text``, and n, class, bands, sketch."""
     at = docs.columns.index("text")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n, classes, bands = [], [], []
+        n, classes, bands, sketches = [], [], [], []
         for windows in sets_of(batch.column(at), width):
+            some = len(windows) > 0
             n.append(len(windows))
-            classes.append(class_of(windows) if len(windows) else None)
-            bands.append(bands_of(windows) if len(windows) else [])
-        found = [pa.array(n, pa.int64()), pa.array(classes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+            classes.append(class_of(windows) if some else None)
+            bands.append(bands_of(windows) if some else [])
+            sketches.append(sketch_of(windows) if some else [])
+        longs = pa.list_(pa.int64())
+        found = [pa.array(n, pa.int64()), pa.array(classes, pa.binary()), pa.array(bands, longs), pa.array(sketches, longs)]
         keys = [(name, column) for name, column in zip(batch.schema.names, batch.columns) if name != "text"]
-        return pa.RecordBatch.from_arrays([c for _, c in keys] + found, [x for x, _ in keys] + ["n", "class", "bands"])
+        names = [x for x, _ in keys] + ["n", "class", "bands", "sketch"]
+        return pa.RecordBatch.from_arrays([c for _, c in keys] + found, names)
 
     keys = [f"{name} {kind}" for name, kind in docs.dtypes if name != "text"]
-    return map_arrow(docs, work, ", ".join([*keys, "n long, class binary, bands array<long>"]))
+    return map_arrow(docs, work, ", ".join([*keys, "n long, class binary, bands array<long>, sketch array<long>"]))
 
 
 def frequent_windows(docs: DataFrame, width: int, entries: int = ORDERED) -> tuple[np.ndarray, np.ndarray]:
@@ -127,31 +143,33 @@ def frequent_windows(docs: DataFrame, width: int, entries: int = ORDERED) -> tup
         if total + row["windows"] > entries:
             break
         least, total = row["n"], total + row["windows"]
-    chosen = counts.where(F.col("n") >= least).toPandas()
-    windows = chosen["window"].to_numpy(np.int64).view(np.uint64)
+    chosen = counts.where(F.col("n") >= least).toArrow()
+    windows = chosen["window"].to_numpy().view(np.uint64)
     order = np.argsort(windows)
-    return windows[order], chosen["n"].to_numpy(np.int64)[order]
+    return windows[order], chosen["n"].to_numpy()[order]
 
 
-def ranked(windows: np.ndarray, known: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The windows in the common order, and their frequencies (0 if not in the table)."""
+def frequencies(windows: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How often each window occurs, by the table; 0 if it isn't there."""
     if not len(known):
-        return windows, np.zeros(len(windows), np.int64)
+        return np.zeros(len(windows), np.int64)
     at = np.minimum(np.searchsorted(known, windows), len(known) - 1)
-    often = np.where(known[at] == windows, counts[at], 0)
-    order = np.argsort(often, kind="stable")
-    return windows[order], often[order]
+    return np.where(known[at] == windows, counts[at], 0)
 
 
-def chosen_level(often: np.ndarray, n: int, percent: int) -> int:
-    """The level whose prefix is the cheapest: its matches, and the verifications they may lead to."""
-    base = n - int(needed(n, percent))
-    most = min(LEVELS, int(needed(n, percent)))
-    costs = []
-    for level in range(1, most + 1):
-        matches = int(often[: base + level].sum())
-        costs.append(matches + VERIFY_COST * matches / level)
-    return int(np.argmin(costs)) + 1
+def prefix_of(windows: np.ndarray, often: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The set's prefix in the common order (rare windows first, then by hash) at its best level, and the level.
+
+    A level's cost is that of its prefix's matches and of the verifications that they may lead to.
+    """
+    n = len(windows)
+    least = int(needed(n, percent))
+    if not often.any():
+        return windows[: n - least + 1], 1
+    order = np.argsort(often, kind="stable")
+    matches = np.cumsum(often[order])[n - least : n - least + min(LEVELS, least)]
+    level = int(np.argmin(matches * (1 + VERIFY_COST / np.arange(1, len(matches) + 1)))) + 1
+    return windows[order[: n - least + level]], level
 
 
 class Seen:
@@ -179,130 +197,214 @@ def prefixes(docs: DataFrame, width: int, percent: int, table: tuple[np.ndarray,
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = shared.value
-        seen = Seen()
+        seen, sets, names, size = Seen(), [], [], 0
         for batch in batches:
-            found: list[np.ndarray] = []
-            names: list[bytes] = []
-            info: list[tuple[int, int, int]] = []
             for windows in sets_of(batch.column(0), width):
-                n = len(windows)
-                if not n or not seen.add(name := class_of(windows)):
+                if not len(windows) or not seen.add(name := class_of(windows)):
                     continue
-                order, often = ranked(windows, known, counts)
-                own = chosen_level(often, n, percent)
-                found.append(order[: n - int(needed(n, percent)) + own])
+                sets.append(windows)
                 names.append(name)
-                info.append((n, len(found[-1]) - own + 1, own))
-                if sum(map(len, found)) > COUNTED // 4:
-                    yield rows(found, names, info)
-                    found, names, info = [], [], []
-            if found:
-                yield rows(found, names, info)
-
-    def rows(found: list[np.ndarray], names: list[bytes], info: list[tuple[int, int, int]]) -> pa.RecordBatch:
-        sizes = np.array([len(x) for x in found])
-        n, first, own = np.repeat(np.array(info, np.int64), sizes, axis=0).T
+                size += len(windows)
+                if size >= COUNTED // 4:
+                    yield rows(sets, names)
+                    sets, names, size = [], [], 0
+        if sets:
+            yield rows(sets, names)
+
+    def rows(sets: list[np.ndarray], names: list[bytes]) -> pa.RecordBatch:
+        ends = np.cumsum([len(x) for x in sets])
+        often = np.split(frequencies(np.concatenate(sets), *shared.value), ends[:-1])
+        found, levels = zip(*[prefix_of(x, o, percent) for x, o in zip(sets, often)])
+        sizes, own = np.array([len(x) for x in found]), np.array(levels)
         place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        level = np.maximum(1, place - np.repeat(sizes - own + 1, sizes) + 2)
         name = pa.array(names, pa.binary()).take(pa.array(np.repeat(np.arange(len(names)), sizes)))
-        level = np.maximum(1, place - first + 2)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate(found).view(np.int64)),
                 name,
-                pa.array(n.astype(np.int32)),
+                pa.array(np.repeat(np.array([len(x) for x in sets], np.int64), sizes)),
                 pa.array(level.astype(np.int16)),
-                pa.array(own.astype(np.int16)),
+                pa.array(np.repeat(own.astype(np.int16), sizes)),
             ],
             ["window", "class", "n", "level", "own"],
         )
 
-    return arrow_rows(docs.select("text"), run, "window long, class binary, n int, level short, own short")
+    return arrow_rows(docs.select("text"), run, "window long, class binary, n long, level short, own short")
 
 
-def class_filter(classes: DataFrame) -> np.ndarray:
-    """A bitmap of the classes' hashes, of a size that the driver can hold whatever their number."""
+def hash_filter(hashes: DataFrame, count: int) -> np.ndarray:
+    """A bitmap of the column ``hash``, of a size that the driver can hold whatever the number of rows."""
     bits = 1 << 16
-    while bits < min(MOST_BITS, 16 * classes.count()):
+    while bits < min(MOST_BITS, 16 * count):
         bits *= 2
-    slot = F.pmod(F.xxhash64("class"), F.lit(bits))
-    words = classes.groupBy(F.shiftright(slot, 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(class), {bits}) % 64 as int))")).alias("bits")
-    )
-    found = words.toPandas()
+    slot = F.pmod("hash", F.lit(bits))
+    place = F.pmod(slot, F.lit(64)).cast("int")
+    words = hashes.select(F.shiftright(slot, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), place).alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(bits // 64, np.int64)
-    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
     return out.view(np.uint64)
 
 
-def sets_in(docs: DataFrame, width: int, classes: DataFrame) -> DataFrame:
-    """(class, windows) of the given classes; windows as sorted little-endian 64-bit numbers."""
-    shared = docs.sparkSession.sparkContext.broadcast(class_filter(classes))
+def may_hold(bitmap: np.ndarray, value: int) -> bool:
+    slot = value % (64 * len(bitmap))
+    return bool(int(bitmap[slot >> 6]) >> (slot & 63) & 1)
+
+
+def sets_in(docs: DataFrame, width: int, first: DataFrame) -> DataFrame:
+    """(class, windows) of the given classes; windows as sorted little-endian 64-bit numbers.
+
+    ``first`` has (class, mark): a class's set is taken from the document with that mark, a hash of its id.
+    A bitmap of fixed size tells which documents to pass on, so no text is shuffled to find them. It may let
+    a few more sets through, and copies under one id come more than once; neither changes a link.
+    """
+    bitmap = hash_filter(first.select(F.xxhash64("class", "mark").alias("hash")), first.count())
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
-        bits, seen = len(words) * 64, Seen()
+        bitmap, seen = shared.value, Seen()
         for batch in batches:
             out = []
-            for windows in sets_of(batch.column(0), width):
+            for mark, windows in zip(batch.column(0).to_pylist(), sets_of(batch.column(1), width)):
                 if not len(windows):
                     continue
                 name = class_of(windows)
-                slot = xxhash.xxh64_intdigest(name, seed=42) % bits
-                if int(words[slot >> 6]) >> (slot & 63) & 1 and seen.add(name):
+                value = xxhash.xxh64_intdigest(struct.pack("<q", mark), seed=xxhash.xxh64_intdigest(name, seed=42))
+                if may_hold(bitmap, value) and seen.add(name):
                     out.append((name, windows.tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out)], ["class", "windows"])
 
-    found = arrow_rows(docs.select("text"), run, "class binary, windows binary")
-    return found.join(classes.select("class"), "class", "left_semi").dropDuplicates(["class"])
+    return arrow_rows(docs.select(F.xxhash64("id").alias("mark"), "text"), run, "class binary, windows binary")
+
+
+def gathered(docs: DataFrame, width: int, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The written sets of the classes in ``wanted``."""
+    first = written(classes.select("class", "mark").join(wanted.distinct(), "class"), "wanted")
+    return written(sets_in(docs, width, first), "windows")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+    """The pairs (a, b) of a written table whose sets are similar enough.
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+    Sets of no pair, as told by a bitmap, are left out before the shuffle.
+    """
+    hashes = pairs.select(F.explode(F.array("a", "b")).alias("class")).select(F.xxhash64("class").alias("hash"))
+    shared = sets.sparkSession.sparkContext.broadcast(hash_filter(hashes, 2 * pairs.count()))
+
+    def needed_sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bitmap = shared.value
+        keep = [may_hold(bitmap, xxhash.xxh64_intdigest(x.as_py(), seed=42)) for x in batch.column(0)]
+        return batch.filter(pa.array(keep, pa.bool_()))
+
+    def similar(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []
         for x, y in zip(batch.column(2), batch.column(3)):
             x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             at = np.minimum(np.searchsorted(y, x), len(y) - 1)
             common = int((y[at] == x).sum())
             keep.append(100 * common >= percent * (len(x) + len(y) - common))
-        return batch.select([0, 1]).filter(pa.array(keep))
+        return batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    sets = map_arrow(sets, needed_sets, "class binary, windows binary")
+    x = sets.select(F.col("class").alias("a"), F.col("windows").alias("x"))
+    y = sets.select(F.col("class").alias("b"), F.col("windows").alias("y"))
+    whole = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+    return map_arrow(whole, similar, "a binary, b binary")
+
+
+def sketch_columns() -> Column:
+    """The sketch as a struct, whose parts code can be generated for."""
+    return F.struct(*[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH // 64)]).alias("sketch")
+
+
+def similar_sizes(percent: int) -> Column:
+    return F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
 
-    first = sets.select(F.col("class").alias("a"), F.col("windows").alias("x"))
-    second = sets.select(F.col("class").alias("b"), F.col("windows").alias("y"))
-    whole = pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y")
-    return map_arrow(whole, work, "a binary, b binary")
 
+def sketches_allow(percent: int) -> Column:
+    """Whether the sketches of a pair leave room for the overlap that its sizes demand."""
+    differ = F.lit(0).cast("long")
+    for i in range(SKETCH // 64):
+        differ = differ + F.bit_count(F.col("sketch_a")[f"s{i}"].bitwiseXOR(F.col("sketch_b")[f"s{i}"]))
+    sizes = F.col("n_a") + F.col("n_b")
+    return differ <= sizes - 2 * F.ceil(F.lit(percent) * sizes / F.lit(100 + percent))
 
-def leader_pairs(classes: DataFrame, percent: int) -> DataFrame:
-    """Each class and the smallest one of each of its bands."""
-    by_band = classes.select("class", "n", F.explode("bands").alias("band"))
-    leaders = by_band.groupBy("band").agg(F.min(F.struct("class", "n")).alias("leader"), F.max("class").alias("last"))
-    leaders = leaders.where(F.col("leader.class") < F.col("last"))
-    pairs = by_band.join(leaders, "band").where(F.col("class") > F.col("leader.class"))
-    pairs = pairs.where(F.lit(100) * F.least("n", "leader.n") >= F.lit(percent) * F.greatest("n", "leader.n"))
-    return pairs.select(F.col("leader.class").alias("a"), F.col("class").alias("b")).distinct()
 
+def chained_pairs(banded: DataFrame, percent: int, turn: int) -> DataFrame:
+    """From rows (band, class, n, sketch, component): near neighbours in each band's random order.
 
-def matched_pairs(matches: DataFrame, percent: int) -> DataFrame:
-    """From rows (window, class, n, level, own, component): pairs of different components with enough matches."""
+    Only pairs of different components whose sketches allow a link. A band of any size gives at most
+    ``NEIGHBOURS`` pairs per class.
+    """
+    order = Window.partitionBy("band").orderBy(F.xxhash64("class", F.lit(turn)), "class")
+    names = ("class", "n", "sketch", "component")
+    near = [F.struct(*[F.lag(c, k).over(order).alias(c) for c in names]) for k in range(1, NEIGHBOURS + 1)]
+    pairs = banded.select(*names, F.array(*near).alias("near"))
+    pairs = pairs.select(*[F.col(c).alias(f"{c}_a") for c in names], F.explode("near").alias("near"))
+    pairs = pairs.select("*", *[F.col(f"near.{c}").alias(f"{c}_b") for c in names]).where("component_a <> component_b")
+    pairs = pairs.where(similar_sizes(percent) & sketches_allow(percent))
+    return pairs.select(F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b")).distinct()
+
+
+def named(rows: DataFrame, components: DataFrame | None) -> DataFrame:
+    """Rows with a ``component``: that of their class, or the class itself."""
+    if components is None:
+        return rows.withColumn("component", F.col("class"))
+    rows = rows.join(components, rows["class"] == components["node"], "left").drop("node")
+    return rows.withColumn("component", F.coalesce("component", "class"))
+
+
+def first_components(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, component) by links that min-hash bands propose, in rounds.
+
+    A round verifies pairs of neighbours in the bands, so what a group of near copies costs grows with its
+    members, not their pairs, and all but a few members come together.
+    """
+    banded = classes.select("class", "n", sketch_columns(), F.posexplode("bands").alias("number", "band"))
+    several = banded.groupBy("band").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("band")
+    banded = written(banded.join(several, "band"), "bands")
+    sets = gathered(docs, width, classes, banded.select("class"))
+    found = links = None
+    for turn in range(ROUNDS):
+        pairs = written(chained_pairs(named(banded, found), percent, turn), "chained-pairs")
+        new = written(verified(pairs, sets, percent), "first-links")
+        links = new if links is None else links.unionByName(new)
+        found = written(components(links), "first-components")
+    return found
+
+
+def matched_pairs(matches: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """From rows (window, class, n, level, own, component): pairs of different components with enough matches.
+
+    With l the smaller of the two levels, the prefixes at level l must match l times. And of the one
+    whose prefix ends first in the common order every window is decided: only its o - l windows after the
+    prefix may still be common, so the whole prefixes must match at least as often as these leave to the
+    overlap that the pair's sizes demand. Pairs whose sketches differ too much for that overlap are left
+    out of the join itself.
+    """
     group = Window.partitionBy("window")
     apart = matches.withColumn("low", F.min("component").over(group)).withColumn("high", F.max("component").over(group))
-    apart = written(apart.where("low < high").drop("low", "high"), "apart")
-    x = apart.select("window", *[F.col(c).alias(f"{c}_a") for c in ("class", "n", "level", "own", "component")])
-    y = apart.select("window", *[F.col(c).alias(f"{c}_b") for c in ("class", "n", "level", "own", "component")])
-    wanted = F.least("own_a", "own_b")
+    apart = apart.where("low < high").drop("low", "high").join(classes.select("class", sketch_columns()), "class")
+    apart = written(apart, "apart")
+    names = ("class", "n", "level", "own", "component", "sketch")
+    x = apart.select("window", *[F.col(c).alias(f"{c}_a") for c in names])
+    y = apart.select("window", *[F.col(c).alias(f"{c}_b") for c in names])
     pairs = x.join(y, "window").where(
-        "class_a < class_b AND component_a <> component_b"
-        f" AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
-        " AND greatest(level_a, level_b) <= least(own_a, own_b)"
+        F.expr("class_a < class_b AND component_a <> component_b") & similar_sizes(percent) & sketches_allow(percent)
     )
+    low = F.least("own_a", "own_b")
+    in_both = F.greatest("level_a", "level_b") <= low
+    overlap = F.ceil(F.lit(percent) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
+    after = [F.ceil(F.lit(percent) * F.col(f"n_{s}") / F.lit(100)) - F.col(f"own_{s}") for s in ("a", "b")]
     counted = pairs.groupBy(F.col("class_a").alias("a"), F.col("class_b").alias("b")).agg(
-        F.count(F.lit(1)).alias("matches"), F.min(wanted).alias("wanted")
+        F.count_if(in_both).alias("low_matches"),
+        F.min(low).alias("low"),
+        F.count(F.lit(1)).alias("matches"),
+        F.min(overlap - F.greatest(*after)).alias("least"),
     )
-    return counted.where("matches >= wanted").select("a", "b")
+    return counted.where("low_matches >= low AND matches >= least").select("a", "b")
 
 
 def groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -311,19 +413,19 @@ def groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFr
     A group is the smallest class of a component. Rows without windows have a null class and no group.
     """
     rows = written(described(docs, width), "sets")
-    classes = rows.where("n > 0").groupBy("class").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
-    classes = written(classes, "classes")
+    own = [F.first(c).alias(c) for c in ("n", "bands", "sketch")] + [F.min(F.xxhash64("id")).alias("mark")]
+    classes = written(rows.where("n > 0").groupBy("class").agg(*own), "classes")
 
     windows = prefixes(docs, width, percent, frequent_windows(docs, width))
     group = Window.partitionBy("window")
     windows = windows.withColumn("low", F.min("class").over(group)).withColumn("high", F.max("class").over(group))
     matches = written(windows.where("low < high").drop("low", "high").dropDuplicates(["window", "class"]), "matches")
-    sets = written(sets_in(docs, width, matches.select("class").distinct()), "windows")
 
-    first = components(verified(leader_pairs(classes, percent), sets, percent))
-    named = matches.join(first, matches["class"] == first["node"], "left").drop("node")
-    named = named.withColumn("component", F.coalesce("component", "class"))
-    links = written(verified(matched_pairs(named, percent), sets, percent), "late-links")
+    # Only classes with a match can have links.
+    first = first_components(docs, classes.join(matches.select("class").distinct(), "class"), width, percent)
+    matched = written(matched_pairs(named(matches, first), classes, percent), "matched-pairs")
+    sets = gathered(docs, width, classes, matched.select(F.explode(F.array("a", "b")).alias("class")))
+    links = written(verified(matched, sets, percent), "late-links")
 
     # Late links between components: the components are the nodes of a smaller graph.
     for side in ("a", "b"):
@@ -331,11 +433,10 @@ def groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFr
         links = links.join(of, side, "left")
     over = [F.coalesce(F.col(f"component_{side}"), F.col(side)).alias(side) for side in ("a", "b")]
     second = components(links.select(over)).withColumnRenamed("component", "group")
-    of_class = classes.select("class").join(first.withColumnRenamed("node", "class"), "class", "left")
-    of_class = of_class.withColumn("component", F.coalesce("component", "class"))
+    of_class = named(classes.select("class"), first)
     of_class = of_class.join(second.withColumnRenamed("node", "component"), "component", "left")
     of_class = of_class.select("class", F.coalesce("group", "component").alias("group"))
-    return rows.drop("bands"), written(of_class, "groups")
+    return rows.drop("bands", "sketch"), written(of_class, "groups")
 
 
 def linked_documents(

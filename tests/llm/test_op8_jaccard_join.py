@@ -77,8 +77,8 @@ def test_against_all_pairs(spark, monkeypatch, seed, entries):
 
 def test_without_first_links(spark, monkeypatch):
     """The matches alone find every link."""
-    none = lambda classes, percent: classes.selectExpr("class a", "class b").where("false")
-    monkeypatch.setattr(j, "leader_pairs", none)
+    none = lambda banded, percent, turn: banded.selectExpr("class a", "class b").where("false")
+    monkeypatch.setattr(j, "chained_pairs", none)
     rows = corpus(4)
     got = j.linked_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert ordered(map(tuple, got)) == ordered(brute(rows))
@@ -108,15 +108,22 @@ def test_linked_sets_share_windows_of_their_prefixes():
             continue
         known = np.sort(rnd.choice(x, min(len(x), 7), replace=False))
         table = known, rnd.integers(2, 9, len(known))
-        for level in range(1, min(j.needed(len(x), 80), j.needed(len(y), 80)) + 1):
-            prefix = [set(j.ranked(s, *table)[0][: len(s) - j.needed(len(s), 80) + level].tolist()) for s in (x, y)]
+        order = [s[np.argsort(j.frequencies(s, *table), kind="stable")] for s in (x, y)]
+        o = [j.needed(len(s), 80) for s in (x, y)]
+        for level in range(1, min(o) + 1):
+            prefix = [set(s[: len(s) - k + level].tolist()) for s, k in zip(order, o)]
             assert len(prefix[0] & prefix[1]) >= level
+            overlap = -(-80 * (len(x) + len(y)) // 180)
+            assert len(prefix[0] & prefix[1]) >= overlap - max(k - level for k in o)
+        prefix, level = j.prefix_of(x, j.frequencies(x, *table), 80)
+        assert prefix.tolist() == order[0][: len(x) - o[0] + level].tolist()
 
 
 def test_level_grows_with_frequent_windows():
-    assert j.chosen_level(np.zeros(100, np.int64), 100, 80) == 1
-    assert j.chosen_level(np.full(100, 50), 100, 80) > 1
-    assert j.chosen_level(np.full(1, 50), 1, 80) == 1
+    windows = np.arange(100, dtype=np.uint64)
+    assert j.prefix_of(windows, np.zeros(100, np.int64), 80)[1] == 1
+    assert j.prefix_of(windows, np.full(100, 50), 80)[1] > 1
+    assert j.prefix_of(windows[:1], np.full(1, 50), 80)[1] == 1
 
 
 def test_words_and_hashes_over_pieces(monkeypatch):
@@ -140,3 +147,13 @@ def test_components_of_chains_and_stars(spark, n):
     if n == 1:
         want = {0: 0, 1: 0, 2: 0}
     assert got == want
+
+
+def test_sketches_differ_no_more_than_their_sets():
+    rnd = np.random.default_rng(8)
+    for n in (1, 50, 500, 5000):
+        x = np.unique(rnd.integers(0, 1 << 63, n).astype(np.uint64))
+        for share in (0.5, 0.9, 1.0):
+            y = np.unique(np.concatenate([x[rnd.random(len(x)) < share], rnd.integers(0, 1 << 63, 3).astype(np.uint64)]))
+            bits = np.unpackbits((j.sketch_of(x) ^ j.sketch_of(y)).view(np.uint8)).sum()
+            assert bits <= len(np.setxor1d(x, y))
