@@ -26,10 +26,11 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="tallyloom-")
     folder = f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(path)
-    files.deleteOnExit(path)
+    if jvm := getattr(spark, "_jvm", None):  # a session without one can't ask for the removal
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
     return f"{folder}/data"
 
 
