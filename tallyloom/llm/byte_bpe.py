@@ -14,7 +14,6 @@ taken and skipped; within a bucket, positions are taken from the left, as the me
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
 from heapq import heappop, heappush
 
 import numpy as np
@@ -23,11 +22,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.tables import map_arrow
+from tallyloom.llm.tables import kept, map_arrow
 
 #: Entries of a worker's cache, and the longest match in characters that it keeps.
 CACHE_ENTRIES = 800_000
 KEPT_PIECE = 64
+OWNER = "byte_bpe"
 
 
 class RankQueue:
@@ -146,11 +146,13 @@ class ByteBpe:
         self.cache = PieceCache(ranks, CACHE_ENTRIES)
 
     @staticmethod
-    @lru_cache(2)
     def load(path: str, pattern: str) -> ByteBpe:
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        return ByteBpe(ranks, pattern)
+        def read() -> ByteBpe:
+            with open(path, "rb") as lines:
+                ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+            return ByteBpe(ranks, pattern)
+
+        return kept(OWNER, (path, pattern), read)
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.cache.__getitem__, self.pieces(text))), np.uint32)
@@ -180,7 +182,7 @@ def encode_texts(
 
     narrow = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     schema = f"id {dict(narrow.dtypes)['id']}, token_ids array<int>" + ", decoded binary" * decode
-    return map_arrow(narrow, work, schema).withColumnRenamed("id", id_column)
+    return map_arrow(narrow, work, schema, OWNER).withColumnRenamed("id", id_column)
 
 
 def decode_ids(df: DataFrame, path: str, pattern: str, id_column: str = "doc_id") -> DataFrame:
@@ -193,4 +195,4 @@ def decode_ids(df: DataFrame, path: str, pattern: str, id_column: str = "doc_id"
 
     narrow = df.select(F.col(id_column).alias("id"), "token_ids")
     schema = f"id {dict(narrow.dtypes)['id']}, decoded binary"
-    return map_arrow(narrow, work, schema).withColumnRenamed("id", id_column)
+    return map_arrow(narrow, work, schema, OWNER).withColumnRenamed("id", id_column)

@@ -30,16 +30,43 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_kept: dict[str, tuple[object, object]] = {}
+
+
+def kept(owner: str, key: object, make: Callable[[], object]) -> object:
+    """What a worker keeps from task to task for ``owner``, made anew for another key."""
+    if owner not in _kept or _kept[owner][0] != key:
+        _kept[owner] = key, make()
+    return _kept[owner][1]
+
+
+def release_others(owner: str | None) -> None:
+    """Drops what the worker keeps for others, so that caches don't outlive their stage."""
+    for name in [x for x in _kept if x != owner]:
+        del _kept[name]
+
+
 def arrow_rows(
-    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
+    df: DataFrame,
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str | StructType,
+    owner: str | None = None,
 ) -> DataFrame:
-    """``run`` on the Arrow batches of each partition."""
+    """``run`` on the Arrow batches of each partition; ``owner`` names what its tasks keep in a worker."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_others(owner)
+        yield from run(batches)
+
+    return df.mapInArrow(task, schema)
 
 
 def map_arrow(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType
+    df: DataFrame,
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    schema: str | StructType,
+    owner: str | None = None,
 ) -> DataFrame:
     """``work`` on each Arrow batch of ``df``."""
 
@@ -48,7 +75,7 @@ def map_arrow(
             if batch.num_rows and (out := work(batch)) is not None:
                 yield out
 
-    return arrow_rows(df, run, schema)
+    return arrow_rows(df, run, schema, owner)
 
 
 def unused(df: DataFrame, name: str) -> str:

@@ -21,7 +21,6 @@ import re
 import struct
 from array import array
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +30,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyloom.llm.tables import arrow_rows, map_arrow, written
+from tallyloom.llm.tables import arrow_rows, kept, map_arrow, written
 
 MAGIC = b"IDPLANE1"
 BYTE_PLANES, BIT_PLANES = 0, 1
 BLOCK_IDS, FILE_IDS = 1 << 16, 1 << 22
 LEVEL = 3
+OWNER = "token_files"
 #: Words that a worker remembers.
 CACHE_WORDS = 1_000_000
 #: Up to here letters are composed, and lowered one by one whatever stands beside them.
@@ -148,9 +148,8 @@ class WordIds(dict):
         self.half, self.old = max(1, entries // 2), {}
 
     @staticmethod
-    @lru_cache(2)
     def load(path: str) -> WordIds:
-        return WordIds(path)
+        return kept(OWNER, path, lambda: WordIds(path))
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
@@ -166,6 +165,8 @@ class WordIds(dict):
         return ids
 
     def _ids(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self._run(word.lower())
         match = LETTERS_AND_MARKS(word)
         run = match[1].lower() if match else ""
         if not run.isalpha() or max(run) > LAST_LATIN:
@@ -236,7 +237,7 @@ def encode_files(
         if names:
             yield file()
 
-    return arrow_rows(ordered, run, "part int, number int, n_documents long, n_ids long, payload binary")
+    return arrow_rows(ordered, run, "part int, number int, n_documents long, n_ids long, payload binary", OWNER)
 
 
 def read_files(files: DataFrame, id_column: str = "doc_id") -> DataFrame:
