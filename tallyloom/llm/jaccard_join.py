@@ -49,6 +49,8 @@ ORDERED, COUNTED, LEVELS, MOST_BITS = 1 << 20, 1 << 22, 6, 1 << 27
 VERIFY_COST = 8
 #: Min-hash bands, min-hashes of a band, rounds over the bands, neighbours looked at; bits of a class's sketch.
 BANDS, ROWS, ROUNDS, NEIGHBOURS, SKETCH = 6, 2, 2, 8, 1024
+#: Classes of a band that stand in one order.
+PIECE = 256
 #: Random odd factors from a fixed seed, one min-hash each.
 _FACTORS = np.random.default_rng(4711).integers(1, 1 << 63, (BANDS * ROWS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
 #: Classes that a task remembers having emitted.
@@ -333,12 +335,14 @@ def sketches_allow(percent: int) -> Column:
 
 
 def chained_pairs(banded: DataFrame, percent: int, turn: int) -> DataFrame:
-    """From rows (band, class, n, sketch, component): near neighbours in each band's random order.
+    """From rows (band, classes, class, n, sketch, component): near neighbours in each band's random order.
 
     Only pairs of different components whose sketches allow a link. A band of any size gives at most
-    ``NEIGHBOURS`` pairs per class.
+    ``NEIGHBOURS`` pairs per class; a band of many classes is cut into random pieces, one task each.
     """
-    order = Window.partitionBy("band").orderBy(F.xxhash64("class", F.lit(turn)), "class")
+    place = F.xxhash64("class", F.lit(turn))
+    banded = banded.withColumn("piece", F.pmod(place, F.ceil(F.col("classes") / PIECE)))
+    order = Window.partitionBy("band", "piece").orderBy(place, "class")
     names = ("class", "n", "sketch", "component")
     near = [F.struct(*[F.lag(c, k).over(order).alias(c) for c in names]) for k in range(1, NEIGHBOURS + 1)]
     pairs = banded.select(*names, F.array(*near).alias("near"))
@@ -363,7 +367,7 @@ def first_components(docs: DataFrame, classes: DataFrame, width: int, percent: i
     members, not their pairs, and all but a few members come together.
     """
     banded = classes.select("class", "n", sketch_columns(), F.posexplode("bands").alias("number", "band"))
-    several = banded.groupBy("band").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("band")
+    several = banded.groupBy("band").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
     banded = written(banded.join(several, "band"), "bands")
     sets = gathered(docs, width, classes, banded.select("class"))
     found = links = None
