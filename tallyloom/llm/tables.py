@@ -30,6 +30,8 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROWS_AT_ONCE = 1024
+
 _kept: dict[str, tuple[object, object]] = {}
 
 
@@ -68,12 +70,13 @@ def map_arrow(
     schema: str | StructType,
     owner: str | None = None,
 ) -> DataFrame:
-    """``work`` on each Arrow batch of ``df``."""
+    """``work`` on each Arrow batch of ``df``, ``ROWS_AT_ONCE`` rows at a time to bound what it makes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := work(batch)) is not None:
-                yield out
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                if (out := work(batch.slice(start, ROWS_AT_ONCE))) is not None:
+                    yield out
 
     return arrow_rows(df, run, schema, owner)
 
