@@ -245,12 +245,17 @@ def blocks(df: DataFrame, id_column: str, url_column: str, html_column: str) ->
     return map_arrow(narrow, work, schema).withColumn("host", url_host(F.col("url")))
 
 
-def templates(pages: DataFrame, least_pages: int, least_share: float) -> DataFrame:
-    """(host, mark) of the subtrees on at least so many, and such a share, of the host's different contents."""
+def templates(pages: DataFrame, least_pages: int, least_share: float, many_pages: int) -> DataFrame:
+    """(host, mark) of the subtrees that recur on the host's different contents.
+
+    They are on at least ``least_pages`` contents, and on ``least_share`` of all or on ``many_pages``, so
+    that what is asked of a subtree does not grow with a large host.
+    """
     sizes = pages.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("contents"))
     marks = pages.select("host", "content", F.explode("marks").alias("mark")).distinct()
     counted = marks.groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
-    return counted.join(sizes, "host").where(F.col("n") >= least_share * F.col("contents")).select("host", "mark")
+    least = F.least(least_share * F.col("contents"), F.lit(many_pages))
+    return counted.join(sizes, "host").where(F.col("n") >= least).select("host", "mark")
 
 
 def extract_text(
@@ -260,6 +265,7 @@ def extract_text(
     html_column: str = "html",
     least_pages: int = 4,
     least_share: float = 0.25,
+    many_pages: int = 20,
 ) -> DataFrame:
     """Per row: id, url, ``text``, ``n_chars``, ``n_deleted`` (blocks that went with the site's template).
 
@@ -269,7 +275,7 @@ def extract_text(
     found = written(contents(df, url_column, html_column), "page-marks")
     marks = found.select("host", "content", F.explode("marks").alias("mark")).distinct()
     deleted = (
-        marks.join(templates(found, least_pages, least_share), ["host", "mark"])
+        marks.join(templates(found, least_pages, least_share, many_pages), ["host", "mark"])
         .groupBy("host", "content")
         .agg(F.collect_set("mark").alias("deleted"))
     )

@@ -92,6 +92,13 @@ def test_a_subtree_on_few_of_many_pages_stays(spark):
     assert sum("rare" in r.text for r in got) == 6
 
 
+def test_a_subtree_on_many_pages_of_a_hot_host_goes(spark):
+    rows = [(i, "https://a.org/", f"<p>own {i}</p>" + "<p>promo</p>" * (i < 24) + "<p>rare</p>" * (i < 19)) for i in range(600)]
+    got = p.extract_text(pages(spark, rows)).collect()
+    assert sum("promo" in r.text for r in got) == 0 and sum("rare" in r.text for r in got) == 19
+    assert all(f"own {r.page_id}" in r.text for r in got)
+
+
 def test_query_edges(spark, as_tables):
     rows = [(1, None, None), (2, "x", ""), (None, "https://a.org", "<p>a</p>"), (3, "https://a.org", "<p>b</p>"), (3, "https://a.org", "<p>b</p>")]
     df = spark.createDataFrame([(*r, "e", "e", "e") for r in rows], "page_id long, url string, html string, text string, host string, blocks string")
