@@ -1,13 +1,16 @@
 """The main text of web pages: site templates are found by counting element subtrees per host.
 
 Each page is read into blocks of text. Elements that are furniture by their tag, class, id or role go
-with all they hold. What remains of the page's article (without one: of ``main``, or else the body) is
-the page's content. Each element in it that could be part of a site's template gets a hash of its whole
-subtree; Spark counts for each host how many different contents hold a subtree, and those that recur on
-many are deleted with their text. Pages with equal content count once, so copies of an article are no
+with all they hold. Each element of the rest that could be part of a site's template gets a hash of its
+whole subtree; Spark counts for each host how many different contents hold a subtree, and those that recur
+on many are deleted with their text. Pages with equal content count once, so copies of an article are no
 template. Inside an article, paragraphs and headings are never templates, as articles quote each other;
 boxes, lists and tables may be. Outside one, any element may be.
 
+The page's content is chosen by its amount of text: its articles if they hold most of what the page has
+left, otherwise ``main`` with them, otherwise the body. The text is chosen after the deletion; the content
+whose copies count once is chosen before it.
+
 - Null or empty html: no blocks, empty text. Cut-off pages end where the html ends.
 - Null URL, or one without a host: pages of one host named "".
 - Repeated rows are extracted one by one. No pages: no rows.
@@ -22,7 +25,7 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.tables import map_arrow, written
@@ -49,6 +52,9 @@ FURNITURE_WORDS = set(
 STATES = {"no", "not", "has", "with", "without", "is"}
 #: Elements of text, that an article may share with others.
 TEXT_TAGS = set("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt tr a b i em strong span code q cite u s small sub sup".split())
+#: Regions as bits, and the share of the page's text that ``main`` holds at least.
+MAIN, ARTICLE = 1, 2
+LEAST_MAIN = 0.1
 #: Elements that end an open element of the second kind.
 ENDS = {"li": {"li"}, "dt": {"dd", "dt"}, "dd": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
@@ -80,7 +86,7 @@ def is_furniture(tag: str, attributes: str) -> bool:
 @dataclass
 class Element:
     tag: str
-    level: int
+    regions: int
     region: bool = False
     gone: bool = False
     parts: list[str] = field(default_factory=list)
@@ -92,12 +98,33 @@ class Page:
     """Blocks in page order, each with the hashes of the elements that may be deleted over it."""
 
     texts: list[str] = field(default_factory=list)
-    levels: list[int] = field(default_factory=list)
+    regions: list[int] = field(default_factory=list)
     owners: list[list[int]] = field(default_factory=list)
-    level: int = 0
 
     def content(self) -> list[tuple[str, list[int]]]:
-        return [(t, o) for t, v, o in zip(self.texts, self.levels, self.owners) if v == self.level]
+        """What ``chosen_regions`` keeps if nothing is deleted."""
+        amounts = [0] * 4
+        for text, regions in zip(self.texts, self.regions):
+            amounts[regions] += len(text)
+        whole, articles = sum(amounts), amounts[ARTICLE] + amounts[MAIN | ARTICLE]
+        main = amounts[MAIN] + amounts[MAIN | ARTICLE]
+        chosen = MAIN | ARTICLE if main and main >= LEAST_MAIN * whole else 0
+        if 2 * articles > (whole - amounts[0] if chosen else whole):
+            chosen = ARTICLE
+        return [(t, o) for t, r, o in zip(self.texts, self.regions, self.owners) if not chosen or r & chosen]
+
+
+def chosen_regions(kept: str) -> Column:
+    """The regions that are the content of the blocks in column ``kept``, 0 for all of them."""
+
+    def amount(regions: int) -> Column:
+        some = F.filter(kept, lambda b: b["regions"].bitwiseAND(F.lit(regions)) != 0) if regions else F.col(kept)
+        return F.aggregate(some, F.lit(0).cast("long"), lambda n, b: n + F.char_length(b["text"]))
+
+    whole, main, articles = amount(0), amount(MAIN), amount(ARTICLE)
+    has_main = (main > 0) & (main >= LEAST_MAIN * whole)
+    base = F.when(has_main, amount(MAIN | ARTICLE)).otherwise(whole)
+    return F.when(2 * articles > base, F.lit(ARTICLE)).when(has_main, F.lit(MAIN | ARTICLE)).otherwise(F.lit(0))
 
 
 def _signed(x: int) -> int:
@@ -124,7 +151,7 @@ class Reader:
             element.blocks.append(len(self.page.texts))
         self.open_block[-1].parts.append(text)
         self.page.texts.append(text)
-        self.page.levels.append(self.open_block[-1].level)
+        self.page.regions.append(self.open_block[-1].regions)
         self.page.owners.append([])
 
     def add(self, text: str) -> None:
@@ -143,14 +170,12 @@ class Reader:
         parent = self.stack[-1]
         furniture = is_furniture(tag, attributes)
         region = tag in ("article", "main") and not furniture
-        level = max(parent.level, {"article": 2, "main": 1}[tag]) if region else parent.level
-        if region:
-            self.page.level = max(self.page.level, level)
+        regions = parent.regions | {"article": ARTICLE, "main": MAIN}[tag] if region else parent.regions
         if tag in ("td", "th", "br"):
             self.add(" ")
         if tag in VOID:
             return
-        self.stack.append(Element(tag, level, region, furniture or parent.gone and not region))
+        self.stack.append(Element(tag, regions, region, furniture or parent.gone and not region))
 
     def end_to(self, tags: set[str], barrier: set[str]) -> None:
         """Ends the nearest open element of ``tags``, unless one of ``barrier`` stands in between."""
@@ -178,7 +203,7 @@ class Reader:
             return
         digest = xxhash.xxh3_64_intdigest("\x00".join([element.tag, *element.parts]))
         self.stack[-1].parts.append(f"\x01{digest:x}")
-        text_of_article = element.level and element.tag in TEXT_TAGS
+        text_of_article = element.regions and element.tag in TEXT_TAGS
         if not element.region and element.tag not in ("html", "body") and not text_of_article:
             for block in element.blocks:
                 self.page.owners[block].append(_signed(digest))
@@ -215,10 +240,10 @@ def contents(df: DataFrame, url_column: str, html_column: str) -> DataFrame:
     """Per row: host, ``content`` (a hash of the page's content), ``marks`` (hashes of what may be template)."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        pages = [Reader().read(x.as_py() or "").content() for x in batch.column(1)]
-        marks = [sorted({x for _, owners in page for x in owners}) for page in pages]
+        pages = [Reader().read(x.as_py() or "") for x in batch.column(1)]
+        marks = [sorted({x for owners in page.owners for x in owners}) for page in pages]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(map(_content_hash, pages), pa.int64()), pa.array(marks, pa.list_(pa.int64()))],
+            [batch.column(0), pa.array([_content_hash(x.content()) for x in pages], pa.int64()), pa.array(marks, pa.list_(pa.int64()))],
             ["host", "content", "marks"],
         )
 
@@ -227,20 +252,22 @@ def contents(df: DataFrame, url_column: str, html_column: str) -> DataFrame:
 
 
 def blocks(df: DataFrame, id_column: str, url_column: str, html_column: str) -> DataFrame:
-    """Per row: id, url, host, ``content``, ``blocks`` (text and the hashes of what may be template over it)."""
+    """Per row: id, url, host, ``content``, ``blocks`` (text, regions, the hashes of what may be template over it)."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        pages = [Reader().read(x.as_py() or "").content() for x in batch.column(2)]
-        found = [[{"text": t, "owners": o} for t, o in page] for page in pages]
-        kind = pa.list_(pa.struct([("text", pa.string()), ("owners", pa.list_(pa.int64()))]))
+        pages = [Reader().read(x.as_py() or "") for x in batch.column(2)]
+        found = [[{"text": t, "owners": o, "regions": r} for t, o, r in zip(x.texts, x.owners, x.regions)] for x in pages]
+        kind = pa.list_(pa.struct([("text", pa.string()), ("owners", pa.list_(pa.int64())), ("regions", pa.int32())]))
+        hashes = [_content_hash(x.content()) for x in pages]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(map(_content_hash, pages), pa.int64()), pa.array(found, kind)],
+            [batch.column(0), batch.column(1), pa.array(hashes, pa.int64()), pa.array(found, kind)],
             ["id", "url", "content", "blocks"],
         )
 
     narrow = df.select(F.col(id_column).alias("id"), F.col(url_column).alias("url"), F.col(html_column).alias("html"))
     schema = (
-        f"id {dict(narrow.dtypes)['id']}, url string, content long, blocks array<struct<text:string,owners:array<long>>>"
+        f"id {dict(narrow.dtypes)['id']}, url string, content long, "
+        "blocks array<struct<text:string,owners:array<long>,regions:int>>"
     )
     return map_arrow(narrow, work, schema).withColumn("host", url_host(F.col("url")))
 
@@ -282,8 +309,9 @@ def extract_text(
     deleted = written(deleted, "page-templates")
     pages = blocks(df, id_column, url_column, html_column).join(deleted, ["host", "content"], "left")
     kept = F.filter("blocks", lambda b: F.col("deleted").isNull() | ~F.arrays_overlap(b["owners"], F.col("deleted")))
-    pages = pages.withColumn("kept", kept)
-    text = F.array_join(F.col("kept.text"), "\n\n")
+    pages = pages.withColumn("kept", kept).withColumn("chosen", chosen_regions("kept"))
+    inside = F.filter("kept", lambda b: (F.col("chosen") == 0) | (b["regions"].bitwiseAND(F.col("chosen")) != 0))
+    text = F.array_join(inside["text"], "\n\n")
     return pages.select(
         F.col("id").alias(id_column),
         F.col("url").alias(url_column),

@@ -99,6 +99,31 @@ def test_a_subtree_on_many_pages_of_a_hot_host_goes(spark):
     assert all(f"own {r.page_id}" in r.text for r in got)
 
 
+LONG = "The long text of a page that has no article of its own. " * 3
+
+
+@pytest.mark.parametrize(
+    "body, want",
+    [
+        (f"<main><h1>Title</h1><p>{LONG}</p><article class='card'>teaser</article></main>", f"Title\n\n{LONG.strip()}\n\nteaser"),
+        (f"<main><article><p>{LONG}</p></article><p>below</p></main><p>outside</p>", LONG.strip()),
+        (f"<article></article><p>{LONG}</p>", LONG.strip()),
+        (f"<article><p>t1</p></article><p>{LONG}</p><article>t2</article>", f"t1\n\n{LONG.strip()}\n\nt2"),
+        (f"<main><h1>Blog</h1></main><article>{LONG}</article>", LONG.strip()),
+        (f"<main> </main><div>{LONG}</div>", LONG.strip()),
+    ],
+)
+def test_the_region_is_chosen_by_its_text(spark, body, want):
+    assert text(PAGE % body) == want
+    assert [r.text for r in p.extract_text(pages(spark, [(1, "https://a.org/", PAGE % body)])).collect()] == [want]
+
+
+def test_the_region_is_chosen_after_templates_are_gone(spark):
+    body = lambda i: f"<body><div><p>{LONG}</p></div><article><p>own {i}</p></article><p>x{i}</p></body>"
+    got = p.extract_text(pages(spark, [(i, "https://a.org/", body(i)) for i in range(8)])).collect()
+    assert sorted(r.text for r in got) == [f"own {i}" for i in range(8)]
+
+
 def test_query_edges(spark, as_tables):
     rows = [(1, None, None), (2, "x", ""), (None, "https://a.org", "<p>a</p>"), (3, "https://a.org", "<p>b</p>"), (3, "https://a.org", "<p>b</p>")]
     df = spark.createDataFrame([(*r, "e", "e", "e") for r in rows], "page_id long, url string, html string, text string, host string, blocks string")
