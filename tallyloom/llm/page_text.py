@@ -1,7 +1,8 @@
 """The main text of web pages: site templates are found by counting element subtrees per host.
 
-Each page is read into blocks of text. Elements that are furniture by their tag, class, id or role go
-with all they hold. Each element of the rest that could be part of a site's template gets a hash of its
+Each page is read into blocks of text. Elements that are furniture by their tag, or by a class, role or id
+whose name is, or ends in, a word for it, go with all they hold; a wrapper of other elements that would take
+most of the page's text by its name alone stays. Each element of the rest that could be part of a site's template gets a hash of its
 whole subtree; Spark counts for each host how many different contents hold a subtree, and those that recur
 on many are deleted with their text. Pages with equal content count once, so copies of an article are no
 template. Inside an article, paragraphs and headings are never templates, as articles quote each other;
@@ -48,7 +49,7 @@ FURNITURE_WORDS = set(
     "consent contentinfo cookie cookies disqus footer header menu nav navbar navigation newsletter notice notices "
     "popup promo promoted promotion related search share sharing sidebar social sponsor sponsored subscribe widget".split()
 )
-#: Words before others that tell of a state: no-sidebar, has-comments.
+#: Words that tell of a state: no-sidebar, page-with-comments.
 STATES = {"no", "not", "has", "with", "without", "is"}
 #: Elements of text, that an article may share with others.
 TEXT_TAGS = set("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt tr a b i em strong span code q cite u s small sub sup".split())
@@ -62,24 +63,43 @@ TAG = re.compile(
     r"""<(?:!--(?:(?!-->).)*+(?:-->|\Z)|[!?][^>]*+(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)>)""", re.S
 )
 CUT_TAG = re.compile(r"<[a-zA-Z/!?]")
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+UNSHOWN = re.compile(r"display\s*:\s*none", re.I)
+#: Of the page's text, the share beyond which an element is no furniture by its name.
+WRAPPER_SHARE = 0.75
 
 
-def is_furniture(tag: str, attributes: str) -> bool:
+def attribute_values(attributes: str) -> dict[str, str]:
+    """The first value of each attribute."""
+    values: dict[str, str] = {}
+    for name, *value in ATTRIBUTE.findall(attributes):
+        values.setdefault(name.lower(), "".join(value))
+    return values
+
+
+def is_unseen(tag: str, values: dict[str, str]) -> bool:
+    """Whether an element is furniture by its tag, or not shown."""
     if tag in FURNITURE:
         return True
-    if not attributes or tag in ("html", "body", "main"):
+    if not values or tag in ("html", "body", "main"):
         return False
-    if HIDDEN.search(attributes):
-        return True
-    for _, *values in ATTRIBUTE.findall(attributes):
-        for name in "".join(values).split():
-            words = [x.lower() for x in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", name)]
-            if tag == "article":  # its classes often tell of its surroundings
-                words = [name.lower()]
-            if words and words[0] not in STATES and not FURNITURE_WORDS.isdisjoint(words):
-                return True
+    return "hidden" in values or values.get("aria-hidden", "").lower() == "true" or bool(UNSHOWN.search(values.get("style", "")))
+
+
+def has_furniture_name(tag: str, values: dict[str, str]) -> bool:
+    """Whether a class, role or id is a word for furniture or ends in one; ids of text and sections tell of topics."""
+    if not values or tag in ("html", "body", "main"):
+        return False
+    names = f"{values.get('class', '')} {values.get('role', '')}".split()
+    if tag not in TEXT_TAGS and tag not in ("section", "article"):
+        names += values.get("id", "").split()
+    for name in names:
+        words = [x.lower() for x in NAME_WORD.findall(name)]
+        if tag == "article":  # its classes often tell of its surroundings
+            words = [name.lower()]
+        if words and words[-1] in FURNITURE_WORDS and STATES.isdisjoint(words):
+            return True
     return False
 
 
@@ -89,6 +109,10 @@ class Element:
     regions: int
     region: bool = False
     gone: bool = False
+    unseen: bool = False
+    named: int | None = None
+    lost: int = 0
+    wraps: bool = False
     parts: list[str] = field(default_factory=list)
     blocks: list[int] = field(default_factory=list)
 
@@ -132,9 +156,15 @@ def _signed(x: int) -> int:
 
 
 class Reader:
-    """Reads one page; an element's subtree hash is ready when the element ends."""
+    """Reads one page; an element's subtree hash is ready when the element ends.
+
+    Elements with a furniture name are numbered; those in ``wrappers`` stay. If one that went held most of
+    the page's text, the page is read once more with it as a wrapper.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, wrappers: frozenset[int] = frozenset()) -> None:
+        self.wrappers, self.n_named = wrappers, 0
+        self.lost: dict[int, int] = {}
         self.page = Page()
         self.stack = [Element("", 0)]
         self.text: list[str] = []
@@ -156,6 +186,7 @@ class Reader:
 
     def add(self, text: str) -> None:
         if self.stack[-1].gone:
+            self.stack[-1].lost += len(text.strip())
             return
         if not self.inked:
             self.open_block, self.inked = self.stack[:], not text.isspace()
@@ -168,14 +199,21 @@ class Reader:
         if tag in ENDS:
             self.end_to(ENDS[tag], barrier={"ul", "ol", "dl", "table", "article", "main", "section", "div"})
         parent = self.stack[-1]
-        furniture = is_furniture(tag, attributes)
+        parent.wraps |= tag in BLOCKS
+        values = attribute_values(attributes) if attributes and not attributes.isspace() else {}
+        unseen, named = is_unseen(tag, values), None
+        if not unseen and has_furniture_name(tag, values):
+            named, self.n_named = self.n_named, self.n_named + 1
+            if named in self.wrappers:
+                named = None
+        furniture = unseen or named is not None
         region = tag in ("article", "main") and not furniture
         regions = parent.regions | {"article": ARTICLE, "main": MAIN}[tag] if region else parent.regions
         if tag in ("td", "th", "br"):
             self.add(" ")
         if tag in VOID:
             return
-        self.stack.append(Element(tag, regions, region, furniture or parent.gone and not region))
+        self.stack.append(Element(tag, regions, region, furniture or parent.gone and not region, unseen, named))
 
     def end_to(self, tags: set[str], barrier: set[str]) -> None:
         """Ends the nearest open element of ``tags``, unless one of ``barrier`` stands in between."""
@@ -199,6 +237,11 @@ class Reader:
         element = self.stack.pop()
         if element.tag in BLOCKS or element.gone:
             self.flush()
+        if not element.unseen:
+            self.stack[-1].lost += element.lost
+            self.stack[-1].wraps |= element.wraps
+            if element.named is not None and element.wraps:
+                self.lost[element.named] = element.lost
         if element.gone or not element.blocks and not element.parts:
             return
         digest = xxhash.xxh3_64_intdigest("\x00".join([element.tag, *element.parts]))
@@ -229,7 +272,9 @@ class Reader:
         self.flush()
         while len(self.stack) > 1:
             self.pop()
-        return self.page
+        whole = self.stack[0].lost + sum(map(len, self.page.texts))
+        wrappers = frozenset(x for x, n in self.lost.items() if n > WRAPPER_SHARE * whole)
+        return self.page if self.wrappers or not wrappers else Reader(wrappers).read(source)
 
 
 def _content_hash(page: list[tuple[str, list[int]]]) -> int:

@@ -118,6 +118,22 @@ def test_the_region_is_chosen_by_its_text(spark, body, want):
     assert [r.text for r in p.extract_text(pages(spark, [(1, "https://a.org/", PAGE % body)])).collect()] == [want]
 
 
+@pytest.mark.parametrize(
+    "body, want",
+    [
+        ("<article><h2 id='related-work'>R</h2><section id='social-security'>S</section><p id='share'>P</p></article>", "R\n\nS\n\nP"),
+        ("<article><p title='the hidden cost'>a</p><div class='x hidden md:block'>b</div><p aria-hidden=false>c</p></article>", "a\n\nb\n\nc"),
+        ("<article><p>x</p><p hidden>h</p><p HIDDEN=''>h</p><p aria-hidden=true>h</p></article>", "x"),
+        ("<article><p>x</p><div class='search-engines'>y</div><div class='left-sidebar'>z</div><div role=navigation>z</div></article>", "x\n\ny"),
+        (f"<div class='page-with-sidebar'><p>{LONG}</p></div>", LONG.strip()),
+        (f"<div class='site-banner'><div id='widget'><p>{LONG}</p><div class='sidebar'>side</div></div></div>", LONG.strip()),
+        (f"<div class='site-banner'><p>short</p><p hidden>{LONG}</p></div><p>{LONG}</p>", LONG.strip()),
+    ],
+)
+def test_names_of_furniture_and_wrappers(body, want):
+    assert text(PAGE % body) == want
+
+
 def test_the_region_is_chosen_after_templates_are_gone(spark):
     body = lambda i: f"<body><div><p>{LONG}</p></div><article><p>own {i}</p></article><p>x{i}</p></body>"
     got = p.extract_text(pages(spark, [(i, "https://a.org/", body(i)) for i in range(8)])).collect()
