@@ -3,8 +3,10 @@
 Three patterns report as they match: assignments, access ids, long hexadecimal runs. Further
 candidates are reported only after they have been decoded and parsed:
 
-- ``pem``: an armoured private key whose body is a key encoding;
-- ``key64``, ``keyhex``: base64 or hexadecimal runs that are a key encoding;
+- ``pem``: an armoured private key whose body is a key encoding, or whose headers name a cipher that its
+  body's length fits;
+- ``key64``, ``keyhex``: base64 or hexadecimal runs that are a key encoding; a base64 run may be wrapped
+  into lines, and one inside a ``pem`` counts only if it isn't;
 - ``jwt``: a signed token with a JSON header that names a signing algorithm, a JSON body and a
   signature of that algorithm's length.
 
@@ -40,15 +42,22 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
-PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\[nr])+)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----((?:[^-]|-(?!----))++)-----END \1-----")
+PEM_HEADERS = re.compile(r"\s*((?:[A-Za-z][A-Za-z0-9-]*:[^\n]*\n(?:[ \t]+\S[^\n]*\n)*)+)")
+DEK_INFO = re.compile(r"^DEK-Info:[ \t]*[A-Z0-9-]+,((?:[0-9A-Fa-f]{2}){8,16})[ \t]*$", re.M)
 #: A DER sequence begins with byte 0x30, that is M in base64.
-KEY64 = re.compile(r"(?<![A-Za-z0-9+/=_-])(?:M|b3Bl)[A-Za-z0-9+/]{36,}={0,2}(?![A-Za-z0-9+/=_-])")
+KEY64 = re.compile(r"(?:(?<![A-Za-z0-9])|(?<=\\[nr]))(?:M|b3Bl)(?=[A-Za-z0-9+/]{12})")
+LINE64 = re.compile(r"[A-Za-z0-9+/]+")
+WRAP64 = re.compile(r"[ \t]*(?:\\r)?(?:\\n|\r?\n)[ \t]*(?=[A-Za-z0-9+/])")
+END64 = re.compile(r"={0,2}(?![A-Za-z0-9+/=_-])")
 KEYHEX = re.compile(r"(?<![0-9A-Fa-f])30(?:[0-9A-Fa-f]{2}){28,}(?![0-9A-Fa-f])")
-#: A JSON object begins with {" , that is eyJ.
-JWT = re.compile(r"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)(?![A-Za-z0-9_-])")
+#: Base64 letters that are looked at for an OpenSSH key.
+LONGEST_OPENSSH = 1 << 20
+#: A JSON object begins with { or white space, that is one of these letters.
+JWT = re.compile(r"(?<![A-Za-z0-9_.-])([eICD][A-Za-z0-9_-]{11,})\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)(?![A-Za-z0-9_-])")
 
 #: Bytes that a signature of each algorithm has; RSA ones have their key's length.
-SIGNATURE_BYTES = {"HS256": 32, "HS384": 48, "HS512": 64, "ES256": 64, "ES384": 96, "ES512": 132, "EdDSA": 64}
+SIGNATURE_BYTES = {"HS256": 32, "HS384": 48, "HS512": 64, "ES256": 64, "ES256K": 64, "ES384": 96, "ES512": 132, "EdDSA": 64}
 RSA_ALGORITHMS = {"RS256", "RS384", "RS512", "PS256", "PS384", "PS512"}
 OPENSSH_MAGIC = b"openssh-key-v1\x00"
 INTEGER, BITS, OCTETS, OID, SEQUENCE = 0x02, 0x03, 0x04, 0x06, 0x30
@@ -100,27 +109,42 @@ def _names_algorithm(data: bytes) -> bool:
     return bool(fields) and fields[0][0] == OID and len(fields[0][1]) >= 3
 
 
-def is_openssh_key(data: bytes) -> bool:
-    """Whether ``data`` holds the fields of an OpenSSH private key and nothing else."""
+def openssh_size(data: bytes) -> int | None:
+    """Bytes that the fields of the OpenSSH private key at the start of ``data`` take; None if it is none."""
     if not data.startswith(OPENSSH_MAGIC):
-        return False
+        return None
     at, keys = len(OPENSSH_MAGIC), 1
     for field in ("cipher", "kdf", "options", "count", *["public"] * 16, "private"):
         if field == "count":
             keys, at = int.from_bytes(data[at : at + 4], "big"), at + 4
             if not 1 <= keys <= 16:
-                return False
+                return None
             continue
         if field == "public":
             if not keys:
                 continue
             keys -= 1
         if at + 4 > len(data):
-            return False
+            return None
         at += 4 + int.from_bytes(data[at : at + 4], "big")
         if at > len(data):
-            return False
-    return at == len(data)
+            return None
+    return at
+
+
+def is_openssh_key(data: bytes) -> bool:
+    """Whether ``data`` holds the fields of an OpenSSH private key and nothing else."""
+    return openssh_size(data) == len(data)
+
+
+def der_size(head: bytes) -> int | None:
+    """Bytes of the DER sequence that begins with ``head``."""
+    if len(head) < 6 or head[0] != SEQUENCE:
+        return None
+    n = head[1] & 0x7F if head[1] >= 0x80 else 0
+    if n > 4 or head[1] == 0x80:
+        return None
+    return 2 + n + (int.from_bytes(head[2 : 2 + n], "big") if n else head[1])
 
 
 def is_key(data: bytes) -> bool:
@@ -151,6 +175,46 @@ def is_signed_token(header: str, body: str, signature: str) -> bool:
     return SIGNATURE_BYTES.get(head["alg"]) == len(sign)
 
 
+def is_pem_body(body: str) -> bool:
+    """Whether the body of an armour is a key encoding, or is encrypted as its headers say."""
+    body = re.sub(r"\\r|\r", "", body).replace("\\n", "\n")
+    headers = PEM_HEADERS.match(body)
+    data = decoded64(re.sub(r"\s", "", body[headers.end() :] if headers else body))
+    if data is None:
+        return False
+    dek = DEK_INFO.search(headers[1]) if headers and "ENCRYPTED" in headers[1] else None
+    if dek:
+        return len(data) >= 16 and len(data) % min(16, len(dek[1]) // 2) == 0
+    return is_key(data)
+
+
+def joined64(text: str, at: int, most: int) -> tuple[str, int, bool]:
+    """The base64 letters from ``at``, over line ends, ``most`` of them; where they end, and if over lines."""
+    parts, n, wrapped = [], 0, False
+    while line := LINE64.match(text, at, at + most - n):
+        parts.append(line[0])
+        n, at = n + len(line[0]), line.end()
+        wrap = WRAP64.match(text, at) if n < most else None
+        if not wrap:
+            break
+        at, wrapped = wrap.end(), True
+    return "".join(parts), at, wrapped
+
+
+def key_run(text: str, at: int) -> tuple[int, bool] | None:
+    """Where the base64 key that begins at ``at`` ends, and whether it is wrapped into lines."""
+    if text[at] == "M":
+        size = der_size(decoded64(joined64(text, at, 12)[0]) or b"")
+    else:
+        letters = joined64(text, at, LONGEST_OPENSSH)[0] if text.startswith("b3BlbnNzaC1r", at) else ""
+        size = openssh_size(decoded64(letters[: len(letters) - (len(letters) % 4 == 1)]) or b"")
+    if size is None or size > len(text):
+        return None
+    letters, end, wrapped = joined64(text, at, -(-size * 4 // 3))
+    body, stop = decoded64(letters), END64.match(text, end)
+    return (stop.end(), wrapped) if stop and body is not None and len(body) == size and is_key(body) else None
+
+
 def base_spans(text: str) -> list[Span]:
     found = [("assign", *m.span()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
     found += [("access", *m.span()) for m in ACCESS.finditer(text)]
@@ -161,18 +225,16 @@ def confirmed_spans(text: str) -> list[Span]:
     """Candidates that parse as what they look like."""
     found = []
     if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            body = decoded64(re.sub(r"\\[nr]|\s", "", m[2]))
-            if body is not None and is_key(body):
-                found.append(("pem", *m.span()))
-    for m in KEY64.finditer(text):
-        body = decoded64(m[0])
-        if body is not None and is_key(body):
-            found.append(("key64", *m.span()))
+        found = [("pem", *m.span()) for m in PEM.finditer(text) if is_pem_body(m[2])]
+    armours, at = found[:], 0
+    while start := KEY64.search(text, at):
+        at, run = start.end(), key_run(text, start.start())
+        if run:
+            at, wrapped = run
+            if not wrapped or not any(s <= start.start() < e for _, s, e in armours):
+                found.append(("key64", start.start(), at))
     found += [("keyhex", *m.span()) for m in KEYHEX.finditer(text) if is_key(bytes.fromhex(m[0]))]
-    if "eyJ" in text:
-        found += [("jwt", *m.span()) for m in JWT.finditer(text) if is_signed_token(*m.groups())]
-    return found
+    return found + [("jwt", *m.span()) for m in JWT.finditer(text) if is_signed_token(*m.groups())]
 
 
 def joined(spans: list[Span]) -> str:

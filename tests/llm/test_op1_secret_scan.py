@@ -68,6 +68,45 @@ def test_signed_tokens():
     assert kinds(token({"alg": "HS256"}, 31)) == kinds(token({"alg": "none"}, 32)) == kinds(token({"a": 1}, 32)) == []
 
 
+def lines(key, width, end="\n"):
+    return end.join(re.findall(f".{{1,{width}}}", key))
+
+
+def test_keys_after_equals_and_in_lines():
+    algorithm = der(s.SEQUENCE, der(s.OID, b"\x2a\x86\x48\x86"), der(5))
+    for data in (rsa_key(), openssh_key(), der(s.SEQUENCE, der(2, b"\x00"), algorithm, der(4, der(4, b"k" * 32)))):
+        key = base64.b64encode(data).decode()
+        for name in ("PRIVATE_KEY=", "k /", "k-", "k+", "k:", "SIGNING_KEY=Mabcdefghijklmnopq/"):
+            text = f"{name}{key}\nnext words stand here"
+            assert s.confirmed_spans(text) == [("key64", len(name), len(name) + len(key))], text
+        for end in ("\n", "\r\n", "\n    ", "\\n"):
+            for bare in (key, key.rstrip("=")):
+                wrapped = lines(bare, 40, end)
+                text = f"the key is\n{wrapped}\nthat was all"
+                assert s.confirmed_spans(text) == [("key64", 11, 11 + len(wrapped))], text
+        assert kinds(f"k={lines(key[:-8], 40)}\n") == kinds(f"k={lines(key, 40)}abc") == []
+    text = f"A=1\nPRIVATE_KEY={base64.b64encode(rsa_key()).decode()}\n"
+    assert s.redacted(text, s.confirmed_spans(text), "#") == "A=1\nPRIVATE_KEY=#\n"
+    s.confirmed_spans("+MIIE" * 200_000)
+    s.confirmed_spans("M" * 16 + "\nMIIEabcdefghijkl" * 50_000)
+    s.confirmed_spans("-----BEGIN PRIVATE KEY-----" * 50_000)
+
+
+def test_armour_with_headers():
+    armour = lambda head, body: f"-----BEGIN RSA PRIVATE KEY-----\n{head}{lines(base64.b64encode(body).decode(), 64)}\n-----END RSA PRIVATE KEY-----"
+    sealed = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n"
+    assert kinds(armour(sealed, b"\x9c" * 96)) == ["pem"] == kinds(armour(sealed, b"\x9c" * 96).replace("\n", "\\n"))
+    assert kinds(armour(sealed, b"\x9c" * 97)) == kinds(armour("", b"\x9c" * 96)) == []
+    assert kinds(armour("Comment: a key\n  of mine\n\n", rsa_key())) == ["pem"]
+
+
+def test_tokens_by_what_their_header_decodes_to():
+    part = lambda x: base64.urlsafe_b64encode(x).rstrip(b"=").decode()
+    for head in (b'{ "alg": "ES256K"}', b'\n{"alg":"ES256"}', b' {"alg":"HS512"}', b'\t{"alg":"HS512"}', b'\r\n{"alg":"HS512"}', b'{"alg":"ES256K"}'):
+        good = ".".join([part(head), part(b'{ "sub": 1}'), part(b"\x07" * 64)])
+        assert s.confirmed_spans(f"t={good} y") == [("jwt", 2, 2 + len(good))], head
+
+
 def test_redaction_joins_overlaps():
     assert s.redacted("abcdefghij", [("hex", 2, 5), ("key64", 3, 6), ("jwt", 8, 9)], "#") == "ab#gh#j"
 
