@@ -26,6 +26,8 @@ from tallyloom.llm.tables import arrow_rows, text_buffers, unused, written
 from tallyloom.llm.words import text_words, windows
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+#: What the rules compare with besides.
+ALL_COUNTS = (*COUNTS, "n_lines")
 REPEAT_WIDTH = 8
 #: Characters that count as symbols, and those that separate words.
 SYMBOLS = "#*$%&|<>"
@@ -59,38 +61,37 @@ def repeated_words(words: np.ndarray, width: int = REPEAT_WIDTH) -> int:
     return int((np.cumsum(change) > 0).sum())
 
 
-def duplicate_lines(text: str) -> int:
-    """Lines with a word that equal an earlier line."""
-    lines = text.split("\n")
-    if len(lines) == len(set(lines)):
-        return 0
-    lines = [x for x in lines if x.strip(SPACE_CHARS)]
-    return len(lines) - len(set(lines))
+def line_counts(text: str) -> tuple[int, int]:
+    """Lines with a word that equal an earlier line, and lines with a word."""
+    lines = [x for x in text.split("\n") if x.strip(SPACE_CHARS)]
+    return len(lines) - len(set(lines)), len(lines)
 
 
 def text_counts(texts: pa.Array) -> pa.StructArray:
-    """COUNTS of each text."""
+    """ALL_COUNTS of each text."""
     data, at = text_buffers(texts)
     counts = []
     for text, words in zip(texts, text_words(data, at, fold_case=False)):
         text = text.as_py() or ""
+        n_dup_lines, n_lines = line_counts(text)
         counts.append(
             (
                 len(words),
                 len(text) - sum(map(text.count, SPACE_CHARS)),
                 sum(map(text.count, SYMBOLS)),
-                duplicate_lines(text),
+                n_dup_lines,
                 repeated_words(words),
+                n_lines,
             )
         )
-    columns = zip(*counts) if counts else [()] * len(COUNTS)
-    return pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in columns], names=COUNTS)
+    columns = zip(*counts) if counts else [()] * len(ALL_COUNTS)
+    return pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in columns], names=ALL_COUNTS)
 
 
 def with_counts(df: DataFrame, text_column: str, into: str) -> DataFrame:
     """All rows and columns, and the counts as a struct column ``into``."""
     at = df.columns.index(text_column)
-    kind = T.StructType([T.StructField(name, T.LongType()) for name in COUNTS])
+    kind = T.StructType([T.StructField(name, T.LongType()) for name in ALL_COUNTS])
     schema = T.StructType([*df.schema.fields, T.StructField(into, kind)])
 
     def run(batches):
@@ -113,7 +114,7 @@ def rule_failures(counts: Column, limits: Limits) -> dict[str, Column]:
         "short": counts.n_words < limits.least_words,
         "repeats": 100 * counts.n_repeat_words > limits.most_repeated_percent * counts.n_words,
         "symbols": 100 * counts.n_symbols > limits.most_symbol_percent * counts.word_chars,
-        "lines": 100 * counts.n_dup_lines > limits.most_duplicate_lines_percent * counts.n_words,
+        "lines": 100 * counts.n_dup_lines > limits.most_duplicate_lines_percent * counts.n_lines,
     }
 
 

@@ -44,6 +44,20 @@ def test_bad_host_is_rejected_and_small_ones_are_shrunk(spark, documents):
     assert kept == {**{f"host{h}": 40 for h in range(8)}, None: 3}
 
 
+def test_host_that_only_repeats_lines_is_rejected(spark, documents, as_tables):
+    """Short lines, each repeated in other surroundings, so that no eight words repeat."""
+    order = [0, 1, 2, 3, 0, 2, 1, 3, 2, 0, 3, 1]
+    lines = lambda d: "\n".join(f"line{d} number{i} of four" for i in order)
+    rows = [(PLAIN, f"host{h}") for h in range(8) for _ in range(40)] + [(lines(d), "lines") for d in range(40)]
+    counted = q.with_counts(documents(*rows), "text", "counts")
+    assert counted.where("source = 'lines'").select("counts.n_dup_lines", "counts.n_lines").distinct().collect() == [(8, 12)]
+    assert counted.where(q.base_failed(F.col("counts"))).count() == 0
+    rates = {r.host: r for r in q.host_rates(counted, "source", "counts").collect()}
+    assert rates["lines"].rejected and rates["lines"].lines_rate > 0.9 and not rates["host0"].rejected
+    got = QUERIES["op2_quality_rules"](spark, as_tables(documents=documents(*rows))).collect()
+    assert sum(r.kept for r in got) == 320
+
+
 def test_equal_hosts_share_the_overall_rate(spark, documents):
     counted = q.with_counts(documents(*[(x, h) for h in "abc" for x in ["junk", PLAIN, PLAIN]]), "text", "counts")
     assert {round(r.short_rate, 12) for r in q.host_rates(counted, "source", "counts").collect()} == {round(1 / 3, 12)}
