@@ -135,7 +135,8 @@ class WordIds(dict):
     The tokenizer drops white space and looks at nothing beyond it, so a text's ids are those of its words
     in a row. A word of Latin letters goes straight to the tokenizer's merges, lowered and as byte-level
     letters, as its own normalizer and splitter would pass it on; ASCII marks after it are a piece of their
-    own. All other words go through the whole tokenizer.
+    own. All other words go through the whole tokenizer, those with a special token's mark among them: it
+    gets that token's id, as the library gives it by default.
     """
 
     LETTERS = byte_letters()
@@ -143,7 +144,6 @@ class WordIds(dict):
     def __init__(self, path: str, entries: int = CACHE_WORDS) -> None:
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.merges = self.tokenizer.model.tokenize
         self.half, self.old = max(1, entries // 2), {}
 

@@ -55,6 +55,18 @@ def test_words_as_the_library_does_whole_texts():
             assert np.frombuffer(words.encode(text), "<u4").tolist() == library(text), repr(text)
 
 
+def test_marks_of_special_tokens_as_the_library_does_by_default(spark, documents, as_tables):
+    default, words, rnd = Tokenizer.from_file(PATH), t.WordIds(PATH), random.Random(4)
+    parts = ["ab", "é", " ", "\n", "\t", ".", "'s", "<|", "|>", "İ", "12", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>"]
+    texts = ["<|endoftext|>", "a<|endoftext|>b", "a <|startoftext|>.", *("".join(rnd.choices(parts, k=rnd.randint(0, 9))) for _ in range(2000))]
+    for text in texts:
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == default.encode(text, add_special_tokens=False).ids, repr(text)
+    assert 49407 in np.frombuffer(words.encode("a<|endoftext|>b"), "<u4")
+    rows = QUERIES["op9_token_files"](spark, as_tables(documents=documents(*texts[:3]))).orderBy("start").collect()
+    ids = [[*default.encode(x, add_special_tokens=False).ids, END_ID] for x in texts[:3]]
+    assert [(r.n_tokens, r.ids_crc32) for r in rows] == [(len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for x in ids]
+
+
 def test_query_edges(spark, documents, as_tables):
     texts = [None, "", "Hello world", "Hello\nWORLD !", "z" * 100_000, "é " * 30_000]
     rows = [(i * 7 - 9, x, "s") for i, x in enumerate(texts)] + [(None, "no id", "s"), (5, "same", "s"), (5, "same", "s")]
