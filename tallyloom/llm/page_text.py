@@ -5,8 +5,9 @@ whose name is, or ends in, a word for it, go with all they hold; a wrapper of ot
 most of the page's text by its name alone stays. Each element of the rest that could be part of a site's template gets a hash of its
 whole subtree; Spark counts for each host how many different contents hold a subtree, and those that recur
 on many are deleted with their text. Pages with equal content count once, so copies of an article are no
-template. Inside an article, paragraphs and headings are never templates, as articles quote each other;
-boxes, lists and tables may be. Outside one, any element may be.
+template. Inside an article or ``main``, text elements (``TEXT_TAGS``: also list items and table rows) are
+never templates by themselves, as articles quote each other; boxes, lists and tables may be. Elsewhere any
+element may be.
 
 The page's content is chosen by its amount of text: its articles if they hold most of what the page has
 left, otherwise ``main`` with them, otherwise the body. The text is chosen after the deletion; the content
