@@ -19,10 +19,11 @@ SAME_TYPES = {
 }
 
 
-def connect(sf_dir):
+def connect(sf_dir, tables=TABLES):
     con = duckdb.connect()
-    for table in TABLES:
+    for table in tables:
         path = os.path.join(sf_dir, f"{table}.parquet")
+        path = os.path.join(path, "*.parquet") if os.path.isdir(path) else path
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path}')")
     return con
 
