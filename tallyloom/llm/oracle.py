@@ -15,18 +15,19 @@ WITH words AS (
     SELECT r, count(DISTINCT i + k) AS n
     FROM (SELECT r, unnest(places) AS i FROM eights), unnest(range(0, 8)) AS t(k) GROUP BY r
 ), lines AS (
-    SELECT r, count(*) - count(DISTINCT line) AS n
+    SELECT r, count(*) - count(DISTINCT line) AS n, count(*) AS n_lines
     FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM words)
     WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
 ), counts AS (
     SELECT doc_id, source, len(w)::BIGINT AS n_words,
            length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
            length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
-           coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
+           coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+           coalesce(l.n_lines, 0) AS n_lines
     FROM words LEFT JOIN covered c USING (r) LEFT JOIN lines l USING (r)
 ), failures AS (
     SELECT *, n_words < 20 AS short, 100 * n_repeat_words > 30 * n_words AS repeats,
-           100 * n_symbols > 50 * word_chars AS symbols, 100 * n_dup_lines > 50 * n_words AS lines
+           100 * n_symbols > 50 * word_chars AS symbols, 100 * n_dup_lines > 50 * n_lines AS lines
     FROM counts
 ), by_rule AS (
     SELECT source, rule, count(*) AS n, count(*) FILTER (failed) AS f

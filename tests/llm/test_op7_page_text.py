@@ -28,7 +28,7 @@ PAGE = (
         ("<article><p>x</p></article><article class='comment'><p>first!</p></article>", "x"),
         ("<main><p>m</p></main><p>outside</p>", "m"),
         ("<div>only <i>div</i>s</div>", "only divs"),
-        ("<article></article><p>outside</p>", ""),
+        ("<article></article><p>outside</p>", "outside"),
         ("<article><p>a < b &am &notanentity; 1<2</p></article>", "a < b &am ¬anentity; 1<2"),
         ("<article><p title='>'>q</p></article>", "q"),
         ("<article><ul><li>1<li>2</ul><table><tr><td>c<td>d<tr><td>e</table></article>", "1\n\n2\n\nc d\n\ne"),

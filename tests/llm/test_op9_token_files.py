@@ -12,7 +12,6 @@ from tallyloom.llm.tables import written
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
-LIBRARY.encode_special_tokens = True
 
 
 def library(text):
