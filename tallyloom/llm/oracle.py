@@ -172,9 +172,74 @@ FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source LE
 GROUP BY r, doc_id, size, source_size, target
 """
 
+LINE_DEDUP = r"""
+WITH rows AS (
+    SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), keyed AS (
+    SELECT doc_id, r, i, lines[i] AS line,
+           translate(trim(lines[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM rows, unnest(range(1, len(lines) + 1)) AS t(i)
+), common AS (
+    SELECT key, max(doc_id) AS largest FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT r) >= 5
+), marked AS (
+    SELECT keyed.*, common.key IS NOT NULL AND doc_id IS DISTINCT FROM largest AS lost
+    FROM keyed LEFT JOIN common USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
+FROM marked GROUP BY r, doc_id
+"""
+
+IMPORTANCE_RESAMPLING = f"""
+WITH texts AS (
+    SELECT 'd' AS side, doc_id, row_number() OVER () AS r, text FROM documents
+    UNION ALL SELECT 't', NULL, row_number() OVER (), text FROM benchmark
+), words AS (
+    SELECT side, doc_id, r,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM texts
+), features AS (
+    SELECT side, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS feature
+    FROM words
+), digits AS (
+    SELECT feature, string_split(hex(encode(feature)), '') AS d FROM (SELECT DISTINCT feature FROM features)
+), buckets AS (
+    SELECT feature,
+           xor(list_reduce(list_concat([4294967295], list_transform(range(len(d)),  -- the lower half of each byte comes first
+                   lambda i: (instr('0123456789ABCDEF', d[xor(i, 1) + 1]) - 1)::BIGINT)),
+               lambda crc, h: xor(crc >> 4, ({crc32_table()})[(xor(crc, h) & 15) + 1])), 4294967295) % 10000 AS bucket
+    FROM digits
+), counts AS (
+    SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 't') AS t
+    FROM features JOIN buckets USING (feature) GROUP BY bucket
+), totals AS (
+    SELECT coalesce(sum(s), 0)::BIGINT AS all_s, coalesce(sum(t), 0)::BIGINT AS all_t FROM counts
+), gains AS (
+    SELECT bucket, floor(1000 * ln(((t + 1) * (all_s + 10000)) / ((s + 1) * (all_t + 10000))))::BIGINT AS gain
+    FROM counts, totals
+), weights AS (
+    SELECT r, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight
+    FROM features JOIN buckets USING (feature) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r
+), scored AS (
+    SELECT doc_id, len(w) >= 20 AS may, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln(
+               (('0x' || sha256('7:' || coalesce(doc_id::VARCHAR, 'null'))[1:8])::BIGINT + 0.5) / 4294967296.0::DOUBLE)))::BIGINT AS score
+    FROM words LEFT JOIN weights USING (r) WHERE side = 'd'
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY may ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place,
+           count(*) OVER (PARTITION BY may) AS n
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN may AND place <= 25 * n // 100 THEN place END AS rank FROM ranked
+"""
+
 ORACLES: dict[str, str] = {
     "op2_quality_rules": QUALITY_RULES,
     "op4_sharding": SHARDING,
     "op5_url_filters": URL_FILTERS,
     "op6_source_mixing": SOURCE_MIXING,
+    "op11_line_dedup": LINE_DEDUP,
+    "op13_importance_resampling": IMPORTANCE_RESAMPLING,
 }

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from tallyloom.llm.byte_bpe import encode_texts
 from tallyloom.llm.fingerprints import as_hex, fingerprinted, likeness, packed, with_following
 from tallyloom.llm.hash_tree import even_tree, grown, with_shard, with_slot
+from tallyloom.llm.importance import resample
 from tallyloom.llm.jaccard_join import linked_documents
+from tallyloom.llm.line_dedup import dedup_lines
 from tallyloom.llm.mixing import mix, word_count
 from tallyloom.llm.page_text import extract_text
 from tallyloom.llm.quality_rules import COUNTS, base_failed, quality_verdicts, with_counts
@@ -125,6 +127,15 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": secret_scans,
     "op2_quality_rules": quality_rules,
@@ -136,4 +147,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": ngram_jaccard_join,
     "op9_token_files": token_files,
     "op10_byte_bpe": byte_bpe,
+    "op11_line_dedup": line_dedup,
+    "op13_importance_resampling": importance_resampling,
 }
