@@ -191,6 +191,37 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
 FROM marked GROUP BY r, doc_id
 """
 
+RANKED_SEARCH = r"""
+WITH texts AS (
+    SELECT 'd' AS side, doc_id, NULL AS item_id, row_number() OVER () AS r, text FROM documents
+    UNION ALL SELECT 't', NULL, item_id, row_number() OVER (), text FROM benchmark
+), words AS (
+    SELECT side, doc_id, item_id, r,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM texts
+), asked AS (
+    SELECT DISTINCT r AS q, item_id, unnest(w) AS term FROM words WHERE side = 't'
+), sizes AS (
+    SELECT r, doc_id, len(w)::BIGINT AS n FROM words WHERE side = 'd' AND len(w) > 0
+), totals AS (
+    SELECT count(*)::BIGINT AS documents, sum(n)::BIGINT AS terms FROM sizes
+), held AS (
+    SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM words WHERE side = 'd')
+    WHERE term IN (SELECT term FROM asked) GROUP BY r, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * documents + 2) / (2 * df + 1)))::BIGINT AS weight
+    FROM (SELECT term, count(*)::BIGINT AS df FROM held GROUP BY term), totals
+), scores AS (
+    SELECT q, item_id, r, doc_id,
+           sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * documents) // terms))))::BIGINT AS score
+    FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (r), totals
+    GROUP BY q, item_id, r, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
 IMPORTANCE_RESAMPLING = f"""
 WITH texts AS (
     SELECT 'd' AS side, doc_id, row_number() OVER () AS r, text FROM documents
@@ -198,7 +229,7 @@ WITH texts AS (
 ), words AS (
     SELECT side, doc_id, r,
            regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+                              '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
     FROM texts
 ), features AS (
     SELECT side, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS feature
@@ -241,5 +272,6 @@ ORACLES: dict[str, str] = {
     "op5_url_filters": URL_FILTERS,
     "op6_source_mixing": SOURCE_MIXING,
     "op11_line_dedup": LINE_DEDUP,
+    "op12_ranked_search": RANKED_SEARCH,
     "op13_importance_resampling": IMPORTANCE_RESAMPLING,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.byte_bpe import encode_texts
 from tallyloom.llm.fingerprints import as_hex, fingerprinted, likeness, packed, with_following
 from tallyloom.llm.hash_tree import even_tree, grown, with_shard, with_slot
+from tallyloom.llm.impact_search import ranked_search
 from tallyloom.llm.importance import resample
 from tallyloom.llm.jaccard_join import linked_documents
 from tallyloom.llm.line_dedup import dedup_lines
@@ -132,6 +133,10 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -148,5 +153,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": token_files,
     "op10_byte_bpe": byte_bpe,
     "op11_line_dedup": line_dedup,
+    "op12_ranked_search": ranked_lexical_search,
     "op13_importance_resampling": importance_resampling,
 }

@@ -35,9 +35,11 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(
+    data: np.ndarray, at: np.ndarray, is_space: np.ndarray = _IS_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word, and the number of words before each text (and in all)."""
-    inside = ~_IS_SPACE[data]
+    inside = ~is_space[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     first = at[:-1][np.diff(at) > 0]
@@ -83,14 +85,16 @@ def windows(words: np.ndarray, width: int) -> np.ndarray:
     return mixed(out)
 
 
-def text_words(data: np.ndarray, at: np.ndarray, fold_case: bool) -> Iterator[np.ndarray]:
+def text_words(
+    data: np.ndarray, at: np.ndarray, fold_case: bool, is_space: np.ndarray = _IS_SPACE
+) -> Iterator[np.ndarray]:
     """The word hashes of each text, a few megabytes of text at a time."""
     i, last = 0, len(at) - 1
     while i < last:
         j = max(i + 1, int(np.searchsorted(at, at[i] + 4 * _CHUNK)))
         j = min(j, last)
         part = data[at[i] : at[j]]
-        starts, ends, before = word_bounds(part, at[i : j + 1] - at[i])
+        starts, ends, before = word_bounds(part, at[i : j + 1] - at[i], is_space)
         hashes = word_hashes(part, starts, ends, fold_case)
         for k in range(j - i):
             yield hashes[before[k] : before[k + 1]]
