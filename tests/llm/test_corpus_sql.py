@@ -17,6 +17,6 @@ def test_same_as_sql(spark, name):
         assert differences(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) == ""
 
 
-def test_ten_operators():
-    assert sorted(int(name.split("_")[0][2:]) for name in QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(name.split("_")[0][2:]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)

@@ -1,0 +1,99 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tallyloom.llm import impact_search as s
+from tallyloom.llm.queries import QUERIES
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERM.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute(docs, items, top=10):
+    docs = [(i, Counter(terms(t))) for i, t in docs]
+    docs = [(i, c, sum(c.values())) for i, c in docs if c]
+    n_docs, n_terms = len(docs), sum(n for _, _, n in docs)
+    df = Counter(t for _, c, _ in docs for t in c)
+    out = []
+    for item, text in items:
+        found = []
+        for i, c, n in docs:
+            m = 100 - 90 + (90 * n * n_docs) // n_terms
+            score = 0
+            for t in set(terms(text)) & set(c):
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                score += w * ((1000000000 * c[t]) // (1000 * c[t] + 8 * m))
+            if score > 0:
+                found.append((-score, i is None, i or 0, i))
+        out += [(item, rank, f[3], -f[0]) for rank, f in enumerate(sorted(found)[:top], 1)]
+    return out
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.fixture
+def texts():
+    rnd = random.Random(12)
+    words = [f"w{i}" for i in range(60)] + ["É", "Été", "x1", "the", "the", "THE"]
+    make = lambda n: rnd.choice([" ", "\n", "_", "-"]).join(rnd.choices(words, weights=range(len(words), 0, -1), k=n))
+    docs = [(rnd.choice([i, i, 7, None]), make(rnd.randint(0, 80))) for i in range(400)]
+    docs += [(1000 + i, "w1 w2 w3 w50 w50") for i in range(60)] + [(5, None), (6, ""), (8, "-- !!"), (9, "w9 " * 30_000)]
+    items = [(i, make(rnd.randint(0, 30))) for i in range(40)] + [(7, "w1 w2 w3"), (7, "w1 w2 w3"), (50, None), (None, "w50"), (51, "unknown")]
+    return docs, items
+
+
+@pytest.mark.parametrize("bucket, seeds, focus, block", [(2048, 1 << 14, 6, 1 << 20), (8, 20, 1, 1 << 20), (16, 1, 3, 64)])
+def test_against_brute_force(spark, documents, texts, monkeypatch, bucket, seeds, focus, block):
+    for name, value in (("BUCKET", bucket), ("SEEDS", seeds), ("FOCUS", focus), ("BLOCK_TERMS", block)):
+        monkeypatch.setattr(s, name, value)
+    docs, items = texts
+    table = documents(*[(i, t, "s") for i, t in docs], extra="score string, rank string, length string, terms string")
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    got = result(s.ranked_search(table, asked))
+    assert got == sorted(brute(docs, items), key=repr)
+    assert result(s.ranked_search(table, asked, top=3)) == sorted(brute(docs, items, 3), key=repr)
+
+
+def test_bounds_leave_most_documents_out():
+    """A bucket whose lengths are too short for the bound is not looked at; inside, few rows survive."""
+    rnd = np.random.default_rng(2)
+    queries = s.Queries([b"q"], np.arange(8, dtype=np.uint64), np.arange(8), np.array([0, 8]))
+    weights = np.array([9000, 8000, 50, 40, 30, 20, 10, 5])
+    n = 2000
+    lists = [np.sort(rnd.choice(8, 3, replace=False)).astype(np.int32) for _ in range(n)]
+    impacts = [rnd.integers(1, 9, 3) for _ in lists]
+    lengths = [math.sqrt(sum(weights[t] * f * f for t, f in zip(x, y))) for x, y in zip(lists, impacts)]
+    rows = s.pa.RecordBatch.from_arrays(
+        [s.pa.array(range(n)), s.pa.array(lists, s.pa.list_(s.pa.int32())), s.pa.array(impacts, s.pa.list_(s.pa.int64())), s.pa.array(lengths)],
+        ["id", "terms", "impacts", "length"],
+    )
+    bucket = s.Bucket(rows)
+    scores = bucket.scores(np.arange(8), weights)
+    assert scores.tolist() == [sum(int(weights[t] * f) for t, f in zip(x, y)) for x, y in zip(lists, impacts)]
+    bound = int(np.sort(scores)[-10])
+    kept = bucket.candidates(np.arange(2), weights[:2], math.sqrt(weights[2:].sum()), bound)
+    assert set(np.flatnonzero(scores >= bound)) <= set(kept) and len(kept) < 100
+    searcher = s.Searcher(queries, weights, np.array([10**9]), 10)
+    assert list(searcher.search(bucket)) == []
+    searcher = s.Searcher(queries, weights, np.array([1]), 10)
+    (_, best, found), = searcher.search(bucket)
+    assert found.tolist() == sorted(scores, reverse=True)[:10] and searcher.bounds[0] == found[-1]
+
+
+def test_empty_tables(spark, documents, as_tables):
+    query = QUERIES["op12_ranked_search"]
+    items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    assert query(spark, as_tables(documents=documents("a").where("false"), benchmark=items)).collect() == []
+    assert query(spark, as_tables(documents=documents(None, "--"), benchmark=items)).collect() == []
+    empty = query(spark, as_tables(documents=documents("a"), benchmark=items.where("false")))
+    assert empty.collect() == [] and empty.columns == ["item_id", "rank", "doc_id", "score"]
+    assert [tuple(r) for r in query(spark, as_tables(documents=documents("a"), benchmark=items)).collect()] == brute([(0, "a")], [(1, "a b")])
