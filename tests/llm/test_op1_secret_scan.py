@@ -1,8 +1,12 @@
 import base64
 import hashlib
 import json
+import random
 import re
 import struct
+import time
+
+import pytest
 
 from tallyloom.llm import secret_scan as s
 from tallyloom.llm.queries import QUERIES
@@ -127,3 +131,112 @@ def test_query_edges(spark, documents, as_tables):
 def test_redacted_rows_keep_other_columns(spark, documents):
     rows = s.redact_secrets(documents("a token=abcdefgh b", None, "clean", extra="spans string")).orderBy("doc_id").collect()
     assert [r.text for r in rows] == ["a [secret] b", None, "clean"] and rows[0].spans == "x"
+
+
+def pem(data=None, name="RSA PRIVATE KEY"):
+    return f"-----BEGIN {name}-----\n{lines(base64.b64encode(data or rsa_key()).decode(), 64)}\n-----END {name}-----\n"
+
+
+def many_keys(n):
+    field = lambda x: struct.pack(">I", len(x)) + x
+    return s.OPENSSH_MAGIC + field(b"none") * 2 + field(b"") + struct.pack(">I", n) + field(b"p" * 40) * n + field(b"k" * 90 * n)
+
+
+ODD = bytes([0x30, 0x48]) + der(2, b"\x01") + der(4, b"\xfb\xef\xbe" * 10 + b"kk") + der(0xA0, der(s.OID, b"\xfb\xff" * 15))
+CONTENTS = {"der": rsa_key(), "openssh": openssh_key(), "many": many_keys(40), "armour": pem().encode(), "odd": der(s.SEQUENCE, ODD[2:])}
+FORMS = {
+    "base64": lambda x: base64.b64encode(x).decode(),
+    "url": lambda x: base64.urlsafe_b64encode(x).decode(),
+    "bare url": lambda x: base64.urlsafe_b64encode(x).rstrip(b"=").decode(),
+    "hex": lambda x: x.hex(),
+    "HEX": lambda x: x.hex().upper(),
+    "colons": lambda x: x.hex(":"),
+    "hex lines": lambda x: lines(x.hex(), 32),
+    "colon lines": lambda x: lines(x.hex(":") + ":", 45, "\n    ").rstrip(":"),
+    "url lines": lambda x: lines(base64.urlsafe_b64encode(x).decode(), 76),
+}
+
+
+@pytest.mark.parametrize("content", CONTENTS)
+@pytest.mark.parametrize("form", FORMS)
+def test_every_alphabet_carries_every_encoding(content, form):
+    key = FORMS[form](CONTENTS[content])
+    kind = "keyhex" if "hex" in form.lower() or "colon" in form else "key64"
+    assert (kind, 6, 6 + len(key)) in [x for x in s.confirmed_spans(f"data: {key}\nand so on") if x[0] == kind]
+    short = CONTENTS[content][: -30 if content == "armour" else -3]
+    assert kind not in kinds(f"data: {FORMS[form](short)}\nand so on")
+
+
+def test_both_alphabets_in_one_key_are_none():
+    key = base64.b64encode(CONTENTS["odd"]).decode()
+    assert key.count("+") > 1 and kinds(f"k {key} ") == ["key64"] and kinds(f"k {key.replace('+', '-', 1)} ") == []
+
+
+def test_tokens_behind_dots_and_hyphens():
+    good = token({"alg": "HS256"}, 32)
+    for before in ("v1.", "a.b.c.d.", "jwt-", "x-y-", "Bearer-v2.", "-", "."):
+        assert s.confirmed_spans(f"{before}{good}. Next") == [("jwt", len(before), len(before) + len(good))], before
+    assert kinds(f"{good}.{good}") == ["jwt", "jwt"]
+
+
+@pytest.mark.parametrize("part", ["b3BlbnNzaC1rZXktdjEA\n", "eyJhbGciOiJIUzI1NiJ9.", "eyJhbGciOiJIUzI1NiJ9-", "LS0tLS1CRUdJTiBQUklWQVRFIEtFWS0tLS0t", "MIIEabcdefghijkl", "3082", "e-", "30:"])
+def test_repeated_starts_take_time_by_length(part):
+    took = []
+    for size in (400_000, 1_600_000):
+        began = time.process_time()
+        assert s.confirmed_spans(part * (size // len(part))) == []
+        took.append(time.process_time() - began)
+    assert took[1] < 8 * max(took[0], 0.05)
+
+
+def plain_base(text):
+    """The base rules letter by letter, without patterns."""
+    found = []
+    letters = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+    fold = lambda x: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x)
+    i = 0
+    while i < len(text):
+        end = None
+        for word in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if fold(text[i : i + len(word)]) != word:
+                continue
+            at = i + len(word)
+            at += text[at : at + 1] in ('"', "'") and at < len(text)
+            while text[at : at + 1] == " ":
+                at += 1
+            if text[at : at + 1] not in (":", "=") or at >= len(text):
+                continue
+            at += 1
+            while text[at : at + 1] == " ":
+                at += 1
+            at += text[at : at + 1] in ('"', "'") and at < len(text)
+            stop = at
+            while stop < len(text) and text[stop] in letters:
+                stop += 1
+            if stop > at:
+                end = stop
+                if stop - at >= 8:
+                    found.append(("assign", i, stop))
+                break
+        i = end or i + 1
+    for kind, first, rest, least in (("access", "AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 16), ("hex", "", set("0123456789abcdef"), 32)):
+        i = 0
+        while i < len(text):
+            stop = i + len(first)
+            while text.startswith(first, i) and stop < len(text) and text[stop] in rest:
+                stop += 1
+            if text.startswith(first, i) and stop > i + len(first):
+                if stop - i >= least:
+                    found.append((kind, i, stop))
+                i = stop
+            else:
+                i += 1
+    return found
+
+
+def test_base_spans_against_a_plain_scanner():
+    rnd = random.Random(1)
+    parts = ["password", "PassWd", "secret", "Token", "api_key", "APIKEY", "apiıkey", ":", "=", " ", "  ", '"', "'", "abcdefgh", "x", "AKIA", "AKIAAKIA", "Z9" * 6, "0f" * 16, "a1" * 15, "é", "\n", ".-=", "\t"]
+    for _ in range(4000):
+        text = "".join(rnd.choices(parts, k=rnd.randint(0, 14)))
+        assert sorted(s.base_spans(text)) == sorted(plain_base(text)), text
