@@ -1,14 +1,19 @@
 """The main text of web pages: site templates are found by counting element subtrees per host.
 
 Each page is read into blocks of text. Elements that are furniture by their tag, or by a class, role or id
-whose name is, or ends in, a word for it, go with all they hold; a wrapper of other elements that would take
-most of the page's text by its name alone stays. Each element of the rest that could be part of a site's template gets a hash of its
+that names it, go with all they hold; a wrapper of other elements that would take most of the page's text by
+its name alone stays. A name is that of furniture if its last word is, not counting words for parts and
+places behind it: ``left-sidebar``, ``comment-list``, ``related-posts`` and ``commentlist``, but neither
+``social-security`` nor ``page-with-sidebar``. Each element of the rest that could be part of a site's template gets a hash of its
 whole subtree; Spark counts for each host how many different contents hold a subtree, and those that recur
 on many are deleted with their text. Pages with equal content count once, so copies of an article are no
 template. Inside an article or ``main``, text elements (``TEXT_TAGS``: also list items and table rows) are
 never templates by themselves, as articles quote each other; boxes, lists and tables may be. Elsewhere any
 element may be.
 
+Elements know the one around them and each block knows its innermost one, so a page of any depth is read,
+hashed and cleared of deleted subtrees in one walk each.
+
 The page's content is chosen by its amount of text: its articles if they hold most of what the page has
 left, otherwise ``main`` with them, otherwise the body. The text is chosen after the deletion; the content
 whose copies count once is chosen before it.
@@ -23,11 +28,12 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.tables import map_arrow, written
@@ -50,6 +56,14 @@ FURNITURE_WORDS = set(
     "consent contentinfo cookie cookies disqus footer header menu nav navbar navigation newsletter notice notices "
     "popup promo promoted promotion related search share sharing sidebar social sponsor sponsored subscribe widget".split()
 )
+#: Words for parts and places of furniture, that may stand behind its own word.
+PARTS = set(
+    "area areas article articles author bar block body bottom box boxes button buttons column container content contents "
+    "date feed footer form group header heading icon icons inner item items left link links list lists main meta outer panel "
+    "post posts reply right row section sections signup slot slots stories story text thread title top unit wrap wrapper zone".split()
+)
+#: Furniture and a part in one word. Of the shortest word for furniture only the usual ones: it begins other words.
+JOINED = {f + part for f in FURNITURE_WORDS for part in PARTS if len(f) > 2 or part in ("box", "container", "slot", "unit", "wrapper")}
 #: Words that tell of a state: no-sidebar, page-with-comments.
 STATES = {"no", "not", "has", "with", "without", "is"}
 #: Elements of text, that an article may share with others.
@@ -89,7 +103,7 @@ def is_unseen(tag: str, values: dict[str, str]) -> bool:
 
 
 def has_furniture_name(tag: str, values: dict[str, str]) -> bool:
-    """Whether a class, role or id is a word for furniture or ends in one; ids of text and sections tell of topics."""
+    """Whether a class, role or id names furniture or a part of it; ids of text and sections tell of topics."""
     if not values or tag in ("html", "body", "main"):
         return False
     names = f"{values.get('class', '')} {values.get('role', '')}".split()
@@ -97,37 +111,59 @@ def has_furniture_name(tag: str, values: dict[str, str]) -> bool:
         names += values.get("id", "").split()
     for name in names:
         words = [x.lower() for x in NAME_WORD.findall(name)]
-        if tag == "article":  # its classes often tell of its surroundings
-            words = [name.lower()]
-        if words and words[-1] in FURNITURE_WORDS and STATES.isdisjoint(words):
+        last = len(words) - 1
+        while last >= 0 and words[last] in PARTS and words[last] not in FURNITURE_WORDS:
+            last -= 1
+        if last < 0 or words[last] not in FURNITURE_WORDS and words[last] not in JOINED:
+            continue
+        if tag == "article" and last > 0:  # its classes often tell of its surroundings
+            continue
+        if STATES.isdisjoint(words):
             return True
     return False
 
 
 @dataclass
 class Element:
+    """``number`` is that of the innermost element, this one included, that may be deleted; -1 for none."""
+
     tag: str
     regions: int
-    region: bool = False
+    number: int = -1
+    own: bool = False
     gone: bool = False
     unseen: bool = False
     named: int | None = None
     lost: int = 0
     wraps: bool = False
+    inked: bool = False
     parts: list[str] = field(default_factory=list)
-    blocks: list[int] = field(default_factory=list)
 
 
 @dataclass
 class Page:
-    """Blocks in page order, each with the hashes of the elements that may be deleted over it."""
+    """Blocks in page order, each with its regions and the innermost element around it that may be deleted.
+
+    Of such an element there are the hash of its subtree, 0 without text, and the next one around it.
+    """
 
     texts: list[str] = field(default_factory=list)
     regions: list[int] = field(default_factory=list)
-    owners: list[list[int]] = field(default_factory=list)
-
-    def content(self) -> list[tuple[str, list[int]]]:
-        """What ``chosen_regions`` keeps if nothing is deleted."""
+    elements: list[int] = field(default_factory=list)
+    hashes: list[int] = field(default_factory=list)
+    parents: list[int] = field(default_factory=list)
+
+    def without(self, deleted: set[int]) -> Page:
+        """The page without the blocks inside of elements with one of these hashes."""
+        gone: list[bool] = []
+        for digest, parent in zip(self.hashes, self.parents):
+            gone.append(digest in deleted or parent >= 0 and gone[parent])
+        left = [i for i, element in enumerate(self.elements) if element < 0 or not gone[element]]
+        rows = ([x[i] for i in left] for x in (self.texts, self.regions, self.elements))
+        return Page(*rows, self.hashes, self.parents)
+
+    def content(self) -> list[tuple[str, int]]:
+        """The blocks of the region that is the content, chosen by the amounts of text."""
         amounts = [0] * 4
         for text, regions in zip(self.texts, self.regions):
             amounts[regions] += len(text)
@@ -136,20 +172,7 @@ class Page:
         chosen = MAIN | ARTICLE if main and main >= LEAST_MAIN * whole else 0
         if 2 * articles > (whole - amounts[0] if chosen else whole):
             chosen = ARTICLE
-        return [(t, o) for t, r, o in zip(self.texts, self.regions, self.owners) if not chosen or r & chosen]
-
-
-def chosen_regions(kept: str) -> Column:
-    """The regions that are the content of the blocks in column ``kept``, 0 for all of them."""
-
-    def amount(regions: int) -> Column:
-        some = F.filter(kept, lambda b: b["regions"].bitwiseAND(F.lit(regions)) != 0) if regions else F.col(kept)
-        return F.aggregate(some, F.lit(0).cast("long"), lambda n, b: n + F.char_length(b["text"]))
-
-    whole, main, articles = amount(0), amount(MAIN), amount(ARTICLE)
-    has_main = (main > 0) & (main >= LEAST_MAIN * whole)
-    base = F.when(has_main, amount(MAIN | ARTICLE)).otherwise(whole)
-    return F.when(2 * articles > base, F.lit(ARTICLE)).when(has_main, F.lit(MAIN | ARTICLE)).otherwise(F.lit(0))
+        return [(t, e) for t, r, e in zip(self.texts, self.regions, self.elements) if not chosen or r & chosen]
 
 
 def _signed(x: int) -> int:
@@ -168,9 +191,10 @@ class Reader:
         self.lost: dict[int, int] = {}
         self.page = Page()
         self.stack = [Element("", 0)]
+        self.open_tags: Counter[str] = Counter()
         self.text: list[str] = []
         self.inked = False
-        self.open_block: list[Element] = []
+        self.block = self.stack[0]
 
     def flush(self) -> None:
         """Ends the block of text that is being gathered."""
@@ -178,19 +202,18 @@ class Reader:
         self.text, self.inked = [], False
         if not text:
             return
-        for element in self.open_block:
-            element.blocks.append(len(self.page.texts))
-        self.open_block[-1].parts.append(text)
+        self.block.inked = True
+        self.block.parts.append(text)
         self.page.texts.append(text)
-        self.page.regions.append(self.open_block[-1].regions)
-        self.page.owners.append([])
+        self.page.regions.append(self.block.regions)
+        self.page.elements.append(self.block.number)
 
     def add(self, text: str) -> None:
         if self.stack[-1].gone:
             self.stack[-1].lost += len(text.strip())
             return
         if not self.inked:
-            self.open_block, self.inked = self.stack[:], not text.isspace()
+            self.block, self.inked = self.stack[-1], not text.isspace()
         self.text.append(html.unescape(text) if "&" in text else text)
 
     def start(self, tag: str, attributes: str) -> None:
@@ -214,10 +237,20 @@ class Reader:
             self.add(" ")
         if tag in VOID:
             return
-        self.stack.append(Element(tag, regions, region, furniture or parent.gone and not region, unseen, named))
+        gone = furniture or parent.gone and not region
+        own = not (gone or region or tag in ("html", "body") or regions and tag in TEXT_TAGS)
+        number = parent.number
+        if own:
+            number = len(self.page.hashes)
+            self.page.hashes.append(0)
+            self.page.parents.append(parent.number)
+        self.open_tags[tag] += 1
+        self.stack.append(Element(tag, regions, number, own, gone, unseen, named))
 
     def end_to(self, tags: set[str], barrier: set[str]) -> None:
         """Ends the nearest open element of ``tags``, unless one of ``barrier`` stands in between."""
+        if not any(self.open_tags[x] for x in tags):
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag in tags:
                 while len(self.stack) > i:
@@ -229,32 +262,36 @@ class Reader:
     def end(self, tag: str) -> None:
         if tag in BLOCKS:
             self.flush()
-        if any(x.tag == tag for x in self.stack[1:]):
+        if self.open_tags[tag]:
             while self.stack[-1].tag != tag:
                 self.pop()
             self.pop()
 
     def pop(self) -> None:
-        element = self.stack.pop()
+        element = self.stack[-1]
         if element.tag in BLOCKS or element.gone:
             self.flush()
+        self.stack.pop()
+        self.open_tags[element.tag] -= 1
+        outer = self.stack[-1]
+        if self.block is element:
+            self.block = outer
         if not element.unseen:
-            self.stack[-1].lost += element.lost
-            self.stack[-1].wraps |= element.wraps
+            outer.lost += element.lost
+            outer.wraps |= element.wraps
             if element.named is not None and element.wraps:
                 self.lost[element.named] = element.lost
-        if element.gone or not element.blocks and not element.parts:
+        if element.gone or not element.inked:
             return
         digest = xxhash.xxh3_64_intdigest("\x00".join([element.tag, *element.parts]))
-        self.stack[-1].parts.append(f"\x01{digest:x}")
-        text_of_article = element.regions and element.tag in TEXT_TAGS
-        if not element.region and element.tag not in ("html", "body") and not text_of_article:
-            for block in element.blocks:
-                self.page.owners[block].append(_signed(digest))
+        outer.parts.append(f"\x01{digest:x}")
+        outer.inked = True
+        if element.own:
+            self.page.hashes[element.number] = _signed(digest)
 
     def read(self, source: str) -> Page:
-        at = 0
-        while match := TAG.search(source, at):
+        at, last = 0, source.rfind(">")
+        while at <= last and (match := TAG.search(source, at)):
             if match.start() > at:
                 self.add(source[at : match.start()])
             at = match.end()
@@ -278,8 +315,8 @@ class Reader:
         return self.page if self.wrappers or not wrappers else Reader(wrappers).read(source)
 
 
-def _content_hash(page: list[tuple[str, list[int]]]) -> int:
-    return _signed(xxhash.xxh3_64_intdigest("\x00".join(f"{t}\x01{o}" for t, o in page)))
+def _content_hash(page: Page) -> int:
+    return _signed(xxhash.xxh3_64_intdigest("\x00".join(text for text, _ in page.content())))
 
 
 def contents(df: DataFrame, url_column: str, html_column: str) -> DataFrame:
@@ -287,33 +324,31 @@ def contents(df: DataFrame, url_column: str, html_column: str) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         pages = [Reader().read(x.as_py() or "") for x in batch.column(1)]
-        marks = [sorted({x for owners in page.owners for x in owners}) for page in pages]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([_content_hash(x.content()) for x in pages], pa.int64()), pa.array(marks, pa.list_(pa.int64()))],
-            ["host", "content", "marks"],
-        )
+        marks = pa.array([sorted(set(page.hashes) - {0}) for page in pages], pa.list_(pa.int64()))
+        hashes = pa.array([_content_hash(x) for x in pages], pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column(0), hashes, marks], ["host", "content", "marks"])
 
     narrow = df.select(url_host(F.col(url_column)).alias("host"), F.col(html_column).alias("html"))
     return map_arrow(narrow, work, "host string, content long, marks array<long>")
 
 
-def blocks(df: DataFrame, id_column: str, url_column: str, html_column: str) -> DataFrame:
-    """Per row: id, url, host, ``content``, ``blocks`` (text, regions, the hashes of what may be template over it)."""
+#: What of a page goes from reading it to clearing it of templates.
+KINDS = {"texts": pa.string(), "regions": pa.int32(), "elements": pa.int32(), "hashes": pa.int64(), "parents": pa.int32()}
+
+
+def read_pages(df: DataFrame, id_column: str, url_column: str, html_column: str) -> DataFrame:
+    """Per row: id, url, host, ``content``, and the page's blocks and elements as in ``Page``."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         pages = [Reader().read(x.as_py() or "") for x in batch.column(2)]
-        found = [[{"text": t, "owners": o, "regions": r} for t, o, r in zip(x.texts, x.owners, x.regions)] for x in pages]
-        kind = pa.list_(pa.struct([("text", pa.string()), ("owners", pa.list_(pa.int64())), ("regions", pa.int32())]))
-        hashes = [_content_hash(x.content()) for x in pages]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(hashes, pa.int64()), pa.array(found, kind)],
-            ["id", "url", "content", "blocks"],
-        )
+        lists = [pa.array([getattr(x, name) for x in pages], pa.list_(kind)) for name, kind in KINDS.items()]
+        hashes = pa.array([_content_hash(x) for x in pages], pa.int64())
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], hashes, *lists], ["id", "url", "content", *KINDS])
 
     narrow = df.select(F.col(id_column).alias("id"), F.col(url_column).alias("url"), F.col(html_column).alias("html"))
     schema = (
-        f"id {dict(narrow.dtypes)['id']}, url string, content long, "
-        "blocks array<struct<text:string,owners:array<long>,regions:int>>"
+        f"id {dict(narrow.dtypes)['id']}, url string, content long, texts array<string>, regions array<int>, "
+        "elements array<int>, hashes array<long>, parents array<int>"
     )
     return map_arrow(narrow, work, schema).withColumn("host", url_host(F.col("url")))
 
@@ -353,15 +388,19 @@ def extract_text(
         .agg(F.collect_set("mark").alias("deleted"))
     )
     deleted = written(deleted, "page-templates")
-    pages = blocks(df, id_column, url_column, html_column).join(deleted, ["host", "content"], "left")
-    kept = F.filter("blocks", lambda b: F.col("deleted").isNull() | ~F.arrays_overlap(b["owners"], F.col("deleted")))
-    pages = pages.withColumn("kept", kept).withColumn("chosen", chosen_regions("kept"))
-    inside = F.filter("kept", lambda b: (F.col("chosen") == 0) | (b["regions"].bitwiseAND(F.col("chosen")) != 0))
-    text = F.array_join(inside["text"], "\n\n")
-    return pages.select(
-        F.col("id").alias(id_column),
-        F.col("url").alias(url_column),
-        text.alias("text"),
-        F.char_length(text).cast("long").alias("n_chars"),
-        (F.size("blocks") - F.size("kept")).alias("n_deleted"),
-    )
+    pages = read_pages(df, id_column, url_column, html_column).join(deleted, ["host", "content"], "left")
+
+    def clear(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, n_chars, n_deleted = [], [], []
+        for *lists, deleted in zip(*(x.to_pylist() for x in batch.columns[2:])):
+            page = Page(*lists)
+            left = page.without(set(deleted)) if deleted else page
+            texts.append("\n\n".join(text for text, _ in left.content()))
+            n_chars.append(len(texts[-1]))
+            n_deleted.append(len(page.texts) - len(left.texts))
+        found = [pa.array(texts, pa.string()), pa.array(n_chars, pa.int64()), pa.array(n_deleted, pa.int64())]
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], *found], ["id", "url", "text", "n_chars", "n_deleted"])
+
+    kind = dict(pages.dtypes)["id"]
+    cleared = map_arrow(pages.select("id", "url", *KINDS, "deleted"), clear, f"id {kind}, url string, text string, n_chars long, n_deleted long")
+    return cleared.withColumnsRenamed({"id": id_column, "url": url_column})

@@ -1,5 +1,8 @@
 import html
+import random
 import re
+import time
+from collections import defaultdict
 
 import pytest
 
@@ -146,3 +149,102 @@ def test_query_edges(spark, as_tables):
     got = QUERIES["op7_html_extraction"](spark, as_tables(pages=df)).collect()
     assert sorted((str(r.page_id), r.text, r.n_chars) for r in got) == [("1", "", 0), ("2", "", 0), ("3", "b", 1), ("3", "b", 1), ("None", "a", 1)]
     assert QUERIES["op7_html_extraction"](spark, as_tables(pages=df.where("false"))).count() == 0
+
+
+FURNITURE = (
+    "comment-list commentlist comments-area comment-body comment-content ad-slot ad-container cookie-bar sidebar-left nav-links "
+    "newsletter-signup related-posts share-buttons social-links commentBody comment_author adbox reader-comments"
+).split()
+TOPICS = (
+    "social-security search-engines page-with-sidebar content main-content post-body article-body entry-content address "
+    "shareholders notice-of-motion menu-history advertising-law commentary header-files no-sidebar-content section-list"
+).split()
+
+
+@pytest.mark.parametrize("name", FURNITURE)
+def test_names_that_are_furniture(name):
+    for inside in (f"<div class='x {name}'>gone</div>", f"<ul id='{name}'><li>gone</ul>", f"<section class='{name}'><p>gone</p></section>"):
+        assert text(PAGE % f"<article><p>{LONG}</p>{inside}</article>") == LONG.strip()
+    if "comment" in name and not name.startswith("reader"):
+        assert text(PAGE % f"<article><p>{LONG}</p></article><article class='{name}'>{LONG * 3}</article>") == LONG.strip()
+
+
+@pytest.mark.parametrize("name", TOPICS)
+def test_names_that_are_none(name):
+    assert text(PAGE % f"<article><p>x</p><div class='{name}'>y</div></article>") == "x\n\ny"
+
+
+def test_changing_comments_and_adverts_go(spark):
+    body = lambda i: (
+        f"<article><h1>Title {i}</h1><p>{LONG}{i}</p><ol class='comment-list'><li><p>I liked part {i} a lot</p></ol>"
+        f"<div class='ad-slot'>Buy {i} now</div></article>"
+    )
+    got = p.extract_text(pages(spark, [(i, "https://a.org/", body(i)) for i in range(30)])).collect()
+    assert sorted(r.text for r in got) == sorted(f"Title {i}\n\n{LONG}{i}" for i in range(30))
+
+
+@pytest.mark.parametrize(
+    "source, blocks",
+    [("<div>x" * 50_000, 50_000), ("<b>" * 50_000 + "<p>a</p>" * 50_000, 50_000), ("<span>x<hr>" * 50_000, 50_000), ("<a " * 300_000, 0), ("<ul><li>x" * 30_000, 30_000)],
+)
+def test_depth_takes_time_by_length(source, blocks):
+    began = time.process_time()
+    page = p.Reader().read(source)
+    assert len(page.texts) == blocks and time.process_time() - began < 10
+    assert len(page.hashes) == len(page.parents) <= 50_000 * 2
+    assert len(page.without({page.hashes[0]} if page.hashes else set()).texts) == 0 and len(page.without({1}).texts) == blocks
+
+
+def test_a_box_that_begins_with_inline_text_is_told_by_its_text():
+    one, other = (p.Reader().read(f"<div><b>{x}</b> and more</div>").hashes for x in ("this", "that"))
+    assert len(one) == 2 and not (set(one) & set(other)) - {0}  # 0 stands for no text of its own
+    again = p.Reader().read("<div><b>this</b> and more</div>").hashes
+    assert one == again
+
+
+def test_templates_against_a_plain_tree(spark):
+    rnd = random.Random(7)
+
+    def leaf(words):
+        return (rnd.choice(["p", "h2"]), [f"{rnd.choice(['few', 'some'])} {rnd.randrange(words)}"])
+
+    def tree(depth, words):
+        inside = [tree(depth - 1, words) if depth and rnd.random() < 0.5 else leaf(words) for _ in range(rnd.randint(1, 3))]
+        return (rnd.choice(["div", "section", "div"]), inside)
+
+    def markup(node):
+        return node if isinstance(node, str) else f"<{node[0]}>{''.join(map(markup, node[1]))}</{node[0]}>"
+
+    def texts(node):
+        return [node] if isinstance(node, str) else [x for child in node[1] for x in texts(child)]
+
+    def subtrees(node):
+        return set() if isinstance(node, str) else {repr(node)}.union(*map(subtrees, node[1]))
+
+    def without(node, gone):
+        if isinstance(node, str):
+            return [node]
+        return [] if repr(node) in gone else [x for child in node[1] for x in without(child, gone)]
+
+    boxes = [tree(2, 50) for _ in range(4)]
+    made = []
+    for i in range(150):
+        parts = [tree(2, 12) for _ in range(3)] + [x for x in boxes if rnd.random() < 0.4]
+        rnd.shuffle(parts)
+        made.append((f"h{i % 5 % 2}.org", parts))
+    made += made[:20]
+    holders, contents = defaultdict(set), defaultdict(set)
+    for host, parts in made:
+        content = tuple(x for part in parts for x in texts(part))
+        contents[host].add(content)
+        for part in parts:
+            for subtree in subtrees(part):
+                holders[host, subtree].add(content)
+    gone = defaultdict(set)
+    for (host, subtree), found in holders.items():
+        if len(found) >= 4 and len(found) >= min(0.25 * len(contents[host]), 20):
+            gone[host].add(subtree)
+    want = [(i, "\n\n".join(x for part in parts for x in without(part, gone[host]))) for i, (host, parts) in enumerate(made)]
+    rows = [(i, f"https://{host}/{i}", f"<html><body>{''.join(map(markup, parts))}</body></html>") for i, (host, parts) in enumerate(made)]
+    got = [(r.page_id, r.text) for r in p.extract_text(pages(spark, rows)).collect()]
+    assert sorted(got) == sorted(want) and any(gone.values()) and any(x != "" for _, x in want)
