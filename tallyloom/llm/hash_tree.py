@@ -16,15 +16,13 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.tables import unused
+from tallyloom.llm.tables import piece_digits, unused
 
 #: (shard, weight) by rack by region.
 Tree = tuple[tuple[tuple[tuple[int, int], ...], ...], ...]
 
 #: Hexadecimal digits of the hash that make a draw, few enough for an exact double.
 DRAW_DIGITS = 13
-#: Hexadecimal digits that deal a shard's rows to the pieces in which they are numbered.
-PIECE_DIGITS = 2
 
 
 def even_tree(shards: int, racks_of_region: int = 2, shards_of_rack: int = 4) -> Tree:
@@ -82,13 +80,14 @@ def with_shard(df: DataFrame, key_column: str, tree: Tree, into: str) -> DataFra
 def with_slot(df: DataFrame, shard_column: str, order: list[str], into: str) -> DataFrame:
     """All rows and columns, and a number within the shard, from 0 without gaps.
 
-    A shard's rows are numbered in pieces dealt by a hash of ``order``, never in one task; a piece
-    starts where the ones before it end. Rows equal in ``order`` take numbers in a row. ``df`` is read
-    twice, so it should be a written table.
+    A shard's rows are numbered in pieces dealt by a hash of ``order``, never in one task, and the largest
+    shard's rows decide how many pieces there are; a piece starts where the ones before it end. Rows equal
+    in ``order`` take numbers in a row. ``df`` is read three times, so it should be a written table.
     """
     piece, before, n = unused(df, "piece"), unused(df, "before"), unused(df, "n")
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in order]
-    dealt = df.withColumn(piece, F.substring(F.md5(F.concat_ws("/", *parts)), 1, PIECE_DIGITS))
+    largest = df.groupBy(shard_column).agg(F.count(F.lit(1)).alias(n)).agg(F.max(n)).first()[0] or 0
+    dealt = df.withColumn(piece, F.substring(F.md5(F.concat_ws("/", *parts)), 1, piece_digits(largest)))
     sizes = dealt.groupBy(shard_column, piece).agg(F.count(F.lit(1)).alias(n))
     earlier = Window.partitionBy(shard_column).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(shard_column, piece, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(before))

@@ -8,10 +8,12 @@ the end is taken in part. So every source is served in proportion to its target,
 A source's target is its weight's share of the budget, at most ``repeats`` times its own words; what a
 source can't use is shared again by weight among the others.
 
-The order of a source is cut into pieces by the shuffling hash; running sums go over pieces first and
-then within each piece, so a source of any size spreads over many tasks. The global order is cut into
-ranges of finish time; only the range in which the budget ends is ordered row by row. The end itself, one
-row, passes through the driver. A single task sees one row per source, or per (source, piece) of a source.
+The order of a source is cut into pieces by the shuffling hash, as many as its rows ask for; running sums go
+over pieces first and then within each piece, so a source of any size spreads over many tasks. The global
+order is cut into ranges of finish time, and the range in which the budget ends is cut again until it holds
+at most ``RANGE_ROWS`` copies (or copies of one finish time, at most one per source); only these are ordered
+row by row. The bounds of a range and the end itself pass through the driver. A single task sees one row per
+source, or per (source, piece) of a source.
 
 - Null source: a source of its own, ordered last. Documents of size 0 (null or empty texts) take no words.
 - Equal rows are interchangeable and are served one after the other; reruns agree.
@@ -23,11 +25,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.tables import SPACES, written
+from tallyloom.llm.tables import SPACES, piece_digits, written
 
 WEIGHTS, REPEATS = (5, 2, 1), 3
-#: Hexadecimal digits of the shuffling hash that name a piece; ranges of finish time.
-PIECE_DIGITS, RANGES = 2, 4096
+#: Ranges into which finish times are cut at once; copies that one task puts in order.
+RANGES, RANGE_ROWS = 4096, 1 << 16
 
 
 def word_count(text: Column) -> Column:
@@ -59,6 +61,27 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats
     return sources.select("named", "name", "source_size", "turn", target.alias("target"))
 
 
+def cut_range(copies: DataFrame, budget: int) -> tuple[DataFrame, int] | None:
+    """The few copies among which the budget ends, and the words that it leaves for them."""
+    finish = F.col("copy.finish")
+    within, left = copies, budget
+    place = F.floor(RANGES * finish / (1 + finish))
+    while True:
+        ranges = within.groupBy(place.alias("range")).agg(
+            F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"), F.min(finish).alias("low"), F.max(finish).alias("high")
+        )
+        ranges = ranges.withColumn("until", F.sum("words").over(Window.orderBy("range")))
+        last = ranges.where(F.col("until") >= left).orderBy("range").first()
+        if last is None:
+            return None
+        left -= last["until"] - last["words"]
+        low, high = last["low"], last["high"]
+        within = copies.where((finish >= low) & (finish <= high))
+        if last["n"] <= RANGE_ROWS or low == high:
+            return within, left
+        place = F.floor(RANGES * ((finish - low) / (high - low)))
+
+
 def mix(
     df: DataFrame,
     source_column: str,
@@ -75,8 +98,11 @@ def mix(
         F.coalesce(F.col(source_column), F.lit("")).alias("name"),
         size.alias("size"),
         F.md5(F.concat_ws("/", *parts)).alias("place"),
-    ).withColumn("piece", F.substring("place", 1, PIECE_DIGITS))
+    )
     narrow = written(rows.drop("row"), "mix-sizes")
+    largest = narrow.groupBy("named", "name").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    piece = F.substring("place", 1, piece_digits(largest))
+    rows, narrow = rows.withColumn("piece", piece), narrow.withColumn("piece", piece)
 
     pieces = narrow.groupBy("named", "name", "piece").agg(F.sum("size").alias("piece_size"))
     earlier = Window.partitionBy("named", "name").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -99,19 +125,12 @@ def mix(
         return out.withColumn("copies", F.when((F.col("size") > 0) & (F.col("target") > 0), copies).otherwise(none))
 
     budget = targets.agg(F.sum("source_size")).first()[0] or 0
-    # The budget ends among the copies: together they hold `repeats` times its words.
-    stretched = F.floor(RANGES * F.col("copy.finish") / (1 + F.col("copy.finish")))
-    copies = placed(narrow).select("size", F.explode("copies").alias("copy")).withColumn("range", stretched)
-    copies = written(copies, "mix-copies")
-    in_order = Window.orderBy("range")
-    ranges = copies.groupBy("range").agg(F.sum("size").alias("words")).withColumn("until", F.sum("words").over(in_order))
-    last = ranges.where(F.col("until") >= budget).orderBy("range").first()
+    copies = written(placed(narrow).select("size", F.explode("copies").alias("copy")), "mix-copies")
     taken = F.lit(0).cast("long")
-    if last is not None and budget:
-        left = budget - (last["until"] - last["words"])
+    if budget and (last := cut_range(copies, budget)):
+        within, left = last
         running = F.sum("size").over(Window.orderBy("copy").rowsBetween(Window.unboundedPreceding, 0))
-        ordered = copies.where(F.col("range") == last["range"]).withColumn("running", running)
-        end = ordered.where(F.col("running") >= left).orderBy("running").first()
+        end = within.withColumn("running", running).where(F.col("running") >= left).orderBy("running").first()
         finish, turn, until = end["copy"]
         cut = F.struct(F.lit(finish).alias("finish"), F.lit(turn).alias("turn"), F.lit(until).cast("long").alias("until"))
         partly = F.lit(left - (end["running"] - end["size"])).cast("long")

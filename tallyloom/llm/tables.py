@@ -89,6 +89,18 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Rows that a piece holds at most, about.
+PIECE_ROWS = 1 << 16
+
+
+def piece_digits(rows: int) -> int:
+    """How many hexadecimal digits of a hash name the pieces of a group of ``rows`` rows; at least two."""
+    digits = 2
+    while PIECE_ROWS * 16**digits < rows:
+        digits += 1
+    return digits
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -5,6 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from tallyloom.llm import hash_tree as h
+from tallyloom.llm import tables
 from tallyloom.llm.queries import QUERIES
 
 
@@ -74,3 +75,13 @@ def test_query_edges(spark, documents, as_tables):
 def test_numbers_of_equal_rows_have_no_gaps(spark):
     df = spark.range(500).select(F.lit(1).alias("shard"), F.lit(None).cast("long").alias("key"), F.lit("x").alias("n"))
     assert sorted(r.slot for r in h.with_slot(df, "shard", ["key"], "slot").collect()) == list(range(500))
+
+
+def test_more_pieces_for_larger_shards(spark, monkeypatch):
+    monkeypatch.setattr(tables, "PIECE_ROWS", 1)
+    df = spark.range(600).select((F.col("id") % 2).alias("shard"), "id")
+    got = h.with_slot(df, "shard", ["id"], "slot").collect()
+    for shard in (0, 1):
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(300))
+        own = sorted((hashlib.md5(str(r.id).encode()).hexdigest()[:3], r.id, r.slot) for r in got if r.shard == shard)
+        assert [x[2] for x in own] == list(range(300))

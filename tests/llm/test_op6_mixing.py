@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.llm import mixing as m
+from tallyloom.llm import tables
 from tallyloom.llm.queries import QUERIES
 
 
@@ -77,6 +78,27 @@ def test_against_one_queue(spark, documents):
     assert {r.doc_id: r.taken for r in run(documents(*rows))} == {i: want.get(place(i), 0) for i, _, _ in rows}
 
 
+@pytest.mark.parametrize("ranges, rows", [(2, 1), (3, 5), (4096, 2)])
+def test_the_cut_range_is_cut_again(spark, documents, monkeypatch, ranges, rows):
+    import hashlib
+
+    monkeypatch.setattr(m, "RANGES", ranges)
+    monkeypatch.setattr(m, "RANGE_ROWS", rows)
+    found = []
+    cut = m.cut_range
+    monkeypatch.setattr(m, "cut_range", lambda *x: found.append(cut(*x)) or found[0])
+    rnd = random.Random(10)
+    texts = [(i, " ".join("w" * rnd.choice([1, 2, 300])), rnd.choice("xyz")) for i in range(120)]
+    place = lambda i: hashlib.md5(str(i).encode()).hexdigest()
+    want = brute([(place(i), s, len(t.split())) for i, t, s in texts])
+    assert {r.doc_id: r.taken for r in run(documents(*texts))} == {i: want.get(place(i), 0) for i, _, _ in texts}
+    assert 1 <= found[0][0].count() <= max(rows, 3)
+
+
+def test_pieces_follow_the_largest_group(monkeypatch):
+    assert [tables.piece_digits(n) for n in (0, 256 << 16, (256 << 16) + 1, 4096 << 16, 10**12)] == [2, 2, 3, 3, 6]
+
+
 def test_query_edges(spark, documents, as_tables):
     docs = documents(None, "", (5, "a b c", None), (5, "a b c", None), (5, "a b c", None), (None, "x " * 50_000, "big"), ("one", "s"), extra="taken string, size string, row string, target string")
     rows = QUERIES["op6_source_mixing"](spark, as_tables(documents=docs)).collect()
