@@ -34,6 +34,12 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{folder}/data"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder that this package has written, wherever it lies; nothing if it isn't there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 _shipped: set[str] = set()
 
 

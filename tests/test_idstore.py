@@ -1,0 +1,120 @@
+import numpy as np
+import pytest
+from helpers import arrived
+from pyspark.sql import functions as F
+
+from tallyloom.operators.bloom import bloom_filter, may_hold
+from tallyloom.sources.readers import stream_parquet
+from tallyloom.sources.schemas import ARRIVED_EVENT
+from tallyloom.streaming import idstore
+from tallyloom.streaming.idstore import IdStore, live_segments, merged_segments
+from tallyloom.streaming.ledger import BatchLedger
+
+
+def test_filters_never_miss_and_seldom_err():
+    rnd = np.random.default_rng(1)
+    for n in (0, 1, 5000):
+        known = rnd.integers(-(2**63), 2**63 - 1, n)
+        bits = bloom_filter(known)
+        assert may_hold(bits, known, n).all()
+        strange = rnd.integers(-(2**63), 2**63 - 1, 20_000)
+        assert may_hold(bits, strange, n).sum() < 40
+
+
+def test_segments_double_like_a_binary_counter():
+    covered = {}
+    for number in range(200):
+        covered[number] = {number}.union(*[covered[x] for x in merged_segments(number)])
+        live = live_segments(number + 1)
+        assert live[-1] == number and len(live) <= (number + 1).bit_length()
+        assert sorted(x for s in live for x in covered[s]) == list(range(number + 1))
+
+
+def batches(spark, n=7):
+    """Events of each batch, with copies of earlier batches, of their own batch, and rows without an id."""
+    rows = []
+    for b in range(n):
+        own = [{"event_id": 100 * b + i, "arrival": 1000.0 * b + i, "price": 1.0 * b} for i in range(20)]
+        copies = [{"event_id": 100 * k + b, "arrival": 1000.0 * b + 50, "price": -1.0} for k in range(b)]
+        twice = [{"event_id": 100 * b + 3, "arrival": 1000.0 * b + 60, "price": -2.0}]
+        rows.append(arrived(spark, *own, *copies, *twice, {"event_id": None, "arrival": 1000.0 * b}))
+    return rows
+
+
+def state(store, spark):
+    return sorted(((r.event_id, r.price) for r in store.events(spark).collect()), key=repr)
+
+
+def test_copies_of_any_age_and_replays_add_nothing(spark, tmp_path):
+    store = IdStore(spark, str(tmp_path / "store"), ARRIVED_EVENT, buckets=8)
+    run = store.ledger.each(store.take)
+    assert store.events(spark).count() == 0
+    for number, batch in enumerate(batches(spark)):
+        run(batch, number)
+        run(batch, number)  # a replay
+    want = [(100 * b + i, 1.0 * b) for b in range(7) for i in range(20)] + [(None, 2.0)] * 7
+    assert state(store, spark) == sorted(want, key=repr)
+    assert [r.facts["events"] for r in store.ledger.entries(spark).orderBy("batch").collect()] == [21] * 7
+    with pytest.raises(ValueError):
+        run(batch, 9)
+    assert sorted(p.name for p in (tmp_path / "store" / "ids").iterdir()) == ["batch=3", "batch=5", "batch=6"]
+
+
+def test_a_killed_batch_leaves_nothing_behind(spark, tmp_path, monkeypatch):
+    store = IdStore(spark, str(tmp_path / "store"), ARRIVED_EVENT, buckets=4)
+    run = store.ledger.each(store.take)
+    first, second, third, *_ = batches(spark)
+    run(first, 0)
+    before = state(store, spark)
+    for table in (idstore.EVENTS, idstore.IDS, idstore.FILTERS):
+        write = store.ledger.write
+
+        def killed(name, number, rows, table=table, write=write):
+            out = write(name, number, rows)
+            if name == table:
+                raise RuntimeError("killed")
+            return out
+
+        monkeypatch.setattr(store.ledger, "write", killed)
+        with pytest.raises(RuntimeError):
+            run(second, 1)
+        monkeypatch.setattr(store.ledger, "write", write)
+        assert state(store, spark) == before
+    again = IdStore(spark, str(tmp_path / "store"), ARRIVED_EVENT, buckets=4)  # a new driver
+    run = again.ledger.each(again.take)
+    run(second, 1)
+    run(third, 2)
+    assert len(state(again, spark)) == 63 and all(p is None or p >= 0 for _, p in state(again, spark))
+
+
+def test_only_buckets_with_a_possible_copy_are_read(spark, tmp_path):
+    store = IdStore(spark, str(tmp_path / "store"), ARRIVED_EVENT, buckets=64)
+    run = store.ledger.each(store.take)
+    run(arrived(spark, *[{"event_id": i} for i in range(640)]), 0)
+    fresh = spark.createDataFrame([(10_000,)], "id long")
+    hashed = lambda df: df.select(
+        "id", F.pmod(F.shiftrightunsigned(F.xxhash64("id"), 20), F.lit(64)).cast("int").alias("bucket"), F.xxhash64("id").alias("id_hash")
+    )
+    assert store.known(hashed(fresh), 1).count() == 0
+    copy = hashed(spark.createDataFrame([(5,)], "id long"))
+    known = store.known(copy, 1)
+    assert [r.bucket for r in known.select("bucket").distinct().collect()] == [r.bucket for r in copy.collect()]
+
+
+def test_stream_over_several_runs(spark, tmp_path):
+    store = IdStore(spark, str(tmp_path / "store"), ARRIVED_EVENT, buckets=8)
+    for batch in batches(spark, 4):
+        batch.write.mode("append").parquet(str(tmp_path / "in"))
+        stream = stream_parquet(spark, str(tmp_path / "in"), ARRIVED_EVENT)
+        store.start(stream, str(tmp_path / "ck")).awaitTermination()
+    assert len(state(store, spark)) == 84 and store.ledger.last(spark) == 3
+
+
+def test_ledger_reads_finished_batches_only(spark, tmp_path):
+    ledger = BatchLedger(spark, str(tmp_path))
+    assert ledger.last(spark) == -1 and ledger.read(spark, "t", "x long").collect() == []
+    ledger.write("t", 0, spark.range(3).withColumnRenamed("id", "x"))
+    assert ledger.read(spark, "t", "x long").count() == 0
+    ledger.commit(spark, 0, {"rows": 3})
+    ledger.write("t", 1, spark.range(5).withColumnRenamed("id", "x"))
+    assert ledger.read(spark, "t", "x long").count() == 3 and BatchLedger(spark, str(tmp_path)).last(spark) == 0
