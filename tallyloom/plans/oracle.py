@@ -166,9 +166,49 @@ SELECT l.*, coalesce(windows, 0) AS windows,
   l.label = 'high' AS burst
 FROM latency l LEFT JOIN windows w ON l.label = w.label"""
 
+ANCHORED = ARRIVED.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + f""",
+chain AS (
+  SELECT min(arrival) AS start FROM arrived
+  UNION ALL
+  SELECT min(a.arrival) FROM chain c JOIN arrived a
+    ON a.arrival >= c.start + {HOUR} AND a.arrival - a.timestamp <= {LATE_AFTER}
+  HAVING min(a.arrival) IS NOT NULL),
+closers AS (
+  SELECT start, (SELECT min(event_id) FROM arrived a
+    WHERE a.arrival = start AND a.arrival - a.timestamp <= {LATE_AFTER}) AS closer,
+    row_number() OVER (ORDER BY start) AS k FROM chain),
+anchored AS (
+  SELECT o.start AS window_start, c.start AS window_end, p.*
+  FROM (
+    SELECT *, arrival - timestamp > {LATE_AFTER} AS late,
+      CASE WHEN event_type = 'purchase' THEN CAST(price AS DECIMAL(12, 2)) * quantity END AS amount,
+      1 + (SELECT count(*) FROM closers c WHERE c.k > 1
+        AND (c.start < a.arrival OR (c.start = a.arrival AND c.closer < a.event_id))) AS k
+    FROM arrived a) p
+  JOIN closers o ON o.k = p.k LEFT JOIN closers c ON c.k = p.k + 1)
+"""
+
+
+def _anchored_totals() -> str:
+    return f"""{ANCHORED} SELECT window_start, window_end, window_end - window_start AS duration_s,
+  {_count("NOT late")} AS events_processed, {_count("late")} AS late_dropped,
+  coalesce(CAST(sum(amount) FILTER (NOT late) AS DOUBLE), 0) AS total_revenue
+FROM anchored GROUP BY window_start, window_end"""
+
+
 BAD_LINES = "event_id % 50 IN (7, 13, 21, 25, 29, 33, 47)"
 BLANK_LINES = "event_id % 50 = 37"
 
+GOOD = ARRIVED.rstrip() + f""",
+good AS (
+  SELECT * REPLACE (CASE WHEN event_id % 50 = 43 THEN 'unknown' ELSE category END AS category,
+    CASE WHEN event_id % 50 = 43 THEN 1 ELSE quantity END AS quantity)
+  FROM arrived WHERE NOT ({BAD_LINES}) AND NOT ({BLANK_LINES}))
+""" + _timed("good")
+
+RIGHT = "true AS p50_right, true AS p95_right, true AS p99_right"
+SUMMARY = f"count(*) AS count, min(latency_ms) AS least, max(latency_ms) AS most, {RIGHT}"
+
 _HASHED = ["category", "event_id", "event_type", "price", "product_id", "quantity", "rating",
            "session_id", "timestamp", "user_id"]
 _DOUBLES = {"price", "rating", "large", "small"}
@@ -344,6 +384,29 @@ FROM closed GROUP BY window_start""",
         "stream_dedup_events": f"""{SHOP}
 SELECT CASE WHEN event_id % 29 <> 3 THEN event_id END AS event_id, event_type, price FROM shop
 UNION ALL SELECT NULL, event_type, price FROM shop WHERE event_id % 29 = 3 AND event_id % 3 = 0""",
+        "stream_exactly_once": f"""{SHOP}
+SELECT CASE WHEN event_id % 29 <> 3 THEN event_id END AS event_id, event_type, price FROM shop
+UNION ALL
+SELECT NULL, event_type, price + 1 FROM shop WHERE event_id % 29 = 3 AND event_id % 3 = 0""",
+        "stream_anchored_window_totals": _anchored_totals(),
+        "anchored_window_totals": _anchored_totals(),
+        "anchored_window_category_revenue": f"""{ANCHORED}
+SELECT window_start, window_end, category, {SPENT} AS revenue FROM anchored
+WHERE NOT late AND event_type = 'purchase' GROUP BY window_start, window_end, category""",
+        "anchored_window_type_counts": f"""{ANCHORED}
+SELECT window_start, window_end, event_type, count(*) AS events FROM anchored
+WHERE NOT late GROUP BY window_start, window_end, event_type""",
+        "stream_committed_windows": f"{GOOD} {_window_totals('arriving')}",
+        "stream_committed_totals": f"""SELECT
+  {_count(f"NOT ({BAD_LINES}) AND NOT ({BLANK_LINES})")} AS processed,
+  {_count(BAD_LINES)} AS errors FROM events""",
+        "stream_committed_latency": f"{GOOD} SELECT window_start, {SUMMARY} FROM arriving GROUP BY 1",
+        "latency_rollup_by_day": f"""{TIMED} SELECT
+  CAST(floor(arrival / {24 * HOUR}) AS BIGINT) * {24 * HOUR} AS window_start, {SUMMARY}
+FROM timed GROUP BY 1""",
+        "latency_rollup_by_level": f"""{TIMED} SELECT
+  CASE event_id % 3 WHEN 0 THEN 'low' WHEN 1 THEN 'medium' ELSE 'high' END AS label, {SUMMARY}
+FROM timed GROUP BY 1""",
         "stream_resume": f"""{TIMED}, sliced AS (
   SELECT *, least(floor((arrival - min(arrival) OVER ())
     / (max(arrival) OVER () - min(arrival) OVER ()) * {SLICES}), {SLICES - 1}) AS slice

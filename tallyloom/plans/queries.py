@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.functions.events import rounded, with_defaults
-from tallyloom.operators import features, fingerprint, latency, quality, windows
+from tallyloom.operators import anchored, features, fingerprint, latency, quality, sketches, windows
 from tallyloom.plans import feature_run
 from tallyloom.sources import readers, writers
 from tallyloom.sources.lines import parse_lines
-from tallyloom.sources.schemas import BATCH_EVENT, STREAM_EVENT, WINDOW_RESULT
+from tallyloom.sources.schemas import ARRIVED_EVENT, BATCH_EVENT, STREAM_EVENT, WINDOW_RESULT, with_corrupt_column
 from tallyloom.sources.shop import arrived_events, shop_events
 from tallyloom.streaming import streams
+from tallyloom.streaming.anchored import AnchoredStream
+from tallyloom.streaming.commits import CommittedRun
+from tallyloom.streaming.idstore import IdStore
 from tallyloom.workspace import new_folder
 
 HOUR = 3600
@@ -75,9 +79,9 @@ def _with_gaps(events: DataFrame) -> DataFrame:
     )
 
 
-def _lines(events: DataFrame) -> DataFrame:
+def _lines(events: DataFrame, schema: T.StructType = STREAM_EVENT) -> DataFrame:
     """Events as JSON text, some of it blank, cut short, mistyped or incomplete."""
-    names = STREAM_EVENT.fieldNames()
+    names = schema.fieldNames()
     whole = F.to_json(F.struct(*names))
     no_time = F.to_json(F.struct(*[n for n in names if n != "timestamp"]))
     sparse = F.to_json(F.struct(*[n for n in names if n not in ("category", "quantity")]))
@@ -122,6 +126,15 @@ def _with_copies_and_gaps(events: DataFrame) -> DataFrame:
     return strays.unionByName(later).withColumn("event_id", unnamed)
 
 
+def _with_late_copies(events: DataFrame) -> DataFrame:
+    """A third of the events a second time, a day and more later and with another price, some ids missing."""
+    later = events.filter(_every(3, 0)).withColumns(
+        {"arrival": F.col("arrival") + 86_400 + F.col("event_id") % 7, "price": F.col("price") + 1}
+    )
+    unnamed = F.when(~_every(29, 3), F.col("event_id"))
+    return events.unionByName(later).withColumn("event_id", unnamed)
+
+
 def _load_levels(events: DataFrame) -> DataFrame:
     level = F.col("event_id") % 3
     return events.withColumns(
@@ -326,6 +339,77 @@ def _stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latency.sketch_errors(readers.read_parquet(spark, f"{folder}/out"), events, HOUR)
 
 
+def _exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by id store over several runs, every batch sent a second time under its number."""
+    folder = new_folder(spark, "exactly-once")
+    events = _with_late_copies(_arrived(spark, sf_dir))
+    for events_of_slice in _slices(events):
+        events_of_slice.write.mode("append").parquet(f"{folder}/in")
+        store = IdStore(spark, f"{folder}/store", events.schema, buckets=16)
+        stream = readers.stream_parquet(spark, f"{folder}/in", events.schema)
+        store.start(stream, f"{folder}/checkpoint").awaitTermination()
+        store.ledger.each(store.take)(events_of_slice, store.ledger.last(spark))
+    return store.events(spark).select("event_id", "event_type", "price")
+
+
+def _anchored_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _arrived(spark, sf_dir)
+
+    def save(table: DataFrame, name: str) -> DataFrame:
+        path = new_folder(spark, f"anchored-{name}")
+        table.write.parquet(path)
+        return readers.read_parquet(spark, path, table.schema)
+
+    found = save(anchored.anchored_windows(events, save, HOUR, LATE_AFTER), "windows")
+    return anchored.anchored_cells(events, found, HOUR, LATE_AFTER)
+
+
+def _stream_anchored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "stream-anchored")
+    events = _arrived(spark, sf_dir)
+    for events_of_slice in _slices(events):
+        events_of_slice.write.mode("append").parquet(f"{folder}/in")
+        run = AnchoredStream(spark, f"{folder}/out", HOUR, LATE_AFTER)
+        stream = readers.stream_parquet(spark, f"{folder}/in", events.schema)
+        run.start(stream, f"{folder}/checkpoint").awaitTermination()
+    return anchored.anchored_totals(run.cells(spark))
+
+
+def _committed(spark: SparkSession, sf_dir: str) -> CommittedRun:
+    """Lines of four slices, each taken up by a run of its own."""
+    folder = new_folder(spark, "committed")
+    for events_of_slice in _slices(_arrived(spark, sf_dir)):
+        _lines(events_of_slice, ARRIVED_EVENT).write.mode("append").text(f"{folder}/lines")
+        run = CommittedRun(spark, f"{folder}/out", with_corrupt_column(ARRIVED_EVENT), HOUR, LATE_AFTER)
+        parsed = readers.stream_json_lines(spark, f"{folder}/lines", ARRIVED_EVENT)
+        run.start(parsed, f"{folder}/checkpoint").awaitTermination()
+    return run
+
+
+def _committed_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per window what the sketches tell, and whether each rank is right to within their error."""
+    run = _committed(spark, sf_dir)
+    found = run.latency(spark)
+    events = latency.with_latency(quality.good_events(run.records(spark).filter(~F.col("bad")).drop("bad")))
+    events = events.withColumn("window_start", F.floor(F.col("arrival") / HOUR) * HOUR)
+    errors = sketches.rank_errors(found, events, ["window_start"], "latency_ms")
+    return errors.join(found.select("window_start", "least", "most"), "window_start")
+
+
+def _rollup(spark: SparkSession, sf_dir: str, span: int | None, by: list[str]) -> DataFrame:
+    """Sketches of 10 s windows, rolled up over time and load level and compared with the samples."""
+    events = _load_levels(_arrived(spark, sf_dir))
+    path = new_folder(spark, "latency-sketches")
+    writers.write_parquet(sketches.latency_sketches(events, 10, by), path)
+    found = sketches.sketch_percentiles(sketches.rolled_up(readers.read_parquet(spark, path), span, by))
+    samples = latency.with_latency(events)
+    keys = [*by]
+    if span is not None:
+        samples, keys = samples.withColumn("window_start", F.floor(F.col("arrival") / span) * span), ["window_start", *by]
+    errors = sketches.rank_errors(found, samples, keys, "latency_ms")
+    return errors.join(found.select(*keys, "least", "most"), keys)
+
+
 # -- comparisons -------------------------------------------------------------------
 
 
@@ -417,6 +501,15 @@ def all_queries() -> dict[str, Query]:
         "window_result_entries": over_cells(
             lambda cells: windows.window_result_entries(windows.window_results(cells))
         ),
+        "anchored_window_totals": lambda spark, d: anchored.anchored_totals(
+            _anchored_cells(spark, d)
+        ),
+        "anchored_window_category_revenue": lambda spark, d: anchored.anchored_category_revenue(
+            _anchored_cells(spark, d)
+        ),
+        "anchored_window_type_counts": lambda spark, d: anchored.anchored_type_counts(
+            _anchored_cells(spark, d)
+        ),
         "late_rate_alerts": over_cells(
             lambda cells: windows.late_rate_alerts(windows.window_totals(cells))
         ),
@@ -430,6 +523,8 @@ def all_queries() -> dict[str, Query]:
         ),
         "load_level_summary": over_arrived(lambda e: latency.load_level_summary(_load_levels(e))),
         "load_summary_json": _load_summary_json,
+        "latency_rollup_by_day": lambda spark, d: _rollup(spark, d, 24 * HOUR, []),
+        "latency_rollup_by_level": lambda spark, d: _rollup(spark, d, None, ["label"]),
         # quality
         "parse_events": over_arrived(
             lambda e: quality.good_events(parse_lines(_lines(e)))
@@ -474,4 +569,11 @@ def all_queries() -> dict[str, Query]:
         "stream_dedup_events": _stream_dedup,
         "stream_latency_by_window": _stream_latency,
         "stream_resume": _stream_resume,
+        "stream_exactly_once": _exactly_once,
+        "stream_anchored_window_totals": _stream_anchored,
+        "stream_committed_windows": lambda spark, d: windows.window_totals(
+            _committed(spark, d).cells(spark)
+        ),
+        "stream_committed_totals": lambda spark, d: _committed(spark, d).totals(spark),
+        "stream_committed_latency": _committed_latency,
     }

@@ -1,0 +1,125 @@
+import pytest
+from helpers import arrived
+from pyspark.sql import functions as F
+
+from tallyloom.operators.quality import good_events, parse_totals
+from tallyloom.operators.sketches import SIZE, latency_sketches, rank_errors, rolled_up, sketch_percentiles
+from tallyloom.operators.windows import window_cells, window_totals
+from tallyloom.sources.readers import read_json_lines, stream_json_lines
+from tallyloom.sources.schemas import ARRIVED_EVENT, with_corrupt_column
+from tallyloom.streaming.commits import CELLS, LATENCY, RECORDS, CommittedRun
+
+T0 = 1_700_000_000.0
+
+
+def lines(spark, low, high):
+    events = [{"event_id": i, "timestamp": T0 + i / 3, "arrival": T0 + i / 3 + i % 31, "event_type": ["view", "purchase"][i % 2], "price": i / 100} for i in range(low, high)]
+    whole = F.to_json(F.struct(*ARRIVED_EVENT.fieldNames()))
+    bad = F.col("event_id") % 10 == 3
+    return arrived(spark, *events).select(F.when(bad, F.concat(whole, F.lit("}"))).otherwise(whole).alias("value"))
+
+
+def summary(run, spark):
+    totals = [tuple(r) for r in window_totals(run.cells(spark)).orderBy("window_start").collect()]
+    latency = [tuple(r) for r in run.latency(spark).orderBy("window_start").collect()]
+    return totals, latency, tuple(run.totals(spark).first())
+
+
+def of_batch(spark, path):
+    parsed = read_json_lines(spark, path, ARRIVED_EVENT)
+    events = good_events(parsed)
+    totals = [tuple(r) for r in window_totals(window_cells(events, 10, clock="arrival")).orderBy("window_start").collect()]
+    latency = [tuple(r) for r in sketch_percentiles(latency_sketches(events, 10)).orderBy("window_start").collect()]
+    return totals, latency, tuple(parse_totals(parsed).first())
+
+
+@pytest.mark.parametrize("table", [RECORDS, CELLS, LATENCY, "ledger"])
+def test_killed_between_sinks_and_restarted(spark, tmp_path, monkeypatch, table):
+    folder = str(tmp_path / "lines")
+    run = None
+    for number, (low, high) in enumerate([(0, 100), (100, 260), (260, 300)]):
+        lines(spark, low, high).write.mode("append").text(folder)
+        run = CommittedRun(spark, str(tmp_path / "out"), with_corrupt_column(ARRIVED_EVENT))
+        before = summary(run, spark)
+        source = stream_json_lines(spark, folder, ARRIVED_EVENT)
+        write = run.ledger.write
+
+        def killed(name, number, rows, write=write):
+            out = write(name, number, rows)
+            if name == table:
+                raise RuntimeError("killed")
+            return out
+
+        with monkeypatch.context() as patch:
+            patch.setattr(run.ledger, "write", killed)
+            if table == "ledger":
+                patch.setattr(run.ledger, "commit", lambda *x: 1 / 0)
+            with pytest.raises(Exception):
+                run.start(source, str(tmp_path / "ck")).awaitTermination()
+        assert summary(run, spark) == before and run.ledger.last(spark) == number - 1
+        again = CommittedRun(spark, str(tmp_path / "out"), with_corrupt_column(ARRIVED_EVENT))
+        again.start(source, str(tmp_path / "ck")).awaitTermination()
+        got = summary(again, spark)
+        want = of_batch(spark, folder)
+        assert got[0] == want[0] and got[2] == want[2] and got[2][1] > 0
+        assert [r[:4] for r in got[1]] == [r[:4] for r in want[1]]
+
+
+def test_totals_come_from_the_pass_that_stores(spark, tmp_path):
+    """The batch is read once; windows and latency read what was stored."""
+    run = CommittedRun(spark, str(tmp_path / "out"), with_corrupt_column(ARRIVED_EVENT))
+    lines(spark, 0, 50).write.text(str(tmp_path / "lines"))
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for row in rows:
+            reads.add(1)
+            yield row
+
+    raw = spark.read.text(str(tmp_path / "lines"))
+    counted = spark.createDataFrame(raw.rdd.mapPartitions(seen), raw.schema)
+    from tallyloom.sources.lines import parse_lines
+
+    run.ledger.each(run.take)(parse_lines(counted, schema=ARRIVED_EVENT), 0)
+    assert reads.value == 50 and tuple(run.totals(spark).first()) == (45, 5)
+
+
+def samples(spark, n):
+    return spark.range(n).select(
+        F.lit(T0).alias("timestamp"),
+        (T0 + F.pmod(F.xxhash64("id"), F.lit(100_000)) / 100).alias("arrival"),
+        (F.col("id") % 3).alias("level"),
+    )
+
+
+@pytest.mark.parametrize("span, by", [(10, []), (100, []), (None, []), (None, ["level"]), (250, ["level"])])
+def test_ranks_hold_at_every_level_of_roll_up(spark, span, by):
+    events = samples(spark, 60_000)
+    found = sketch_percentiles(rolled_up(latency_sketches(events, 10, by), span, by))
+    values = events.withColumn("ms", (F.col("arrival") - F.col("timestamp")) * 1000)
+    keys = [*by]
+    if span:
+        values, keys = values.withColumn("window_start", F.floor(F.col("arrival") / span) * span), ["window_start", *by]
+    rows = rank_errors(found, values, keys, "ms").collect()
+    assert all(r.p50_right and r.p95_right and r.p99_right for r in rows) and sum(r["count"] for r in rows) == 60_000
+    assert found.agg(F.sum("count")).first()[0] == 60_000
+
+
+def test_order_of_merges_does_not_matter_for_the_error(spark):
+    events = samples(spark, 30_000)
+    sketches = latency_sketches(events, 10)
+    steps = rolled_up(rolled_up(rolled_up(sketches, 50), 500))
+    direct = rolled_up(sketches.repartition(7, F.rand(2)))
+    values = events.withColumn("ms", (F.col("arrival") - F.col("timestamp")) * 1000)
+    for merged in (steps, direct):
+        (row,) = rank_errors(sketch_percentiles(merged), values, [], "ms").collect()
+        assert row.p50_right and row.p95_right and row.p99_right and row["count"] == 30_000
+        size = merged.select(F.length("sketch")).first()[0]
+        assert size < 40 * SIZE
+
+
+def test_empty_and_null_samples(spark):
+    none = samples(spark, 0)
+    assert rolled_up(latency_sketches(none, 10)).first()["count"] is None or rolled_up(latency_sketches(none, 10)).count() == 0
+    events = arrived(spark, {"timestamp": None}, {"timestamp": float("nan")}, {"timestamp": T0, "arrival": T0 + 1})
+    assert [(r["count"], r.least) for r in latency_sketches(events, 10).collect()] == [(1, 1000.0)]
