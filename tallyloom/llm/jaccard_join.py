@@ -7,14 +7,19 @@ sets' Jaccard similarity reaches the threshold; the result gives each document i
 2. Windows have one order: the most frequent ones last. Frequencies are counted over all documents; the
    table of the ``ORDERED`` most frequent ones has a fixed size and is broadcast. Any order gives right
    results, this one gives few candidates.
-3. Let a class of n windows need o = ceil(threshold * n) common ones. Its prefix at level l is its first
-   n - o + l windows; two linked classes share at least l windows of their prefixes at level l, for any
-   l. Each class picks the level with the lowest estimated cost: frequent windows in the prefix mean
-   many candidates, a longer prefix demands more matches. A pair must match min(l, l') times.
+3. Two linked classes have a common o = ceil(t / (1 + t) * (n + m)) of their n and m windows, t being the
+   threshold. So of a class of n at least ceil(t * n) are common with any partner, and at least
+   ceil(2t / (1 + t) * n) with one that is no smaller. Its long prefix at level l is its first
+   n - ceil(t * n) + l windows, its short one the first n - ceil(2t / (1 + t) * n) + l; the short prefix of
+   the smaller class and the long one of the larger share at least l windows, for any l. Each class picks
+   the level with the lowest estimated cost: frequent windows in the short prefix mean many candidates, a
+   longer prefix demands more matches. A pair must match min(l, l') times. Texts that share a template but
+   not enough for a link keep it out of their short prefixes, so the template brings no pairs.
 4. Windows in one class's prefix only lead nowhere.
-5. Min-hash bands propose links between neighbours in a random order of each band, in rounds; those that
-   hold give first components. Pairs inside one component need no look any more, so a group of thousands
-   of near copies costs a few chains, not all its pairs.
+5. Links are first looked for between neighbours: each class stands in the groups of a few of its matched
+   prefix windows, picked by hash, in a random order, and meets the next ones there. Links that hold, in
+   rounds, give first components. Pairs inside one component need no look any more, so a group of
+   thousands of near copies costs a few chains, not all its pairs.
 6. Pairs from different components with enough matches for their sizes, and sketches that leave room for
    the overlap, are verified on the whole sets; their links join the components.
 
@@ -47,12 +52,12 @@ WIDTH, PERCENT = 5, 80
 ORDERED, COUNTED, LEVELS, MOST_BITS = 1 << 20, 1 << 22, 6, 1 << 27
 #: How many window matches a verification costs.
 VERIFY_COST = 8
-#: Min-hash bands, min-hashes of a band, rounds over the bands, neighbours looked at; bits of a class's sketch.
-BANDS, ROWS, ROUNDS, NEIGHBOURS, SKETCH = 6, 2, 2, 8, 1024
-#: Classes of a band that stand in one order.
+#: Prefix windows in whose groups a class looks for neighbours, rounds, neighbours looked at; bits of a class's sketch.
+PICKS, ROUNDS, NEIGHBOURS, SKETCH = 6, 2, 8, 1024
+#: Classes of a group that stand in one order.
 PIECE = 256
-#: Random odd factors from a fixed seed, one min-hash each.
-_FACTORS = np.random.default_rng(4711).integers(1, 1 << 63, (BANDS * ROWS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
+#: Stands for all levels that no class picks.
+MOST_LEVEL = 30_000
 #: Classes that a task remembers having emitted.
 REMEMBERED = 1 << 18
 
@@ -62,6 +67,11 @@ def needed(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     return (percent * n + 99) // 100
 
 
+def needed_of_larger(n: np.ndarray | int, percent: int) -> np.ndarray | int:
+    """Windows that a class has in common at least with a linked one that is no smaller."""
+    return (2 * percent * n + 99 + percent) // (100 + percent)
+
+
 def sets_of(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
     data, at = text_buffers(texts)
     for words in text_words(data, at, fold_case=True):
@@ -72,11 +82,6 @@ def class_of(windows: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(windows.tobytes())
 
 
-def bands_of(windows: np.ndarray) -> list[int]:
-    least = (windows * _FACTORS).min(axis=1)
-    return [xxhash.xxh3_64_intdigest(least[i : i + ROWS].tobytes(), seed=i) >> 1 for i in range(0, BANDS * ROWS, ROWS)]
-
-
 def sketch_of(windows: np.ndarray) -> np.ndarray:
     """For each of ``SKETCH`` parts of all windows whether an odd number of the set's is in it.
 
@@ -88,25 +93,24 @@ def sketch_of(windows: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame, width: int) -> DataFrame:
-    """Per row: its columns except ``text``, and n, class, bands, sketch."""
+    """Per row: its columns except ``text``, and n, class, sketch."""
     at = docs.columns.index("text")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n, classes, bands, sketches = [], [], [], []
+        n, classes, sketches = [], [], []
         for windows in sets_of(batch.column(at), width):
             some = len(windows) > 0
             n.append(len(windows))
             classes.append(class_of(windows) if some else None)
-            bands.append(bands_of(windows) if some else [])
             sketches.append(sketch_of(windows) if some else [])
         longs = pa.list_(pa.int64())
-        found = [pa.array(n, pa.int64()), pa.array(classes, pa.binary()), pa.array(bands, longs), pa.array(sketches, longs)]
+        found = [pa.array(n, pa.int64()), pa.array(classes, pa.binary()), pa.array(sketches, longs)]
         keys = [(name, column) for name, column in zip(batch.schema.names, batch.columns) if name != "text"]
-        names = [x for x, _ in keys] + ["n", "class", "bands", "sketch"]
+        names = [x for x, _ in keys] + ["n", "class", "sketch"]
         return pa.RecordBatch.from_arrays([c for _, c in keys] + found, names)
 
     keys = [f"{name} {kind}" for name, kind in docs.dtypes if name != "text"]
-    return map_arrow(docs, work, ", ".join([*keys, "n long, class binary, bands array<long>, sketch array<long>"]))
+    return map_arrow(docs, work, ", ".join([*keys, "n long, class binary, sketch array<long>"]))
 
 
 def frequent_windows(docs: DataFrame, width: int, entries: int = ORDERED) -> tuple[np.ndarray, np.ndarray]:
@@ -160,16 +164,16 @@ def frequencies(windows: np.ndarray, known: np.ndarray, counts: np.ndarray) -> n
 
 
 def prefix_of(windows: np.ndarray, often: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
-    """The set's prefix in the common order (rare windows first, then by hash) at its best level, and the level.
+    """The set's long prefix in the common order (rare windows first, then by hash) at its best level, and the level.
 
-    A level's cost is that of its prefix's matches and of the verifications that they may lead to.
+    A level's cost is that of its short prefix's matches and of the verifications that they may lead to.
     """
     n = len(windows)
-    least = int(needed(n, percent))
+    least, of_larger = int(needed(n, percent)), int(needed_of_larger(n, percent))
     if not often.any():
         return windows[: n - least + 1], 1
     order = np.argsort(often, kind="stable")
-    matches = np.cumsum(often[order])[n - least : n - least + min(LEVELS, least)]
+    matches = np.cumsum(often[order])[n - of_larger : n - of_larger + min(LEVELS, least)]
     level = int(np.argmin(matches * (1 + VERIFY_COST / np.arange(1, len(matches) + 1)))) + 1
     return windows[order[: n - least + level]], level
 
@@ -192,9 +196,9 @@ class Seen:
 
 
 def prefixes(docs: DataFrame, width: int, percent: int, table: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Rows (window, class, n, level, own): the windows of each class's prefix at its level ``own``.
+    """Rows (window, class, n, level, short, own): the windows of each class's long prefix at its level ``own``.
 
-    ``level`` is the first level whose prefix has the window.
+    ``level`` is the first level whose long prefix has the window, ``short`` the first one of its short prefix.
     """
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
@@ -218,21 +222,24 @@ def prefixes(docs: DataFrame, width: int, percent: int, table: tuple[np.ndarray,
         often = np.split(frequencies(np.concatenate(sets), *shared.value), ends[:-1])
         found, levels = zip(*[prefix_of(x, o, percent) for x, o in zip(sets, often)])
         sizes, own = np.array([len(x) for x in found]), np.array(levels)
+        n = np.array([len(x) for x in sets], np.int64)
         place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         level = np.maximum(1, place - np.repeat(sizes - own + 1, sizes) + 2)
+        short = np.maximum(1, place - np.repeat(n - needed_of_larger(n, percent) + 1, sizes) + 2)
         name = pa.array(names, pa.binary()).take(pa.array(np.repeat(np.arange(len(names)), sizes)))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate(found).view(np.int64)),
                 name,
-                pa.array(np.repeat(np.array([len(x) for x in sets], np.int64), sizes)),
+                pa.array(np.repeat(n, sizes)),
                 pa.array(level.astype(np.int16)),
+                pa.array(np.minimum(short, MOST_LEVEL).astype(np.int16)),
                 pa.array(np.repeat(own.astype(np.int16), sizes)),
             ],
-            ["window", "class", "n", "level", "own"],
+            ["window", "class", "n", "level", "short", "own"],
         )
 
-    return arrow_rows(docs.select("text"), run, "window long, class binary, n long, level short, own short")
+    return arrow_rows(docs.select("text"), run, "window long, class binary, n long, level short, short short, own short")
 
 
 def hash_filter(hashes: DataFrame, count: int) -> np.ndarray:
@@ -334,18 +341,18 @@ def sketches_allow(percent: int) -> Column:
     return differ <= sizes - 2 * F.ceil(F.lit(percent) * sizes / F.lit(100 + percent))
 
 
-def chained_pairs(banded: DataFrame, percent: int, turn: int) -> DataFrame:
-    """From rows (band, classes, class, n, sketch, component): near neighbours in each band's random order.
+def chained_pairs(grouped: DataFrame, percent: int, turn: int) -> DataFrame:
+    """From rows (window, classes, class, n, sketch, component): near neighbours in each group's random order.
 
-    Only pairs of different components whose sketches allow a link. A band of any size gives at most
-    ``NEIGHBOURS`` pairs per class; a band of many classes is cut into random pieces, one task each.
+    Only pairs of different components whose sketches allow a link. A group of any size gives at most
+    ``NEIGHBOURS`` pairs per class; a group of many classes is cut into random pieces, one task each.
     """
     place = F.xxhash64("class", F.lit(turn))
-    banded = banded.withColumn("piece", F.pmod(place, F.ceil(F.col("classes") / PIECE)))
-    order = Window.partitionBy("band", "piece").orderBy(place, "class")
+    grouped = grouped.withColumn("piece", F.pmod(place, F.ceil(F.col("classes") / PIECE)))
+    order = Window.partitionBy("window", "piece").orderBy(place, "class")
     names = ("class", "n", "sketch", "component")
     near = [F.struct(*[F.lag(c, k).over(order).alias(c) for c in names]) for k in range(1, NEIGHBOURS + 1)]
-    pairs = banded.select(*names, F.array(*near).alias("near"))
+    pairs = grouped.select(*names, F.array(*near).alias("near"))
     pairs = pairs.select(*[F.col(c).alias(f"{c}_a") for c in names], F.explode("near").alias("near"))
     pairs = pairs.select("*", *[F.col(f"near.{c}").alias(f"{c}_b") for c in names]).where("component_a <> component_b")
     pairs = pairs.where(similar_sizes(percent) & sketches_allow(percent))
@@ -360,19 +367,23 @@ def named(rows: DataFrame, components: DataFrame | None) -> DataFrame:
     return rows.withColumn("component", F.coalesce("component", "class"))
 
 
-def first_components(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, component) by links that min-hash bands propose, in rounds.
+def first_components(docs: DataFrame, matches: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, component) by links between neighbours in the groups of prefix windows, in rounds.
 
-    A round verifies pairs of neighbours in the bands, so what a group of near copies costs grows with its
-    members, not their pairs, and all but a few members come together.
+    A round verifies pairs of neighbours, so what a group of near copies costs grows with its members, not
+    their pairs, and all but a few members come together.
     """
-    banded = classes.select("class", "n", sketch_columns(), F.posexplode("bands").alias("number", "band"))
-    several = banded.groupBy("band").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
-    banded = written(banded.join(several, "band"), "bands")
-    sets = gathered(docs, width, classes, banded.select("class"))
+    picks = [F.min_by("window", F.xxhash64("window", F.lit(k))).alias(f"pick_{k}") for k in range(PICKS)]
+    picked = matches.groupBy("class").agg(*picks)
+    picked = picked.select("class", F.explode(F.array_distinct(F.array(*[f"pick_{k}" for k in range(PICKS)]))).alias("window"))
+    picked = written(picked, "picked")
+    several = picked.groupBy("window").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    grouped = picked.join(several, "window").join(classes.select("class", "n", sketch_columns()), "class")
+    grouped = written(grouped, "groups-of-windows")
+    sets = gathered(docs, width, classes, grouped.select("class"))
     found = links = None
     for turn in range(ROUNDS):
-        pairs = written(chained_pairs(named(banded, found), percent, turn), "chained-pairs")
+        pairs = written(chained_pairs(named(grouped, found), percent, turn), "chained-pairs")
         new = written(verified(pairs, sets, percent), "first-links")
         links = new if links is None else links.unionByName(new)
         found = written(components(links), "first-components")
@@ -380,28 +391,33 @@ def first_components(docs: DataFrame, classes: DataFrame, width: int, percent: i
 
 
 def matched_pairs(matches: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """From rows (window, class, n, level, own, component): pairs of different components with enough matches.
-
-    With l the smaller of the two levels, the prefixes at level l must match l times. And of the one
-    whose prefix ends first in the common order every window is decided: only its o - l windows after the
-    prefix may still be common, so the whole prefixes must match at least as often as these leave to the
-    overlap that the pair's sizes demand. Pairs whose sketches differ too much for that overlap are left
-    out of the join itself.
+    """From rows (window, class, n, level, short, own, component): pairs of different components with enough matches.
+
+    A pair meets in the windows of the smaller class's short prefix and the larger one's long prefix. With
+    l the smaller of the two levels, the prefixes at level l must match l times. And of the one whose
+    prefix ends first in the common order every window is decided: only the o - l windows after the prefix
+    that it has in common at least may still be common, so the whole prefixes must match at least as often
+    as these leave to the overlap that the pair's sizes demand. Classes too different in size don't meet,
+    and pairs whose sketches differ too much for the overlap are left out of the join itself.
     """
     group = Window.partitionBy("window")
     apart = matches.withColumn("low", F.min("component").over(group)).withColumn("high", F.max("component").over(group))
     apart = apart.where("low < high").drop("low", "high").join(classes.select("class", sketch_columns()), "class")
     apart = written(apart, "apart")
-    names = ("class", "n", "level", "own", "component", "sketch")
-    x = apart.select("window", *[F.col(c).alias(f"{c}_a") for c in names])
-    y = apart.select("window", *[F.col(c).alias(f"{c}_b") for c in names])
-    pairs = x.join(y, "window").where(
-        F.expr("class_a < class_b AND component_a <> component_b") & similar_sizes(percent) & sketches_allow(percent)
+    names = ("class", "n", "level", "short", "own", "component", "sketch")
+    # Linked sizes lie in one size class or in neighbouring ones.
+    size = F.floor(F.log("n") / F.log(F.lit(100 / percent)) + 1e-9) if percent < 100 else F.col("n")
+    small = apart.where("short <= own").select("window", size.alias("size"), *[F.col(c).alias(f"{c}_a") for c in names])
+    large = apart.select("window", F.explode(F.array(size, size - 1)).alias("size"), *[F.col(c).alias(f"{c}_b") for c in names])
+    pairs = small.join(large, ["window", "size"]).where(
+        F.expr("(n_a < n_b OR n_a = n_b AND class_a < class_b) AND component_a <> component_b")
+        & similar_sizes(percent)
+        & sketches_allow(percent)
     )
     low = F.least("own_a", "own_b")
-    in_both = F.greatest("level_a", "level_b") <= low
+    in_both = F.greatest("short_a", "level_b") <= low
     overlap = F.ceil(F.lit(percent) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
-    after = [F.ceil(F.lit(percent) * F.col(f"n_{s}") / F.lit(100)) - F.col(f"own_{s}") for s in ("a", "b")]
+    after = [F.ceil(F.lit(2 * percent) * F.col("n_a") / F.lit(100 + percent)) - F.col("own_a"), F.ceil(F.lit(percent) * F.col("n_b") / F.lit(100)) - F.col("own_b")]
     counted = pairs.groupBy(F.col("class_a").alias("a"), F.col("class_b").alias("b")).agg(
         F.count_if(in_both).alias("low_matches"),
         F.min(low).alias("low"),
@@ -417,7 +433,7 @@ def groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFr
     A group is the smallest class of a component. Rows without windows have a null class and no group.
     """
     rows = written(described(docs, width), "sets")
-    own = [F.first(c).alias(c) for c in ("n", "bands", "sketch")] + [F.min(F.xxhash64("id")).alias("mark")]
+    own = [F.first(c).alias(c) for c in ("n", "sketch")] + [F.min(F.xxhash64("id")).alias("mark")]
     classes = written(rows.where("n > 0").groupBy("class").agg(*own), "classes")
 
     windows = prefixes(docs, width, percent, frequent_windows(docs, width))
@@ -426,7 +442,7 @@ def groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFr
     matches = written(windows.where("low < high").drop("low", "high").dropDuplicates(["window", "class"]), "matches")
 
     # Only classes with a match can have links.
-    first = first_components(docs, classes.join(matches.select("class").distinct(), "class"), width, percent)
+    first = first_components(docs, matches, classes, width, percent)
     matched = written(matched_pairs(named(matches, first), classes, percent), "matched-pairs")
     sets = gathered(docs, width, classes, matched.select(F.explode(F.array("a", "b")).alias("class")))
     links = written(verified(matched, sets, percent), "late-links")
@@ -440,7 +456,7 @@ def groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFr
     of_class = named(classes.select("class"), first)
     of_class = of_class.join(second.withColumnRenamed("node", "component"), "component", "left")
     of_class = of_class.select("class", F.coalesce("group", "component").alias("group"))
-    return rows.drop("bands", "sketch"), written(of_class, "groups")
+    return rows.drop("sketch"), written(of_class, "groups")
 
 
 def linked_documents(

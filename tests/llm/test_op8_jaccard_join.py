@@ -77,7 +77,7 @@ def test_against_all_pairs(spark, monkeypatch, seed, entries):
 
 def test_without_first_links(spark, monkeypatch):
     """The matches alone find every link."""
-    none = lambda banded, percent, turn: banded.selectExpr("class a", "class b").where("false")
+    none = lambda grouped, percent, turn: grouped.selectExpr("class a", "class b").where("false")
     monkeypatch.setattr(j, "chained_pairs", none)
     rows = corpus(4)
     got = j.linked_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
@@ -115,6 +115,13 @@ def test_linked_sets_share_windows_of_their_prefixes():
             assert len(prefix[0] & prefix[1]) >= level
             overlap = -(-80 * (len(x) + len(y)) // 180)
             assert len(prefix[0] & prefix[1]) >= overlap - max(k - level for k in o)
+        small, large = (0, 1) if len(x) <= len(y) else (1, 0)
+        o = [j.needed_of_larger(len(order[small]), 80), j.needed(len(order[large]), 80)]
+        for level in range(1, min(o) + 1):
+            short = set(order[small][: len(order[small]) - o[0] + level].tolist())
+            long = set(order[large][: len(order[large]) - o[1] + level].tolist())
+            assert len(short & long) >= level and len(short & long) >= overlap - max(k - level for k in o)
+        o = [j.needed(len(s), 80) for s in (x, y)]
         prefix, level = j.prefix_of(x, j.frequencies(x, *table), 80)
         assert prefix.tolist() == order[0][: len(x) - o[0] + level].tolist()
 
@@ -157,3 +164,34 @@ def test_sketches_differ_no_more_than_their_sets():
             y = np.unique(np.concatenate([x[rnd.random(len(x)) < share], rnd.integers(0, 1 << 63, 3).astype(np.uint64)]))
             bits = np.unpackbits((j.sketch_of(x) ^ j.sketch_of(y)).view(np.uint8)).sum()
             assert bits <= len(np.setxor1d(x, y))
+
+
+def test_needed_of_larger():
+    for n in range(1, 400):
+        for percent in (50, 80, 93, 100):
+            least = min(-(-percent * (n + m) // (100 + percent)) for m in range(n, 2 * n + 2))
+            assert j.needed_of_larger(n, percent) == least and j.needed(n, percent) <= least
+
+
+def templates(own, n, seed=6):
+    """Texts of one template and words of their own, just below the threshold."""
+    rnd = random.Random(seed)
+    shared = [f"t{i}" for i in range(150)]
+    return [" ".join(shared + [f"w{rnd.randrange(10**9)}" for _ in range(own if isinstance(own, int) else rnd.choice(own))]) for _ in range(n)]
+
+
+def test_a_template_brings_no_pairs(spark, monkeypatch):
+    """22 own words after 150 shared ones: 0.77, so no links; 600 texts would make 180,000 pairs a window."""
+    seen = []
+    whole = j.matched_pairs
+    monkeypatch.setattr(j, "matched_pairs", lambda *x: seen.append(whole(*x)) or seen[-1])
+    texts = templates(22, 600)
+    got = j.linked_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert all(r.component_id == r.doc_id for r in got) and len(got) == 600
+    assert seen[0].count() == 0 and "CartesianProduct" not in seen[0]._jdf.queryExecution().toString()
+
+
+def test_templates_of_many_sizes_against_all_pairs(spark):
+    rows = list(enumerate(templates(range(8, 40), 150) + templates(range(0, 90, 7), 60, 7)))
+    got = j.linked_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert ordered(map(tuple, got)) == ordered(brute(rows))
