@@ -95,7 +95,10 @@ def anchored_windows(
 def anchored_cells(
     events: DataFrame, windows: DataFrame, width: int = DEFAULT_WIDTH, late_after_seconds: float | None = None, clock: str = "arrival"
 ) -> DataFrame:
-    """Counts and revenue per window, category and event type: partial results that can be added up."""
+    """Counts and revenue per window, category and event type: partial results that can be added up.
+
+    ``windows`` should be a written table; when the open one began, a number, passes through the driver.
+    """
     late = age_seconds(arrival=clock) > (2 * width if late_after_seconds is None else late_after_seconds)
     timed = with_defaults(events.where(F.col(clock).isNotNull())).withColumn("late", F.coalesce(late, F.lit(False)))
     at = F.col(clock).cast("double")
@@ -109,10 +112,9 @@ def anchored_cells(
     )
     stretches = timed.select("stretch").distinct().join(here, "stretch", "full")
     after = Window.orderBy("stretch").rowsBetween(1, Window.unboundedFollowing)
-    open_window = windows.where("window_end IS NULL").select(F.struct(*WINDOW).alias("open"))
-    stretches = stretches.withColumn("next", F.first("window", ignorenulls=True).over(after))
-    # The open window is one row.
-    stretches = stretches.join(F.broadcast(open_window), how="left", on=F.lit(True)).withColumn("next", F.coalesce("next", "open"))
+    last = windows.where("window_end IS NULL").select("window_start").first()
+    opened = F.struct(F.lit(last and last[0]).cast("double").alias("window_start"), F.lit(None).cast("double").alias("window_end"))
+    stretches = stretches.withColumn("next", F.coalesce(F.first("window", ignorenulls=True).over(after), opened))
     placed = timed.join(stretches, "stretch")
     window = F.when(F.col("end").isNotNull() & (F.col("place") <= F.col("end")), F.col("window")).otherwise(F.col("next"))
     placed = placed.withColumn("own", window).withColumns({x: F.col(f"own.{x}") for x in WINDOW})

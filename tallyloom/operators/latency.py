@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.events import event_time, is_late, latency_ms
+from tallyloom.workspace import written_rows
 
 # The reported ranks.
 RANKS = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
@@ -18,6 +19,8 @@ RANKS = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 # again, linearly from its smallest to its largest value.
 BUCKETS_PER_E = 1024
 SLICES = 4096
+# Samples of a bucket whose different values one task puts in order.
+SORTED = 1 << 20
 
 
 def _bucket(value: Column) -> Column:
@@ -44,9 +47,11 @@ def rank_percentiles(
 
     Samples are counted by coarse bucket, which partial sums keep to some
     thousand rows per group; a running sum over them finds the bucket of each
-    rank. Samples of those buckets alone are counted again by slice of their
-    bucket, and those of the slice with the rank by value. Only the different
-    values of one slice are put in order in one task.
+    rank. Where such a bucket holds more than ``SORTED`` samples, these are counted
+    again by slice of their bucket. The last pass counts the samples of the found
+    buckets or slices by value, and only these values are put in order. So the
+    samples are read twice, or three times; each pass leaves a row per group and
+    rank, which is written before the next one starts.
     """
     groups = list(by) or ["everything"]
     if not by:
@@ -74,10 +79,13 @@ def rank_percentiles(
             - (F.col("upto") - F.col("n")),
         )
         .filter(F.col("position").between(0, F.col("n") - 1))
-        .select(*groups, "rank", "bucket", "low", "high", "count", "position")
+        .select(*groups, "rank", "bucket", "low", "high", "n", "count", "position")
     )
-    if not by:
-        found = F.broadcast(found)  # one row per rank
+    found = written_rows(found, "percentile-buckets")
+    most = found.agg(F.max("n")).first()[0] or 0
+    if by:
+        # What no group wants is left out before samples are moved to their group's targets.
+        samples = samples.join(found.select("bucket").distinct(), "bucket", "left_semi")
     inside = samples.alias("s").join(found.alias("f"), _equal("s", "f", [*groups, "bucket"]))
     span = F.col("high") - F.col("low")
     slice_of = F.when(span > 0, F.floor((F.col("value") - F.col("low")) / span * SLICES)).otherwise(0)
@@ -86,16 +94,14 @@ def rank_percentiles(
     )
 
     keys = [*groups, "rank"]
-    slices = inside.groupBy(*keys, "slice", "count", "position").agg(F.count(F.lit(1)).alias("n"))
-    found = _containing(slices, keys, "slice").select(*keys, "slice", "position")
-    if not by:
-        found = F.broadcast(found)
-    values = (
-        inside.drop("position").alias("s")
-        .join(found.alias("f"), _equal("s", "f", [*keys, "slice"]))
-        .groupBy(*[f"s.{name}" for name in keys], "value", "count", "position")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    if most > SORTED:
+        slices = inside.groupBy(*keys, "slice", "count", "position").agg(F.count(F.lit(1)).alias("n"))
+        found = _containing(slices, keys, "slice").select(*keys, "slice", "position")
+        found = written_rows(found, "percentile-slices")
+        same = _equal("s", "f", [*keys, "slice"])
+        inside = inside.drop("position").alias("s").join(found.alias("f"), same)
+        inside = inside.select(*[f"s.{name}" for name in keys], "value", "count", "position")
+    values = inside.groupBy(*keys, "value", "count", "position").agg(F.count(F.lit(1)).alias("n"))
     last = _containing(values, keys, "value")
     columns = [F.max(F.when(F.col("rank") == name, F.col("value"))).alias(name) for name in ranks]
     count = F.max("count").alias("count")

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -34,6 +34,14 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{folder}/data"
 
 
+def written_rows(table: DataFrame, purpose: str) -> DataFrame:
+    """The rows, computed once: written below the shared folder and read again."""
+    spark = table.sparkSession
+    path = new_folder(spark, purpose)
+    table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Removes a folder that this package has written, wherever it lies; nothing if it isn't there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

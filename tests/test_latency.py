@@ -39,7 +39,9 @@ def test_no_samples_give_zeros(spark):
     assert rank_percentiles(empty, "v").first()["count"] == 0
 
 
-def test_many_shapes_against_brute_force(spark):
+@pytest.mark.parametrize("sorted_rows", [latency.SORTED, 100, 0])
+def test_many_shapes_against_brute_force(spark, monkeypatch, sorted_rows):
+    monkeypatch.setattr(latency, "SORTED", sorted_rows)
     rng = random.Random(11)
     groups = {
         "uniform": [rng.uniform(0, 1000) for _ in range(2000)],
