@@ -8,6 +8,9 @@ result is that of a left join on the key: 0 where a group has no purchase, and
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,8 +96,10 @@ def user_features(events: DataFrame) -> DataFrame:
     ``avg_order_value`` is the mean per purchase event. ``purchase_rate`` is
     NULL when none of the user's events has an id.
     """
-    sums = {**_user_sums(), **_purchase_money(is_type(PURCHASE))}
-    users = rollup(events, ["user_id"], sums, USER_DISTINCT)
+    return FEATURES["user_features"].of(events)
+
+
+def _finish_users(users: DataFrame) -> DataFrame:
     return users.withColumn("avg_rating_given", ratio("rating_sum", "rating_n")).select(
         *USER_ACTIVITY,
         _joined(money_total("spend"), "user_id").alias("total_spend"),
@@ -155,11 +160,6 @@ def product_revenue(events: DataFrame) -> DataFrame:
     return products.select("product_id", money_total("spend").alias("total_revenue"))
 
 
-def _product_rows(events: DataFrame) -> DataFrame:
-    sums = {**_product_sums(), **_purchase_money(is_type(PURCHASE))}
-    return _with_product_means(rollup(events, PRODUCT_KEYS, sums, PRODUCT_DISTINCT))
-
-
 def _with_revenue(products: DataFrame) -> DataFrame:
     return products.select(
         *PRODUCT_ACTIVITY,
@@ -175,8 +175,12 @@ def product_features(events: DataFrame) -> DataFrame:
     repeats on each of the product's rows: add it up over products, not rows.
     The repeat is a window over finished rows, one per product and category.
     """
+    return FEATURES["product_features"].of(events)
+
+
+def _finish_products(products: DataFrame) -> DataFrame:
     of_product = Window.partitionBy("product_id")
-    products = _product_rows(events).withColumns(
+    products = _with_product_means(products).withColumns(
         {name: F.sum(name).over(of_product) for name in ("spend_cents", "spend_rest")}
     )
     return _with_revenue(products)
@@ -184,7 +188,8 @@ def product_features(events: DataFrame) -> DataFrame:
 
 def product_features_by_category(events: DataFrame) -> DataFrame:
     """As ``product_features``, but with the revenue of the row's own category."""
-    return _with_revenue(_product_rows(events))
+    spec = FEATURES["product_features"]
+    return _with_revenue(_with_product_means(rollup(events, spec.keys, spec.sums(), spec.distinct)))
 
 
 # -- categories ---------------------------------------------------------------
@@ -218,8 +223,33 @@ def category_revenue(events: DataFrame) -> DataFrame:
 
 def category_features(events: DataFrame) -> DataFrame:
     """Activity and revenue per category."""
-    sums = {**_category_sums(), **_purchase_money(is_type(PURCHASE))}
-    categories = rollup(events, ["category"], sums, CATEGORY_DISTINCT)
+    return FEATURES["category_features"].of(events)
+
+
+def _finish_categories(categories: DataFrame) -> DataFrame:
     return categories.withColumn("avg_price", money_mean("price")).select(
         *CATEGORY_ACTIVITY, _joined(money_total("spend"), "category").alias("total_revenue")
     )
+
+
+@dataclass(frozen=True)
+class FeatureTable:
+    """A feature table as partial results that can be added up, and its columns from these."""
+
+    keys: list[str]
+    own_sums: Callable[[], dict[str, Column]]
+    distinct: dict[str, str]
+    finish: Callable[[DataFrame], DataFrame]
+
+    def sums(self) -> dict[str, Column]:
+        return {**self.own_sums(), **_purchase_money(is_type(PURCHASE))}
+
+    def of(self, events: DataFrame) -> DataFrame:
+        return self.finish(rollup(events, self.keys, self.sums(), self.distinct))
+
+
+FEATURES = {
+    "user_features": FeatureTable(["user_id"], _user_sums, USER_DISTINCT, _finish_users),
+    "product_features": FeatureTable(PRODUCT_KEYS, _product_sums, PRODUCT_DISTINCT, _finish_products),
+    "category_features": FeatureTable(["category"], _category_sums, CATEGORY_DISTINCT, _finish_categories),
+}

@@ -32,5 +32,15 @@ def rollup(
     for name, value in distinct.items():
         pairs = rows.select(*keys, F.col(value).alias("counted")).distinct()
         parts.append(pairs.groupBy(*keys).agg(F.count("counted").alias(name)))
-    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return together.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in [*sums, *distinct]])
+    return together(parts, keys, [*sums, *distinct])
+
+
+def together(
+    parts: Sequence[DataFrame], keys: Sequence[str], names: Sequence[str], default: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Partial results in one row per ``keys``; ``default`` stands in where no part has a name for a group."""
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    default = default or {}
+    sums = {name: F.sum(name) for name in names}
+    sums |= {name: F.coalesce(sums[name], F.lit(value)) for name, value in default.items()}
+    return union.groupBy(*keys).agg(*[column.alias(name) for name, column in sums.items()])

@@ -242,7 +242,7 @@ def all_oracles() -> dict[str, str]:
     stream_columns = (
         "event_id, user_id, product_id, category, event_type, price, quantity, timestamp"
     )
-    return {
+    oracles = {
         "scan_events": f"{SHOP} SELECT {shop_columns} FROM shop",
         "purchases_spend": f"""{SHOP} SELECT {shop_columns}, price * quantity AS spend FROM shop
 WHERE event_type = 'purchase'""",
@@ -419,4 +419,14 @@ cells AS (
   WHERE window_start + {HOUR} <= (SELECT max(arrival) FROM sliced) - {WATERMARK})
 SELECT {_count("early")} AS cells_after_half, {_count("early")} AS cells_after_idle_run,
   count(*) AS cells_after_rest FROM cells""",
+        "table_diff_located": f"""{SHOP}, sides AS (
+  SELECT event_id, price, 1 AS side FROM shop
+  UNION ALL
+  SELECT event_id, CASE WHEN event_id % 997 = 0 THEN price + 1 ELSE price END, -1 FROM shop
+  UNION ALL SELECT event_id, price, -1 FROM shop WHERE event_id % 1009 = 0)
+SELECT event_id, price, CAST(greatest(sum(side), 0) AS BIGINT) AS only_left,
+  CAST(greatest(-sum(side), 0) AS BIGINT) AS only_right
+FROM sides GROUP BY event_id, price HAVING sum(side) <> 0""",
     }
+    rebuilt = ("user_features", "product_features", "category_features")
+    return oracles | {f"maintained_{name}": oracles[name] for name in rebuilt}

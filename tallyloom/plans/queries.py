@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.events import rounded, with_defaults
-from tallyloom.operators import anchored, features, fingerprint, latency, quality, sketches, windows
+from tallyloom.operators import anchored, buckets, features, fingerprint, latency, maintained, quality, sketches, windows
 from tallyloom.plans import feature_run
 from tallyloom.sources import readers, writers
 from tallyloom.sources.lines import parse_lines
@@ -25,6 +25,7 @@ HOUR = 3600
 LATE_AFTER = 20
 WATERMARK = 60
 SLICES = 4
+LOCATED = 64
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -421,6 +422,37 @@ def _table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.table_diff(events, changed.unionByName(events.filter(_every(89, 0))))
 
 
+def _located_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows in which two written versions of the events differ."""
+    events = _shop(spark, sf_dir)
+    changed = F.when(_every(997, 0), F.col("price") + 1).otherwise(F.col("price"))
+    folder = new_folder(spark, "versions")
+    buckets.write_bucketed(events, f"{folder}/before", ["event_id"], LOCATED)
+    after = events.withColumn("price", changed).unionByName(events.filter(_every(1009, 0)))
+    buckets.write_bucketed(after, f"{folder}/after", ["event_id"], LOCATED)
+    found = buckets.located_diff(spark, f"{folder}/before", f"{folder}/after", events.schema, LOCATED)
+    return found.select("event_id", "price", "only_left", "only_right")
+
+
+def _maintained(table: str) -> Query:
+    """Feature tables of events of which a third comes late, after the first states were written."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = new_folder(spark, "maintained")
+        events = _shop(spark, sf_dir)
+        day = F.date_from_unix_date(F.floor(F.col("timestamp") / 86_400).cast("int"))
+        late = _every(3, 0) & (F.dayofmonth(day) % 2 == 0)
+        writers.write_by_date(events.filter(~late), f"{folder}/events", day)
+        maintained.refresh(readers.read_parquet(spark, f"{folder}/events"), f"{folder}/states")
+        more = events.filter(late).withColumn(maintained.DAY, day)
+        more.write.mode("append").partitionBy(maintained.DAY).parquet(f"{folder}/events")
+        days = [row[0] for row in more.select(maintained.DAY).distinct().collect()]
+        maintained.refresh(readers.read_parquet(spark, f"{folder}/events"), f"{folder}/states", days)
+        return maintained.maintained_table(spark, f"{folder}/states", table)
+
+    return run
+
+
 def _reproducible(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of the user features, the second over rows in another order."""
     events = _shop(spark, sf_dir)
@@ -485,6 +517,9 @@ def all_queries() -> dict[str, Query]:
         "category_revenue": over_purchases(features.category_revenue),
         "category_features": over_shop(features.category_features),
         "user_spend_of_fractions": over_purchases(lambda e: features.user_spend(_scaled(e))),
+        "maintained_user_features": _maintained("user_features"),
+        "maintained_product_features": _maintained("product_features"),
+        "maintained_category_features": _maintained("category_features"),
         "row_counts": _row_counts,
         "feature_run": _feature_run,
         "run_metrics_json": _metrics_json,
@@ -544,6 +579,7 @@ def all_queries() -> dict[str, Query]:
             lambda e: fingerprint.content_hash(_wide_numbers(e), "sha256")
         ),
         "table_diff": _table_diff,
+        "table_diff_located": _located_diff,
         "reproducible_user_features": _reproducible,
         # sinks
         "sink_round_trip_parquet": _round_trip_parquet,
