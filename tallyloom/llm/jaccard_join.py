@@ -17,8 +17,8 @@ sets' Jaccard similarity reaches the threshold; the result gives each document i
    not enough for a link keep it out of their short prefixes, so the template brings no pairs.
 4. Windows in one class's prefix only lead nowhere.
 5. Links are first looked for between neighbours: each class stands in the groups of a few of its matched
-   prefix windows, picked by hash, in a random order, and meets the next ones there. Links that hold, in
-   rounds, give first components. Pairs inside one component need no look any more, so a group of
+   prefix windows, picked by hash, in a random order, and meets the next ones there. Links that hold give
+   first components. Pairs inside one component need no look any more, so a group of
    thousands of near copies costs a few chains, not all its pairs.
 6. Pairs from different components with enough matches for their sizes, and sketches that leave room for
    the overlap, are verified on the whole sets; their links join the components.
@@ -52,8 +52,8 @@ WIDTH, PERCENT = 5, 80
 ORDERED, COUNTED, LEVELS, MOST_BITS = 1 << 20, 1 << 22, 6, 1 << 27
 #: How many window matches a verification costs.
 VERIFY_COST = 8
-#: Prefix windows in whose groups a class looks for neighbours, rounds, neighbours looked at; bits of a class's sketch.
-PICKS, ROUNDS, NEIGHBOURS, SKETCH = 6, 2, 8, 1024
+#: Prefix windows in whose groups a class looks for neighbours, neighbours looked at; bits of a class's sketch.
+PICKS, NEIGHBOURS, SKETCH = 6, 8, 1024
 #: Classes of a group that stand in one order.
 PIECE = 256
 #: Stands for all levels that no class picks.
@@ -341,36 +341,34 @@ def sketches_allow(percent: int) -> Column:
     return differ <= sizes - 2 * F.ceil(F.lit(percent) * sizes / F.lit(100 + percent))
 
 
-def chained_pairs(grouped: DataFrame, percent: int, turn: int) -> DataFrame:
-    """From rows (window, classes, class, n, sketch, component): near neighbours in each group's random order.
+def chained_pairs(grouped: DataFrame, percent: int) -> DataFrame:
+    """From rows (window, classes, class, n, sketch): near neighbours in each group's random order.
 
-    Only pairs of different components whose sketches allow a link. A group of any size gives at most
-    ``NEIGHBOURS`` pairs per class; a group of many classes is cut into random pieces, one task each.
+    Only pairs whose sketches allow a link. A group of any size gives at most ``NEIGHBOURS`` pairs per
+    class; a group of many classes is cut into random pieces, one task each, that differ from group to group.
     """
-    place = F.xxhash64("class", F.lit(turn))
+    place = F.xxhash64("class", "window")
     grouped = grouped.withColumn("piece", F.pmod(place, F.ceil(F.col("classes") / PIECE)))
     order = Window.partitionBy("window", "piece").orderBy(place, "class")
-    names = ("class", "n", "sketch", "component")
+    names = ("class", "n", "sketch")
     near = [F.struct(*[F.lag(c, k).over(order).alias(c) for c in names]) for k in range(1, NEIGHBOURS + 1)]
     pairs = grouped.select(*names, F.array(*near).alias("near"))
     pairs = pairs.select(*[F.col(c).alias(f"{c}_a") for c in names], F.explode("near").alias("near"))
-    pairs = pairs.select("*", *[F.col(f"near.{c}").alias(f"{c}_b") for c in names]).where("component_a <> component_b")
+    pairs = pairs.select("*", *[F.col(f"near.{c}").alias(f"{c}_b") for c in names]).where("class_b IS NOT NULL")
     pairs = pairs.where(similar_sizes(percent) & sketches_allow(percent))
     return pairs.select(F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b")).distinct()
 
 
-def named(rows: DataFrame, components: DataFrame | None) -> DataFrame:
+def named(rows: DataFrame, components: DataFrame) -> DataFrame:
     """Rows with a ``component``: that of their class, or the class itself."""
-    if components is None:
-        return rows.withColumn("component", F.col("class"))
     rows = rows.join(components, rows["class"] == components["node"], "left").drop("node")
     return rows.withColumn("component", F.coalesce("component", "class"))
 
 
 def first_components(docs: DataFrame, matches: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, component) by links between neighbours in the groups of prefix windows, in rounds.
+    """(node, component) by links between neighbours in the groups of prefix windows.
 
-    A round verifies pairs of neighbours, so what a group of near copies costs grows with its members, not
+    Only pairs of neighbours are verified, so what a group of near copies costs grows with its members, not
     their pairs, and all but a few members come together.
     """
     picks = [F.min_by("window", F.xxhash64("window", F.lit(k))).alias(f"pick_{k}") for k in range(PICKS)]
@@ -381,13 +379,9 @@ def first_components(docs: DataFrame, matches: DataFrame, classes: DataFrame, wi
     grouped = picked.join(several, "window").join(classes.select("class", "n", sketch_columns()), "class")
     grouped = written(grouped, "groups-of-windows")
     sets = gathered(docs, width, classes, grouped.select("class"))
-    found = links = None
-    for turn in range(ROUNDS):
-        pairs = written(chained_pairs(named(grouped, found), percent, turn), "chained-pairs")
-        new = written(verified(pairs, sets, percent), "first-links")
-        links = new if links is None else links.unionByName(new)
-        found = written(components(links), "first-components")
-    return found
+    pairs = written(chained_pairs(grouped, percent), "chained-pairs")
+    links = written(verified(pairs, sets, percent), "first-links")
+    return written(components(links), "first-components")
 
 
 def matched_pairs(matches: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -397,19 +391,18 @@ def matched_pairs(matches: DataFrame, classes: DataFrame, percent: int) -> DataF
     l the smaller of the two levels, the prefixes at level l must match l times. And of the one whose
     prefix ends first in the common order every window is decided: only the o - l windows after the prefix
     that it has in common at least may still be common, so the whole prefixes must match at least as often
-    as these leave to the overlap that the pair's sizes demand. Classes too different in size don't meet,
-    and pairs whose sketches differ too much for the overlap are left out of the join itself.
+    as these leave to the overlap that the pair's sizes demand. Pairs too different in size, or whose
+    sketches differ too much for the overlap, are left out of the join itself.
     """
     group = Window.partitionBy("window")
     apart = matches.withColumn("low", F.min("component").over(group)).withColumn("high", F.max("component").over(group))
-    apart = apart.where("low < high").drop("low", "high").join(classes.select("class", sketch_columns()), "class")
+    apart = apart.withColumn("any_short", F.max(F.expr("short <= own")).over(group))
+    apart = apart.where("low < high AND any_short").drop("low", "high", "any_short").join(classes.select("class", sketch_columns()), "class")
     apart = written(apart, "apart")
     names = ("class", "n", "level", "short", "own", "component", "sketch")
-    # Linked sizes lie in one size class or in neighbouring ones.
-    size = F.floor(F.log("n") / F.log(F.lit(100 / percent)) + 1e-9) if percent < 100 else F.col("n")
-    small = apart.where("short <= own").select("window", size.alias("size"), *[F.col(c).alias(f"{c}_a") for c in names])
-    large = apart.select("window", F.explode(F.array(size, size - 1)).alias("size"), *[F.col(c).alias(f"{c}_b") for c in names])
-    pairs = small.join(large, ["window", "size"]).where(
+    small = apart.where("short <= own").select("window", *[F.col(c).alias(f"{c}_a") for c in names])
+    large = apart.select("window", *[F.col(c).alias(f"{c}_b") for c in names])
+    pairs = small.join(large, "window").where(
         F.expr("(n_a < n_b OR n_a = n_b AND class_a < class_b) AND component_a <> component_b")
         & similar_sizes(percent)
         & sketches_allow(percent)

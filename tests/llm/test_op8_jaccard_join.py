@@ -77,7 +77,7 @@ def test_against_all_pairs(spark, monkeypatch, seed, entries):
 
 def test_without_first_links(spark, monkeypatch):
     """The matches alone find every link."""
-    none = lambda grouped, percent, turn: grouped.selectExpr("class a", "class b").where("false")
+    none = lambda grouped, percent: grouped.selectExpr("class a", "class b").where("false")
     monkeypatch.setattr(j, "chained_pairs", none)
     rows = corpus(4)
     got = j.linked_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
