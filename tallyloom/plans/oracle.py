@@ -397,6 +397,22 @@ WHERE NOT late AND event_type = 'purchase' GROUP BY window_start, window_end, ca
 SELECT window_start, window_end, event_type, count(*) AS events FROM anchored
 WHERE NOT late GROUP BY window_start, window_end, event_type""",
         "stream_committed_windows": f"{GOOD} {_window_totals('arriving')}",
+        "stream_alerts": f"""{GOOD}, rates AS (
+  SELECT window_start, window_start + {HOUR} AS window_end,
+    CAST(count(*) FILTER (late) AS DOUBLE) / count(*) AS value
+  FROM closed GROUP BY window_start),
+steps AS (
+  SELECT *, value > CAST(0.34 AS DOUBLE) AS bad, lag(value) OVER o > CAST(0.34 AS DOUBLE) AS last_bad,
+    window_start - lag(window_end) OVER o <= {2 * HOUR} AS near_last,
+    lead(value) OVER o > CAST(0.34 AS DOUBLE) AS next_bad,
+    CASE WHEN lead(window_start) OVER o IS NULL
+      THEN floor((SELECT max(arrival) FROM arriving) - {WATERMARK}) - window_end <= {2 * HOUR}
+      ELSE lead(window_start) OVER o - window_end <= {2 * HOUR}
+        AND lead(value) OVER o > CAST(0.34 AS DOUBLE) END AS goes_on
+  FROM rates WINDOW o AS (ORDER BY window_start))
+SELECT 'start' AS kind, CAST(window_start AS DOUBLE) AS at, value FROM steps
+WHERE bad AND NOT coalesce(last_bad AND near_last, false)
+UNION ALL SELECT 'end', CAST(window_end AS DOUBLE), value FROM steps WHERE bad AND NOT goes_on""",
         "stream_committed_totals": f"""SELECT
   {_count(f"NOT ({BAD_LINES}) AND NOT ({BLANK_LINES})")} AS processed,
   {_count(BAD_LINES)} AS errors FROM events""",

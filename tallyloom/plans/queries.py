@@ -376,12 +376,12 @@ def _stream_anchored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchored.anchored_totals(run.cells(spark))
 
 
-def _committed(spark: SparkSession, sf_dir: str) -> CommittedRun:
+def _committed(spark: SparkSession, sf_dir: str, **options) -> CommittedRun:
     """Lines of four slices, each taken up by a run of its own."""
     folder = new_folder(spark, "committed")
     for events_of_slice in _slices(_arrived(spark, sf_dir)):
         _lines(events_of_slice, ARRIVED_EVENT).write.mode("append").text(f"{folder}/lines")
-        run = CommittedRun(spark, f"{folder}/out", with_corrupt_column(ARRIVED_EVENT), HOUR, LATE_AFTER)
+        run = CommittedRun(spark, f"{folder}/out", with_corrupt_column(ARRIVED_EVENT), HOUR, LATE_AFTER, **options)
         parsed = readers.stream_json_lines(spark, f"{folder}/lines", ARRIVED_EVENT)
         run.start(parsed, f"{folder}/checkpoint").awaitTermination()
     return run
@@ -610,6 +610,9 @@ def all_queries() -> dict[str, Query]:
         "stream_committed_windows": lambda spark, d: windows.window_totals(
             _committed(spark, d).cells(spark)
         ),
+        "stream_alerts": lambda spark, d: _committed(
+            spark, d, alert_above=0.34, delay_seconds=WATERMARK, quiet_seconds=2 * HOUR
+        ).alerts(spark),
         "stream_committed_totals": lambda spark, d: _committed(spark, d).totals(spark),
         "stream_committed_latency": _committed_latency,
     }

@@ -2,6 +2,7 @@ import pytest
 from helpers import arrived
 from pyspark.sql import functions as F
 
+from tallyloom.operators.episodes import alert_episodes
 from tallyloom.operators.quality import good_events, parse_totals
 from tallyloom.operators.sketches import SIZE, latency_sketches, rank_errors, rolled_up, sketch_percentiles
 from tallyloom.operators.windows import window_cells, window_totals
@@ -123,3 +124,49 @@ def test_empty_and_null_samples(spark):
     assert rolled_up(latency_sketches(none, 10)).first()["count"] is None or rolled_up(latency_sketches(none, 10)).count() == 0
     events = arrived(spark, {"timestamp": None}, {"timestamp": float("nan")}, {"timestamp": T0, "arrival": T0 + 1})
     assert [(r["count"], r.least) for r in latency_sketches(events, 10).collect()] == [(1, 1000.0)]
+
+
+def plain_episodes(windows, quiet, now):
+    """One pass over (start, end, value, bad)."""
+    out, last = [], None
+    for start, end, value, bad in windows:
+        if last and (not bad or start - last[0] > quiet):
+            out.append(("end", last[0], last[1]))
+            last = None
+        if bad:
+            if not last:
+                out.append(("start", start, value))
+            last = (end, value)
+    if last and now - last[0] > quiet:
+        out.append(("end", *last))
+    return out
+
+
+@pytest.mark.parametrize("cuts", [[], [1], [5, 9, 10], list(range(1, 30))])
+def test_episodes_are_told_once_over_any_batches(spark, tmp_path, cuts):
+    import random
+
+    rnd = random.Random(9)
+    at, windows = 0, []
+    for _ in range(30):
+        at += rnd.choice([10, 10, 10, 20, 50])
+        windows.append((at, at + 10, float(at), rnd.random() < 0.6))
+    told, carried = [], None
+    for number, (low, high) in enumerate(zip([0, *cuts], [*cuts, 30])):
+        part = spark.createDataFrame(windows[low:high], "window_start long, window_end long, v double, b boolean").repartition(3)
+        now = windows[high - 1][1] if high < 30 else windows[-1][1] + 100
+        alerts, left = alert_episodes(part, F.col("v"), F.col("b"), F.lit(now), 15, open_before=carried)
+        told += [(r.kind, r.at, r.value) for r in alerts.collect()]
+        left.write.parquet(str(tmp_path / str(number)))
+        carried = spark.read.schema(left.schema).parquet(str(tmp_path / str(number)))
+    assert sorted(told) == sorted(plain_episodes(windows, 15, windows[-1][1] + 100)) and carried.count() == 0
+
+
+def test_episodes_by_key(spark):
+    rows = [(k, 10 * i, 10 * i + 10, float(i), (i + j) % 3 > 0) for j, k in enumerate("ab") for i in range(6)]
+    df = spark.createDataFrame(rows, "k string, window_start long, window_end long, v double, b boolean")
+    alerts, left = alert_episodes(df, F.col("v"), F.col("b"), F.lit(60), 15, ["k"])
+    for j, k in enumerate("ab"):
+        want = plain_episodes([r[1:] for r in rows if r[0] == k], 15, 60)
+        assert sorted((r.kind, r.at, r.value) for r in alerts.where(F.col("k") == k).collect()) == sorted(want)
+    assert sorted(r.k for r in left.collect()) == [k for k in "ab" if [r for r in rows if r[0] == k][-1][4]]
