@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
-from tallyloom.llm.tables import arrow_rows, map_arrow, text_buffers, unused, written
+from tallyloom.llm.tables import arrow_rows, free_shuffles, map_arrow, text_buffers, unused, written
 from tallyloom.llm.words import shingle_set, text_words
 
 WIDTH, PERCENT = 5, 80
@@ -53,7 +53,7 @@ ORDERED, COUNTED, LEVELS, MOST_BITS = 1 << 20, 1 << 22, 6, 1 << 27
 #: How many window matches a verification costs.
 VERIFY_COST = 8
 #: Prefix windows in whose groups a class looks for neighbours, neighbours looked at; bits of a class's sketch.
-PICKS, NEIGHBOURS, SKETCH = 6, 8, 1024
+PICKS, NEIGHBOURS, SKETCH = 6, 8, 512
 #: Classes of a group that stand in one order.
 PIECE = 256
 #: Stands for all levels that no class picks.
@@ -399,6 +399,7 @@ def matched_pairs(matches: DataFrame, classes: DataFrame, percent: int) -> DataF
     apart = apart.withColumn("any_short", F.max(F.expr("short <= own")).over(group))
     apart = apart.where("low < high AND any_short").drop("low", "high", "any_short").join(classes.select("class", sketch_columns()), "class")
     apart = written(apart, "apart")
+    free_shuffles(apart.sparkSession)
     names = ("class", "n", "level", "short", "own", "component", "sketch")
     small = apart.where("short <= own").select("window", *[F.col(c).alias(f"{c}_a") for c in names])
     large = apart.select("window", *[F.col(c).alias(f"{c}_b") for c in names])
@@ -433,10 +434,13 @@ def groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFr
     group = Window.partitionBy("window")
     windows = windows.withColumn("low", F.min("class").over(group)).withColumn("high", F.max("class").over(group))
     matches = written(windows.where("low < high").drop("low", "high").dropDuplicates(["window", "class"]), "matches")
+    free_shuffles(matches.sparkSession)
 
     # Only classes with a match can have links.
     first = first_components(docs, matches, classes, width, percent)
+    free_shuffles(matches.sparkSession)
     matched = written(matched_pairs(named(matches, first), classes, percent), "matched-pairs")
+    free_shuffles(matches.sparkSession)
     sets = gathered(docs, width, classes, matched.select(F.explode(F.array("a", "b")).alias("class")))
     links = written(verified(matched, sets, percent), "late-links")
 

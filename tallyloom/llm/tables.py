@@ -30,6 +30,15 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark remove the files of shuffles whose results are written and that nothing refers to any more.
+
+    Without it they stay on the executors' disks until the driver's JVM happens to look for garbage.
+    """
+    if jvm := getattr(spark, "_jvm", None):
+        jvm.System.gc()
+
+
 ROWS_AT_ONCE = 1024
 
 _kept: dict[str, tuple[object, object]] = {}
