@@ -196,6 +196,20 @@ def _anchored_totals() -> str:
 FROM anchored GROUP BY window_start, window_end"""
 
 
+BY_SCHEDULE = f"""{TIMED}, ends AS (SELECT min(arrival) AS low, max(arrival) AS high FROM arrived),
+schedule AS (
+  SELECT label, rate, burst, low + (high - low) * CAST(first AS DOUBLE) AS start,
+    low + (high - low) * CAST(last AS DOUBLE) AS "end"
+  FROM ends, (VALUES ('low', 100, false, 0.0, 0.5), ('medium', 1000, false, 0.4, 0.7),
+    ('high', 5000, true, 0.8, 1.0)) v(label, rate, burst, first, last)),
+levels AS (SELECT t.*, label FROM timed t JOIN schedule ON arrival >= start AND arrival < "end"),
+latency AS ({_percentiles('label', 'levels')}),
+windows AS (
+  SELECT label, count(DISTINCT CAST(floor(timestamp / 10) AS BIGINT)) AS windows
+  FROM levels WHERE NOT late GROUP BY label)
+SELECT l.*, coalesce(windows, 0) AS windows, CAST(rate AS BIGINT) AS rate, burst
+FROM latency l JOIN schedule USING (label) LEFT JOIN windows w ON l.label = w.label"""
+
 BAD_LINES = "event_id % 50 IN (7, 13, 21, 25, 29, 33, 47)"
 BLANK_LINES = "event_id % 50 = 37"
 
@@ -335,12 +349,18 @@ WHERE CAST(late_dropped AS DOUBLE) / (late_dropped + events_processed) > CAST(0.
 SELECT * FROM latency WHERE p99 > 500""",
         "load_level_summary": LOAD_LEVELS,
         "load_summary_json": LOAD_LEVELS,
+        "load_level_by_schedule": BY_SCHEDULE,
         "quarantine": f"""SELECT CASE WHEN event_id % 50 = 29 THEN 'no time'
     ELSE 'not one well-typed object' END AS reason, count(*) AS records
 FROM events WHERE {BAD_LINES} GROUP BY 1""",
         "parse_events": f"""{ARRIVED} SELECT event_id, user_id, product_id,
   CASE WHEN event_id % 50 = 43 THEN 'unknown' ELSE category END AS category, event_type, price,
   CASE WHEN event_id % 50 = 43 THEN 1 ELSE quantity END AS quantity, timestamp
+FROM arrived WHERE NOT ({BAD_LINES}) AND NOT ({BLANK_LINES})""",
+        "parse_recovered_field": f"""{ARRIVED} SELECT event_id, user_id, product_id,
+  CASE WHEN event_id % 50 = 43 THEN 'unknown' ELSE category END AS category, event_type, price,
+  CASE WHEN event_id % 50 = 43 THEN 1 ELSE quantity END AS quantity, timestamp,
+  CASE WHEN event_id % 2 = 0 THEN 'c' || (event_id % 3) END AS channel
 FROM arrived WHERE NOT ({BAD_LINES}) AND NOT ({BLANK_LINES})""",
         "parse_error_count": f"""SELECT
   {_count(f"NOT ({BAD_LINES}) AND NOT ({BLANK_LINES})")} AS processed,

@@ -10,11 +10,13 @@ from pyspark.sql import types as T
 
 from tallyloom.functions.events import rounded, with_defaults
 from tallyloom.operators import anchored, buckets, features, fingerprint, latency, maintained, quality, sketches, windows
+from tallyloom.operators.schedule import with_scheduled_level
 from tallyloom.plans import feature_run
 from tallyloom.sources import readers, writers
 from tallyloom.sources.lines import parse_lines
 from tallyloom.sources.schemas import ARRIVED_EVENT, BATCH_EVENT, STREAM_EVENT, WINDOW_RESULT, with_corrupt_column
 from tallyloom.sources.shop import arrived_events, shop_events
+from tallyloom.sources.variants import parse_whole_lines, read_again
 from tallyloom.streaming import streams
 from tallyloom.streaming.anchored import AnchoredStream
 from tallyloom.streaming.commits import CommittedRun
@@ -101,6 +103,17 @@ def _lines(events: DataFrame, schema: T.StructType = STREAM_EVENT) -> DataFrame:
     return events.select(line.alias("value"))
 
 
+def _recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field that the first schema didn't name, out of the stored records, next to the others."""
+    events = _arrived(spark, sf_dir)
+    named = T.StructType([*STREAM_EVENT.fields, T.StructField("channel", T.StringType())])
+    channel = F.when(_every(2, 0), F.concat(F.lit("c"), (F.col("event_id") % 3).cast("string")))
+    path = new_folder(spark, "whole-records")
+    writers.write_parquet(parse_whole_lines(_lines(events.withColumn("channel", channel), named), STREAM_EVENT), path)
+    again = read_again(readers.read_parquet(spark, path), named)
+    return quality.good_events(again.drop("whole"))
+
+
 def _with_copies(events: DataFrame) -> DataFrame:
     """A third of the events a second time, later and with another price."""
     copies = events.filter(_every(3, 0)).withColumns(
@@ -397,6 +410,19 @@ def _committed_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return errors.join(found.select("window_start", "least", "most"), "window_start")
 
 
+def _by_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load levels that overlap and leave a gap, as shares of the time in which events arrived."""
+    events = _arrived(spark, sf_dir)
+    ends = events.agg(F.min("arrival").alias("low"), F.max("arrival").alias("high"))
+    levels = [("low", 100, False, 0.0, 0.5), ("medium", 1000, False, 0.4, 0.7), ("high", 5000, True, 0.8, 1.0)]
+    shares = spark.createDataFrame(levels, "label string, rate long, burst boolean, first double, last double")
+    at = lambda share: F.col("low") + (F.col("high") - F.col("low")) * F.col(share)
+    row = ends.withColumn("one", F.lit(0)).join(shares.withColumn("one", F.lit(0)), "one")
+    schedule = row.select("label", "rate", "burst", at("first").alias("start"), at("last").alias("end"))
+    tagged = with_scheduled_level(events, schedule, slot_seconds=HOUR)
+    return latency.load_level_summary(tagged.where(F.col("label").isNotNull()))
+
+
 def _rollup(spark: SparkSession, sf_dir: str, span: int | None, by: list[str]) -> DataFrame:
     """Sketches of 10 s windows, rolled up over time and load level and compared with the samples."""
     events = _load_levels(_arrived(spark, sf_dir))
@@ -558,6 +584,7 @@ def all_queries() -> dict[str, Query]:
         ),
         "load_level_summary": over_arrived(lambda e: latency.load_level_summary(_load_levels(e))),
         "load_summary_json": _load_summary_json,
+        "load_level_by_schedule": _by_schedule,
         "latency_rollup_by_day": lambda spark, d: _rollup(spark, d, 24 * HOUR, []),
         "latency_rollup_by_level": lambda spark, d: _rollup(spark, d, None, ["label"]),
         # quality
@@ -570,6 +597,7 @@ def all_queries() -> dict[str, Query]:
         "parse_error_count": over_arrived(
             lambda e: quality.parse_totals(parse_lines(_lines(e)))
         ),
+        "parse_recovered_field": _recovered,
         "dedup_events": over_arrived(
             lambda e: quality.dedup_events(_with_copies(e), first_by="arrival")
         ),

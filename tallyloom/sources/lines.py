@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tallyloom.sources.schemas import CORRUPT, STREAM_EVENT, with_corrupt_column
 
 
-def _more_than_one_object(line: Column) -> Column:
+def more_than_one_object(line: Column) -> Column:
     """Text after the object, which the JSON parser would pass over in silence.
 
     Only lines with several closing braces, rare among flat events, are parsed
@@ -38,7 +38,7 @@ def parse_lines(
         .filter(F.col("event").isNotNull())
         .select(
             *[F.col(f"event.{name}").alias(name) for name in schema.fieldNames()],
-            F.coalesce(f"event.{CORRUPT}", F.when(_more_than_one_object(text), text)).alias(
+            F.coalesce(f"event.{CORRUPT}", F.when(more_than_one_object(text), text)).alias(
                 CORRUPT
             ),
         )
