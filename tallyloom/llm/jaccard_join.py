@@ -378,8 +378,8 @@ def first_components(docs: DataFrame, matches: DataFrame, classes: DataFrame, wi
     several = picked.groupBy("window").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
     grouped = picked.join(several, "window").join(classes.select("class", "n", sketch_columns()), "class")
     grouped = written(grouped, "groups-of-windows")
-    sets = gathered(docs, width, classes, grouped.select("class"))
     pairs = written(chained_pairs(grouped, percent), "chained-pairs")
+    sets = gathered(docs, width, classes, pairs.select(F.explode(F.array("a", "b")).alias("class")))
     links = written(verified(pairs, sets, percent), "first-links")
     return written(components(links), "first-components")
 
