@@ -11,7 +11,7 @@ import os
 import sys
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -21,6 +21,7 @@ from tallyloom.operators.fingerprint import table_diff  # noqa: E402
 from tallyloom.operators.latency import load_level_summary  # noqa: E402
 from tallyloom.operators.quality import good_events  # noqa: E402
 from tallyloom.operators.runs import run_metrics, speedup  # noqa: E402
+from tallyloom.operators.windows import window_results  # noqa: E402
 from tallyloom.plans import feature_run  # noqa: E402
 from tallyloom.sources.readers import (  # noqa: E402
     read_json_lines,
@@ -31,6 +32,7 @@ from tallyloom.sources.schemas import BATCH_EVENT, TAGGED_EVENT  # noqa: E402
 from tallyloom.sources.shop import synthetic_events, synthetic_stream_events  # noqa: E402
 from tallyloom.sources.writers import write_events, write_json  # noqa: E402
 from tallyloom.streaming import streams  # noqa: E402
+from tallyloom.streaming.commits import CommittedRun  # noqa: E402
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -95,6 +97,27 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     )
 
 
+def _committed(spark: SparkSession, args: argparse.Namespace) -> tuple[CommittedRun, DataFrame]:
+    arrived = with_arrival(stream_json_lines(spark, args.input, max_files_per_trigger=args.max_files))
+    return CommittedRun(spark, args.output, arrived.schema, args.window, alert_above=args.alert_above), arrived
+
+
+def commit_stream(spark: SparkSession, args: argparse.Namespace) -> None:
+    """As ``stream``, with records, windows, latency, totals and alerts of each batch committed together."""
+    run, arrived = _committed(spark, args)
+    run.start(arrived, args.checkpoint, args.every).awaitTermination()
+
+
+def commit_report(spark: SparkSession, args: argparse.Namespace) -> None:
+    """What the finished batches of ``commit-stream`` tell, also while it runs."""
+    run, _ = _committed(spark, args)
+    write_json(window_results(run.cells(spark)), f"{args.report}/windows")
+    write_json(run.latency(spark), f"{args.report}/latency")
+    write_json(run.totals(spark), f"{args.report}/totals")
+    if args.alert_above is not None:
+        write_json(run.alerts(spark), f"{args.report}/alerts")
+
+
 def load_summary(spark: SparkSession, args: argparse.Namespace) -> None:
     """Latency and windows per load level of events tagged with label, rate and burst.
 
@@ -154,6 +177,20 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--burst", action="store_true")
     job.set_defaults(run=stream)
 
+    for name, run in (("commit-stream", commit_stream), ("commit-report", commit_report)):
+        job = jobs.add_parser(name, help=run.__doc__)
+        job.add_argument("--input", required=True)
+        job.add_argument("--output", required=True, help="folder of the committed batches")
+        job.add_argument("--window", type=int, default=10)
+        job.add_argument("--max-files", type=int)
+        job.add_argument("--alert-above", type=float, help="share of late events that is too much")
+        if run is commit_stream:
+            job.add_argument("--checkpoint", required=True)
+            job.add_argument("--every", help="trigger interval, such as '5 seconds'")
+        else:
+            job.add_argument("--report", required=True)
+        job.set_defaults(run=run)
+
     job = jobs.add_parser("load-summary", help=load_summary.__doc__)
     job.add_argument("--input", required=True)
     job.add_argument("--output", required=True)

@@ -170,3 +170,22 @@ def test_episodes_by_key(spark):
         want = plain_episodes([r[1:] for r in rows if r[0] == k], 15, 60)
         assert sorted((r.kind, r.at, r.value) for r in alerts.where(F.col("k") == k).collect()) == sorted(want)
     assert sorted(r.k for r in left.collect()) == [k for k in "ab" if [r for r in rows if r[0] == k][-1][4]]
+
+
+def test_jobs(spark, tmp_path):
+    """The report of a stream that was taken up twice."""
+    import json
+
+    from tallyloom.jobs import cli
+
+    for low, high in ((0, 40), (40, 70)):
+        lines(spark, low, high).write.mode("append").text(str(tmp_path / "lines"))
+        shared = ["--input", str(tmp_path / "lines"), "--output", str(tmp_path / "out"), "--alert-above", "0.5"]
+        args = cli.parser().parse_args(["commit-stream", *shared, "--checkpoint", str(tmp_path / "ck")])
+        args.run(spark, args)
+    args = cli.parser().parse_args(["commit-report", *shared, "--report", str(tmp_path / "report")])
+    args.run(spark, args)
+    read = lambda name: [json.loads(r.value) for r in spark.read.text(str(tmp_path / "report" / name)).collect()]
+    assert read("totals") == [{"processed": 63, "errors": 7}]
+    assert sum(r["events_processed"] + r["late_dropped"] for r in read("windows")) == 63 == sum(r["count"] for r in read("latency"))
+    assert all(r["kind"] in ("start", "end") for r in read("alerts"))
