@@ -53,7 +53,7 @@ ORDERED, COUNTED, LEVELS, MOST_BITS = 1 << 20, 1 << 22, 6, 1 << 27
 #: How many window matches a verification costs.
 VERIFY_COST = 8
 #: Prefix windows in whose groups a class looks for neighbours, neighbours looked at; bits of a class's sketch.
-PICKS, NEIGHBOURS, SKETCH = 6, 8, 512
+PICKS, NEIGHBOURS, SKETCH = 6, 3, 512
 #: Classes of a group that stand in one order.
 PIECE = 256
 #: Stands for all levels that no class picks.
@@ -381,6 +381,7 @@ def first_components(docs: DataFrame, matches: DataFrame, classes: DataFrame, wi
     pairs = written(chained_pairs(grouped, percent), "chained-pairs")
     sets = gathered(docs, width, classes, pairs.select(F.explode(F.array("a", "b")).alias("class")))
     links = written(verified(pairs, sets, percent), "first-links")
+    free_shuffles(links.sparkSession)
     return written(components(links), "first-components")
 
 
