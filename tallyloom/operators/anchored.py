@@ -7,12 +7,16 @@ late: they are counted in the window in which they arrive, but add nothing else
 
 Each window depends on the one before, yet no task walks through the events. Every on-time arrival points
 to the arrival that would close a window opened there; pointers are joined with themselves, so that they
-span 1, 2, 4, ... windows, and after as many rounds as the number of windows has binary digits every
-closing arrival is found from the first. Two closings lie a width apart at least, so a stretch of time of
-that width holds one at most, and events find their window by their stretch.
-
-Tasks order the different arrivals of one stretch; one task orders a row per stretch. Events with equal
-arrival go by ``event_id``, NULL first. No events: no windows. The window that is still open has no end.
+span 1, 2, 4, ... windows, as many rounds as the number of windows has binary digits. After each round only
+arrivals that some pointer leads to keep theirs, so tables get smaller where windows meet. Then the rounds
+are gone back: the longest pointers lead from the first arrival, each shorter round finds what lies between.
+Two closings lie a width apart at least, so a stretch of time of that width holds one at most, and events
+find their window by their stretch.
+
+Tasks order the different arrivals of one stretch; one task orders a row per stretch. Running values go
+with the order, never against it: a frame up to the end of its partition is computed anew for every row.
+Events with equal arrival go by ``event_id``, NULL first. No events: no windows. The window that is still
+open has no end.
 """
 
 from __future__ import annotations
@@ -45,12 +49,32 @@ def closing_arrivals(opens: DataFrame, width: int) -> DataFrame:
     due = F.col("at") + width
     asked = opens.select(_stretch(due, width).alias("stretch"), due.alias("x"), F.lit(0).alias("kind"), "at")
     both = arrivals.unionByName(asked)
-    rest = Window.partitionBy("stretch").orderBy("x", "kind").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    rest = Window.partitionBy("stretch").orderBy(F.desc("x"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = both.withColumn("here", F.min(F.when(F.col("kind") == 1, F.col("x"))).over(rest)).where("kind = 0")
-    later = Window.orderBy("stretch").rowsBetween(1, Window.unboundedFollowing)
+    later = Window.orderBy(F.desc("stretch")).rowsBetween(Window.unboundedPreceding, -1)
     stretches = both.groupBy("stretch").agg(F.min(F.when(F.col("kind") == 1, F.col("x"))).alias("least"))
     stretches = stretches.select("stretch", F.min("least").over(later).alias("later"))
-    return found.join(stretches, "stretch").select("at", F.coalesce("here", "later").alias("closes"))
+    closes = F.coalesce("here", "later")
+    # Where a width later is no later (NaN, infinity) nothing closes, or pointers would never end.
+    return found.join(stretches, "stretch").select("at", F.when(closes > F.col("at"), closes).alias("closes"))
+
+
+def _reached(pointers: DataFrame, start: float, save: Save) -> DataFrame:
+    """(at): where pointers lead from ``start``, itself included; each round of pointers is saved."""
+    first = F.col("at") == F.lit(start)
+    rounds = [pointers.where("closes IS NOT NULL")]
+    while not rounds[-1].where(first).isEmpty():
+        jumps = rounds[-1]
+        ends = jumps.select(F.col("closes").alias("at")).distinct()
+        led_to = jumps.join(ends, "at", "left_semi").unionByName(jumps.where(first))
+        onward = jumps.select(F.col("at").alias("closes"), F.col("closes").alias("onward"))
+        twice = led_to.join(onward, "closes").select("at", F.col("onward").alias("closes"))
+        rounds.append(save(twice, f"jumps-{len(rounds)}"))
+    reached = pointers.where(first).select("at")
+    for number, jumps in reversed(list(enumerate(rounds[:-1]))):
+        between = reached.join(jumps, "at").select(F.col("closes").alias("at"))
+        reached = save(reached.unionByName(between), f"reached-{number}")
+    return reached
 
 
 def anchored_windows(
@@ -73,21 +97,11 @@ def anchored_windows(
     if start is None:
         start = arrivals.agg(F.min("at")).first()[0]
     once = arrivals.where((F.col("at") >= F.lit(start))).groupBy("at").agg(F.max("closer").alias("closer"), F.max("first").alias("first"))
-    pointers = save(closing_arrivals(once, width), "pointers")
-
-    jumps = pointers.where("closes IS NOT NULL")
-    reached = save(pointers.where(F.col("at") == F.lit(start)).select("at"), "reached-0")
-    count, rounds = reached.count(), 0
-    while True:
-        rounds += 1
-        more = reached.join(jumps, "at").select(F.col("closes").alias("at"))
-        reached = save(reached.unionByName(more), f"reached-{rounds}")
-        if (now := reached.count()) == count:
-            break
-        count = now
-        onward = jumps.select(F.col("at").alias("closes"), F.col("closes").alias("onward"))
-        jumps = save(jumps.join(onward, "closes").select("at", F.col("onward").alias("closes")), f"jumps-{rounds}")
-    ends = once.select(F.col("at").alias("window_end"), F.col("first.event_id").alias("closer"))
+    # A late arrival opens a window only if it is the first of all.
+    opens = once.where(F.col("closer") | (F.col("at") == F.lit(start)))
+    pointers = save(closing_arrivals(opens, width), "pointers")
+    reached = _reached(pointers, start, save)
+    ends = once.join(reached, "at", "left_semi").select(F.col("at").alias("window_end"), F.col("first.event_id").alias("closer"))
     windows = reached.join(pointers, "at").select(F.col("at").alias("window_start"), F.col("closes").alias("window_end"))
     return windows.join(ends, "window_end", "left").select(*WINDOW, "closer")
 
@@ -111,10 +125,10 @@ def anchored_cells(
         F.struct(*WINDOW).alias("window"),
     )
     stretches = timed.select("stretch").distinct().join(here, "stretch", "full")
-    after = Window.orderBy("stretch").rowsBetween(1, Window.unboundedFollowing)
+    after = Window.orderBy(F.desc("stretch")).rowsBetween(Window.unboundedPreceding, -1)
     last = windows.where("window_end IS NULL").select("window_start").first()
     opened = F.struct(F.lit(last and last[0]).cast("double").alias("window_start"), F.lit(None).cast("double").alias("window_end"))
-    stretches = stretches.withColumn("next", F.coalesce(F.first("window", ignorenulls=True).over(after), opened))
+    stretches = stretches.withColumn("next", F.coalesce(F.last("window", ignorenulls=True).over(after), opened))
     placed = timed.join(stretches, "stretch")
     window = F.when(F.col("end").isNotNull() & (F.col("place") <= F.col("end")), F.col("window")).otherwise(F.col("next"))
     placed = placed.withColumn("own", window).withColumns({x: F.col(f"own.{x}") for x in WINDOW})

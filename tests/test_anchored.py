@@ -1,10 +1,11 @@
 import random
+import re
 
 import pytest
 from helpers import arrived
 from pyspark.sql import functions as F
 
-from tallyloom.operators.anchored import anchored_category_revenue, anchored_cells, anchored_totals, anchored_type_counts, anchored_windows
+from tallyloom.operators.anchored import anchored_category_revenue, anchored_cells, anchored_totals, anchored_type_counts, anchored_windows, closing_arrivals
 from tallyloom.sources.schemas import ARRIVED_EVENT
 from tallyloom.streaming.anchored import AnchoredStream
 
@@ -125,3 +126,38 @@ def test_stream_restarted_and_killed(spark, tmp_path, monkeypatch):
         monkeypatch.setattr(stream.ledger, "commit", write)
         stream.start(source, str(tmp_path / "ck")).awaitTermination()
     assert result(stream.cells(spark)) == expected(plain_loop(events))
+
+
+def test_no_frame_runs_against_its_order(spark, tmp_path):
+    """A frame up to the end of its partition is computed anew for every row: quadratic in a stretch."""
+    table = arrived(spark, *rows(9, 40))
+    windows = anchored_windows(table, saver(tmp_path))
+    opens = spark.createDataFrame([(1000.0, True)], "at double, closer boolean")
+    for df in (closing_arrivals(opens, 10), anchored_cells(table, windows)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search("unboundedpreceding", plan, re.I) and not re.search("unboundedfollowing", plan, re.I)
+
+
+def test_rounds_of_pointers_get_smaller(spark, tmp_path):
+    """Dense arrivals over many windows: later rounds hold few of them, and no window is lost."""
+    rnd, at, events = random.Random(10), 1000.0, []
+    for i in range(6000):
+        at += rnd.random() / 2
+        events.append({"event_id": i, "arrival": at, "timestamp": at, "event_type": "view", "category": "a", "price": 1.0, "quantity": 1})
+    table, sizes, save = arrived(spark, *events), {}, saver(tmp_path)
+
+    def counted(df, name):
+        saved = save(df, name)
+        sizes[name] = saved.count()
+        return saved
+
+    windows = anchored_windows(table, counted)
+    assert sorted(windows.collect()) == sorted((w["start"], w["end"], None) if w["end"] is None else (w["start"], w["end"], e["event_id"]) for w in plain_loop(events) for e in events if e["arrival"] == (w["end"] or w["start"]))
+    assert sizes["jumps-4"] < len(events) / 3
+
+
+@pytest.mark.parametrize("odd", [float("nan"), float("inf"), 1e18])
+def test_arrivals_that_no_width_moves_end_the_chain(spark, tmp_path, odd):
+    events = [{"event_id": i, "arrival": x, "timestamp": x} for i, x in enumerate([1000.0, 1011.0, odd])]
+    windows = anchored_windows(arrived(spark, *events), saver(tmp_path))
+    assert windows.where("window_end IS NULL").count() == 1
