@@ -24,25 +24,32 @@ def _fits(value: Column, kind: T.DataType) -> Column:
     """Whether a field of a parsed line can stand in a column; one that is missing or null can."""
     found = F.schema_of_variant(value)
     if isinstance(kind, T.IntegralType):
-        good = found == "BIGINT"
+        good = found.isin("BIGINT", "VOID")
     elif isinstance(kind, T.FractionalType):
-        good = found.isin("BIGINT", "DOUBLE") | found.startswith("DECIMAL")
+        good = found.rlike("^(BIGINT$|DOUBLE$|DECIMAL|VOID$)")
     elif isinstance(kind, T.BooleanType):
-        good = found == "BOOLEAN"
+        good = found.isin("BOOLEAN", "VOID")
     else:
-        good = ~found.startswith("OBJECT") & ~found.startswith("ARRAY")
-    return value.isNull() | F.is_variant_null(value) | good
+        good = ~found.rlike("^(OBJECT|ARRAY)")
+    return F.coalesce(good, F.lit(True))
+
+
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Rows with one more column, computed once per row: filters above don't compute the output of a generator again."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
 
 
 def _shredded(values: DataFrame, schema: T.StructType, text: Column) -> DataFrame:
     """From rows with ``WHOLE``: the columns of ``schema``, ``WHOLE``, and the text of lines that are bad."""
     whole = F.col(WHOLE)
-    good = whole.isNotNull() & F.coalesce(F.schema_of_variant(whole).startswith("OBJECT"), F.lit(False))
-    for field in schema.fields:
-        good = good & F.coalesce(_fits(F.try_variant_get(whole, f"$.{field.name}", "variant"), field.dataType), F.lit(False))
-    values = values.withColumn("good", good)
+    fields = F.struct(*[F.try_variant_get(whole, f"$.{f.name}", "variant").alias(f"f{i}") for i, f in enumerate(schema.fields)])
+    values = _once(values, "fields", fields)
+    good = F.coalesce(F.schema_of_variant(whole).startswith("OBJECT"), F.lit(False))
+    for i, field in enumerate(schema.fields):
+        good = good & _fits(F.col(f"fields.f{i}"), field.dataType)
+    values = _once(values, "good", good)
     columns = [
-        F.when(F.col("good"), F.try_variant_get(whole, f"$.{f.name}", f.dataType.simpleString())).alias(f.name) for f in schema.fields
+        F.when(F.col("good"), F.try_variant_get(F.col(f"fields.f{i}"), "$", f.dataType.simpleString())).alias(f.name) for i, f in enumerate(schema.fields)
     ]
     return values.select(*columns, F.when(F.col("good"), whole).alias(WHOLE), F.when(~F.col("good"), text).alias(CORRUPT))
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.operators.quality import parse_totals
+from tallyloom.operators.quality import good_events, parse_totals
 from tallyloom.sources.lines import parse_lines
 from tallyloom.sources.schemas import CORRUPT, STREAM_EVENT
 from tallyloom.sources.variants import parse_whole_lines, read_again
@@ -67,3 +67,10 @@ def test_bad_lines_are_good_under_a_schema_that_fits_them(spark):
 def test_no_lines(spark):
     assert parse_whole_lines(lines(spark, []), STREAM_EVENT).count() == 0
     assert read_again(parse_whole_lines(lines(spark, []), STREAM_EVENT), STREAM_EVENT).count() == 0
+
+
+def test_a_field_is_judged_once_however_rows_are_filtered(spark):
+    """Filters on the parsed columns don't compute what a field holds again."""
+    stored = spark.createDataFrame([], "whole variant, _corrupt_record string").localCheckpoint()
+    plan = good_events(read_again(stored, STREAM_EVENT).drop("whole"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("schemaofvariant(") in range(1, 2 * (len(STREAM_EVENT) + 1) + 1)
