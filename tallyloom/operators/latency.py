@@ -20,7 +20,7 @@ RANKS = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 BUCKETS_PER_E = 1024
 SLICES = 4096
 # Samples of a bucket whose different values one task puts in order.
-SORTED = 1 << 20
+SORTED = 1 << 14
 
 
 def _bucket(value: Column) -> Column:

@@ -415,10 +415,10 @@ def _by_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _arrived(spark, sf_dir)
     ends = events.agg(F.min("arrival").alias("low"), F.max("arrival").alias("high"))
     levels = [("low", 100, False, 0.0, 0.5), ("medium", 1000, False, 0.4, 0.7), ("high", 5000, True, 0.8, 1.0)]
-    shares = spark.createDataFrame(levels, "label string, rate long, burst boolean, first double, last double")
-    at = lambda share: F.col("low") + (F.col("high") - F.col("low")) * F.col(share)
-    row = ends.withColumn("one", F.lit(0)).join(shares.withColumn("one", F.lit(0)), "one")
-    schedule = row.select("label", "rate", "burst", at("first").alias("start"), at("last").alias("end"))
+    at = lambda share: F.col("low") + (F.col("high") - F.col("low")) * F.lit(share)
+    names = ("label", "rate", "burst", "start", "end")
+    rows = [(F.lit(label), F.lit(rate).cast("long"), F.lit(burst), at(first), at(last)) for label, rate, burst, first, last in levels]
+    schedule = ends.select(F.explode(F.array(*[F.struct(*[x.alias(name) for x, name in zip(row, names)]) for row in rows])).alias("level")).select("level.*")
     tagged = with_scheduled_level(events, schedule, slot_seconds=HOUR)
     return latency.load_level_summary(tagged.where(F.col("label").isNotNull()))
 
