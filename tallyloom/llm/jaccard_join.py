@@ -3,7 +3,8 @@
 A document's set holds its distinct five-word windows, as 64-bit hashes. Two documents link when their
 sets' Jaccard similarity reaches the threshold; the result gives each document its component of links.
 
-1. Equal sets become one class (128-bit hash), so exact copies are handled once.
+1. Equal sets become one class (128-bit hash), so exact copies are handled once. Rows carry a class's name, a
+   64-bit hash of that one, under a seed for which no two classes share a name.
 2. Windows have one order: the most frequent ones last. Frequencies are counted over all documents; the
    table of the ``ORDERED`` most frequent ones has a fixed size and is broadcast. Any order gives right
    results, this one gives few candidates.
@@ -15,13 +16,13 @@ sets' Jaccard similarity reaches the threshold; the result gives each document i
    the level with the lowest estimated cost: frequent windows in the short prefix mean many candidates, a
    longer prefix demands more matches. A pair must match min(l, l') times. Texts that share a template but
    not enough for a link keep it out of their short prefixes, so the template brings no pairs.
-4. Windows in one class's prefix only lead nowhere.
+4. Windows in one class's prefix only lead nowhere, as do a window's rows without a partner of like size.
 5. Links are first looked for between neighbours: each class stands in the groups of a few of its matched
    prefix windows, picked by hash, in a random order, and meets the next ones there. Links that hold give
    first components. Pairs inside one component need no look any more, so a group of
    thousands of near copies costs a few chains, not all its pairs.
 6. Pairs from different components with enough matches for their sizes, and sketches that leave room for
-   the overlap, are verified on the whole sets; their links join the components.
+   the overlap, are verified on the whole sets, unless step 5 did so; their links join the components.
 
 No step keeps fewer rows than the definition asks; steps 2 and 5 only save work.
 
@@ -48,12 +49,16 @@ from tallyloom.llm.tables import arrow_rows, free_shuffles, map_arrow, text_buff
 from tallyloom.llm.words import shingle_set, text_words
 
 WIDTH, PERCENT = 5, 80
-#: Entries of the frequency table; windows counted together in a task; levels; bits of the class filter.
-ORDERED, COUNTED, LEVELS, MOST_BITS = 1 << 20, 1 << 22, 6, 1 << 27
+#: Entries of the frequency table; windows counted together in a task; levels; bits and slots of the class filter.
+ORDERED, COUNTED, LEVELS, MOST_BITS, MOST_SLOTS = 1 << 20, 1 << 22, 6, 1 << 27, 4
 #: How many window matches a verification costs.
 VERIFY_COST = 8
 #: Prefix windows in whose groups a class looks for neighbours, neighbours looked at; bits of a class's sketch.
 PICKS, NEIGHBOURS, SKETCH = 6, 3, 512
+#: What orders windows for each pick, fixed.
+ORDERS = [int(x) for x in np.random.default_rng(41).integers(-(1 << 63), 1 << 63, PICKS)]
+#: A class with so many smaller neighbours is verified first with one of ``SHARE`` of them, else with one alone.
+MANY, SHARE = 8, 3
 #: Classes of a group that stand in one order.
 PIECE = 256
 #: Stands for all levels that no class picks.
@@ -82,6 +87,24 @@ def class_of(windows: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(windows.tobytes())
 
 
+def name_of(digest: bytes, seed: int) -> int:
+    """A class's name of 64 bits; ``named_by`` gives the same in Spark."""
+    name = xxhash.xxh64_intdigest(digest, seed=xxhash.xxh64_intdigest(struct.pack("<q", seed), seed=42))
+    return name - (1 << 64) if name >> 63 else name
+
+
+def named_by(seed: int) -> Column:
+    return F.when(F.col("class").isNotNull(), F.xxhash64(F.lit(seed).cast("long"), "class"))
+
+
+def seed_of_names(classes: DataFrame) -> int:
+    """The first seed under which all classes of a written table, by their 128-bit hashes, have names of their own."""
+    seed = 0
+    while classes.groupBy(named_by(seed).alias("name")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").count():
+        seed += 1
+    return seed
+
+
 def sketch_of(windows: np.ndarray) -> np.ndarray:
     """For each of ``SKETCH`` parts of all windows whether an odd number of the set's is in it.
 
@@ -195,7 +218,7 @@ class Seen:
         return True
 
 
-def prefixes(docs: DataFrame, width: int, percent: int, table: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def prefixes(docs: DataFrame, width: int, percent: int, table: tuple[np.ndarray, np.ndarray], seed: int) -> DataFrame:
     """Rows (window, class, n, level, short, own): the windows of each class's long prefix at its level ``own``.
 
     ``level`` is the first level whose long prefix has the window, ``short`` the first one of its short prefix.
@@ -206,10 +229,10 @@ def prefixes(docs: DataFrame, width: int, percent: int, table: tuple[np.ndarray,
         seen, sets, names, size = Seen(), [], [], 0
         for batch in batches:
             for windows in sets_of(batch.column(0), width):
-                if not len(windows) or not seen.add(name := class_of(windows)):
+                if not len(windows) or not seen.add(digest := class_of(windows)):
                     continue
                 sets.append(windows)
-                names.append(name)
+                names.append(name_of(digest, seed))
                 size += len(windows)
                 if size >= COUNTED // 4:
                     yield rows(sets, names)
@@ -217,7 +240,7 @@ def prefixes(docs: DataFrame, width: int, percent: int, table: tuple[np.ndarray,
         if sets:
             yield rows(sets, names)
 
-    def rows(sets: list[np.ndarray], names: list[bytes]) -> pa.RecordBatch:
+    def rows(sets: list[np.ndarray], names: list[int]) -> pa.RecordBatch:
         ends = np.cumsum([len(x) for x in sets])
         often = np.split(frequencies(np.concatenate(sets), *shared.value), ends[:-1])
         found, levels = zip(*[prefix_of(x, o, percent) for x, o in zip(sets, often)])
@@ -226,11 +249,10 @@ def prefixes(docs: DataFrame, width: int, percent: int, table: tuple[np.ndarray,
         place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         level = np.maximum(1, place - np.repeat(sizes - own + 1, sizes) + 2)
         short = np.maximum(1, place - np.repeat(n - needed_of_larger(n, percent) + 1, sizes) + 2)
-        name = pa.array(names, pa.binary()).take(pa.array(np.repeat(np.arange(len(names)), sizes)))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate(found).view(np.int64)),
-                name,
+                pa.array(np.repeat(np.array(names, np.int64), sizes)),
                 pa.array(np.repeat(n, sizes)),
                 pa.array(level.astype(np.int16)),
                 pa.array(np.minimum(short, MOST_LEVEL).astype(np.int16)),
@@ -239,73 +261,83 @@ def prefixes(docs: DataFrame, width: int, percent: int, table: tuple[np.ndarray,
             ["window", "class", "n", "level", "short", "own"],
         )
 
-    return arrow_rows(docs.select("text"), run, "window long, class binary, n long, level short, short short, own short")
+    return arrow_rows(docs.select("text"), run, "window long, class long, n long, level short, short short, own short")
+
+
+def meeting(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows (window, class, n, short, own, ...), each once, that can be part of a pair.
 
+    A pair is a row of a short prefix and a later one by (n, class) in the same window's group, of like size. If
+    a row has any such partner, then also the next one after it, or the last short one before it.
+    """
+    group = Window.partitionBy("window")
+    rows = rows.withColumn("low", F.min("class").over(group)).withColumn("high", F.max("class").over(group))
+    rows = rows.where("low < high").drop("low", "high").dropDuplicates(["window", "class"])
+    order = group.orderBy("n", "class")
+    before = F.max(F.expr("IF(short <= own, n, NULL)")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("before", before).withColumn("after", F.lead("n").over(order))
+    return rows.where(f"100 * before >= {percent} * n OR short <= own AND 100 * n >= {percent} * after").drop("before", "after")
 
-def hash_filter(hashes: DataFrame, count: int) -> np.ndarray:
-    """A bitmap of the column ``hash``, of a size that the driver can hold whatever the number of rows."""
+
+def hash_filter(hashes: DataFrame, count: int) -> tuple[np.ndarray, int]:
+    """A Bloom filter of the column ``hash``, of a size that the driver can hold whatever the number of rows, and its slots per hash."""
     bits = 1 << 16
     while bits < min(MOST_BITS, 16 * count):
         bits *= 2
-    slot = F.pmod("hash", F.lit(bits))
-    place = F.pmod(slot, F.lit(64)).cast("int")
-    words = hashes.select(F.shiftright(slot, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), place).alias("bit"))
+    slots = max(1, min(MOST_SLOTS, bits // (4 * max(1, count))))
+    low, high = F.col("hash").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("hash", 32)
+    slot = F.explode(F.array(*[F.pmod(low + F.lit(k) * high, F.lit(bits)) for k in range(slots)])).alias("slot")
+    place = F.pmod("slot", F.lit(64)).cast("int")
+    words = hashes.select(slot).select(F.shiftright("slot", 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), place).alias("bit"))
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(bits // 64, np.int64)
     out[found["word"].to_numpy()] = found["bits"].to_numpy()
-    return out.view(np.uint64)
+    return out.view(np.uint64), slots
 
 
-def may_hold(bitmap: np.ndarray, value: int) -> bool:
-    slot = value % (64 * len(bitmap))
-    return bool(int(bitmap[slot >> 6]) >> (slot & 63) & 1)
+def may_hold(bitmap: np.ndarray, slots: int, value: int) -> bool:
+    low, high = value & 0xFFFFFFFF, value >> 32
+    places = ((low + k * high) % (64 * len(bitmap)) for k in range(slots))
+    return all(int(bitmap[x >> 6]) >> (x & 63) & 1 for x in places)
 
 
-def sets_in(docs: DataFrame, width: int, first: DataFrame) -> DataFrame:
+def sets_in(docs: DataFrame, width: int, first: DataFrame, seed: int) -> DataFrame:
     """(class, windows) of the given classes; windows as sorted little-endian 64-bit numbers.
 
     ``first`` has (class, mark): a class's set is taken from the document with that mark, a hash of its id.
-    A bitmap of fixed size tells which documents to pass on, so no text is shuffled to find them. It may let
-    a few more sets through, and copies under one id come more than once; neither changes a link.
+    A Bloom filter of bounded size tells which documents to pass on, so no text is shuffled to find them. It may
+    let a few more sets through, and copies under one id come more than once; neither changes a link.
     """
-    bitmap = hash_filter(first.select(F.xxhash64("class", "mark").alias("hash")), first.count())
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    found = hash_filter(first.select(F.xxhash64("class", "mark").alias("hash")), first.count())
+    shared = docs.sparkSession.sparkContext.broadcast(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, seen = shared.value, Seen()
+        (bitmap, slots), seen = shared.value, Seen()
         for batch in batches:
             out = []
             for mark, windows in zip(batch.column(0).to_pylist(), sets_of(batch.column(1), width)):
                 if not len(windows):
                     continue
-                name = class_of(windows)
-                value = xxhash.xxh64_intdigest(struct.pack("<q", mark), seed=xxhash.xxh64_intdigest(name, seed=42))
-                if may_hold(bitmap, value) and seen.add(name):
+                digest = class_of(windows)
+                name = name_of(digest, seed)
+                value = xxhash.xxh64_intdigest(struct.pack("<q", mark), seed=xxhash.xxh64_intdigest(struct.pack("<q", name), seed=42))
+                if may_hold(bitmap, slots, value) and seen.add(digest):
                     out.append((name, windows.tobytes()))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out)], ["class", "windows"])
-
-    return arrow_rows(docs.select(F.xxhash64("id").alias("mark"), "text"), run, "class binary, windows binary")
-
+                names, sets = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], ["class", "windows"])
 
-def gathered(docs: DataFrame, width: int, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The written sets of the classes in ``wanted``."""
-    first = written(classes.select("class", "mark").join(wanted.distinct(), "class"), "wanted")
-    return written(sets_in(docs, width, first), "windows")
+    return arrow_rows(docs.select(F.xxhash64("id").alias("mark"), "text"), run, "class long, windows binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(docs: DataFrame, width: int, classes: DataFrame, pairs: DataFrame, percent: int, seed: int) -> DataFrame:
     """The pairs (a, b) of a written table whose sets are similar enough.
 
-    Sets of no pair, as told by a bitmap, are left out before the shuffle.
+    The sets go from the texts straight to their pairs; they are about as large as the texts, so no copy of them
+    is written.
     """
-    hashes = pairs.select(F.explode(F.array("a", "b")).alias("class")).select(F.xxhash64("class").alias("hash"))
-    shared = sets.sparkSession.sparkContext.broadcast(hash_filter(hashes, 2 * pairs.count()))
-
-    def needed_sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bitmap = shared.value
-        keep = [may_hold(bitmap, xxhash.xxh64_intdigest(x.as_py(), seed=42)) for x in batch.column(0)]
-        return batch.filter(pa.array(keep, pa.bool_()))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    sets = sets_in(docs, width, written(classes.select("class", "mark").join(wanted, "class"), "wanted"), seed)
 
     def similar(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep = []
@@ -316,11 +348,11 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep.append(100 * common >= percent * (len(x) + len(y) - common))
         return batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    sets = map_arrow(sets, needed_sets, "class binary, windows binary")
     x = sets.select(F.col("class").alias("a"), F.col("windows").alias("x"))
     y = sets.select(F.col("class").alias("b"), F.col("windows").alias("y"))
-    whole = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return map_arrow(whole, similar, "a binary, b binary")
+    # Merge joins: both read one shuffle of the sets, which are made once.
+    whole = pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b").select("a", "b", "x", "y")
+    return map_arrow(whole, similar, "a long, b long")
 
 
 def sketch_columns() -> Column:
@@ -365,24 +397,36 @@ def named(rows: DataFrame, components: DataFrame) -> DataFrame:
     return rows.withColumn("component", F.coalesce("component", "class"))
 
 
-def first_components(docs: DataFrame, matches: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, component) by links between neighbours in the groups of prefix windows.
+def fewer_pairs(pairs: DataFrame) -> DataFrame:
+    """Of pairs (a, b), a < b, those to verify first: a class keeps its smallest partner, and a share of many.
+
+    Names are random, so copies with the same partners meet at one of them, and a link to it makes the others
+    needless. In a large group, where links may fail, the share still holds it together. What this leaves apart is
+    looked at with the later pairs.
+    """
+    of = pairs.groupBy("b").agg(F.min("a").alias("least"), F.count(F.lit(1)).alias("partners"))
+    return pairs.join(of, "b").where(f"a = least OR partners >= {MANY} AND pmod(xxhash64(a, b), {SHARE}) = 0").select("a", "b")
+
+
+def first_components(docs: DataFrame, matches: DataFrame, classes: DataFrame, width: int, percent: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(node, component) by links between neighbours in the groups of prefix windows, and the pairs looked at.
 
     Only pairs of neighbours are verified, so what a group of near copies costs grows with its members, not
     their pairs, and all but a few members come together.
     """
-    picks = [F.min_by("window", F.xxhash64("window", F.lit(k))).alias(f"pick_{k}") for k in range(PICKS)]
+    # Windows are hashes, so the least by XOR with a number is a random one, and the same one for equal sets.
+    picks = [F.min(F.col("window").bitwiseXOR(F.lit(x))).alias(f"pick_{k}") for k, x in enumerate(ORDERS)]
     picked = matches.groupBy("class").agg(*picks)
-    picked = picked.select("class", F.explode(F.array_distinct(F.array(*[f"pick_{k}" for k in range(PICKS)]))).alias("window"))
+    least = F.array(*[F.col(f"pick_{k}").bitwiseXOR(F.lit(x)) for k, x in enumerate(ORDERS)])
+    picked = picked.select("class", F.explode(F.array_distinct(least)).alias("window"))
     picked = written(picked, "picked")
     several = picked.groupBy("window").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
     grouped = picked.join(several, "window").join(classes.select("class", "n", sketch_columns()), "class")
     grouped = written(grouped, "groups-of-windows")
-    pairs = written(chained_pairs(grouped, percent), "chained-pairs")
-    sets = gathered(docs, width, classes, pairs.select(F.explode(F.array("a", "b")).alias("class")))
-    links = written(verified(pairs, sets, percent), "first-links")
+    pairs = written(fewer_pairs(written(chained_pairs(grouped, percent), "chained-pairs")), "first-pairs")
+    links = written(verified(docs, width, classes, pairs, percent, seed), "first-links")
     free_shuffles(links.sparkSession)
-    return written(components(links), "first-components")
+    return written(components(links), "first-components"), pairs
 
 
 def matched_pairs(matches: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -430,20 +474,20 @@ def groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFr
     rows = written(described(docs, width), "sets")
     own = [F.first(c).alias(c) for c in ("n", "sketch")] + [F.min(F.xxhash64("id")).alias("mark")]
     classes = written(rows.where("n > 0").groupBy("class").agg(*own), "classes")
+    seed = seed_of_names(classes)
+    rows, classes = (x.withColumn("class", named_by(seed)) for x in (rows, classes))
 
-    windows = prefixes(docs, width, percent, frequent_windows(docs, width))
-    group = Window.partitionBy("window")
-    windows = windows.withColumn("low", F.min("class").over(group)).withColumn("high", F.max("class").over(group))
-    matches = written(windows.where("low < high").drop("low", "high").dropDuplicates(["window", "class"]), "matches")
+    windows = prefixes(docs, width, percent, frequent_windows(docs, width), seed)
+    matches = written(meeting(windows, percent), "matches")
     free_shuffles(matches.sparkSession)
 
     # Only classes with a match can have links.
-    first = first_components(docs, matches, classes, width, percent)
+    first, done = first_components(docs, matches, classes, width, percent, seed)
     free_shuffles(matches.sparkSession)
-    matched = written(matched_pairs(named(matches, first), classes, percent), "matched-pairs")
+    matched = matched_pairs(named(matches, first), classes, percent).join(done, ["a", "b"], "left_anti")
+    matched = written(matched, "matched-pairs")
     free_shuffles(matches.sparkSession)
-    sets = gathered(docs, width, classes, matched.select(F.explode(F.array("a", "b")).alias("class")))
-    links = written(verified(matched, sets, percent), "late-links")
+    links = written(verified(docs, width, classes, matched, percent, seed), "late-links")
 
     # Late links between components: the components are the nodes of a smaller graph.
     for side in ("a", "b"):

@@ -195,3 +195,79 @@ def test_templates_of_many_sizes_against_all_pairs(spark):
     rows = list(enumerate(templates(range(8, 40), 150) + templates(range(0, 90, 7), 60, 7)))
     got = j.linked_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert ordered(map(tuple, got)) == ordered(brute(rows))
+
+
+def test_only_rows_that_can_meet_stay(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.randrange(12), c, n, 1, rnd.choice([1, 2]), 1) for c in range(60) for n in [rnd.randint(1, 60)] for _ in range(3)]
+    rows += rnd.choices(rows, k=20)
+    frame = spark.createDataFrame(rows, "window long, class long, n long, level short, short short, own short")
+    got = sorted(tuple(r) for r in j.meeting(frame, 80).collect())
+
+    def pair(x, y):
+        """Whether x, the smaller one, meets y."""
+        return x[0] == y[0] and (x[2], x[1]) < (y[2], y[1]) and x[4] <= x[5] and 100 * x[2] >= 80 * y[2]
+
+    first = {}
+    for r in rows:
+        first.setdefault(r[:2], []).append(r)
+    kept = {r[:2] for r in got}
+    assert len(got) == len(kept) and all(r in first[r[:2]] for r in got)
+    sure = {k: v[0] for k, v in first.items() if len(set(v)) == 1}
+    for k, x in sure.items():
+        if all(y[:2] in sure for y in rows if y[0] == x[0]):
+            assert (k in kept) == any(pair(x, y) or pair(y, x) for y in sure.values())
+
+
+def test_a_class_has_one_name(spark, monkeypatch):
+    import pyspark.sql.functions as F
+
+    digests = [j.class_of(np.arange(n, dtype=np.uint64)) for n in range(50)]
+    classes = spark.createDataFrame([(bytearray(x),) for x in digests], "class binary")
+    for seed in (0, 3):
+        got = {bytes(r[0]): r[1] for r in classes.select("class", j.named_by(seed)).collect()}
+        assert got == {x: j.name_of(x, seed) for x in digests}
+    assert j.seed_of_names(classes) == 0
+    real = j.named_by
+    monkeypatch.setattr(j, "named_by", lambda seed: F.lit(7).cast("long") if seed < 2 else real(seed))
+    assert j.seed_of_names(classes) == 2
+
+
+def test_sets_are_not_written_and_no_pair_is_verified_twice(spark, monkeypatch):
+    purposes, verified, write, verify = [], [], j.written, j.verified
+    monkeypatch.setattr(j, "written", lambda df, purpose: purposes.append(purpose) or write(df, purpose))
+
+    def noted(docs, width, classes, pairs, *x):
+        verified.append({tuple(r) for r in pairs.collect()})
+        return verify(docs, width, classes, pairs, *x)
+
+    monkeypatch.setattr(j, "verified", noted)
+    rows = corpus(11)
+    got = j.linked_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert ordered(map(tuple, got)) == ordered(brute(rows))
+    assert "windows" not in purposes and len(verified) == 2 and verified[0] and not verified[0] & verified[1]
+
+
+@pytest.mark.parametrize("many, share", [(1, 2), (2, 10**6), (10**6, 1)])
+def test_whatever_is_verified_first(spark, monkeypatch, many, share):
+    monkeypatch.setattr(j, "MANY", many)
+    monkeypatch.setattr(j, "SHARE", share)
+    rnd = random.Random(12)
+    base = [f"b{k}" for k in range(120)]
+    group = []
+    for _ in range(60):  # links within hold or fail, so first components fall apart
+        copy = list(base)
+        for k in rnd.sample(range(120), rnd.choice([1, 1, 2, 3])):
+            copy[k] = f"x{rnd.randrange(10**6)}"
+        group.append(" ".join(copy))
+    rows = corpus(13) + [(1000 + i, t) for i, t in enumerate(group)]
+    got = j.linked_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert ordered(map(tuple, got)) == ordered(brute(rows))
+
+
+def test_the_filter_loses_nothing_and_lets_little_through(spark):
+    rnd = random.Random(14)
+    held, others = ([rnd.randrange(-(1 << 63), 1 << 63) for _ in range(n)] for n in (5000, 5000))
+    found = j.hash_filter(spark.createDataFrame([(x,) for x in held], "hash long"), len(held))
+    assert all(j.may_hold(*found, x % (1 << 64)) for x in held)
+    assert sum(j.may_hold(*found, x % (1 << 64)) for x in others) < 100
