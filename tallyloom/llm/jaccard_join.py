@@ -24,6 +24,9 @@ sets' Jaccard similarity reaches the threshold; the result gives each document i
 6. Pairs from different components with enough matches for their sizes, and sketches that leave room for
    the overlap, are verified on the whole sets, unless step 5 did so; their links join the components.
 
+Sketches have two sizes: a fixed one, which rows carry into joins, and for larger sets one that grows with
+the set, to which the pairs go before the sets themselves are sent.
+
 No step keeps fewer rows than the definition asks; steps 2 and 5 only save work.
 
 - Null text or one without words: empty set, linked with nothing, a component of its own.
@@ -61,8 +64,10 @@ ORDERS = [int(x) for x in np.random.default_rng(41).integers(-(1 << 63), 1 << 63
 MANY, SHARE = 8, 3
 #: Classes of a group that stand in one order.
 PIECE = 256
-#: Stands for all levels that no class picks.
-MOST_LEVEL = 30_000
+#: Stands for all levels that no class picks. Bits of a level where several numbers are packed into one.
+MOST_LEVEL, LEVEL_BITS = LEVELS + 1, 6
+#: Bits of a wide sketch at most.
+WIDEST = 1 << 20
 #: Classes that a task remembers having emitted.
 REMEMBERED = 1 << 18
 
@@ -115,25 +120,47 @@ def sketch_of(windows: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(parts, minlength=SKETCH) & 1, bitorder="little").view(np.int64)
 
 
+def wide_sketch_of(windows: np.ndarray) -> bytes | None:
+    """The like of a set of more than ``SKETCH`` windows, in a power of two of parts, as many as the set has windows."""
+    if len(windows) <= SKETCH:
+        return None
+    bits = min(WIDEST, 1 << (len(windows) - 1).bit_length())
+    parts = (windows >> np.uint64(20)).astype(np.int64) % bits
+    return np.packbits(np.bincount(parts, minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def wide_difference(x: np.ndarray, y: np.ndarray) -> int:
+    """In how many bits two wide sketches, as bytes, differ: no more than the sets in windows.
+
+    The parts of the one with fewer are unions of those of the other.
+    """
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def described(docs: DataFrame, width: int) -> DataFrame:
-    """Per row: its columns except ``text``, and n, class, sketch."""
+    """Per row: its columns except ``text``, and n, class, sketch, wide."""
     at = docs.columns.index("text")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n, classes, sketches = [], [], []
+        n, classes, sketches, wide = [], [], [], []
         for windows in sets_of(batch.column(at), width):
             some = len(windows) > 0
             n.append(len(windows))
             classes.append(class_of(windows) if some else None)
             sketches.append(sketch_of(windows) if some else [])
+            wide.append(wide_sketch_of(windows))
         longs = pa.list_(pa.int64())
-        found = [pa.array(n, pa.int64()), pa.array(classes, pa.binary()), pa.array(sketches, longs)]
+        found = [pa.array(n, pa.int64()), pa.array(classes, pa.binary()), pa.array(sketches, longs), pa.array(wide, pa.binary())]
         keys = [(name, column) for name, column in zip(batch.schema.names, batch.columns) if name != "text"]
-        names = [x for x, _ in keys] + ["n", "class", "sketch"]
+        names = [x for x, _ in keys] + ["n", "class", "sketch", "wide"]
         return pa.RecordBatch.from_arrays([c for _, c in keys] + found, names)
 
     keys = [f"{name} {kind}" for name, kind in docs.dtypes if name != "text"]
-    return map_arrow(docs, work, ", ".join([*keys, "n long, class binary, sketch array<long>"]))
+    return map_arrow(docs, work, ", ".join([*keys, "n long, class binary, sketch array<long>, wide binary"]))
 
 
 def frequent_windows(docs: DataFrame, width: int, entries: int = ORDERED) -> tuple[np.ndarray, np.ndarray]:
@@ -265,14 +292,23 @@ def prefixes(docs: DataFrame, width: int, percent: int, table: tuple[np.ndarray,
 
 
 def meeting(rows: DataFrame, percent: int) -> DataFrame:
-    """The rows (window, class, n, short, own, ...), each once, that can be part of a pair.
+    """The rows (window, class, n, level, short, own), each once, that can be part of a pair.
 
     A pair is a row of a short prefix and a later one by (n, class) in the same window's group, of like size. If
     a row has any such partner, then also the next one after it, or the last short one before it.
+
+    All prefix rows are shuffled here, with n and levels in one number that a class's rows mostly share.
     """
     group = Window.partitionBy("window")
+    levels = ("level", "short", "own")
+    packed = F.col("n")
+    for name in levels:
+        packed = F.shiftleft(packed, LEVEL_BITS).bitwiseOR(F.col(name).cast("long"))
+    rows = rows.select("window", "class", packed.alias("packed"))
     rows = rows.withColumn("low", F.min("class").over(group)).withColumn("high", F.max("class").over(group))
     rows = rows.where("low < high").drop("low", "high").dropDuplicates(["window", "class"])
+    parts = [F.shiftright("packed", LEVEL_BITS * k).bitwiseAND(F.lit((1 << LEVEL_BITS) - 1)).cast("short").alias(name) for k, name in zip((2, 1, 0), levels)]
+    rows = rows.select("window", "class", F.shiftright("packed", LEVEL_BITS * 3).alias("n"), *parts)
     order = group.orderBy("n", "class")
     before = F.max(F.expr("IF(short <= own, n, NULL)")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("before", before).withColumn("after", F.lead("n").over(order))
@@ -373,6 +409,31 @@ def sketches_allow(percent: int) -> Column:
     return differ <= sizes - 2 * F.ceil(F.lit(percent) * sizes / F.lit(100 + percent))
 
 
+def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose wide sketches leave room for the overlap that their sizes demand, and those without.
+
+    The sketches in the joins say little about sets of more windows than twice their bits; these sets are the
+    largest to send, and a wide sketch has 1/32 of a set's size at most.
+    """
+    wide = classes.where("wide IS NOT NULL").select("class", "n", "wide")
+    for side in ("a", "b"):
+        of = wide.select(F.col("class").alias(side), F.col("n").alias(f"n_{side}"), F.col("wide").alias(f"wide_{side}"))
+        pairs = pairs.join(of, side, "left")
+
+    def room(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for n_a, n_b, x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), batch.column(5)):
+            if not (x.is_valid and y.is_valid):
+                keep.append(True)
+                continue
+            n = n_a + n_b
+            most = n - 2 * -(-percent * n // (100 + percent))
+            keep.append(wide_difference(*(np.frombuffer(s.as_buffer(), np.uint8) for s in (x, y))) <= most)
+        return batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return map_arrow(pairs.select("a", "b", "n_a", "n_b", "wide_a", "wide_b"), room, "a long, b long")
+
+
 def chained_pairs(grouped: DataFrame, percent: int) -> DataFrame:
     """From rows (window, classes, class, n, sketch): near neighbours in each group's random order.
 
@@ -423,7 +484,8 @@ def first_components(docs: DataFrame, matches: DataFrame, classes: DataFrame, wi
     several = picked.groupBy("window").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
     grouped = picked.join(several, "window").join(classes.select("class", "n", sketch_columns()), "class")
     grouped = written(grouped, "groups-of-windows")
-    pairs = written(fewer_pairs(written(chained_pairs(grouped, percent), "chained-pairs")), "first-pairs")
+    pairs = written(chained_pairs(grouped, percent), "chained-pairs")
+    pairs = written(fewer_pairs(written(likely(pairs, classes, percent), "likely-pairs")), "first-pairs")
     links = written(verified(docs, width, classes, pairs, percent, seed), "first-links")
     free_shuffles(links.sparkSession)
     return written(components(links), "first-components"), pairs
@@ -472,7 +534,7 @@ def groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFr
     A group is the smallest class of a component. Rows without windows have a null class and no group.
     """
     rows = written(described(docs, width), "sets")
-    own = [F.first(c).alias(c) for c in ("n", "sketch")] + [F.min(F.xxhash64("id")).alias("mark")]
+    own = [F.first(c).alias(c) for c in ("n", "sketch", "wide")] + [F.min(F.xxhash64("id")).alias("mark")]
     classes = written(rows.where("n > 0").groupBy("class").agg(*own), "classes")
     seed = seed_of_names(classes)
     rows, classes = (x.withColumn("class", named_by(seed)) for x in (rows, classes))
@@ -485,7 +547,7 @@ def groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFr
     first, done = first_components(docs, matches, classes, width, percent, seed)
     free_shuffles(matches.sparkSession)
     matched = matched_pairs(named(matches, first), classes, percent).join(done, ["a", "b"], "left_anti")
-    matched = written(matched, "matched-pairs")
+    matched = written(likely(written(matched, "matched-pairs"), classes, percent), "likely-pairs")
     free_shuffles(matches.sparkSession)
     links = written(verified(docs, width, classes, matched, percent, seed), "late-links")
 
@@ -498,7 +560,7 @@ def groups(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFr
     of_class = named(classes.select("class"), first)
     of_class = of_class.join(second.withColumnRenamed("node", "component"), "component", "left")
     of_class = of_class.select("class", F.coalesce("group", "component").alias("group"))
-    return rows.drop("sketch"), written(of_class, "groups")
+    return rows.drop("sketch", "wide"), written(of_class, "groups")
 
 
 def linked_documents(

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -271,3 +272,80 @@ def test_the_filter_loses_nothing_and_lets_little_through(spark):
     found = j.hash_filter(spark.createDataFrame([(x,) for x in held], "hash long"), len(held))
     assert all(j.may_hold(*found, x % (1 << 64)) for x in held)
     assert sum(j.may_hold(*found, x % (1 << 64)) for x in others) < 100
+
+
+def near(x, share, rnd):
+    """A set with about ``share`` of x's windows and as many others as are missing."""
+    stays = x[rnd.random(len(x)) < share]
+    return np.unique(np.concatenate([stays, rnd.integers(0, 1 << 63, len(x) - len(stays)).astype(np.uint64)]))
+
+
+def test_wide_sketches_differ_no_more_than_their_sets():
+    rnd = np.random.default_rng(15)
+    assert j.wide_sketch_of(np.arange(j.SKETCH, dtype=np.uint64)) is None
+    for n in (520, 1020, 1030, 5000):
+        x = np.unique(rnd.integers(0, 1 << 63, n).astype(np.uint64))
+        for share in (0.3, 0.6, 0.9, 1.0):
+            y = np.concatenate([near(x, share, rnd), rnd.integers(0, 1 << 63, n // 10).astype(np.uint64)])
+            wide = [np.frombuffer(j.wide_sketch_of(np.unique(s)), np.uint8) for s in (x, y)]
+            apart = len(np.setxor1d(x, y))
+            assert j.wide_difference(*wide) == j.wide_difference(*wide[::-1]) <= apart
+            assert share > 0.3 or j.wide_difference(*wide) > 0.25 * n
+
+
+def test_large_sets_that_differ_are_not_sent(spark, monkeypatch):
+    """All pairs of 14 sets, some of more windows than the fixed sketch can tell apart, before their sets are wanted."""
+    rnd = np.random.default_rng(16)
+    sets = []
+    for n in (300, 1000, 3000):
+        base = np.unique(rnd.integers(0, 1 << 63, n).astype(np.uint64))
+        sets += [base, *(near(base, share, rnd) for share in (0.97, 0.95, 0.6, 0.5))]
+    wide = [j.wide_sketch_of(s) for s in sets]
+    classes = spark.createDataFrame([(i, len(s), w and bytearray(w)) for i, (s, w) in enumerate(zip(sets, wide))], "class long, n long, wide binary")
+    pairs = {(a, b) for b in range(len(sets)) for a in range(b)}
+    got = {tuple(r) for r in j.likely(spark.createDataFrame(sorted(pairs), "a long, b long"), classes, 80).collect()}
+    for a, b in pairs:
+        common = len(np.intersect1d(sets[a], sets[b]))
+        linked = 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common)
+        assert (a, b) in got if linked or wide[a] is None or wide[b] is None else (a, b) not in got
+
+
+def test_only_likely_pairs_of_long_texts_are_verified(spark, monkeypatch):
+    """Long texts that share 60 % of their words in one run are neighbours, but no two of them are linked."""
+    asked, verify = [], j.verified
+
+    def noted(docs, width, classes, pairs, *x):
+        asked.append(pairs.count())
+        return verify(docs, width, classes, pairs, *x)
+
+    monkeypatch.setattr(j, "verified", noted)
+    shared = [f"s{i}" for i in range(1500)]
+    rows = [(i, " ".join(shared + [f"w{i}x{k}" for k in range(800)])) for i in range(6)]
+    copy = rows[0][1].split()
+    copy[7] = "other"
+    rows.append((6, " ".join(copy)))
+    monkeypatch.setattr(j.frequent_windows, "__defaults__", (0,))
+    got = j.linked_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert ordered(map(tuple, got)) == ordered(brute(rows)) and sum(asked) == 1
+
+
+def test_sizes_and_levels_survive_the_shuffle(spark):
+    most = j.MOST_LEVEL
+    rows = [(1, c, n, j.LEVELS, short, j.LEVELS) for c, n, short in ((5, 10**9, 1), (6, 10**9 + 7, most), (7, 10**9, j.LEVELS))]
+    frame = spark.createDataFrame(rows, "window long, class long, n long, level short, short short, own short")
+    assert sorted(map(tuple, j.meeting(frame, 80).collect())) == sorted(rows)
+    assert j.meeting(frame, 80).dtypes == frame.dtypes and most < 1 << j.LEVEL_BITS
+
+
+def test_written_rows_leave_no_shuffle_behind(spark):
+    from tallyloom.llm.tables import CLEANUP_SETTING
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {str(x) for x in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in x}
+    before, setting = held(), spark.conf.get(CLEANUP_SETTING, "false")
+    j.written(spark.range(10_000).repartition(7), "some")
+    for _ in range(50):
+        if not held() - before:
+            break
+        time.sleep(0.1)
+    assert not held() - before and spark.conf.get(CLEANUP_SETTING, "false") == setting
